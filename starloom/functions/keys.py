@@ -35,7 +35,7 @@ def parse_date_key(col: Column | str) -> Column:
     """Date from a ``yyyyMMdd`` key; the sentinel, blanks and bad text give NULL."""
     k = F.trim(_c(col).cast("string"))
     return F.when((k == "") | (k == SENTINEL_KEY), F.lit(None).cast("date")).otherwise(
-        F.try_to_date(k, F.lit("yyyyMMdd"))
+        F.try_to_date(k, "yyyyMMdd")
     )
 
 

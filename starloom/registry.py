@@ -128,3 +128,7 @@ def q_fact_sale_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: the commercial sale-order fact for the reporting period."""
     src = ErpSources(spark, sf_dir)
     return money(build_fact_sale_order(spark, src), star.MONEY_COLUMNS)
+
+
+# Query suites register themselves on import.
+from starloom.suites import clean as _clean  # noqa: E402,F401

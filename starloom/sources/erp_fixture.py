@@ -86,6 +86,37 @@ select cast(event_id as string) as id, cast(user_id + 1 as string) as employee_i
 from {events}""",
 }
 
+# Our own mapping views (not from the fixture specification): raw extracts
+# that carry the dirty values the cleaning operators must handle, and a run
+# history for the ingestion control plane, both derived from the tables.
+MAPPING_SQL.update({
+    "src_raw_partner": """
+select cast(c_custkey + 1 as string) as id,
+ case c_custkey % 13 when 0 then 'nan' when 1 then 'None' when 2 then '<NA>' when 3 then 'NaN' when 4 then '' else c_name end as name,
+ case c_custkey % 17 when 0 then cast('Infinity' as double) when 1 then cast('-Infinity' as double) when 2 then cast('NaN' as double) else c_acctbal end as balance,
+ case c_custkey % 19 when 0 then 'abc' when 1 then '12.5' when 2 then ' 7 ' else cast(c_nationkey as string) end as nation_txt,
+ case c_custkey % 23 when 0 then 'n/a' else cast(cast(c_acctbal as decimal(18,2)) as string) end as balance_txt,
+ case c_custkey % 3 when 0 then 'true' when 1 then 'false' else 'maybe' end as active_txt,
+ case c_custkey % 29 when 0 then 'not-a-date' when 1 then '2024-13-45'
+  else concat(cast(2000 + c_custkey % 24 as string), '-', lpad(cast(c_custkey % 12 + 1 as string), 2, '0'), '-', lpad(cast(c_custkey % 28 + 1 as string), 2, '0')) end as since_txt,
+ c_nationkey as nation_key, c_mktsegment as segment
+from {customer}""",
+    "src_extraction_log": """
+select event_id + 1 as id,
+ case user_id % 6 when 0 then 'sale_order' when 1 then 'crm_lead' when 2 then 'res_partner' when 3 then 'mail_message'
+  when 4 then 'mail_tracking_value' else 'hr_employee' end as table_name,
+ case when event_type = 'signup' then 'full' else 'incremental' end as extraction_type,
+ ts as start_time, ts + cast(floor(value) as int) * interval '1' second as end_time,
+ case when event_type = 'error' then null else ts - interval '1' hour end as last_extracted_date,
+ cast(floor(value * 10) as bigint) as rows_extracted,
+ case when event_type = 'error' then 0 else cast(floor(value * 7) as bigint) end as rows_inserted,
+ case when event_type = 'error' then 0 else cast(floor(value * 3) as bigint) end as rows_updated,
+ case when event_type = 'error' then 'failed' when event_type = 'click' and event_id % 7 = 0 then 'quality_failed' else 'completed' end as status,
+ case when event_type = 'error' then 'source timeout' end as error_message,
+ ts as created_at
+from {events}""",
+})
+
 _REF = re.compile(r"(?<!\{)\{([a-z_]+)\}(?!\})")
 
 
