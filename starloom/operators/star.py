@@ -91,8 +91,8 @@ def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date
                    close_day: int = 25) -> DataFrame:
     """Calendar from ``start`` to ``end`` inclusive plus the sentinel key.
 
-    Generated by ``sequence`` + ``explode`` in one row, then repartitioned by
-    ``range``-like spread is unnecessary: a century is ~36k rows.
+    Generated by ``sequence`` + ``explode`` from one row; its size is bounded
+    by the date range (a century is about 36,500 rows).
     """
     s = F.to_date(F.lit(str(start)))
     e = F.to_date(F.lit(str(end)))
@@ -105,15 +105,15 @@ def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date
         F.dayofmonth("date").alias("day"),
         custom_month_period("date", close_day).alias("custom_month_period"),
     )
-    sentinel = spark.createDataFrame(
-        [(SENTINEL_KEY, None, None, None, None, None)], cal.schema)
+    sentinel = spark.range(1).select(
+        F.lit(SENTINEL_KEY).alias("id"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in cal.schema.fields[1:]])
     return cal.unionByName(sentinel)
 
 
 # ----------------------------------------------------------------- staging
 
 def stg_sale_order(src: DataFrame) -> DataFrame:
-    """Sale-order staging: text keys, exact money, date keys.
+    """Sale-order staging: text keys with the sentinel default, exact money, date keys.
 
     ``amount_total``, ``amount_to_invoice`` and the instalment split are not in
     the source mapping; they are derived here in decimal arithmetic (ours):
@@ -124,8 +124,8 @@ def stg_sale_order(src: DataFrame) -> DataFrame:
     a1 = (total * F.lit(0.30).cast("decimal(3,2)")).cast("decimal(18,2)")
     a2 = (total * F.lit(0.40).cast("decimal(3,2)")).cast("decimal(18,2)")
     return src.select(
-        "id", "name", "company_id", "partner_id", "user_id", "team_id", "state", "lost_reason_id",
-        "opportunity_id", "rbe_status", "amount_untaxed", "amount_tax",
+        "id", "name", *[fk(c).alias(c) for c in ("company_id", "partner_id", "user_id", "team_id", "lost_reason_id")],
+        "state", "opportunity_id", "rbe_status", "amount_untaxed", "amount_tax",
         total.alias("amount_total"),
         F.when(F.lower("state") == "sale", total).otherwise(F.lit(0).cast("decimal(18,2)")).alias("amount_to_invoice"),
         F.lit(30).cast("decimal(5,2)").alias("acompte_1_pourcent"),

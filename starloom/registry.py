@@ -50,7 +50,9 @@ def money(df: DataFrame, cols: list[str]) -> DataFrame:
 # DuckDB text for the staged models; mirrors starloom.operators.star.
 
 STG_SALE_ORDER_SQL = """
-select id, name, company_id, partner_id, user_id, team_id, state, lost_reason_id, opportunity_id, rbe_status,
+select id, name, coalesce(company_id, '0') as company_id, coalesce(partner_id, '0') as partner_id,
+ coalesce(user_id, '0') as user_id, coalesce(team_id, '0') as team_id, state,
+ coalesce(lost_reason_id, '0') as lost_reason_id, opportunity_id, rbe_status,
  amount_untaxed, amount_tax,
  cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) as amount_total,
  case when lower(state) = 'sale' then cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) else cast(0 as decimal(18,2)) end as amount_to_invoice,
@@ -132,3 +134,5 @@ def q_fact_sale_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Query suites register themselves on import.
 from starloom.suites import clean as _clean  # noqa: E402,F401
+from starloom.suites import quality as _quality  # noqa: E402,F401
+from starloom.suites import ingest as _ingest  # noqa: E402,F401
