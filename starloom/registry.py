@@ -110,6 +110,13 @@ from orders_resolved
 where left(date_create_id, 4) >= '{PERIOD_START[:4]}'
  or (left(date_create_id, 4) < '{PERIOD_START[:4]}' and date_last_state_update_id >= '{PERIOD_START}')"""),
 ]
+FACT_SALE_ORDER_CTES.append(("fact_dec", f"""
+select id, name as order_name, user_id as vendor_id, partner_id as client_id, company_id, team_id, id_state,
+ project_type_id, payment_method_id, rbe_status_id, lost_reason_id, date_create_id, date_order_id, date_signed_id,
+ date_validity_id, date_statut_signe_id, date_rbe_id, date_last_state_update_id, amount_untaxed, amount_tax, amount_total
+from orders_resolved
+where left(date_create_id, 4) >= '{PERIOD_START[:4]}'
+ or (left(date_create_id, 4) < '{PERIOD_START[:4]}' and date_last_state_update_id >= '{PERIOD_START}')"""))
 FACT_SALE_ORDER_VIEWS = ["src_sale_order", "src_crm_lead", "src_message", "src_tracking", "src_field"]
 
 
@@ -136,3 +143,5 @@ def q_fact_sale_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 from starloom.suites import clean as _clean  # noqa: E402,F401
 from starloom.suites import quality as _quality  # noqa: E402,F401
 from starloom.suites import ingest as _ingest  # noqa: E402,F401
+from starloom.suites import star_models as _star_models  # noqa: E402,F401
+from starloom.suites import measures as _measures  # noqa: E402,F401
