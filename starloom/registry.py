@@ -145,3 +145,4 @@ from starloom.suites import quality as _quality  # noqa: E402,F401
 from starloom.suites import ingest as _ingest  # noqa: E402,F401
 from starloom.suites import star_models as _star_models  # noqa: E402,F401
 from starloom.suites import measures as _measures  # noqa: E402,F401
+from starloom.suites import stream as _stream  # noqa: E402,F401
