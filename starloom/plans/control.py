@@ -12,8 +12,6 @@ the record, so a crash between publish and watermark write is recoverable.
 from __future__ import annotations
 
 import datetime as dt
-import json
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -198,29 +196,43 @@ def pending_batches(manifest: DataFrame, progress: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- gated publish
 
-class TableStore:
-    """Versioned Parquet tables under a shared root with a pointer file.
+POINTER_SCHEMA = ("seq bigint, path string, high_water_mark string, batch_id bigint, "
+                  "published_at timestamp_ntz")
+
 
-    ``root/<layer>/<table>/v=<run_id>/`` holds a version; ``_current.json``
-    names the published one and the run's high-water mark. Writing a
-    version never touches the published one; publishing is an atomic
-    rename of the pointer file. The root must be shared storage on a
-    cluster; by default it is a folder under ``spark.checkpoint.dir``.
+class TableStore:
+    """Versioned Parquet tables under a shared root with a pointer log.
+
+    ``root/<layer>/<table>/v=<run_id>/`` holds a version. ``_pointers/`` is a
+    small append-only Parquet log, one row per publish; the current version
+    is its highest ``seq``. Writing a version never touches the published
+    one, and publishing is one Spark append (a committed file or none), so
+    any file system the cluster uses works. The root defaults to a folder
+    under ``spark.checkpoint.dir`` (shared storage on a cluster).
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "starloom-tables")
+        self.root = root or ensure_checkpoint_dir(spark).rstrip("/") + "/starloom-tables"
 
     def _dir(self, layer: str, table: str) -> str:
-        return os.path.join(self.root, layer, table)
+        return f"{self.root}/{layer}/{table}"
+
+    def _pointer_dir(self, layer: str, table: str) -> str:
+        return f"{self._dir(layer, table)}/_pointers"
+
+    def _has_pointers(self, layer: str, table: str) -> bool:
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self._pointer_dir(layer, table))
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return fs.exists(path)
 
     def pointer(self, layer: str, table: str) -> dict | None:
-        p = os.path.join(self._dir(layer, table), "_current.json")
-        if not os.path.exists(p):
+        if not self._has_pointers(layer, table):
             return None
-        with open(p) as fh:
-            return json.load(fh)
+        log = self.spark.read.schema(POINTER_SCHEMA).parquet(self._pointer_dir(layer, table))
+        row = log.orderBy(F.desc("seq")).limit(1).collect()
+        return row[0].asDict() if row else None
 
     def exists(self, layer: str, table: str) -> bool:
         return self.pointer(layer, table) is not None
@@ -233,18 +245,17 @@ class TableStore:
 
     def stage(self, df: DataFrame, layer: str, table: str, run_id: str | None = None) -> str:
         run_id = run_id or uuid.uuid4().hex
-        path = os.path.join(self._dir(layer, table), f"v={run_id}")
+        path = f"{self._dir(layer, table)}/v={run_id}"
         df.write.mode("overwrite").parquet(path)
         return path
 
-    def publish(self, layer: str, table: str, path: str, high_water_mark=None) -> None:
-        d = self._dir(layer, table)
-        os.makedirs(d, exist_ok=True)
-        tmp = os.path.join(d, f"._current.{uuid.uuid4().hex}.json")
-        with open(tmp, "w") as fh:
-            json.dump({"path": path, "high_water_mark": None if high_water_mark is None else str(high_water_mark),
-                       "published_at": dt.datetime.now(dt.timezone.utc).isoformat()}, fh)
-        os.replace(tmp, os.path.join(d, "_current.json"))
+    def publish(self, layer: str, table: str, path: str, high_water_mark=None, batch_id: int | None = None) -> None:
+        ptr = self.pointer(layer, table)
+        seq = 0 if ptr is None else ptr["seq"] + 1
+        row = (seq, path, None if high_water_mark is None else str(high_water_mark), batch_id,
+               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        self.spark.createDataFrame([row], POINTER_SCHEMA).coalesce(1).write.mode("append") \
+            .parquet(self._pointer_dir(layer, table))
 
 
 def gated_publish(store: TableStore, df: DataFrame, layer: str, table: str, source_rows: DataFrame,

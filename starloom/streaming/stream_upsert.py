@@ -10,7 +10,6 @@ A second run over the same folder reads nothing.
 
 from __future__ import annotations
 
-import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,19 +23,7 @@ from starloom.plans.control import TableStore
 
 def _last_batch(store: TableStore, layer: str, table: str) -> int:
     ptr = store.pointer(layer, table)
-    return -1 if ptr is None else int(ptr.get("batch_id", -1))
-
-
-def _publish_batch(store: TableStore, layer: str, table: str, path: str, batch_id: int, hwm) -> None:
-    store.publish(layer, table, path, hwm)
-    p = os.path.join(store.root, layer, table, "_current.json")
-    with open(p) as fh:
-        ptr = json.load(fh)
-    ptr["batch_id"] = batch_id
-    tmp = p + ".tmp"
-    with open(tmp, "w") as fh:
-        json.dump(ptr, fh)
-    os.replace(tmp, p)
+    return -1 if ptr is None or ptr["batch_id"] is None else int(ptr["batch_id"])
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, store: TableStore, layer: str,
@@ -66,7 +53,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
             verdicts = verdicts.unionByName(quality.gate_null_pct(m, table, list(critical)))
         quality.enforce(verdicts)
         hwm = staged.agg(F.max(order_col)).first()[0] if order_col else None
-        _publish_batch(store, layer, table, path, batch_id, hwm)
+        store.publish(layer, table, path, hwm, batch_id)
         applied.append({"batch_id": batch_id, "path": path})
 
     reader = spark.readStream.schema(schema)
