@@ -52,12 +52,15 @@ def turnover_ratio(activity: DataFrame, as_of: dt.date) -> DataFrame:
 
     Departed: distinct employees with a parsed departure on/before ``as_of``;
     active: distinct employees with a sentinel/blank departure key. One
-    employee can be in both sets.
+    employee can be in both sets. Flags are reduced per employee first (one
+    shuffle, partial aggregation) instead of two distinct counts.
     """
     dep = parse_date_key("departure_date")
-    g = activity.agg(
-        F.count_distinct(F.when(dep <= _d(as_of), F.col("employee_id"))).alias("departed"),
-        F.count_distinct(F.when(_blank_key("departure_date"), F.col("employee_id"))).alias("active"))
+    per = activity.groupBy("employee_id").agg(
+        F.max(F.when(dep <= _d(as_of), 1).otherwise(0)).alias("_dep"),
+        F.max(F.when(_blank_key("departure_date"), 1).otherwise(0)).alias("_act"))
+    g = per.where(F.col("employee_id").isNotNull()).agg(
+        F.sum("_dep").cast("bigint").alias("departed"), F.sum("_act").cast("bigint").alias("active"))
     return g.withColumn("turnover_pct",
                         ratio(F.col("departed"), (F.col("departed") + F.col("active")).cast("double") / 2.0) * 100.0)
 

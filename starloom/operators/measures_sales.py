@@ -262,19 +262,22 @@ def vendor_rank(fact: DataFrame, agency: str = "team_id", vendor: str = "vendor_
 
 def sales_mix(fact: DataFrame, dims: tuple[str, str] = ("payment_method_id", "project_type_id")) -> DataFrame:
     """Mix by payment method and by project type in one grouping-sets pass,
-    with each group's share of the grand total."""
+    with each group's share of the grand total (read from the grand-total
+    row of the same small grouped frame)."""
     a, b = dims
     g = fact.groupingSets([[a], [b], []], a, b).agg(
         F.count(F.lit(1)).alias("orders"), F.sum("amount_untaxed").alias("amount"),
         F.grouping_id().alias("_gid"))
-    total = g.where(F.col("_gid") == 3).select(F.col("amount").alias("_total"), F.col("orders").alias("_n"))
-    return g.crossJoin(total).select(
+    w = Window.partitionBy()
+    total_amount = F.max(F.when(F.col("_gid") == 3, F.col("amount"))).over(w)
+    total_orders = F.max(F.when(F.col("_gid") == 3, F.col("orders"))).over(w)
+    return g.select(
         F.when(F.col("_gid") == 1, F.lit(a)).when(F.col("_gid") == 2, F.lit(b)).otherwise(F.lit("total"))
         .alias("dimension"),
         F.coalesce(F.col(a), F.col(b)).alias("value"),
         "orders", F.col("amount").cast("double").alias("amount"),
-        ratio(F.col("amount"), F.col("_total")).alias("amount_share"),
-        ratio(F.col("orders"), F.col("_n")).alias("order_share"))
+        ratio(F.col("amount"), total_amount).alias("amount_share"),
+        ratio(F.col("orders"), total_orders).alias("order_share"))
 
 
 def days_in_status(fact: DataFrame, as_of: dt.date) -> DataFrame:

@@ -65,19 +65,20 @@ def gate_unique_id(metrics: DataFrame, table: str, min_ratio: float = MIN_UNIQUE
                                     ratio < min_ratio, F.col("dw_rows") == 0))
 
 
+def _null_structs(table: str, critical: list[str], max_null_pct: float) -> list[Column]:
+    out = []
+    for c in critical:
+        pct = F.coalesce(_pct(F.col(f"nulls__{c}"), F.col("dw_rows")), F.lit(0.0))
+        out.append(F.struct(*_verdict(table, "null_pct", c, pct, max_null_pct, pct > max_null_pct)))
+    return out
+
+
 def gate_null_pct(metrics: DataFrame, table: str, critical: list[str],
                   max_null_pct: float = MAX_NULL_PCT_CRITICAL) -> DataFrame:
     """Per critical column: fail when NULL % ``> max_null_pct``; empty table → 0 %."""
     if not critical:
         return metrics.limit(0).select(*_verdict(table, "null_pct", "", F.lit(0.0), max_null_pct, F.lit(False)))
-    frames = []
-    for c in critical:
-        pct = F.coalesce(_pct(F.col(f"nulls__{c}"), F.col("dw_rows")), F.lit(0.0))
-        frames.append(metrics.select(*_verdict(table, "null_pct", c, pct, max_null_pct, pct > max_null_pct)))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return metrics.select(F.inline(F.array(*_null_structs(table, list(critical), max_null_pct))))
 
 
 def gate_freshness(watermarks: DataFrame, now: dt.datetime, max_hours: float = FRESHNESS_HOURS) -> DataFrame:
@@ -91,19 +92,27 @@ def gate_freshness(watermarks: DataFrame, now: dt.datetime, max_hours: float = F
         hours.cast("double").alias("value"), F.lit(float(max_hours)).alias("threshold"), status.alias("status"))
 
 
-def gate_verdicts(df: DataFrame, table: str, source_rows: DataFrame, id_col: str = "id",
+def gate_verdicts(df: DataFrame, table: str, source_rows: DataFrame | None, id_col: str = "id",
                   critical: list[str] = (), max_diff_pct: float = MAX_ROW_DIFF_PCT,
                   min_ratio: float = MIN_UNIQUE_ID_RATIO, max_null_pct: float = MAX_NULL_PCT_CRITICAL) -> DataFrame:
-    """All blocking gates for one table from a single metrics pass, in gate order."""
+    """All blocking gates for one table from a single metrics pass.
+
+    The metrics row is turned into verdict rows with ``inline`` over an
+    array of structs, so the table is scanned once whatever the number of
+    gates. Without ``source_rows`` the row-count gate is left out.
+    """
     m = gate_metrics(df, id_col, list(critical))
-    parts = [gate_row_count(m, source_rows, table, max_diff_pct),
-             gate_unique_id(m, table, min_ratio)]
-    if critical:
-        parts.append(gate_null_pct(m, table, list(critical), max_null_pct))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = []
+    if source_rows is not None:
+        m = m.crossJoin(source_rows)
+        diff = _pct(F.abs(F.col("dw_rows") - F.col("source_rows")), F.col("source_rows"))
+        rows.append(F.struct(*_verdict(table, "row_count", "rows", F.coalesce(diff, F.lit(0.0)), max_diff_pct,
+                                       diff > max_diff_pct, F.col("source_rows") == 0)))
+    ratio = F.try_divide(F.col("unique_ids").cast("double"), F.nullif(F.col("dw_rows"), F.lit(0)).cast("double"))
+    rows.append(F.struct(*_verdict(table, "unique_id", "id", F.coalesce(ratio, F.lit(1.0)), min_ratio,
+                                   ratio < min_ratio, F.col("dw_rows") == 0)))
+    rows += _null_structs(table, list(critical), max_null_pct)
+    return m.select(F.inline(F.array(*rows)))
 
 
 def enforce(verdicts: DataFrame) -> list[dict]:
@@ -174,13 +183,19 @@ def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str = "id") -> Dat
 
 
 def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id") -> DataFrame:
-    """Orphan count per foreign key; 100 % coverage means every count is 0."""
-    parts = [fk_orphans(fact.select(fk), fk, dim, key).agg(F.count(F.lit(1)).alias("orphans"))
-             .select(F.lit(fk).alias("fk"), "orphans") for fk, dim in checks.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Orphan count per foreign key; 100 % coverage means every count is 0.
+
+    One pass over the fact: each dimension's distinct keys are left-joined
+    with a marker (broadcast when AQE measures them small, else a shuffle
+    join), then one aggregate counts the misses for every key at once.
+    """
+    f = fact.select(*[F.col(c) for c in checks])
+    for i, (c, dim) in enumerate(checks.items()):
+        keys = dim.select(F.col(key).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        f = f.join(keys, F.col(c) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+    counts = f.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"o{i}") for i in range(len(checks))])
+    stack = ", ".join(f"'{c}', o{i}" for i, c in enumerate(checks))
+    return counts.selectExpr(f"stack({len(checks)}, {stack}) as (fk, orphans)")
 
 
 def grain_violations(df: DataFrame, key: str | list[str]) -> DataFrame:

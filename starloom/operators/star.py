@@ -150,19 +150,21 @@ def last_state_change(tracking: DataFrame, message: DataFrame, field: DataFrame,
     """Per record of ``model``: date key of its latest tracked ``field_name`` change.
 
     tracking ⋈ message ⋈ field (inner). The field filter runs first as a
-    semi join so only status-change rows reach the message join; ``max`` is
-    partially aggregated before the shuffle on ``res_id``, so a record with
-    a third of all changes still costs one row per map task.
+    semi join, and tracking rows are reduced to one latest date per message
+    before the message join (``max`` is associative), so a message or a
+    record holding a third of all changes is collapsed map-side instead of
+    landing in one join or aggregate task.
     """
     fields = field.where(F.col("name") == field_name).select(F.col("id").alias("field_id"))
     msgs = message.where(F.col("model") == model).select(F.col("id").alias("mail_message_id"), "res_id")
-    changes = (
+    per_message = (
         tracking.select("mail_message_id", "field_id", "create_date")
         .join(fields, "field_id", "left_semi")
-        .join(msgs, "mail_message_id")
+        .groupBy("mail_message_id").agg(F.max("create_date").alias("create_date"))
     )
     return (
-        changes.groupBy(F.col("res_id").cast("bigint").alias("sale_order_id"))
+        per_message.join(msgs, "mail_message_id")
+        .groupBy(F.col("res_id").cast("bigint").alias("sale_order_id"))
         .agg(F.max("create_date").alias("last_change"))
         .select("sale_order_id", F.date_format("last_change", "yyyyMMdd").alias("date_last_state_change_key"))
     )
@@ -277,14 +279,24 @@ def fact_crm(leads: DataFrame) -> DataFrame:
 def fact_employee_activity(employees: DataFrame, contracts: DataFrame) -> DataFrame:
     """Employee × contract activity rows; employees without contract keep one row.
 
-    Keys default to the sentinel; the wage stays exact.
+    Written as contracts ⋈ employees (inner) ∪ employees ▷ contract holders
+    rather than a left outer join: AQE can split a skewed contracts
+    partition of an inner join, and the anti join only sees distinct
+    employee ids, so one employee with a third of all contracts costs no
+    single task. Keys default to the sentinel; the wage stays exact.
     """
     e = employees.select(F.col("id").alias("employee_id"), "department_id", F.col("job").alias("job_id"))
     c = contracts.select(
         F.col("id").alias("contract_id"), "employee_id", "contract_type_id",
         F.col("create_date").alias("contract_create_date"), "wage", "departure_date",
     )
-    return e.join(c, "employee_id", "left").select(
+    with_contract = c.join(e, "employee_id")
+    holders = contracts.select("employee_id").distinct()
+    without = e.join(holders, "employee_id", "left_anti").select(
+        "employee_id", "department_id", "job_id", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                                    for f in c.schema.fields if f.name != "employee_id"])
+    rows = with_contract.unionByName(without)
+    return rows.select(
         F.concat_ws("-", F.col("employee_id"), fk("contract_id")).alias("activity_id"),
         F.col("employee_id"),
         fk("department_id").alias("department_id"),

@@ -47,11 +47,7 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
         merged = delta if current is None else upsert(current, delta, key, order_col)
         path = store.stage(merged, layer, table, f"b{batch_id:08d}")
         staged = spark.read.parquet(path)
-        m = quality.gate_metrics(staged, key, list(critical))
-        verdicts = quality.gate_unique_id(m, table, min_unique_ratio)
-        if critical:
-            verdicts = verdicts.unionByName(quality.gate_null_pct(m, table, list(critical)))
-        quality.enforce(verdicts)
+        quality.enforce(quality.gate_verdicts(staged, table, None, key, list(critical), min_ratio=min_unique_ratio))
         hwm = staged.agg(F.max(order_col)).first()[0] if order_col else None
         store.publish(layer, table, path, hwm, batch_id)
         applied.append({"batch_id": batch_id, "path": path})
