@@ -94,9 +94,9 @@ def absenteeism(leaves: DataFrame, employees: DataFrame, by: list[str] = ("leave
                 days_per_month: int = WORKING_DAYS_PER_MONTH) -> DataFrame:
     """Leave days / (headcount × 22) × 100 per ``by`` group; the headcount
     counts **all** employees (filters on leaves removed), alternative 0."""
-    hc = employees.agg(F.count_distinct("id").alias("headcount"))
+    hc = employees.agg(F.count_distinct("id")).scalar()
     g = leaves.groupBy(*by).agg(F.sum("number_of_days").alias("leave_days"))
-    return g.crossJoin(hc).withColumn(
+    return g.withColumn("headcount", hc).withColumn(
         "absenteeism_pct",
         ratio(F.col("leave_days"), F.col("headcount") * days_per_month, F.lit(0.0)) * 100.0)
 

@@ -75,25 +75,28 @@ def resolve_periods(fact: DataFrame, date_col: str, calendar: DataFrame, close_d
     """One row: the latest fact date, its custom period, and the previous
     period = the greatest smaller period that exists in ``calendar``
     (``custom_month_period`` column), not the previous calendar month."""
-    latest = fact.agg(F.max(F.col(date_col)).alias("latest_date")) \
-        .withColumn("current_period", custom_month_period("latest_date", close_day))
-    periods = calendar.select(F.col("custom_month_period").alias("p")).where(F.col("p").isNotNull()).distinct()
-    prev = periods.crossJoin(latest.select("current_period")).where(F.col("p") < F.col("current_period")) \
-        .agg(F.max("p").alias("previous_period"))
-    return latest.crossJoin(prev)
+    latest = fact.agg(F.max(F.col(date_col))).scalar()
+    current = custom_month_period(latest, close_day)
+    prev = calendar.where(F.col("custom_month_period") < current).agg(F.max("custom_month_period")).scalar()
+    return fact.sparkSession.range(1).select(latest.alias("latest_date"), current.alias("current_period"),
+                                             prev.alias("previous_period"))
 
 
 def period_counts(fact: DataFrame, periods: DataFrame, date_col: str, value: Column | None = None,
                   close_day: int = 25, by: list[str] = ()) -> DataFrame:
-    """Current and previous period totals (count of rows, or sum of ``value``)."""
+    """Current and previous period totals (count of rows, or sum of ``value``).
+
+    ``periods`` is the one-row frame of ``resolve_periods``; its values enter
+    as scalar subqueries (evaluated once, no join)."""
     p = custom_month_period(date_col, close_day)
     v = F.lit(1) if value is None else value
-    j = fact.crossJoin(F.broadcast(periods.select("current_period", "previous_period")))
+    j = fact.withColumns({"current_period": periods.select("current_period").scalar(),
+                          "previous_period": periods.select("previous_period").scalar()})
     return j.groupBy(*by).agg(
         F.sum(F.when(p == F.col("current_period"), v)).alias("current_value"),
         F.sum(F.when(p == F.col("previous_period"), v)).alias("previous_value"),
-        F.first("current_period").alias("current_period"),
-        F.first("previous_period").alias("previous_period"),
+        F.max("current_period").alias("current_period"),
+        F.max("previous_period").alias("previous_period"),
     )
 
 
@@ -135,8 +138,7 @@ def mom_matrix(fact: DataFrame, by: list[str], value: str = "amount_untaxed",
     """Current vs previous custom month per ``by`` (e.g. project type): the
     current month is the one of the latest fact date over the whole fact."""
     f = order_period(fact, key, "period", close_day)
-    cur = f.agg(F.max("period").alias("current_period"))
-    j = f.crossJoin(F.broadcast(cur))
+    j = f.withColumn("current_period", f.agg(F.max("period")).scalar())
     prev_p = F.add_months(F.col("current_period"), -1)
     g = j.groupBy(*by).agg(
         F.sum(F.when(F.col("period") == F.col("current_period"), F.col(value))).alias("current_value"),
@@ -222,15 +224,14 @@ def prev_month_revenue(fact: DataFrame, project_types: DataFrame | None = None,
     the latest last-state-change period over the whole fact; only the
     project-type and vendor selections are kept (semi joins = TREATAS)."""
     f = fact.withColumn("_p", custom_month_period(parse_date_key("date_last_state_update_id"), close_day))
-    cur = f.agg(F.max("_p").alias("_cur"))
-    prev = F.last_day(F.add_months(F.col("_cur"), -1))
+    prev = F.last_day(F.add_months(f.agg(F.max("_p")).scalar(), -1))
     sel = f
     if project_types is not None:
         sel = sel.join(project_types.select(F.col("id").alias("project_type_id")).distinct(), "project_type_id",
                        "left_semi")
     if vendors is not None:
         sel = sel.join(vendors.select(F.col("id").alias("vendor_id")).distinct(), "vendor_id", "left_semi")
-    j = sel.crossJoin(F.broadcast(cur)).where(
+    j = sel.where(
         (F.col("id_state") == SALE_STATE_ID) & (F.month("_p") == F.month(prev)) & (F.year("_p") == F.year(prev)))
     return j.groupBy(*by).agg(F.sum("amount_untaxed").cast("double").alias("prev_month_revenue"))
 
@@ -239,8 +240,8 @@ def kpi_delta(fact: DataFrame, by: list[str] = ("vendor_id",), close_day: int =
     """Signed revenue in the current vs previous custom month (by creation
     date): Δ and Δ %; the current month is the fact's latest."""
     f = order_period(fact, "date_create_id", "_p", close_day).where(F.col("id_state") == SALE_STATE_ID)
-    cur = fact.transform(lambda d: order_period(d, "date_create_id", "_p", close_day)).agg(F.max("_p").alias("_cur"))
-    j = f.crossJoin(F.broadcast(cur))
+    cur = order_period(fact, "date_create_id", "_p", close_day).agg(F.max("_p")).scalar()
+    j = f.withColumn("_cur", cur)
     g = j.groupBy(*by).agg(
         F.coalesce(F.sum(F.when(F.col("_p") == F.col("_cur"), F.col("amount_untaxed"))), F.lit(0)).cast("double")
         .alias("current_value"),

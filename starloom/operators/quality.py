@@ -50,9 +50,10 @@ def gate_row_count(metrics: DataFrame, source_rows: DataFrame, table: str,
                    max_diff_pct: float = MAX_ROW_DIFF_PCT) -> DataFrame:
     """Fail when ``|dw - src| / src * 100 > max_diff_pct``; skipped when the source is empty.
 
-    ``source_rows`` is a one-row frame with column ``source_rows``.
+    ``source_rows`` is a one-row frame with column ``source_rows`` (used as
+    a scalar subquery).
     """
-    m = metrics.crossJoin(source_rows)
+    m = metrics.withColumn("source_rows", source_rows.select("source_rows").scalar())
     diff = _pct(F.abs(F.col("dw_rows") - F.col("source_rows")), F.col("source_rows"))
     return m.select(*_verdict(table, "row_count", "rows", F.coalesce(diff, F.lit(0.0)), max_diff_pct,
                               diff > max_diff_pct, F.col("source_rows") == 0))
@@ -104,7 +105,7 @@ def gate_verdicts(df: DataFrame, table: str, source_rows: DataFrame | None, id_c
     m = gate_metrics(df, id_col, list(critical))
     rows = []
     if source_rows is not None:
-        m = m.crossJoin(source_rows)
+        m = m.withColumn("source_rows", source_rows.select("source_rows").scalar())
         diff = _pct(F.abs(F.col("dw_rows") - F.col("source_rows")), F.col("source_rows"))
         rows.append(F.struct(*_verdict(table, "row_count", "rows", F.coalesce(diff, F.lit(0.0)), max_diff_pct,
                                        diff > max_diff_pct, F.col("source_rows") == 0)))

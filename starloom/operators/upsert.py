@@ -68,9 +68,9 @@ def upsert_counts(target: DataFrame, delta: DataFrame, key: str = "id", order_co
     d_keys = latest_per_key(delta, key, order_col).select(key).distinct()
     # probe the target with the (small) delta keys as the build side
     hit = target.select(key).join(d_keys, key, "left_semi").distinct()
-    return d_keys.agg(F.count(F.lit(1)).alias("delta_keys")).crossJoin(
-        hit.agg(F.count(F.lit(1)).alias("updates"))
-    ).select((F.col("delta_keys") - F.col("updates")).alias("inserts"), "updates")
+    updates = hit.agg(F.count(F.lit(1))).scalar()
+    return d_keys.agg(F.count(F.lit(1)).alias("delta_keys")).select(
+        (F.col("delta_keys") - updates).alias("inserts"), updates.alias("updates"))
 
 
 def check_delta_keys(delta: DataFrame, key: str = "id") -> DataFrame:

@@ -92,17 +92,18 @@ def id_range_chunks(df: DataFrame, id_col: str = "id", chunks: int = HEAVY_CHUNK
     """Split the id domain into ``chunks`` equal inclusive ranges.
 
     width = ceil((max - min + 1) / chunks); empty ranges are dropped. Each
-    row: chunk number, range bounds and the rows in it. The bounds are a
-    one-row aggregate; the rows are counted by a grouped aggregate, never
-    on the driver.
+    row: chunk number, range bounds and the rows in it. The bounds are one
+    scalar subquery; the rows are counted by a grouped aggregate, never on
+    the driver.
     """
     ids = df.select(F.col(id_col).cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
     b = ids.agg(F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
     width = F.ceil((F.col("max_id") - F.col("min_id") + 1) / F.lit(chunks)).cast("bigint")
-    b = b.select("min_id", "max_id", width.alias("width"))
+    bounds = b.select(F.struct("min_id", "max_id", width.alias("width"))).scalar()
     chunk = F.floor((F.col("_id") - F.col("min_id")) / F.col("width")).cast("int")
     return (
-        ids.crossJoin(F.broadcast(b))
+        ids.withColumns({"min_id": bounds.getField("min_id"), "max_id": bounds.getField("max_id"),
+                         "width": bounds.getField("width")})
         .groupBy(chunk.alias("chunk"))
         .agg(F.count(F.lit(1)).alias("rows"), F.first("min_id").alias("min_id"), F.first("width").alias("width"),
              F.first("max_id").alias("max_id"))

@@ -152,7 +152,7 @@ def q_schema_types(spark, sf_dir):
     so = _so(spark, sf_dir)
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(so.schema.fields)]
     return spark.createDataFrame(rows, "column_name string, data_type string, ordinal int") \
-        .join(so.agg(F.count(F.lit(1)).alias("table_rows")))
+        .withColumn("table_rows", so.agg(F.count(F.lit(1))).scalar())
 
 
 _LOG_COLS = ("id, table_name, extraction_type, start_time, end_time, last_extracted_date, rows_extracted, "
