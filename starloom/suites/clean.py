@@ -27,7 +27,7 @@ def q_normalize_names(spark, sf_dir):
 
 @register("struct_to_json", """
 select n_nationkey as id, to_json({'key': n_nationkey, 'name': n_name,
- 'region': case when n_nationkey % 3 = 0 then null else n_regionkey end}) as payload from nation""")
+ 'region': case when n_nationkey % 3 = 0 then null else n_regionkey end})::varchar as payload from nation""")
 def q_struct_to_json(spark, sf_dir):
     n = ErpSources(spark, sf_dir).nation
     nested = n.select(

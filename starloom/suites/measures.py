@@ -282,8 +282,8 @@ def q_kpi_delta(spark, sf_dir):
 @register("vendor_rank", FACT + """
 , g as (select team_id, vendor_id, sum(amount_untaxed) as revenue from fact_dec where id_state = '2' group by all)
 select team_id, vendor_id, cast(revenue as double) as revenue,
- rank() over (partition by team_id order by revenue desc) as rank_in_agency,
- rank() over (order by revenue desc) as rank_in_company from g""")
+ cast(rank() over (partition by team_id order by revenue desc) as integer) as rank_in_agency,
+ cast(rank() over (order by revenue desc) as integer) as rank_in_company from g""")
 def q_vendor_rank(spark, sf_dir):
     _, fact = _fact(spark, sf_dir)
     return ms.vendor_rank(fact)
@@ -381,7 +381,7 @@ def q_workforce_split(spark, sf_dir):
 
 @register("absenteeism", HR + f"""
 , hc as (select count(distinct id) as headcount from src_employee)
-select leave_type_id, sum(number_of_days) as leave_days, headcount,
+select leave_type_id, cast(sum(number_of_days) as bigint) as leave_days, headcount,
  coalesce({RATIO("sum(number_of_days)", "headcount * 22")}, 0.0) * 100.0 as absenteeism_pct
 from fact_leave, hc group by leave_type_id, headcount""")
 def q_absenteeism(spark, sf_dir):
@@ -391,7 +391,7 @@ def q_absenteeism(spark, sf_dir):
 
 
 @register("leave_by_type", HR + """
-select leave_type_id, count(*) as requests, sum(number_of_days) as leave_days from fact_leave group by leave_type_id""")
+select leave_type_id, count(*) as requests, cast(sum(number_of_days) as bigint) as leave_days from fact_leave group by leave_type_id""")
 def q_leave_by_type(spark, sf_dir):
     return hr.leave_by_type(build_leave(ErpSources(spark, sf_dir)))
 

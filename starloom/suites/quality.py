@@ -154,7 +154,7 @@ def q_quality_report(spark, sf_dir):
 
 
 @register("extraction_stats", oracle_with(["src_extraction_log"]) + f"""
-select table_name, count(*) as runs, sum(rows_extracted) as total_rows,
+select table_name, count(*) as runs, cast(sum(rows_extracted) as bigint) as total_rows,
  cast(sum(epoch_us(end_time) - epoch_us(start_time)) as double) / count(*) / 1e6 as avg_secs,
  count(*) filter (where status = 'completed') as successes,
  cast(count(*) filter (where status = 'completed') as double) * 100.0 / cast(count(*) as double) as success_pct

@@ -53,3 +53,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 297
     assert df.schema == entry.entry(spark).schema
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "smallint": "SMALLINT"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_types_match_oracle(spark, con, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE {ORACLES[name]}").fetchall()}
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(t, t) == duck[f.name], (f.name, t, duck[f.name])
