@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+
 # Gate thresholds.
 MAX_ROW_DIFF_PCT = 5.0
 MIN_UNIQUE_ID_RATIO = 0.98
@@ -183,16 +185,19 @@ def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str = "id") -> Dat
     return fact.join(d, fact[fk].eqNullSafe(d["_dim_key"]), "left_anti")
 
 
-def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id") -> DataFrame:
+def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id",
+                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Orphan count per foreign key; 100 % coverage means every count is 0.
 
     One pass over the fact: each dimension's distinct keys are left-joined
-    with a marker (broadcast when AQE measures them small, else a shuffle
-    join), then one aggregate counts the misses for every key at once.
+    with a marker (broadcast when their counted size is within
+    ``broadcast_rows``, else a shuffle join), then one aggregate counts the
+    misses for every key at once.
     """
     f = fact.select(*[F.col(c) for c in checks])
     for i, (c, dim) in enumerate(checks.items()):
-        keys = dim.select(F.col(key).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        keys, _ = bounded_broadcast(dim.select(F.col(key).alias(f"_k{i}")).distinct(), broadcast_rows)
+        keys = keys.withColumn(f"_hit{i}", F.lit(True))
         f = f.join(keys, F.col(c) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
     counts = f.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"o{i}") for i in range(len(checks))])
     stack = ", ".join(f"'{c}', o{i}" for i, c in enumerate(checks))

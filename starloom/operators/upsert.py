@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.clean import cast_expr
+from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 
 class DeltaKeyError(ValueError):
@@ -50,10 +51,16 @@ def drift(delta: DataFrame, target: DataFrame) -> dict[str, list[str]]:
             "missing_columns": [c for c in target.columns if c not in delta.columns]}
 
 
-def upsert(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str | None = None) -> DataFrame:
-    """Merged table (target schema): untouched target rows + delta rows."""
+def upsert(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str | None = None,
+           broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Merged table (target schema): untouched target rows + delta rows.
+
+    The delta's distinct keys are counted first; up to ``broadcast_rows``
+    they are broadcast, so the target is filtered by hash lookups in place
+    and never shuffled. A larger delta keeps the sort-merge plan.
+    """
     d = align_to(latest_per_key(delta, key, order_col), target)
-    d_keys = d.select(key).distinct()
+    d_keys, _ = bounded_broadcast(d.select(key).distinct(), broadcast_rows)
     kept = target.join(d_keys, key, "left_anti")
     missing = [c for c in target.columns if c not in d.columns]
     if missing:
@@ -63,11 +70,13 @@ def upsert(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str
     return kept.unionByName(d.select(*target.columns))
 
 
-def upsert_counts(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str | None = None) -> DataFrame:
+def upsert_counts(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str | None = None,
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """One row: ``inserts`` (delta keys new to the target) and ``updates``."""
     d_keys = latest_per_key(delta, key, order_col).select(key).distinct()
-    # probe the target with the (small) delta keys as the build side
-    hit = target.select(key).join(d_keys, key, "left_semi").distinct()
+    # probe the target with the delta keys as the (size-checked) build side
+    probe, _ = bounded_broadcast(d_keys, broadcast_rows)
+    hit = target.select(key).join(probe, key, "left_semi").distinct()
     updates = hit.agg(F.count(F.lit(1))).scalar()
     return d_keys.agg(F.count(F.lit(1)).alias("delta_keys")).select(
         (F.col("delta_keys") - updates).alias("inserts"), updates.alias("updates"))
