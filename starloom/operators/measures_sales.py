@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.keys import parse_date_key
 from starloom.operators.star import custom_month_period
+from starloom.plans.sizing import bounded_broadcast
 
 # Annual sales target and working days per month.
 ANNUAL_TARGET = 4_000_000
@@ -291,4 +292,5 @@ def days_in_status(fact: DataFrame, as_of: dt.date) -> DataFrame:
 def vendor_scope(fact: DataFrame, vendors: DataFrame, email: str) -> DataFrame:
     """Row-level security: only the facts of the vendor whose e-mail is the caller's."""
     me = vendors.where(F.lower(F.col("email")) == email.lower()).select(F.col("id").alias("vendor_id"))
+    me, _ = bounded_broadcast(me)
     return fact.join(me, "vendor_id", "left_semi")

@@ -181,7 +181,7 @@ def extraction_stats(log: DataFrame, now: dt.datetime, days: int = 7) -> DataFra
 
 def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str = "id") -> DataFrame:
     """Fact rows whose ``fk`` has no dimension row (NULL counts as orphan)."""
-    d = dim.select(F.col(key).alias("_dim_key")).distinct()
+    d, _ = bounded_broadcast(dim.select(F.col(key).alias("_dim_key")).distinct())
     return fact.join(d, fact[fk].eqNullSafe(d["_dim_key"]), "left_anti")
 
 

@@ -120,23 +120,28 @@ def delta_batches(df: DataFrame, date_col: str, id_col: str = "id", batch_rows:
                   partitions: int | None = None) -> DataFrame:
     """Assign each delta row its batch number in (date, id) order.
 
-    Exact global ranks without a single-partition window: range-partition
-    by (date, id), count rows per partition (a tiny frame, one row per
-    partition), turn the counts into offsets, and rank inside each
-    partition. Returns the rows with ``batch_no`` and ``row_no``.
+    Exact global ranks without a single-partition window and with one
+    shuffle: range-partition by (date, id) and sort inside each partition;
+    ``monotonically_increasing_id`` then holds (partition id, row index in
+    partition). Per-partition counts (one row per partition) become offsets,
+    broadcast back with a proven bound of ``partitions`` rows. Returns the
+    rows with ``batch_no`` and ``row_no``.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, F.col(date_col), F.col(id_col)).withColumn("_pid", F.spark_partition_id())
+    mid = F.monotonically_increasing_id()
+    ranged = (df.repartitionByRange(n, F.col(date_col), F.col(id_col))
+              .sortWithinPartitions(F.col(date_col), F.col(id_col))
+              .withColumn("_mid", mid)
+              .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
+              .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1))
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    # one row per range partition: a proven bound (n rows)
-    w = Window.partitionBy("_pid").orderBy(F.col(date_col), F.col(id_col))
-    ranked = ranged.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(offsets), "_pid")
+    ranked = ranged.join(F.broadcast(offsets), "_pid")
     row_no = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")
     return ranked.withColumn("row_no", row_no).withColumn(
-        "batch_no", F.floor((F.col("row_no") - 1) / F.lit(batch_rows)).cast("int")).drop("_pid", "_rn", "_off")
+        "batch_no", F.floor((F.col("row_no") - 1) / F.lit(batch_rows)).cast("int")).drop("_pid", "_rn", "_off", "_mid")
 
 
 def batch_manifest(batched: DataFrame, date_col: str, id_col: str = "id") -> DataFrame:
