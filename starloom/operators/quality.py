@@ -167,13 +167,15 @@ def extraction_stats(log: DataFrame, now: dt.datetime, days: int = 7) -> DataFra
     Ordered by rows descending, NULLs last.
     """
     since = F.lit(now - dt.timedelta(days=days)).cast("timestamp_ntz")
-    secs = (F.unix_micros(F.col("end_time").cast("timestamp"))
-            - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1e6
+    micros = (F.unix_micros(F.col("end_time").cast("timestamp"))
+              - F.unix_micros(F.col("start_time").cast("timestamp")))
+    # exact integer sum, then one division: independent of summation order
+    avg_secs = F.sum(micros).cast("double") / F.count(F.lit(1)).cast("double") / 1e6
     return (
         log.where(F.col("start_time") >= since)
         .groupBy("table_name")
         .agg(F.count(F.lit(1)).alias("runs"), F.sum("rows_extracted").alias("total_rows"),
-             F.avg(secs).alias("avg_secs"), F.count_if(F.col("status") == "completed").alias("successes"))
+             avg_secs.alias("avg_secs"), F.count_if(F.col("status") == "completed").alias("successes"))
         .withColumn("success_pct", F.col("successes").cast("double") * 100.0 / F.col("runs").cast("double"))
         .orderBy(F.desc_nulls_last("total_rows"), "table_name")
     )
