@@ -15,9 +15,22 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
+# The source contract of the given tables (declared, not
+# inferred: no schema-inference job per read, and drift shows at the reader).
+BASE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+BASE_TABLES = tuple(BASE_SCHEMAS)
 
 # Mapping view texts from the fixture specification.
 MAPPING_SQL: dict[str, str] = {
@@ -143,7 +156,10 @@ class ErpSources:
                 args = {d: self.table(d) for d in _deps(name)}
                 self._cache[name] = self.spark.sql(MAPPING_SQL[name], **args)
             else:
-                self._cache[name] = self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
+                reader = self.spark.read
+                if name in BASE_SCHEMAS:
+                    reader = reader.schema(BASE_SCHEMAS[name])
+                self._cache[name] = reader.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
