@@ -1,6 +1,6 @@
 """HR measures over the employee-activity and leave facts (group F, HR).
 
-``as_of`` replaces ``TODAY()``. Monthly series are built from per-month
+``as_of`` replaces the current date. Monthly series are built from per-month
 aggregates (one row per month), never by exploding facts into months:
 payroll uses +wage/−wage change events per month and a running sum over
 the small monthly frame.

@@ -3,7 +3,7 @@
 Each measure is a grouped DataFrame function ``(frames..., by=[...]) ->
 DataFrame``: the dashboard's filter context becomes ``by`` columns and
 explicit filter frames; "remove filters" becomes an aggregate over the
-unfiltered frame or a window partition without that column. ``TODAY()``
+unfiltered frame or a window partition without that column. The current date
 becomes an ``as_of`` argument so results are deterministic.
 
 Only small frames (one row per period, or per group of a grouped result)
@@ -29,7 +29,7 @@ PAID_RBE_ID = "1"        # dim_rbe_status id of 'Paid'
 
 
 def ratio(num: Column, den: Column, alt: Column | None = None) -> Column:
-    """DAX ``DIVIDE``: NULL (or ``alt``) when the denominator is 0 or NULL."""
+    """Safe division: NULL (or ``alt``) when the denominator is 0 or NULL."""
     r = F.try_divide(num.cast("double"), F.nullif(den.cast("double"), F.lit(0.0)))
     return r if alt is None else F.coalesce(r, alt)
 
@@ -62,7 +62,7 @@ def win_loss_rates(crm: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def stage_share(crm: DataFrame, by: list[str] = (), stage: str = "stage_id") -> DataFrame:
     """Share of opportunities per stage; the denominator drops only the stage
-    filter and keeps the other ``by`` columns (``ALL(stage)``)."""
+    filter and keeps the other ``by`` columns."""
     g = crm.where(_is_opp()).groupBy(*by, stage).agg(F.count(F.lit(1)).alias("opportunities"))
     w = Window.partitionBy(*by) if by else Window.partitionBy()
     return g.withColumn("share", ratio(F.col("opportunities"), F.sum("opportunities").over(w)))
@@ -223,7 +223,7 @@ def prev_month_revenue(fact: DataFrame, project_types: DataFrame | None = None,
                        by: list[str] = ("vendor_id", "project_type_id"), close_day: int = 25) -> DataFrame:
     """Previous-month collected revenue: state sale, calendar month before
     the latest last-state-change period over the whole fact; only the
-    project-type and vendor selections are kept (semi joins = TREATAS)."""
+    project-type and vendor selections are kept (applied as semi joins)."""
     f = fact.withColumn("_p", custom_month_period(parse_date_key("date_last_state_update_id"), close_day))
     prev = F.last_day(F.add_months(f.agg(F.max("_p")).scalar(), -1))
     sel = f

@@ -260,7 +260,7 @@ from f, c where id_state = '2' and month(p) = month(prev) and year(p) = year(pre
  and project_type_id in {SLICER_PROJECT_TYPES} and vendor_id in (select id from src_vendor where team_id in {SLICER_TEAMS})
 group by vendor_id, project_type_id""")
 def q_prev_month_revenue(spark, sf_dir):
-    """M-1 revenue keeping only the project-type and vendor slicers (TREATAS)."""
+    """M-1 revenue keeping only the project-type and vendor slicers (semi joins)."""
     src, fact = _fact(spark, sf_dir)
     types = spark.createDataFrame([(t,) for t in SLICER_PROJECT_TYPES], "id string")
     vendors = src.src_vendor.where(F.col("team_id").isin(*SLICER_TEAMS))
