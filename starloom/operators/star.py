@@ -184,12 +184,11 @@ def orders_with_crm(orders: DataFrame, leads: DataFrame) -> DataFrame:
         F.col("payment_mode").alias("_crm_payment_mode"),
         F.col("x_studio_date_rbe").alias("_crm_date_rbe"),
     )
-    return (
-        o.join(crm, "_opp", "left")
-        .withColumn("project_type_id", fk("_crm_project_type_id"))
-        .withColumn("payment_method_id", fk("_crm_payment_mode"))
-        .withColumn("date_rbe_id", date_key("_crm_date_rbe"))
-        .drop("_opp", "_crm_project_type_id", "_crm_payment_mode", "_crm_date_rbe")
+    return o.join(crm, "_opp", "left").select(
+        *orders.columns,
+        fk("_crm_project_type_id").alias("project_type_id"),
+        fk("_crm_payment_mode").alias("payment_method_id"),
+        date_key("_crm_date_rbe").alias("date_rbe_id"),
     )
 
 
@@ -205,17 +204,14 @@ def orders_resolved(orders: DataFrame, audit: DataFrame, status_dim: DataFrame,
     status = F.broadcast(status_dim.select(F.col("state").alias("_st_key"), F.col("id").alias("_st_id")))
     rbe = F.broadcast(rbe_dim.select(normalized_label("label").alias("_rbe_key"), F.col("id").alias("_rbe_id")))
     a = audit.select(F.col("sale_order_id").alias("_oid"), "date_last_state_change_key")
+    keyed = orders.withColumns({"_oid": F.col("id").cast("bigint"), "_st_key": F.lower("state"),
+                                "_rbe_key": normalized_label("rbe_status")})
     return (
-        orders.withColumn("_oid", F.col("id").cast("bigint"))
-        .join(a, "_oid", "left")
-        .withColumn("_st_key", F.lower("state"))
-        .join(status, "_st_key", "left")
-        .withColumn("_rbe_key", normalized_label("rbe_status"))
-        .join(rbe, "_rbe_key", "left")
-        .withColumn("date_last_state_update_id", fk("date_last_state_change_key"))
-        .withColumn("id_state", fk("_st_id"))
-        .withColumn("rbe_status_id", fk("_rbe_id"))
-        .drop("_oid", "_st_key", "_st_id", "_rbe_key", "_rbe_id", "date_last_state_change_key")
+        keyed.join(a, "_oid", "left").join(status, "_st_key", "left").join(rbe, "_rbe_key", "left")
+        .select(*orders.columns,
+                fk("date_last_state_change_key").alias("date_last_state_update_id"),
+                fk("_st_id").alias("id_state"),
+                fk("_rbe_id").alias("rbe_status_id"))
     )
 
 
