@@ -5,7 +5,8 @@ ingestion job does:
 
 1. the load plan (full or incremental, with the reason) from the published
    table and the watermark table;
-2. full: the whole source, cleaned, as a new version; incremental: rows
+2. full: the whole source, cleaned, as a new version (an empty source is
+   skipped, never published); incremental: rows
    changed after the watermark, deduplicated latest-first, upserted into
    the current version (nothing is written when nothing changed);
 3. gates on the staged version; a failing gate leaves the published
@@ -71,6 +72,12 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
     summary = {"table": table, "mode": plan["mode"], "reason": plan["reason"], "run_id": run_id,
                "extracted": 0, "inserted": 0, "updated": 0, "status": "completed", "max_date": None}
     error = None
+    if full and source_rows.first()["source_rows"] == 0:
+        # an empty source never replaces a table: nothing is published and the
+        # watermark is left as it is; the run is only logged
+        summary["status"] = "skipped_empty"
+        _log(store, table, summary, full, started, None)
+        return summary
     try:
         if full:
             snap = ingest.full_snapshot(source, table, run_ts, source_name)
@@ -116,6 +123,12 @@ def _record(store: control.TableStore, table: str, summary: dict, full: bool, ru
         RESULT_SCHEMA)
     wm = control.advance_watermark(read_watermarks(store), result, run_ts)
     store.publish(META, WATERMARKS, store.stage(wm, META, WATERMARKS, summary["run_id"]))
+    _log(store, table, summary, full, started, error)
+
+
+def _log(store: control.TableStore, table: str, summary: dict, full: bool, started: dt.datetime,
+         error: str | None) -> None:
+    spark = store.spark
     entry = control.log_entry(spark, table, "full" if full else "incremental", started, _utcnow(),
                               int(summary["extracted"]), int(summary["inserted"]), int(summary["updated"]),
                               summary["status"], summary["max_date"], error)

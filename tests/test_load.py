@@ -67,3 +67,12 @@ def test_load_lifecycle(spark):
     log = load.read_log(store).orderBy("start_time").collect()
     assert [r["status"] for r in log] == ["completed", "completed", "completed", "quality_failed"]
     assert [r["extraction_type"] for r in log] == ["full", "incremental", "incremental", "incremental"]
+
+
+def test_empty_source_is_skipped(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    empty = _source(spark).limit(0)
+    out = load.load_table(store, "sale_order", empty, "write_date", run_ts=T1)
+    assert out["status"] == "skipped_empty" and not store.exists("raw", "sale_order")
+    assert load.read_watermarks(store).count() == 0
+    assert [r["status"] for r in load.read_log(store).collect()] == ["skipped_empty"]
