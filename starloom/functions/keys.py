@@ -6,6 +6,8 @@ keys are ``yyyyMMdd`` text.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,3 +57,29 @@ def json_label(col: Column | str, langs: tuple[str, ...] = ("fr_FR", "en_US"),
 def normalized_label(col: Column | str) -> Column:
     """Case- and blank-insensitive join key for label dimensions."""
     return F.lower(F.trim(_c(col)))
+
+
+def ts_lit(value) -> Column:
+    """``TIMESTAMP_NTZ`` literal from a wall-clock value, free of time zones.
+
+    ``F.lit(datetime)`` converts a naive datetime through the Python
+    process's local zone; going through ISO text keeps the wall-clock value
+    whatever the process and session zones are. Aware datetimes are taken
+    in UTC.
+    """
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(value, dt.date):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
+def date_lit(value) -> Column:
+    """``DATE`` literal from a date (or the date part of a datetime)."""
+    if isinstance(value, dt.datetime):
+        value = value.date()
+    return F.lit(value.isoformat()).cast("date")

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.keys import SENTINEL_KEY, parse_date_key
+from starloom.functions.keys import SENTINEL_KEY, date_lit, parse_date_key
 from starloom.operators.measures_sales import ratio
 
 # Working days per month in the absenteeism ratio.
@@ -21,7 +21,7 @@ WORKING_DAYS_PER_MONTH = 22
 
 
 def _d(v) -> Column:
-    return F.lit(v).cast("date")
+    return date_lit(v)
 
 
 def _blank_key(col: str) -> Column:

@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.keys import parse_date_key
+from starloom.functions.keys import date_lit, parse_date_key
 from starloom.operators.star import custom_month_period
 from starloom.plans.sizing import bounded_broadcast
 
@@ -286,7 +286,7 @@ def days_in_status(fact: DataFrame, as_of: dt.date) -> DataFrame:
     """Days since the last state change; NULL when the key is the sentinel."""
     d = parse_date_key("date_last_state_update_id")
     return fact.select("id", "date_last_state_update_id",
-                       F.datediff(F.lit(as_of).cast("date"), d).alias("days_in_status"))
+                       F.datediff(date_lit(as_of), d).alias("days_in_status"))
 
 
 def vendor_scope(fact: DataFrame, vendors: DataFrame, email: str) -> DataFrame:

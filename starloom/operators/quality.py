@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.keys import ts_lit
 from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 # Gate thresholds.
@@ -86,7 +87,7 @@ def gate_null_pct(metrics: DataFrame, table: str, critical: list[str],
 
 def gate_freshness(watermarks: DataFrame, now: dt.datetime, max_hours: float = FRESHNESS_HOURS) -> DataFrame:
     """Warn (non-blocking) when the last successful extraction is older than ``max_hours``."""
-    hours = (F.unix_micros(F.lit(now).cast("timestamp"))
+    hours = (F.unix_micros(ts_lit(now).cast("timestamp"))
              - F.unix_micros(F.col("last_successful_extraction").cast("timestamp"))) / 3.6e9
     status = F.when(F.col("last_successful_extraction").isNull() | (hours > max_hours), F.lit("WARN")) \
         .otherwise(F.lit("PASS"))
@@ -166,7 +167,7 @@ def extraction_stats(log: DataFrame, now: dt.datetime, days: int = 7) -> DataFra
 
     Ordered by rows descending, NULLs last.
     """
-    since = F.lit(now - dt.timedelta(days=days)).cast("timestamp_ntz")
+    since = ts_lit(now - dt.timedelta(days=days))
     micros = (F.unix_micros(F.col("end_time").cast("timestamp"))
               - F.unix_micros(F.col("start_time").cast("timestamp")))
     # exact integer sum, then one division: independent of summation order

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.functions.keys import ts_lit
 from starloom.operators import quality
 from starloom.session import ensure_checkpoint_dir
 
@@ -58,7 +59,7 @@ PROGRESS_SCHEMA = "table_name string, run_id string, batch_no int, status string
 
 
 def _ts(v) -> F.Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ts_lit(v)
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:

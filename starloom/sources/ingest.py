@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.clean import normalize_names, structs_to_json
+from starloom.functions.keys import ts_lit
 
 # Tracking column per source table, batch sizes.
 TRACKING_COLUMN = {
@@ -49,7 +50,7 @@ def with_lineage(df: DataFrame, run_ts: dt.datetime, source: str) -> DataFrame:
     """Lineage columns: one extraction instant per run (not per batch) and the
     source connection id."""
     return df.withColumns({
-        "_extracted_at": F.lit(run_ts).cast("timestamp_ntz"),
+        "_extracted_at": ts_lit(run_ts),
         "_source_connection": F.lit(source),
     })
 
@@ -75,12 +76,12 @@ def incremental_scan(df: DataFrame, date_col: str, watermark) -> DataFrame:
     """
     if watermark is None:
         return df
-    return df.where(F.col(date_col) > F.lit(watermark))
+    return df.where(F.col(date_col) > ts_lit(watermark))
 
 
 def delta_profile(df: DataFrame, date_col: str, watermark) -> DataFrame:
     """One row: total rows, rows changed after the watermark, their max date."""
-    changed = F.col(date_col) > F.lit(watermark) if watermark is not None else F.lit(True)
+    changed = F.col(date_col) > ts_lit(watermark) if watermark is not None else F.lit(True)
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(changed).alias("modified_rows"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import upsert as up
 from starloom.plans import control
+from starloom.functions.keys import ts_lit
 from starloom.registry import money, register
 from starloom.sources import ingest
 from starloom.sources.erp_fixture import ErpSources, oracle_with
@@ -103,16 +104,16 @@ select id, name, null, cast(amount_untaxed as double) from src_sale_order where
 def q_append_rows(spark, sf_dir):
     """Append by name: the batch lacks ``state`` and carries an extra column."""
     so = _so(spark, sf_dir)
-    target = so.where(F.col("create_date") < F.lit(TARGET_CUT)).select("id", "name", "state", "amount_untaxed")
-    batch = so.where(F.col("create_date") >= F.lit(TARGET_CUT)).select(
+    target = so.where(F.col("create_date") < ts_lit(TARGET_CUT)).select("id", "name", "state", "amount_untaxed")
+    batch = so.where(F.col("create_date") >= ts_lit(TARGET_CUT)).select(
         "amount_untaxed", "id", "name", F.lit(1).alias("extra_col"))
     return money(up.append_rows(target, batch), ["amount_untaxed"])
 
 
 def _upsert_inputs(spark, sf_dir):
     so = _so(spark, sf_dir)
-    target = so.where(F.col("create_date") < F.lit(TARGET_CUT))
-    delta = so.where(F.col("create_date") >= F.lit(DELTA_FROM)).select(
+    target = so.where(F.col("create_date") < ts_lit(TARGET_CUT))
+    delta = so.where(F.col("create_date") >= ts_lit(DELTA_FROM)).select(
         "id", F.upper("state").alias("state"), (F.col("amount_untaxed") + 1).alias("amount_untaxed"), "create_date")
     return target, delta
 
@@ -173,11 +174,11 @@ def q_extraction_log(spark, sf_dir):
     end = RUN_TS + dt.timedelta(minutes=3)
     entry = prof.select(
         F.lit(None).cast("bigint").alias("id"), F.lit("sale_order").alias("table_name"),
-        F.lit("incremental").alias("extraction_type"), F.lit(RUN_TS).cast("timestamp_ntz").alias("start_time"),
-        F.lit(end).cast("timestamp_ntz").alias("end_time"), F.col("max_date").alias("last_extracted_date"),
+        F.lit("incremental").alias("extraction_type"), ts_lit(RUN_TS).alias("start_time"),
+        ts_lit(end).alias("end_time"), F.col("max_date").alias("last_extracted_date"),
         F.col("modified_rows").alias("rows_extracted"), F.lit(0).cast("bigint").alias("rows_inserted"),
         F.lit(0).cast("bigint").alias("rows_updated"), F.lit("completed").alias("status"),
-        F.lit(None).cast("string").alias("error_message"), F.lit(end).cast("timestamp_ntz").alias("created_at"))
+        F.lit(None).cast("string").alias("error_message"), ts_lit(end).alias("created_at"))
     return control.append_log(src.src_extraction_log, entry)
 
 
@@ -195,7 +196,7 @@ def _log(spark, sf_dir):
 
 def _run_results(log, statuses):
     """Latest run per table at/after the cut with one of ``statuses``."""
-    runs = log.where((F.col("start_time") >= F.lit(LOG_CUT)) & F.col("status").isin(*statuses))
+    runs = log.where((F.col("start_time") >= ts_lit(LOG_CUT)) & F.col("status").isin(*statuses))
     best = runs.groupBy("table_name").agg(F.max(F.struct("start_time", "id", "status", "last_extracted_date",
                                                          "rows_inserted", "extraction_type")).alias("r"))
     return best.select("table_name", F.col("r.status").alias("status"),
@@ -238,7 +239,7 @@ def _old_log_sql(exclude_first_failure: bool) -> str:
 def q_watermark_update(spark, sf_dir):
     """Successful runs move the watermark forward (never back) and reset failures."""
     log = _log(spark, sf_dir)
-    wm = control.watermarks_from_log(log.where(F.col("start_time") < F.lit(LOG_CUT)))
+    wm = control.watermarks_from_log(log.where(F.col("start_time") < ts_lit(LOG_CUT)))
     return control.advance_watermark(wm, _run_results(log, ["completed"]), RUN_TS)
 
 
@@ -249,7 +250,7 @@ def q_watermark_update(spark, sf_dir):
 def q_watermark_failure(spark, sf_dir):
     """Failed runs add a failure and keep the date; a first-ever failure (hr_employee) has a NULL date."""
     log = _log(spark, sf_dir)
-    old = log.where((F.col("start_time") < F.lit(LOG_CUT)) & (F.col("table_name") != "hr_employee"))
+    old = log.where((F.col("start_time") < ts_lit(LOG_CUT)) & (F.col("table_name") != "hr_employee"))
     wm = control.watermarks_from_log(old)
     return control.advance_watermark(wm, _run_results(log, ["failed", "quality_failed"]), RUN_TS)
 
@@ -301,7 +302,7 @@ def q_batch_resume(spark, sf_dir):
     batched = ingest.delta_batches(_delta(spark, sf_dir), "create_date", "id", ingest.CHUNK_ROWS)
     manifest = ingest.batch_manifest(batched, "create_date", "id").select(
         F.lit("sale_order").alias("table_name"), F.lit("r1").alias("run_id"), "*")
-    progress = manifest.where(F.col("hi_date") < F.lit(RESUME_CUT)).select(
+    progress = manifest.where(F.col("hi_date") < ts_lit(RESUME_CUT)).select(
         "table_name", "run_id", "batch_no", F.lit("completed").alias("status"))
     return control.pending_batches(manifest, progress)
 

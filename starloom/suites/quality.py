@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import quality, star
 from starloom.plans import control
+from starloom.functions.keys import ts_lit
 from starloom.registry import FACT_SALE_ORDER_CTES, FACT_SALE_ORDER_VIEWS, build_fact_sale_order, register
 from starloom.sources.erp_fixture import ErpSources, oracle_with
 
@@ -38,7 +39,7 @@ select 'sale_order' as table_name, 'row_count' as gate, 'rows' as subject,
 def q_gate_row_count(spark, sf_dir):
     """Row-count gate of a stale warehouse copy against the source."""
     src = ErpSources(spark, sf_dir)
-    dw = src.src_sale_order.where(F.col("create_date") < F.lit(STALE_CUT))
+    dw = src.src_sale_order.where(F.col("create_date") < ts_lit(STALE_CUT))
     return quality.gate_row_count(quality.gate_metrics(dw), _source_rows(src), "sale_order")
 
 
@@ -130,7 +131,7 @@ def q_gate_history(spark, sf_dir):
     src = ErpSources(spark, sf_dir)
     runs = []
     for run_id, cut in (("r1", STALE_CUT), ("r2", dt.datetime(2002, 1, 1))):
-        dw = src.src_sale_order.where(F.col("create_date") < F.lit(cut))
+        dw = src.src_sale_order.where(F.col("create_date") < ts_lit(cut))
         v = quality.gate_verdicts(dw, "sale_order", _source_rows(src), critical=CRITICAL)
         runs.append(v.withColumn("run_id", F.lit(run_id)))
     return runs[0].unionByName(runs[1])

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from starloom.plans.control import TableStore
+from starloom.functions.keys import ts_lit
 from starloom.registry import money, register
 from starloom.sources.ingest import with_lineage
 from starloom.sources.erp_fixture import ErpSources
@@ -29,8 +30,8 @@ def q_stream_upsert(spark, sf_dir):
     store = TableStore(spark)
     run = uuid.uuid4().hex
     landing = os.path.join(store.root, "_landing", run)
-    first = with_lineage(src.where(F.col("create_date") < F.lit(LANDING_SPLIT)), EXTRACT_1, "erp_source")
-    second = with_lineage(src.where(F.col("create_date") >= F.lit(OVERLAP_FROM)).withColumn("state", F.upper("state")),
+    first = with_lineage(src.where(F.col("create_date") < ts_lit(LANDING_SPLIT)), EXTRACT_1, "erp_source")
+    second = with_lineage(src.where(F.col("create_date") >= ts_lit(OVERLAP_FROM)).withColumn("state", F.upper("state")),
                           EXTRACT_2, "erp_source")
     first.write.parquet(os.path.join(landing, "part=1"))
     second.write.parquet(os.path.join(landing, "part=2"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.functions import clean, keys
+from starloom.functions.keys import ts_lit
 from starloom.operators import measures_hr as hr
 from starloom.operators import measures_sales as ms
 from starloom.operators import quality, star
@@ -173,7 +174,7 @@ def test_advance_watermark_never_back_and_first_failure(spark):
 
 def test_delta_batches_partition_the_delta(spark):
     df = spark.range(0, 2503).select(F.col("id").cast("string").alias("id"),
-                                     (F.lit(dt.datetime(2024, 1, 1)) + F.expr("make_interval(0,0,0,0,0,0,id % 97)"))
+                                     (ts_lit(dt.datetime(2024, 1, 1)) + F.expr("make_interval(0,0,0,0,0,0,id % 97)"))
                                      .cast("timestamp_ntz").alias("d"))
     for parts in (1, 7):
         b = ingest.delta_batches(df, "d", "id", 1000, partitions=parts)

@@ -6,6 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.keys import ts_lit
 from starloom.operators.quality import DataQualityError
 from starloom.plans import control, load
 from starloom.sources.erp_fixture import ErpSources
@@ -34,7 +35,7 @@ def test_load_lifecycle(spark):
     # ten per cent of the orders change state after the watermark, plus one new order
     bump = F.col("id").cast("bigint") % 10 == 0
     changed = src.withColumn("state", F.when(bump, F.lit("Sale")).otherwise(F.col("state"))) \
-        .withColumn("write_date", F.when(bump, F.lit(hwm) + F.expr("interval 1 day")).otherwise(F.col("write_date")))
+        .withColumn("write_date", F.when(bump, ts_lit(hwm) + F.expr("interval 1 day")).otherwise(F.col("write_date")))
     new = spark.createDataFrame([("999999", "S000999999", "draft", None, hwm, hwm + dt.timedelta(days=2))],
                                 changed.schema)
     src2 = changed.unionByName(new)
@@ -57,7 +58,7 @@ def test_load_lifecycle(spark):
 
     # a delta that NULLs the names of a third of the table fails the gate
     broken = src2.withColumn("name", F.when(F.col("id").cast("bigint") % 3 == 0, F.lit(None)).otherwise(F.col("name"))) \
-        .withColumn("write_date", F.when(F.col("id").cast("bigint") % 3 == 0, F.lit(T3)).otherwise(F.col("write_date")))
+        .withColumn("write_date", F.when(F.col("id").cast("bigint") % 3 == 0, ts_lit(T3)).otherwise(F.col("write_date")))
     before = store.pointer("raw", "sale_order")["path"]
     with pytest.raises(DataQualityError):
         load.load_table(store, "sale_order", broken, "write_date", critical=["name", "state"], run_ts=T4)

@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom import registry
+from starloom.functions.keys import ts_lit
 from starloom.operators import upsert as up
 from starloom.sources.erp_fixture import ErpSources
 from tests.conftest import SF_SMALL
@@ -36,9 +37,9 @@ def test_results_independent_of_shuffle_partitions(spark):
 def test_full_load_equals_incremental_replay(spark):
     so = ErpSources(spark, SF_SMALL).src_sale_order
     cuts = [dt.datetime(1997, 1, 1), dt.datetime(1999, 1, 1)]
-    table = so.where(F.col("create_date") < F.lit(cuts[0]))
+    table = so.where(F.col("create_date") < ts_lit(cuts[0]))
     for lo, hi in zip(cuts, cuts[1:] + [dt.datetime(2100, 1, 1)]):
-        delta = so.where((F.col("create_date") >= F.lit(lo)) & (F.col("create_date") < F.lit(hi)))
+        delta = so.where((F.col("create_date") >= ts_lit(lo)) & (F.col("create_date") < ts_lit(hi)))
         table = up.upsert(table, delta, "id", "create_date")
     assert _digest(table) == _digest(so)
 
