@@ -65,17 +65,28 @@ def turnover_ratio(activity: DataFrame, as_of: dt.date) -> DataFrame:
                         ratio(F.col("departed"), (F.col("departed") + F.col("active")).cast("double") / 2.0) * 100.0)
 
 
+def _age(birth: Column, as_of: dt.date) -> Column:
+    """Age in whole years on ``as_of`` (one less before the birthday)."""
+    b = birth.cast("date")
+    before_birthday = (F.month(b) > as_of.month) | ((F.month(b) == as_of.month) & (F.dayofmonth(b) > as_of.day))
+    return (F.lit(as_of.year) - F.year(b) - F.when(before_birthday, 1).otherwise(0)).cast("int")
+
+
 def age_bands(employees: DataFrame, as_of: dt.date, width: int = 10) -> DataFrame:
     """Employees and average age per band of ``width`` years (age in whole years)."""
-    b = F.col("birth_date").cast("date")
-    before_birthday = (F.month(b) > as_of.month) | ((F.month(b) == as_of.month) & (F.dayofmonth(b) > as_of.day))
-    age = (F.lit(as_of.year) - F.year(b) - F.when(before_birthday, 1).otherwise(0)).cast("int")
-    e = employees.where(F.col("birth_date").isNotNull()).withColumn("age", age)
+    e = employees.where(F.col("birth_date").isNotNull()).withColumn("age", _age(F.col("birth_date"), as_of))
     return e.groupBy((F.floor(F.col("age") / width) * width).cast("int").alias("age_band")).agg(
         F.count(F.lit(1)).alias("employees"),
         (F.sum("age").cast("double") / F.count(F.lit(1)).cast("double")).alias("avg_age"))
 
 
+def average_age(employees: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row: employees with a birth date and their average age in whole years."""
+    e = employees.where(F.col("birth_date").isNotNull()).select(_age(F.col("birth_date"), as_of).alias("age"))
+    return e.agg(F.count(F.lit(1)).alias("employees"),
+                 (F.sum("age").cast("double") / F.count(F.lit(1)).cast("double")).alias("average_age"))
+
+
 def workforce_split(employees: DataFrame, dims: tuple[str, ...] = ("job", "gender", "department_id")) -> DataFrame:
     """Headcount split by each of ``dims`` in one grouping-sets pass."""
     g = employees.groupingSets([[d] for d in dims], *dims).agg(

@@ -443,3 +443,39 @@ def q_employee_roster(spark, sf_dir):
     """Roster filtered by year and job (the other slicers left open)."""
     src = ErpSources(spark, sf_dir)
     return hr.employee_roster(build_activity(src), src.src_employee, year=2000, job="BUILDING")
+
+
+# Views of the HR pages that complete F24, F27 and F30.
+
+_AGE_SQL = f"""cast({AS_OF.year} - year(birth_date) - case when month(birth_date) > {AS_OF.month}
+   or (month(birth_date) = {AS_OF.month} and day(birth_date) > {AS_OF.day}) then 1 else 0 end as integer)"""
+
+
+@register("average_age", oracle_with(["src_employee"]) + f"""
+select count(*) as employees, cast(sum({_AGE_SQL}) as double) / cast(count(*) as double) as average_age
+from src_employee where birth_date is not null""")
+def q_average_age(spark, sf_dir):
+    return hr.average_age(ErpSources(spark, sf_dir).src_employee, AS_OF)
+
+
+@register("leave_by_department", HR + """
+select department_id, cast(sum(number_of_days) as bigint) as leave_days from fact_leave group by department_id""")
+def q_leave_by_department(spark, sf_dir):
+    return hr.leave_by_department(build_leave(ErpSources(spark, sf_dir)))
+
+
+def _wage_sql(col: str) -> str:
+    return HR + f"""
+select {col}, cast(sum(monthly_wage) as double) as wage_total,
+ cast(sum(monthly_wage) as double) / cast(count(*) as double) as wage_avg
+from fact_employee_activity where monthly_wage is not null group by {col}"""
+
+
+@register("wage_by_job", _wage_sql("job_id"))
+def q_wage_by_job(spark, sf_dir):
+    return hr.wage_by(build_activity(ErpSources(spark, sf_dir)), "job_id")
+
+
+@register("wage_by_department", _wage_sql("department_id"))
+def q_wage_by_department(spark, sf_dir):
+    return hr.wage_by(build_activity(ErpSources(spark, sf_dir)), "department_id")
