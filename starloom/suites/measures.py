@@ -166,6 +166,19 @@ def q_mom_matrix(spark, sf_dir):
     return ms.mom_matrix(fact, ["project_type_id"])
 
 
+@register("mom_matrix_agency", FACT + f"""
+, f as (select *, {P(KD("date_create_id"))} as period from fact_dec),
+ c as (select max(period) as cp from f),
+ g as (select team_id, sum(amount_untaxed) filter (where period = cp) as cur,
+   sum(amount_untaxed) filter (where period = cp - interval 1 month) as prev from f, c group by team_id)
+select team_id, cast(prev as double) as previous_value, cast(cur as double) as current_value,
+ {RATIO("cur - prev", "prev")} as mom_pct from g""")
+def q_mom_matrix_agency(spark, sf_dir):
+    """Revenue M vs M-1 by agency (sales team)."""
+    _, fact = _fact(spark, sf_dir)
+    return ms.mom_matrix(fact, ["team_id"])
+
+
 @register("signed_revenue", FACT + """
 select company_id, cast(sum(amount_untaxed) filter (where id_state = '2') as double) as signed_revenue,
  cast(sum(amount_untaxed) filter (where id_state = '2' and rbe_status_id = '1') as double) as collected_revenue,
