@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import ts_lit
-from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast, bounded_broadcast_many
 
 # Gate thresholds.
 MAX_ROW_DIFF_PCT = 5.0
@@ -198,9 +198,11 @@ def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id",
     misses for every key at once.
     """
     f = fact.select(*[F.col(c) for c in checks])
-    for i, (c, dim) in enumerate(checks.items()):
-        keys, _ = bounded_broadcast(dim.select(F.col(key).alias(f"_k{i}")).distinct(), broadcast_rows)
-        keys = keys.withColumn(f"_hit{i}", F.lit(True))
+    dims = [dim.select(F.col(key).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+            for i, dim in enumerate(checks.values())]
+    sized = bounded_broadcast_many(dims, broadcast_rows)
+    for i, c in enumerate(checks):
+        keys = sized[i][0]
         f = f.join(keys, F.col(c) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
     counts = f.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"o{i}") for i in range(len(checks))])
     stack = ", ".join(f"'{c}', o{i}" for i, c in enumerate(checks))

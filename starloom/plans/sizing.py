@@ -21,3 +21,24 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     else ``(df, n)``. Counting costs one pass over ``df`` only."""
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def bounded_broadcast_many(frames: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS
+                           ) -> list[tuple[DataFrame, int]]:
+    """``bounded_broadcast`` for several frames with one counting job.
+
+    The frames' row counts come from one union of per-frame markers grouped
+    by frame, so deciding for ``k`` dimensions costs one job, not ``k``.
+    """
+    if not frames:
+        return []
+    marks = [f.select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
+    union = marks[0]
+    for m in marks[1:]:
+        union = union.unionByName(m)
+    counts = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = []
+    for i, f in enumerate(frames):
+        n = counts.get(i, 0)
+        out.append((F.broadcast(f) if n <= max_rows else f, n))
+    return out
