@@ -80,15 +80,16 @@ def _delta(spark, sf_dir, since=dt.datetime(1996, 1, 1)):
     return ingest.incremental_scan(_so(spark, sf_dir), "create_date", since)
 
 
-_BATCH_SQL = """
-with d as (select id, create_date, row_number() over (order by create_date, id) as rn from src_sale_order
-  where create_date > timestamp '1996-01-01'),
- b as (select *, cast((rn - 1) // 10000 as integer) as batch_no from d)
-select batch_no, arg_min(create_date, rn) as lo_date, arg_min(id, rn) as lo_id, arg_max(create_date, rn) as hi_date,
- arg_max(id, rn) as hi_id, count(*) as rows from b group by batch_no"""
+_BATCH_CTES = [
+    ("d", "select id, create_date, row_number() over (order by create_date, id) as rn from src_sale_order "
+          "where create_date > timestamp '1996-01-01'"),
+    ("b", "select *, cast((rn - 1) // 10000 as integer) as batch_no from d"),
+    ("manifest", "select batch_no, arg_min(create_date, rn) as lo_date, arg_min(id, rn) as lo_id, "
+                 "arg_max(create_date, rn) as hi_date, arg_max(id, rn) as hi_id, count(*) as rows from b group by batch_no"),
+]
 
 
-@register("delta_batches", oracle_with(["src_sale_order"]).rstrip() + "\n," + _BATCH_SQL.replace("with d as", " d as", 1))
+@register("delta_batches", oracle_with(["src_sale_order"], _BATCH_CTES) + "select * from manifest")
 def q_delta_batches(spark, sf_dir):
     """Delta cut into 10,000-row batches in (date, id) order: keyset manifest."""
     batched = ingest.delta_batches(_delta(spark, sf_dir), "create_date", "id", ingest.CHUNK_ROWS)
@@ -294,9 +295,8 @@ def q_high_water_mark(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("batch_resume", oracle_with(["src_sale_order"]).rstrip() + "\n," + _BATCH_SQL.replace("with d as", " d as", 1)
-          .replace("select batch_no, arg_min", "select 'sale_order' as table_name, 'r1' as run_id, batch_no, arg_min")
-          + f" having arg_max(create_date, rn) >= timestamp '{RESUME_CUT}'")
+@register("batch_resume", oracle_with(["src_sale_order"], _BATCH_CTES) + f"""
+select 'sale_order' as table_name, 'r1' as run_id, * from manifest where hi_date >= timestamp '{RESUME_CUT}'""")
 def q_batch_resume(spark, sf_dir):
     """Batches still pending after a run that stopped once early batches completed."""
     batched = ingest.delta_batches(_delta(spark, sf_dir), "create_date", "id", ingest.CHUNK_ROWS)

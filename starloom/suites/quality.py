@@ -26,16 +26,18 @@ def _pct_sql(num: str, den: str) -> str:
     return f"cast({num} as double) * 100.0 / cast(nullif({den}, 0) as double)"
 
 
+_ROW_COUNT_CTES = [
+    ("m", f"select count(*) as dw_rows from src_sale_order where create_date < timestamp '{STALE_CUT}'"),
+    ("s", "select count(*) as source_rows from orders"),
+]
 _ROW_COUNT_SQL = f"""
-with m as (select count(*) as dw_rows from src_sale_order where create_date < timestamp '{STALE_CUT}'),
- s as (select count(*) as source_rows from orders)
 select 'sale_order' as table_name, 'row_count' as gate, 'rows' as subject,
  coalesce({_pct_sql('abs(dw_rows - source_rows)', 'source_rows')}, 0.0) as value, cast(5.0 as double) as threshold,
  case when source_rows = 0 then 'SKIP' when {_pct_sql('abs(dw_rows - source_rows)', 'source_rows')} > 5.0 then 'FAIL'
  else 'PASS' end as status from m, s"""
 
 
-@register("gate_row_count", oracle_with(["src_sale_order"]).rstrip() + "\n" + _ROW_COUNT_SQL.replace("with m as", ", m as", 1))
+@register("gate_row_count", oracle_with(["src_sale_order"], _ROW_COUNT_CTES) + _ROW_COUNT_SQL)
 def q_gate_row_count(spark, sf_dir):
     """Row-count gate of a stale warehouse copy against the source."""
     src = ErpSources(spark, sf_dir)
@@ -137,13 +139,13 @@ def q_gate_history(spark, sf_dir):
     return runs[0].unionByName(runs[1])
 
 
-@register("quality_report", oracle_with(["src_sale_order", "src_crm_lead", "src_message", "src_tracking"]) + """
+@register("quality_report", oracle_with(["src_sale_order", "src_crm_lead", "src_message", "src_tracking"], [("counts", """
 select 'sale_order' as table_name, count(*) as rows, count(distinct id) as unique_ids from src_sale_order
 union all select 'crm_lead', count(*), count(distinct id) from src_crm_lead
 union all select 'mail_message', count(*), count(distinct id) from src_message
-union all select 'mail_tracking_value', count(*), count(distinct mail_message_id) from src_tracking""".replace(
-    "select 'sale_order'", "select *, case when rows = unique_ids then 'OK' else 'WARN' end as status from (\nselect 'sale_order'")
-    + "\n) union all select 'hr_employee', null, null, 'ERROR'")
+union all select 'mail_tracking_value', count(*), count(distinct mail_message_id) from src_tracking""")]) + """
+select *, case when rows = unique_ids then 'OK' else 'WARN' end as status from counts
+union all select 'hr_employee', null, null, 'ERROR'""")
 def q_quality_report(spark, sf_dir):
     src = ErpSources(spark, sf_dir)
     frames = {

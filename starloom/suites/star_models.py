@@ -100,9 +100,8 @@ def q_dim_department(spark, sf_dir):
 
 @register("dim_sale_status", """
 select * from (values ('0','Unknown','Unknown'),('1','draft','Quotation'),('2','sale','Sales Order')) as d(id, state, label)
-union all select * from (values ('0','Unknown'),('1','Paid'),('2',' PENDING')) as r(id, label)
- cross join (select 'rbe' as state) s""".replace("select * from (values ('0','Unknown'),('1','Paid')",
-                                                 "select r.id, s.state, r.label from (values ('0','Unknown'),('1','Paid')"))
+union all
+select id, 'rbe' as state, label from (values ('0','Unknown'),('1','Paid'),('2',' PENDING')) as r(id, label)""")
 def q_dim_sale_status(spark, sf_dir):
     """Status dimensions of the sale-order fact (sale status and RBE labels)."""
     sale = star.dim_sale_status(spark)
