@@ -197,6 +197,7 @@ def pending_batches(manifest: DataFrame, progress: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------- gated publish
 
+MAX_RECORDS_PER_FILE = 5_000_000
 POINTER_SCHEMA = ("seq bigint, path string, high_water_mark string, batch_id bigint, "
                   "published_at timestamp_ntz")
 
@@ -244,10 +245,16 @@ class TableStore:
             return None
         return self.spark.read.parquet(ptr["path"])
 
-    def stage(self, df: DataFrame, layer: str, table: str, run_id: str | None = None) -> str:
+    def stage(self, df: DataFrame, layer: str, table: str, run_id: str | None = None,
+              sort_within: list[str] | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
+        """Write a version. ``sort_within`` orders rows inside each task (no
+        shuffle) so Parquet row-group statistics on those columns are tight
+        and later range predicates (``date > watermark``) skip row groups;
+        ``max_records_per_file`` bounds file size."""
         run_id = run_id or uuid.uuid4().hex
         path = f"{self._dir(layer, table)}/v={run_id}"
-        df.write.mode("overwrite").parquet(path)
+        out = df.sortWithinPartitions(*sort_within) if sort_within else df
+        out.write.mode("overwrite").option("maxRecordsPerFile", str(max_records_per_file)).parquet(path)
         return path
 
     def publish(self, layer: str, table: str, path: str, high_water_mark=None, batch_id: int | None = None) -> None:
@@ -261,10 +268,10 @@ class TableStore:
 
 def gated_publish(store: TableStore, df: DataFrame, layer: str, table: str, source_rows: DataFrame,
                   critical: list[str] = (), run_id: str | None = None, high_water_mark=None,
-                  id_col: str = "id") -> tuple[DataFrame, list[dict]]:
+                  id_col: str = "id", sort_within: list[str] | None = None) -> tuple[DataFrame, list[dict]]:
     """Stage → gate → publish. Gates run on what was written; a failing gate
     raises and the published version stays as it was."""
-    path = store.stage(df, layer, table, run_id)
+    path = store.stage(df, layer, table, run_id, sort_within)
     staged = store.spark.read.parquet(path)
     verdicts = quality.gate_verdicts(staged, table, source_rows, id_col=id_col, critical=list(critical))
     rows = quality.enforce(verdicts)

@@ -82,7 +82,8 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
         if full:
             snap = ingest.full_snapshot(source, table, run_ts, source_name)
             hwm = control.high_water_mark(source, date_col).first()[0]
-            published, _ = control.gated_publish(store, snap, layer, table, source_rows, critical, run_id, hwm, key)
+            published, _ = control.gated_publish(store, snap, layer, table, source_rows, critical, run_id, hwm, key,
+                                                 sort_within=[date_col])
             n = published.count()
             summary.update(extracted=n, inserted=n, max_date=hwm)
         else:
@@ -98,7 +99,7 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
                 counts = upsert_counts(current, delta, key).first()
                 merged = upsert(current, delta, key)
                 control.gated_publish(store, merged, layer, table, source_rows, critical, run_id,
-                                      prof["max_date"], key)
+                                      prof["max_date"], key, sort_within=[date_col])
                 summary.update(inserted=counts["inserts"], updated=counts["updates"], max_date=prof["max_date"])
     except quality.DataQualityError as exc:
         summary["status"] = "quality_failed"
