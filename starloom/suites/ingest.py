@@ -148,9 +148,16 @@ def q_upsert_counts(spark, sf_dir):
     return up.upsert_counts(target, delta, "id", "create_date")
 
 
-@register("schema_types")
+@register("schema_types", oracle_with(["src_sale_order"]) + """
+select column_name,
+ case column_type when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' when 'BIGINT' then 'bigint'
+  when 'INTEGER' then 'int' when 'DOUBLE' then 'double' when 'DATE' then 'date' when 'BOOLEAN' then 'boolean'
+  else lower(column_type) end as data_type,
+ cast(row_number() over () - 1 as integer) as ordinal,
+ (select count(*) from src_sale_order) as table_rows
+from (describe select * from src_sale_order)""")
 def q_schema_types(spark, sf_dir):
-    """Target schema introspection: column name and Spark type (rows only)."""
+    """Target schema introspection: column name, Spark type, position, rows."""
     so = _so(spark, sf_dir)
     rows = [(f.name, f.dataType.simpleString(), i) for i, f in enumerate(so.schema.fields)]
     return spark.createDataFrame(rows, "column_name string, data_type string, ordinal int") \
@@ -307,9 +314,10 @@ def q_batch_resume(spark, sf_dir):
     return control.pending_batches(manifest, progress)
 
 
-@register("gated_publish")
+@register("gated_publish", oracle_with(["src_sale_order"]) + f"""
+select {SO_SQL_COLS}, timestamp '{RUN_TS}' as _extracted_at, '{SOURCE}' as _source_connection from src_sale_order""")
 def q_gated_publish(spark, sf_dir):
-    """Stage → gate → publish of the sale-order snapshot; reads back the published version (rows only)."""
+    """Stage → gate → publish of the sale-order snapshot; returns the published version read back."""
     src = ErpSources(spark, sf_dir)
     store = control.TableStore(spark)
     snap = ingest.full_snapshot(src.src_sale_order, "sale_order", RUN_TS, SOURCE)
@@ -317,7 +325,7 @@ def q_gated_publish(spark, sf_dir):
     published, _ = control.gated_publish(
         store, snap, "raw", "sale_order", src.orders.agg(F.count(F.lit(1)).alias("source_rows")),
         critical=["name", "state"], high_water_mark=hwm)
-    return published
+    return money(published, SO_MONEY)
 
 
 @register("lineage_columns", oracle_with(["src_crm_lead"]) + f"""

@@ -127,12 +127,31 @@ def q_gate_freshness(spark, sf_dir):
     return quality.gate_freshness(control.watermarks_from_log(log), FRESH_NOW)
 
 
-@register("gate_history")
+def _verdict_run_sql(cut, run_id: str) -> str:
+    t = f"(select * from src_sale_order where create_date < timestamp '{cut}')"
+    return f"""
+select *, '{run_id}' as run_id from (
+select 'sale_order' as table_name, 'row_count' as gate, 'rows' as subject,
+ coalesce({_pct_sql('abs(dw - s)', 's')}, 0.0) as value, cast(5.0 as double) as threshold,
+ case when s = 0 then 'SKIP' when {_pct_sql('abs(dw - s)', 's')} > 5.0 then 'FAIL' else 'PASS' end as status
+from (select (select count(*) from {t}) as dw, (select count(*) from orders) as s)
+union all
+select 'sale_order', 'unique_id', 'id', coalesce(cast(count(distinct id) as double) / cast(nullif(count(*), 0) as double), 1.0),
+ cast(0.98 as double), case when count(*) = 0 then 'SKIP' when cast(count(distinct id) as double) / cast(nullif(count(*), 0) as double) < 0.98
+ then 'FAIL' else 'PASS' end from {t}
+union all {_null_sql(CRITICAL, t, 'sale_order')})"""
+
+
+HISTORY_RUNS = (("r1", STALE_CUT), ("r2", dt.datetime(2002, 1, 1)))
+
+
+@register("gate_history", oracle_with(["src_sale_order"]) + "\nunion all".join(
+    _verdict_run_sql(cut, run_id) for run_id, cut in HISTORY_RUNS))
 def q_gate_history(spark, sf_dir):
-    """Gate history: verdicts of two runs appended with their run id (rows only)."""
+    """Gate history: verdicts of two runs appended with their run id."""
     src = ErpSources(spark, sf_dir)
     runs = []
-    for run_id, cut in (("r1", STALE_CUT), ("r2", dt.datetime(2002, 1, 1))):
+    for run_id, cut in HISTORY_RUNS:
         dw = src.src_sale_order.where(F.col("create_date") < ts_lit(cut))
         v = quality.gate_verdicts(dw, "sale_order", _source_rows(src), critical=CRITICAL)
         runs.append(v.withColumn("run_id", F.lit(run_id)))

@@ -12,7 +12,7 @@ from starloom.plans.control import TableStore
 from starloom.functions.keys import ts_lit
 from starloom.registry import money, register
 from starloom.sources.ingest import with_lineage
-from starloom.sources.erp_fixture import ErpSources
+from starloom.sources.erp_fixture import ErpSources, oracle_with
 from starloom.streaming.stream_upsert import stream_upsert
 
 LANDING_SPLIT = dt.datetime(2001, 1, 1)
@@ -21,11 +21,20 @@ EXTRACT_1 = dt.datetime(2024, 2, 1, 2, 0)
 EXTRACT_2 = dt.datetime(2024, 2, 2, 2, 0)
 
 
-@register("stream_upsert")
+@register("stream_upsert", oracle_with(["src_sale_order"], [
+    ("first_extract", f"""select id, name, state, cast(amount_untaxed as double) as amount_untaxed, create_date,
+ timestamp '{EXTRACT_1}' as _extracted_at, 'erp_source' as _source_connection
+ from src_sale_order where create_date < timestamp '{LANDING_SPLIT}'"""),
+    ("second_extract", f"""select id, name, upper(state) as state, cast(amount_untaxed as double) as amount_untaxed,
+ create_date, timestamp '{EXTRACT_2}' as _extracted_at, 'erp_source' as _source_connection
+ from src_sale_order where create_date >= timestamp '{OVERLAP_FROM}'"""),
+]) + """
+select * from first_extract where id not in (select id from second_extract)
+union all select * from second_extract""")
 def q_stream_upsert(spark, sf_dir):
     """Two extracts of the sale orders (the second overlaps the first and
     changes the state) land as files; an ``availableNow`` stream upserts
-    them batch by batch into a published table, which is returned (rows only)."""
+    them batch by batch into a published table, which is returned."""
     src = ErpSources(spark, sf_dir).src_sale_order.select("id", "name", "state", "amount_untaxed", "create_date")
     store = TableStore(spark)
     run = uuid.uuid4().hex
