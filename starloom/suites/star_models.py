@@ -98,15 +98,25 @@ def q_dim_department(spark, sf_dir):
                           {"name": "name"})
 
 
-@register("dim_sale_status", """
-select * from (values ('0','Unknown','Unknown'),('1','draft','Quotation'),('2','sale','Sales Order')) as d(id, state, label)
+@register("dim_sale_status", oracle_with(FACT_SALE_ORDER_VIEWS, FACT_SALE_ORDER_CTES) + """
+select d.id, d.state, d.label, count(o.id) as orders
+from dim_sale_status d left join orders_resolved o on o.id_state = d.id group by d.id, d.state, d.label
 union all
-select id, 'rbe' as state, label from (values ('0','Unknown'),('1','Paid'),('2',' PENDING')) as r(id, label)""")
+select r.id, 'rbe', r.label, count(o.id)
+from dim_rbe_status r left join orders_resolved o on o.rbe_status_id = r.id group by r.id, r.label""")
 def q_dim_sale_status(spark, sf_dir):
-    """Status dimensions of the sale-order fact (sale status and RBE labels)."""
-    sale = star.dim_sale_status(spark)
-    rbe = star.dim_rbe_status(spark).select("id", F.lit("rbe").alias("state"), "label")
-    return sale.unionByName(rbe)
+    """Status dimensions of the sale-order fact (sale status and RBE labels)
+    with the number of source orders each key resolves; misses land on '0'."""
+    src = ErpSources(spark, sf_dir)
+    status, rbe = star.dim_sale_status(spark), star.dim_rbe_status(spark)
+    audit = star.last_state_change(src.src_tracking, src.src_message, src.src_field)
+    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order), audit, status, rbe)
+    per_state = o.groupBy(F.col("id_state").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
+    per_rbe = o.groupBy(F.col("rbe_status_id").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
+    sale = status.join(per_state, "id", "left")
+    rbe_rows = rbe.select("id", F.lit("rbe").alias("state"), "label").join(per_rbe, "id", "left")
+    out = sale.unionByName(rbe_rows)
+    return out.withColumn("orders", F.coalesce("orders", F.lit(0)).cast("bigint"))
 
 
 @register("dim_date", """
