@@ -192,6 +192,18 @@ def orders_with_crm(orders: DataFrame, leads: DataFrame) -> DataFrame:
     )
 
 
+class DimensionKeyError(ValueError):
+    """A lookup dimension has a join key that is not unique (the fact would fan out)."""
+
+
+def assert_unique_key(dim: DataFrame, key: Column, name: str) -> None:
+    """Raise when ``key`` repeats in a lookup dimension. Only for bounded
+    (static) dimensions: it reads at most one offending row."""
+    dup = dim.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
+    if dup:
+        raise DimensionKeyError(f"{name}: key {dup[0]['_k']!r} occurs {dup[0]['_n']} times")
+
+
 def orders_resolved(orders: DataFrame, audit: DataFrame, status_dim: DataFrame,
                     rbe_dim: DataFrame) -> DataFrame:
     """Attach last-state-change key and resolve status / RBE keys (sentinel on miss).
@@ -201,6 +213,8 @@ def orders_resolved(orders: DataFrame, audit: DataFrame, status_dim: DataFrame,
     are broadcast; a normalised RBE label must be unique, else the fact
     would fan out.
     """
+    assert_unique_key(status_dim, F.col("state"), "sale status dimension")
+    assert_unique_key(rbe_dim, normalized_label("label"), "RBE status dimension")
     status = F.broadcast(status_dim.select(F.col("state").alias("_st_key"), F.col("id").alias("_st_id")))
     rbe = F.broadcast(rbe_dim.select(normalized_label("label").alias("_rbe_key"), F.col("id").alias("_rbe_id")))
     a = audit.select(F.col("sale_order_id").alias("_oid"), "date_last_state_change_key")

@@ -252,3 +252,11 @@ def test_payroll_counts_departure_month(spark):
     got = {r.month: (r.payroll_total, r.active_contracts)
            for r in hr.payroll_monthly(c, dt.date(2024, 1, 1), dt.date(2024, 3, 1)).collect()}
     assert got == {"2024-01": (150.0, 2), "2024-02": (150.0, 2), "2024-03": (50.0, 1)}
+
+
+def test_duplicate_normalised_rbe_label_is_rejected(spark):
+    orders = spark.createDataFrame([("1", "sale", " Paid")], "id string, state string, rbe_status string")
+    audit = spark.createDataFrame([], "sale_order_id bigint, date_last_state_change_key string")
+    rbe = star.static_dimension(spark, [("1", "Paid"), ("2", " PAID ")], ["id", "label"])
+    with pytest.raises(star.DimensionKeyError):
+        star.orders_resolved(orders, audit, star.dim_sale_status(spark), rbe)
