@@ -181,10 +181,13 @@ def payroll_monthly(contracts: DataFrame, start: dt.date, end: dt.date, date_col
                       ratio(F.col("payroll"), F.col("contracts")).alias("payroll_avg"))
 
 
-def payroll_by_year(monthly: DataFrame) -> DataFrame:
-    """Years overlaid: one row per month of year, one column per year."""
-    return monthly.groupBy(F.substring("month", 6, 2).alias("month_of_year")).pivot("year") \
-        .agg(F.first("payroll_total"))
+def payroll_by_year(monthly: DataFrame, years: list[int]) -> DataFrame:
+    """Years overlaid: one row per month of year, one column per year.
+
+    The pivot values are given (the calendar's years), so no job is spent
+    discovering them; the input is the small monthly frame."""
+    return monthly.groupBy(F.substring("month", 6, 2).alias("month_of_year")).pivot("year", years) \
+        .agg(F.max("payroll_total"))
 
 
 def contract_share(activity: DataFrame, by: str = "contract_type_id") -> DataFrame:

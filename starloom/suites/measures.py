@@ -439,6 +439,24 @@ def q_payroll_monthly(spark, sf_dir):
     return hr.payroll_monthly(ErpSources(spark, sf_dir).src_contract, dt.date(1995, 1, 1), AS_OF)
 
 
+PAYROLL_YEARS = list(range(1995, AS_OF.year + 1))
+
+
+@register("payroll_by_year", oracle_with(["src_contract"]) + f"""
+, m as (select cast(d as date) as month from range(timestamp '1995-01-01', timestamp '{AS_OF}' + interval 1 day, interval 1 month) t(d)),
+ g as (select m.month, sum(c.wage) as total from m left join src_contract c
+   on cast(c.create_date as date) <= last_day(m.month)
+  and (c.departure_date is null or cast(c.departure_date as date) >= m.month) and c.wage is not null
+  group by m.month)
+select strftime(month, '%m') as month_of_year, """ + ", ".join(
+    f"max(case when year(month) = {y} then coalesce(cast(total as double), 0.0) end) as \"{y}\"" for y in PAYROLL_YEARS)
+    + " from g group by all")
+def q_payroll_by_year(spark, sf_dir):
+    """Monthly payroll with the years overlaid (one column per year)."""
+    monthly = hr.payroll_monthly(ErpSources(spark, sf_dir).src_contract, dt.date(1995, 1, 1), AS_OF)
+    return hr.payroll_by_year(monthly, PAYROLL_YEARS)
+
+
 @register("contract_share", HR + f"""
 select contract_type_id, count(*) as contracts, cast(sum(monthly_wage) as double) as wage_total,
  {RATIO("count(*)", "sum(count(*)) over ()")} as share
