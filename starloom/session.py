@@ -49,7 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. Only when it is unset (local tests) a scratch folder is created.
+    is. When it is unset a scratch folder is created for a ``local`` master;
+    any other master raises, because its nodes do not share local folders.
     """
     current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if current:
@@ -59,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = tempfile.mkdtemp(prefix="starloom-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir() or path
