@@ -13,13 +13,16 @@ suffix is finished and leaves before the next digit:
   all their suffixes and are finished: exact copies and the inside of shared
   passages end here, without a row for each suffix.
 * **Digits 3, 4, ...**: what is left are the runs at the edges of a shared
-  passage. One run of each distinct content is opened into single suffixes,
-  which are dealt by ``digit``-byte pieces of their window, pass by pass; the
-  groups of two or more after the last pass are the repeated windows.
+  passage. One run of each distinct content is cut into shorter runs (``CUTS``
+  suffixes, at last single ones) at fixed distances from the gram. Their digit
+  is the core that all their windows have in common; a run alone with its core
+  leaves, runs of equal content are finished, the rest is cut again. After the
+  last pass the core is the whole window, so its groups are exact.
 
 All passes are grouped counts with map-side sums and joins on hashed digits;
-no bucket is gathered in one task. Equal digits are equal 64-bit hashes under
-an equal 64-bit gram hash.
+no bucket is gathered in one task. Only the bytes of edge runs are carried from
+pass to pass. Equal digits are equal 64-bit hashes under an equal 64-bit hash
+of the digits before.
 
 Defined cases: a null text counts as empty; texts shorter than the window
 lose nothing; rows with equal text (also with equal or null doc_id) repeat
@@ -41,7 +44,7 @@ from starloom.llm.common import PrefixHash, column_bytes, mix, small_batches, st
 
 WINDOW = 400
 GRAM = 32
-DIGIT = 200
+CUTS = (64, 8, 1)
 SEGMENT = 1 << 19  # suffix starts taken at a time in a long text
 
 _LOW = np.uint64((1 << 20) - 1)
@@ -59,8 +62,8 @@ def _sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1: n])
 
 
-def runs_of(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``(start, count, gram hash, content hash)`` of the runs of all suffixes of one text."""
+def runs_of(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """``(start, suffixes, gram's place after start, gram hash, content hash)`` of the runs of all suffixes of one text."""
     out = []
     for lo in range(0, len(data) - window + 1, SEGMENT):
         part = data[lo: lo + SEGMENT + window - 1]
@@ -69,64 +72,77 @@ def runs_of(data: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.nd
         place = (_sliding_min((grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), window - gram + 1) & _LOW).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(place)) + 1])
         count = np.diff(np.append(first, len(place)))
-        anchor = place[first]
-        content = hashes.spans(first, first + count - 1 + window) + (anchor - first).astype(np.uint64)
-        out.append((first + lo, count, grams[anchor], mix(content)))
-    if not out:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64), none.astype(np.uint64)
-    return tuple(np.concatenate(x) for x in zip(*out))
+        ahead = place[first] - first
+        content = mix(hashes.spans(first, first + count - 1 + window) + ahead.astype(np.uint64))
+        out.append((first + lo, count, ahead, grams[place[first]].view(np.int64), content.view(np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 5
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    data, offsets = column_bytes(batch.column("body"))
+def _texts(batch: pa.RecordBatch, column: str = "body") -> Iterator[tuple[int, np.ndarray]]:
+    data, offsets = column_bytes(batch.column(column))
     for i in range(batch.num_rows):
         yield i, data[offsets[i]: offsets[i + 1]]
 
 
-def _emit(schema: pa.Schema, columns: list[list[np.ndarray]]) -> pa.RecordBatch:
-    flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c).cast(f.type)
-                                       for c, f in zip(flat, schema)], schema=schema)
-
-
-_RUNS = pa.schema([("doc", pa.int64()), ("gram", pa.int64()), ("content", pa.int64()), ("start", pa.int64()), ("suffixes", pa.int32())])
-_SUFFIXES = pa.schema([("doc", pa.int64()), ("gram", pa.int64()), ("start", pa.int64()), ("lone", pa.bool_()), ("digits", pa.list_(pa.int64()))])
+def _joined(names: list[str], parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    if parts:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
 
 
 def _find_runs(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc").to_numpy()
-            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
+            ids, parts = batch.column("doc").to_numpy(), []
             for i, text in _texts(batch):
-                start, count, grams, content = runs_of(text, window, gram)
-                for c, x in zip(cols, (np.full(len(start), ids[i]), grams, content, start, count)):
-                    c.append(x)
-            yield _emit(_RUNS, cols)
+                start, count, ahead, grams, content = runs_of(text, window, gram)
+                parts.append((np.full(len(start), ids[i]), grams, content, start, count.astype(np.int32), ahead.astype(np.int32)))
+            yield from _joined(["doc", "bucket", "content", "start", "suffixes", "ahead"], parts)
 
     return run
 
 
-def _open_runs(window: int, digit: int):
-    pieces = -(-window // digit)
+_FOUND = "doc long, bucket long, content long, start long, suffixes int, ahead int"
+_EDGE = "doc long, run long, ahead int, bucket long, bytes binary"
 
-    def suffixes(text: np.ndarray, open_runs: list[dict]) -> Iterator[tuple[np.ndarray, ...]]:
-        for r in open_runs:
-            a, n = r["start"], r["suffixes"]
-            hashes = PrefixHash(text[a: a + n - 1 + window])
-            at = np.arange(n)
-            digits = np.stack([hashes.spans(at + p * digit, at + min((p + 1) * digit, window)) for p in range(pieces)], 1)
-            yield np.full(n, r["gram"]), at + a, np.full(n, r["lone"]), digits
 
+def _take_bytes(window: int):
+    """The bytes of a document's open runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, runs = batch.column("doc").to_numpy(), batch.column("runs")
+            ids, runs, rows = batch.column("doc").to_numpy(), batch.column("runs"), []
             for i, text in _texts(batch):
-                cols = list(zip(*suffixes(text, runs[i].as_py())))
-                gram, start, lone, digits = (np.concatenate(c) for c in cols)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(0, digits.size + 1, pieces, dtype=np.int32)), pa.array(digits.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), ids[i])), pa.array(gram), pa.array(start), pa.array(lone), flat], schema=_SUFFIXES)
+                rows += [(int(ids[i]), r["start"], r["ahead"], r["bucket"], text[r["start"]: r["start"] + r["suffixes"] - 1 + window].tobytes())
+                         for r in runs[i].as_py()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (
+                    pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["doc", "run", "ahead", "bucket", "bytes"])
+
+    return run
+
+
+def _cut_runs(window: int, size: int):
+    """Runs of at most ``size`` suffixes; the bucket is the core their windows have in common."""
+    names = ["doc", "run", "bucket", "content", "start", "suffixes", "lone"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = {c: batch.column(c).to_numpy() for c in ("doc", "run", "ahead", "bucket")}
+            open_, parts = batch.column("open"), []
+            for i, text in _texts(batch, "bytes"):
+                hashes, doc, first, ahead = PrefixHash(text), cols["doc"][i], cols["run"][i], int(cols["ahead"][i])
+                for o in open_[i].as_py():
+                    lo = o["start"] - first
+                    before = ahead - np.arange(lo, lo + o["suffixes"])  # distance from each start to the gram
+                    block = before // size
+                    a = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
+                    n = np.diff(np.append(a, len(block)))
+                    block, a = block[a], a + lo
+                    core = hashes.spans(ahead - block * size, ahead - block * size - size + 1 + window)
+                    bucket = mix(core ^ mix(block.astype(np.uint64) + cols["bucket"].view(np.uint64)[i]))
+                    content = mix(hashes.spans(a, a + n - 1 + window) + (ahead - a).astype(np.uint64))
+                    parts.append((np.full(len(a), doc), np.full(len(a), first), bucket.view(np.int64), content.view(np.int64),
+                                  a + first, n.astype(np.int32), np.full(len(a), o["lone"])))
+            yield from _joined(names, parts)
 
     return run
 
@@ -135,41 +151,46 @@ def _doc_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")), F.col("doc_id"))
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digit: int = DIGIT) -> DataFrame:
+def _spans(runs: DataFrame, window: int) -> DataFrame:
+    return runs.select("doc", "start", (F.col("start") + F.col("suffixes") - 1 + window).alias("end"))
+
+
+def _sorted_out(runs: DataFrame, carried: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """One digit: ``(contents of two or more runs, one open run of each content in a bucket with others)``."""
+    contents = runs.groupBy("bucket", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start", *carried)).alias("first"))
+    contents = staged(contents.select("bucket", "content", "n", "first.*"), name)
+    mixed = contents.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("bucket")
+    lone = (F.col("n") == 1) & (F.col("lone") if "lone" in carried else F.lit(True))
+    return contents.filter("n > 1").select("bucket", "content"), contents.join(mixed, "bucket", "left_semi").withColumn("lone", lone)
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cuts: tuple[int, ...] = CUTS) -> DataFrame:
     """``doc, spans`` (spans: array of start, end) of bytes that a repeated window covers.
 
     ``doc`` identifies a text under its doc_id; documents without a repeat are absent.
     The spans of a document may overlap and are in no order.
     """
-    if not 0 < gram <= window:
-        raise ValueError("the gram must fit in the window")
+    if not 0 < gram <= window or cuts[-1] != 1 or max(cuts) > window:
+        raise ValueError("the gram and the cuts must fit in the window, and the last cut is 1")
     small_batches(docs.sparkSession)
-    bodies = docs.select(_doc_key().alias("doc"), text_bytes().alias("body"))
-    long_bodies = bodies.filter(F.octet_length("body") >= window)
-    runs = staged(long_bodies.mapInArrow(_find_runs(window, gram), "doc long, gram long, content long, start long, suffixes int"), "runs")
-
-    shared = runs.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    open_runs = staged(runs.join(shared, "gram", "left_semi"), "open-runs")
-    contents = open_runs.groupBy("gram", "content").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start", "suffixes")).alias("first"))
-    contents = staged(contents.select("gram", "content", "n", "first.*"), "contents")
-    whole = open_runs.join(contents.filter("n > 1").select("gram", "content"), ["gram", "content"], "left_semi").select(
-        "doc", "start", (F.col("start") + F.col("suffixes") - 1 + window).alias("end"))
-
-    edges = contents.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("gram")
-    edge_runs = contents.join(edges, "gram", "left_semi").groupBy("doc").agg(
-        F.collect_list(F.struct("gram", "start", "suffixes", (F.col("n") == 1).alias("lone"))).alias("runs"))
-    one_text = long_bodies.join(edge_runs, "doc").dropDuplicates(["doc"])
-    level = one_text.select("doc", "body", "runs").mapInArrow(
-        _open_runs(window, digit), "doc long, gram long, start long, lone boolean, digits array<long>")
-    pieces = -(-window // digit)
-    level = staged(level.select("doc", "gram", "start", "lone", *[F.col("digits")[p].alias(f"d{p}") for p in range(pieces)]), "suffixes")
-    for p in range(pieces):  # most significant digit first; suffixes alone in their bucket leave
-        prefix = ["gram", *[f"d{q}" for q in range(p + 1)]]
-        groups = level.groupBy(*prefix).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*prefix)
-        level = level.join(groups, prefix, "left_semi")
-    single = level.filter("lone").select("doc", "start", (F.col("start") + window).alias("end"))
-    return whole.unionByName(single).groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    bodies = docs.select(_doc_key().alias("doc"), text_bytes().alias("body")).filter(F.octet_length("body") >= window)
+    runs = staged(bodies.mapInArrow(_find_runs(window, gram), _FOUND), "runs")
+    shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    runs = staged(runs.join(shared, "bucket", "left_semi"), "shared-runs")
+    agreed, open_ = _sorted_out(runs, ["suffixes", "ahead"], "contents")
+    spans = _spans(runs.join(agreed, ["bucket", "content"], "left_semi"), window)
+
+    open_ = staged(open_, "open")
+    wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "suffixes", "ahead", "bucket")).alias("runs"))
+    edges = staged(bodies.join(wanted, "doc").dropDuplicates(["doc"]).select("doc", "body", "runs").mapInArrow(_take_bytes(window), _EDGE), "edges")
+    open_ = open_.withColumn("run", F.col("start"))
+    for size in cuts:
+        parts = open_.groupBy("doc", "run").agg(F.collect_list(F.struct("start", "suffixes", "lone")).alias("open"))
+        cut = staged(edges.join(parts, ["doc", "run"]).select("doc", "run", "ahead", "bucket", "bytes", "open").mapInArrow(
+            _cut_runs(window, size), "doc long, run long, bucket long, content long, start long, suffixes int, lone boolean"), f"cut-{size}")
+        agreed, open_ = _sorted_out(cut, ["run", "suffixes", "lone"], f"contents-{size}")
+        spans = spans.unionByName(_spans(cut.filter("lone").join(agreed, ["bucket", "content"], "left_semi"), window))
+    return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -204,9 +225,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_sha256", pa.string())])
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digit: int = DIGIT) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cuts: tuple[int, ...] = CUTS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256`` for every row; ``kept`` holds the bytes that stay."""
-    spans = staged(repeated_spans(docs, window, gram, digit), "spans")
+    spans = staged(repeated_spans(docs, window, gram, cuts), "spans")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _doc_key().alias("doc"), text_bytes().alias("body")).join(
         spans, "doc", "left")
     untouched = rows.filter("spans is null").select(

@@ -34,7 +34,7 @@ def test_matches_brute_force_on_documents(documents):
     assert result(documents) == brute([t for _, t in rows], 400)
 
 
-def test_small_windows_overlaps_periods_and_multibyte(spark, monkeypatch):
+def test_small_windows_overlaps_periods_and_multibyte(spark):
     rng = random.Random(3)
     word = lambda n: "".join(rng.choice("abé ") for _ in range(n))
     shared = [word(60), word(45), word(39)]
@@ -43,7 +43,7 @@ def test_small_windows_overlaps_periods_and_multibyte(spark, monkeypatch):
         texts.append(word(rng.randrange(50)) + rng.choice(shared)[rng.randrange(8):] + word(rng.randrange(30)) + rng.choice(shared) + word(9))
     texts += [texts[-1], texts[-1] + "!", texts[5] + texts[5]]
     df = docs_frame(spark, texts).withColumnRenamed("lang", "doc").withColumnRenamed("source", "start")
-    assert result(df, window=40, gram=6, digit=16) == brute(texts, 40)
+    assert result(df, window=40, gram=6, cuts=(8, 3, 1)) == brute(texts, 40)
 
 
 def test_long_text_in_segments(spark):
