@@ -118,11 +118,19 @@ def leave_by_type(leaves: DataFrame, by: list[str] = ("leave_type_id",)) -> Data
                                    F.sum("number_of_days").alias("leave_days"))
 
 
+def leave_monthly_long(leaves: DataFrame, date_col: str = "request_date_from") -> DataFrame:
+    """Leave days per month and leave type: the complete result."""
+    month = F.trunc(F.col(date_col).cast("date"), "month").alias("month")
+    return leaves.groupBy(month, "leave_type_id").agg(F.sum("number_of_days").cast("bigint").alias("leave_days"))
+
+
 def leave_monthly(leaves: DataFrame, types: list[str], date_col: str = "request_date_from") -> DataFrame:
-    """Leave days per month, one column per leave type (pivot on fixed values)."""
-    return leaves.groupBy(F.trunc(F.col(date_col).cast("date"), "month").alias("month")) \
-        .pivot("leave_type_id", types).agg(F.sum("number_of_days")) \
-        .select("month", *[F.coalesce(F.col(t), F.lit(0)).cast("bigint").alias(f"type_{t}") for t in types])
+    """Leave days per month, one column per listed leave type and one for all others."""
+    long = leave_monthly_long(leaves, date_col)
+    days = lambda hit: F.coalesce(F.sum(F.when(hit, F.col("leave_days"))), F.lit(0)).cast("bigint")
+    listed = F.coalesce(F.col("leave_type_id").isin(list(types)), F.lit(False))
+    return long.groupBy("month").agg(*[days(F.col("leave_type_id") == t).alias(f"type_{t}") for t in types],
+                                     days(~listed).alias("type_other"))
 
 
 def leave_by_department(leaves: DataFrame) -> DataFrame:
@@ -185,7 +193,10 @@ def payroll_by_year(monthly: DataFrame, years: list[int]) -> DataFrame:
     """Years overlaid: one row per month of year, one column per year.
 
     The pivot values are given (the calendar's years), so no job is spent
-    discovering them; the input is the small monthly frame."""
+    discovering them; the input is the small monthly frame. A year that is
+    not listed raises."""
+    known = F.assert_true(F.col("year").isin(list(years)), F.concat(F.lit("year not listed: "), F.col("year")))
+    monthly = monthly.where(known.isNull())
     return monthly.groupBy(F.substring("month", 6, 2).alias("month_of_year")).pivot("year", years) \
         .agg(F.max("payroll_total"))
 
@@ -222,7 +233,9 @@ def employee_roster(activity: DataFrame, employees: DataFrame, year: int | None
         preds.append(F.col("job_id") == job)
     if employee is not None:
         preds.append(F.col("employee_id") == employee)
-    if company is not None and "company_id" in r.columns:
+    if company is not None:
+        if "company_id" not in r.columns:
+            raise ValueError("the roster has no company_id to filter by")
         preds.append(F.col("company_id") == company)
     if department is not None:
         preds.append(F.col("department_id") == department)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.keys import date_lit, parse_date_key
 from starloom.operators.star import custom_month_period
+from starloom.plans.ranges import global_rank
 from starloom.plans.sizing import bounded_broadcast
 
 # Annual sales target and working days per month.
@@ -253,13 +254,16 @@ def kpi_delta(fact: DataFrame, by: list[str] = ("vendor_id",), close_day: int =
 
 
 def vendor_rank(fact: DataFrame, agency: str = "team_id", vendor: str = "vendor_id") -> DataFrame:
-    """Signed revenue per vendor and its rank in the agency and company-wide
-    (``rank``: ties share a rank). Ranking runs on the aggregated frame."""
+    """Signed revenue per agency and vendor, its rank in the agency, and the
+    company-wide rank of the vendor's revenue over all agencies (ties share a
+    rank). The company rank is taken by ranges, not in one task."""
     g = fact.where(F.col("id_state") == SALE_STATE_ID).groupBy(agency, vendor) \
         .agg(F.sum("amount_untaxed").alias("revenue"))
-    return g.select(agency, vendor, F.col("revenue").cast("double").alias("revenue"),
-                    F.rank().over(Window.partitionBy(agency).orderBy(F.desc("revenue"))).alias("rank_in_agency"),
-                    F.rank().over(Window.orderBy(F.desc("revenue"))).alias("rank_in_company"))
+    company = global_rank(g.groupBy(F.col(vendor).alias("_vendor")).agg(F.sum("revenue").alias("_all")), F.desc("_all"),
+                          "rank_in_company").drop("_all")
+    in_agency = F.rank().over(Window.partitionBy(agency).orderBy(F.desc("revenue"))).alias("rank_in_agency")
+    return g.select(agency, vendor, "revenue", in_agency).join(company, F.col(vendor).eqNullSafe(F.col("_vendor"))).select(
+        agency, vendor, F.col("revenue").cast("double").alias("revenue"), "rank_in_agency", "rank_in_company")
 
 
 def sales_mix(fact: DataFrame, dims: tuple[str, str] = ("payment_method_id", "project_type_id")) -> DataFrame:

@@ -136,7 +136,7 @@ def enforce(verdicts: DataFrame) -> list[dict]:
     return rows
 
 
-def quality_report(frames: dict[str, DataFrame | None], id_col: str = "id") -> DataFrame | None:
+def quality_report(frames: dict[str, DataFrame | None], id_col: str = "id") -> DataFrame:
     """Non-blocking report: rows vs distinct ids per table, ``OK``/``WARN``;
     a table that does not exist (``None``) is an ``ERROR`` row."""
     spark = None
@@ -149,16 +149,11 @@ def quality_report(frames: dict[str, DataFrame | None], id_col: str = "id") -> D
         spark = df.sparkSession
         parts.append(df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.col(id_col)).alias("unique_ids"))
                      .select(F.lit(name).alias("table_name"), "rows", "unique_ids"))
-    if spark is None:
-        return None
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    out = out.withColumn("status", F.when(F.col("rows") == F.col("unique_ids"), "OK").otherwise("WARN"))
-    if missing:
-        err = spark.createDataFrame([(m, None, None, "ERROR") for m in missing],
-                                    "table_name string, rows bigint, unique_ids bigint, status string")
-        out = out.unionByName(err)
+    spark = spark or SparkSession.active()
+    out = spark.createDataFrame([(m, None, None, "ERROR") for m in missing],
+                                "table_name string, rows bigint, unique_ids bigint, status string")
+    for p in parts:
+        out = out.unionByName(p.withColumn("status", F.when(F.col("rows") == F.col("unique_ids"), "OK").otherwise("WARN")))
     return out
 
 

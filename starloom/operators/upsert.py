@@ -37,28 +37,33 @@ def latest_per_key(delta: DataFrame, key: str, order_col: str | None) -> DataFra
 def align_to(delta: DataFrame, target: DataFrame) -> DataFrame:
     """Delta columns matched to the target by name and cast to its types.
 
-    Columns the target lacks are dropped (schema drift is reported by
-    ``drift``); columns are never matched by position.
+    Columns the target lacks are kept with their own type (see ``widen``);
+    columns are never matched by position.
     """
     tf = {f.name: f.dataType for f in target.schema.fields}
     df_ = {f.name: f.dataType for f in delta.schema.fields}
-    cols = [c for c in delta.columns if c in tf]
-    return delta.select(*[(cast_expr(c, tf[c], df_[c]) if tf[c] != df_[c] else F.col(c)).alias(c) for c in cols])
+    return delta.select(*[(cast_expr(c, tf[c], df_[c]) if tf.get(c, df_[c]) != df_[c] else F.col(c)).alias(c)
+                          for c in delta.columns])
 
 
-def drift(delta: DataFrame, target: DataFrame) -> dict[str, list[str]]:
-    return {"new_columns": [c for c in delta.columns if c not in target.columns],
-            "missing_columns": [c for c in target.columns if c not in delta.columns]}
+def widen(target: DataFrame, delta: DataFrame) -> DataFrame:
+    """Target plus the columns only the delta has (NULL for the rows so far)."""
+    new = [f for f in delta.schema.fields if f.name not in target.columns]
+    return target.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new]) if new else target
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: str = "id", order_col: str | None = None,
            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Merged table (target schema): untouched target rows + delta rows.
+    """Merged table: untouched target rows + delta rows.
+
+    The schema is the target's plus any column only the delta has (NULL in
+    untouched rows), so a column added at the source reaches the table.
 
     The delta's distinct keys are counted first; up to ``broadcast_rows``
     they are broadcast, so the target is filtered by hash lookups in place
     and never shuffled. A larger delta keeps the sort-merge plan.
     """
+    target = widen(target, delta)
     d = align_to(latest_per_key(delta, key, order_col), target)
     d_keys, _ = bounded_broadcast(d.select(key).distinct(), broadcast_rows)
     kept = target.join(d_keys, key, "left_anti")
@@ -98,6 +103,5 @@ def assert_delta_keys(delta: DataFrame, key: str = "id") -> None:
 
 
 def append_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Append by column name; batch columns the target lacks are dropped and
-    target columns the batch lacks are NULL."""
-    return target.unionByName(align_to(batch, target), allowMissingColumns=True).select(*target.columns)
+    """Append by column name; a column that only one side has is NULL in the other's rows."""
+    return widen(target, batch).unionByName(align_to(batch, target), allowMissingColumns=True)

@@ -199,7 +199,7 @@ def pending_batches(manifest: DataFrame, progress: DataFrame) -> DataFrame:
 
 MAX_RECORDS_PER_FILE = 5_000_000
 POINTER_SCHEMA = ("seq bigint, path string, high_water_mark string, batch_id bigint, "
-                  "published_at timestamp_ntz")
+                  "published_at timestamp_ntz, stream string")
 
 
 class TableStore:
@@ -257,11 +257,20 @@ class TableStore:
         out.write.mode("overwrite").option("maxRecordsPerFile", str(max_records_per_file)).parquet(path)
         return path
 
-    def publish(self, layer: str, table: str, path: str, high_water_mark=None, batch_id: int | None = None) -> None:
+    def last_batch(self, layer: str, table: str, stream: str) -> int:
+        """The last batch that ``stream`` published, -1 before its first."""
+        if not self._has_pointers(layer, table):
+            return -1
+        log = self.spark.read.schema(POINTER_SCHEMA).parquet(self._pointer_dir(layer, table))
+        last = log.where(F.col("stream") == stream).agg(F.max("batch_id")).first()[0]
+        return -1 if last is None else int(last)
+
+    def publish(self, layer: str, table: str, path: str, high_water_mark=None, batch_id: int | None = None,
+                stream: str | None = None) -> None:
         ptr = self.pointer(layer, table)
         seq = 0 if ptr is None else ptr["seq"] + 1
         row = (seq, path, None if high_water_mark is None else str(high_water_mark), batch_id,
-               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), stream)
         self.spark.createDataFrame([row], POINTER_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self._pointer_dir(layer, table))
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.clean import normalize_names, structs_to_json
 from starloom.functions.keys import ts_lit
+from starloom.plans.ranges import stage_ranges, with_offsets
 
 # Tracking column per source table, batch sizes.
 TRACKING_COLUMN = {
@@ -121,28 +122,15 @@ def delta_batches(df: DataFrame, date_col: str, id_col: str = "id", batch_rows:
                   partitions: int | None = None) -> DataFrame:
     """Assign each delta row its batch number in (date, id) order.
 
-    Exact global ranks without a single-partition window and with one
-    shuffle: range-partition by (date, id) and sort inside each partition;
-    ``monotonically_increasing_id`` then holds (partition id, row index in
-    partition). Per-partition counts (one row per partition) become offsets,
-    broadcast back with a proven bound of ``partitions`` rows. Returns the
-    rows with ``batch_no`` and ``row_no``.
+    Exact global row numbers without a single-partition window: the delta is
+    range-partitioned and sorted once and written with each row's place
+    (``stage_ranges``); offsets come from the written rows. Returns the rows
+    with ``batch_no`` and ``row_no``.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mid = F.monotonically_increasing_id()
-    ranged = (df.repartitionByRange(n, F.col(date_col), F.col(id_col))
-              .sortWithinPartitions(F.col(date_col), F.col(id_col))
-              .withColumn("_mid", mid)
-              .withColumn("_pid", F.shiftright(F.col("_mid"), 33))
-              .withColumn("_rn", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)) + 1))
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_pid", (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
-    ranked = ranged.join(F.broadcast(offsets), "_pid")
-    row_no = F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")
-    return ranked.withColumn("row_no", row_no).withColumn(
-        "batch_no", F.floor((F.col("row_no") - 1) / F.lit(batch_rows)).cast("int")).drop("_pid", "_rn", "_off", "_mid")
+    ranged = with_offsets(stage_ranges(df, [F.col(date_col), F.col(id_col)], partitions))
+    row_no = F.col("_off") + F.col("_rn")
+    return ranged.withColumn("row_no", row_no).withColumn(
+        "batch_no", F.floor((F.col("row_no") - 1) / F.lit(batch_rows)).cast("int")).drop("_pid", "_rn", "_off")
 
 
 def batch_manifest(batched: DataFrame, date_col: str, id_col: str = "id") -> DataFrame:

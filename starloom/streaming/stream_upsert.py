@@ -3,13 +3,16 @@
 New files landing in a source folder are read as micro-batches; each batch
 is deduplicated (latest row per id), upserted into the current published
 version, gated, and published as a new version. The streaming checkpoint
-makes the file source exactly-once; the pointer records the last batch id,
-so a replayed batch after a crash is skipped (idempotent by ``batchId``).
+makes the file source exactly-once; the pointer records the query id of the
+checkpoint and the batch id, so a batch that the same stream already
+published is skipped after a crash. A fresh checkpoint is another stream: its
+batches count from 0 again and are all applied.
 A second run over the same folder reads nothing.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +24,9 @@ from starloom.operators.upsert import latest_per_key, upsert
 from starloom.plans.control import TableStore
 
 
-def _last_batch(store: TableStore, layer: str, table: str) -> int:
-    ptr = store.pointer(layer, table)
-    return -1 if ptr is None or ptr["batch_id"] is None else int(ptr["batch_id"])
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The query id that the checkpoint keeps for its whole life."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, store: TableStore, layer: str,
@@ -36,20 +39,23 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
     critical columns (the row-count gate needs a source count and is run
     by the batch pipeline).
     """
+    if order_col is None:
+        raise ValueError("a stream needs order_col to pick the latest row of a key")
     checkpoint = checkpoint or os.path.join(store.root, "_streams", layer, table)
     applied: list[dict] = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= _last_batch(store, layer, table):
+        stream = _stream_id(spark, checkpoint)
+        if batch_id <= store.last_batch(layer, table, stream):
             return  # replay of an already published batch
         delta = latest_per_key(batch, key, order_col)
         current = store.read(layer, table)
         merged = delta if current is None else upsert(current, delta, key, order_col)
-        path = store.stage(merged, layer, table, f"b{batch_id:08d}")
+        path = store.stage(merged, layer, table, f"{stream}-b{batch_id:08d}")
         staged = spark.read.parquet(path)
         quality.enforce(quality.gate_verdicts(staged, table, None, key, list(critical), min_ratio=min_unique_ratio))
         hwm = staged.agg(F.max(order_col)).first()[0] if order_col else None
-        store.publish(layer, table, path, hwm, batch_id)
+        store.publish(layer, table, path, hwm, batch_id, stream)
         applied.append({"batch_id": batch_id, "path": path})
 
     reader = spark.readStream.schema(schema)

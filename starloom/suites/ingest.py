@@ -98,12 +98,28 @@ def q_delta_batches(spark, sf_dir):
 
 # ------------------------------------------------------------------ sinks
 
+@register("batch_contents", oracle_with(["src_sale_order"], [
+    ("d", "select id, amount_untaxed, row_number() over (order by create_date, id) as rn from src_sale_order "
+          "where create_date > timestamp '1996-01-01'")]) + """
+select cast((rn - 1) // 10000 as integer) as batch_no, count(*) as rows, min(cast(id as bigint)) as min_id, max(cast(id as bigint)) as max_id,
+ min(rn) as first_row, max(rn) as last_row, cast(sum(amount_untaxed) as double) as amount from d group by all""")
+def q_batch_contents(spark, sf_dir):
+    """What each 10,000-row batch of the delta holds, payload included."""
+    delta = _delta(spark, sf_dir).select("id", "create_date", "amount_untaxed", "state", "user_id")
+    batched = ingest.delta_batches(delta, "create_date", "id", ingest.CHUNK_ROWS)
+    number = F.col("id").cast("bigint")
+    return batched.groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(number).alias("min_id"), F.max(number).alias("max_id"),
+        F.min("row_no").alias("first_row"), F.max("row_no").alias("last_row"), F.sum("amount_untaxed").cast("double").alias("amount"))
+
+
 @register("append_rows", oracle_with(["src_sale_order"]) + f"""
-select id, name, state, cast(amount_untaxed as double) as amount_untaxed from src_sale_order where create_date < timestamp '{TARGET_CUT}'
+select id, name, state, cast(amount_untaxed as double) as amount_untaxed, cast(null as integer) as extra_col
+from src_sale_order where create_date < timestamp '{TARGET_CUT}'
 union all
-select id, name, null, cast(amount_untaxed as double) from src_sale_order where create_date >= timestamp '{TARGET_CUT}'""")
+select id, name, null, cast(amount_untaxed as double), 1 from src_sale_order where create_date >= timestamp '{TARGET_CUT}'""")
 def q_append_rows(spark, sf_dir):
-    """Append by name: the batch lacks ``state`` and carries an extra column."""
+    """Append by name: the batch lacks ``state`` and carries an extra column, which the table gains."""
     so = _so(spark, sf_dir)
     target = so.where(F.col("create_date") < ts_lit(TARGET_CUT)).select("id", "name", "state", "amount_untaxed")
     batch = so.where(F.col("create_date") >= ts_lit(TARGET_CUT)).select(
@@ -333,3 +349,15 @@ select id, type, create_date, timestamp '{RUN_TS}' as _extracted_at, '{SOURCE}'
 def q_lineage_columns(spark, sf_dir):
     lead = ErpSources(spark, sf_dir).src_crm_lead.select("id", "type", "create_date")
     return ingest.with_lineage(lead, RUN_TS, SOURCE)
+
+
+@register("upsert_new_column", """
+select o_orderkey as id, case when o_orderkey % 7 = 0 then upper(o_orderstatus) else o_orderstatus end as state,
+ case when o_orderkey % 7 = 0 then o_orderpriority end as priority from orders""")
+def q_upsert_new_column(spark, sf_dir):
+    """A delta with a column the target lacks: it is added, NULL in untouched rows."""
+    orders = ErpSources(spark, sf_dir).orders
+    target = orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("state"))
+    delta = orders.where(F.col("o_orderkey") % 7 == 0).select(
+        F.col("o_orderkey").alias("id"), F.upper("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority"))
+    return up.upsert(target, delta, "id")

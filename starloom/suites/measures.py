@@ -294,9 +294,10 @@ def q_kpi_delta(spark, sf_dir):
 
 @register("vendor_rank", FACT + """
 , g as (select team_id, vendor_id, sum(amount_untaxed) as revenue from fact_dec where id_state = '2' group by all)
-select team_id, vendor_id, cast(revenue as double) as revenue,
- cast(rank() over (partition by team_id order by revenue desc) as integer) as rank_in_agency,
- cast(rank() over (order by revenue desc) as integer) as rank_in_company from g""")
+, v as (select vendor_id, cast(rank() over (order by sum(revenue) desc) as integer) as rank_in_company from g group by vendor_id)
+select g.team_id, g.vendor_id, cast(g.revenue as double) as revenue,
+ cast(rank() over (partition by g.team_id order by g.revenue desc) as integer) as rank_in_agency,
+ v.rank_in_company from g join v on g.vendor_id is not distinct from v.vendor_id""")
 def q_vendor_rank(spark, sf_dir):
     _, fact = _fact(spark, sf_dir)
     return ms.vendor_rank(fact)
@@ -411,11 +412,20 @@ def q_leave_by_type(spark, sf_dir):
 
 @register("leave_monthly", HR + "select cast(date_trunc('month', cast(request_date_from as date)) as date) as month, "
           + ", ".join(f"cast(coalesce(sum(number_of_days) filter (where leave_type_id = '{t}'), 0) as bigint) as type_{t}"
-                      for t in LEAVE_TYPES) + " from fact_leave group by all")
+                      for t in LEAVE_TYPES)
+          + ", cast(coalesce(sum(number_of_days) filter (where not coalesce(leave_type_id in ("
+          + ", ".join(f"'{t}'" for t in LEAVE_TYPES) + "), false)), 0) as bigint) as type_other from fact_leave group by all")
 def q_leave_monthly(spark, sf_dir):
     return hr.leave_monthly(build_leave(ErpSources(spark, sf_dir)), LEAVE_TYPES)
 
 
+@register("leave_monthly_long", HR + "select cast(date_trunc('month', cast(request_date_from as date)) as date) as month, "
+          "leave_type_id, cast(sum(number_of_days) as bigint) as leave_days from fact_leave group by all")
+def q_leave_monthly_long(spark, sf_dir):
+    """Leave days per month and type, whatever the types."""
+    return hr.leave_monthly_long(build_leave(ErpSources(spark, sf_dir)))
+
+
 @register("avg_latest_wage", oracle_with(["src_contract"]) + """
 , lw as (select employee_id, max(wage) as w from (
    select employee_id, wage, rank() over (partition by employee_id order by create_date desc) as rk
