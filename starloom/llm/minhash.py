@@ -16,9 +16,11 @@ Plan, all as joins and grouped aggregates:
    (a star), on full shingle sets; components of the confirmed links follow;
 3. only buckets that still hold several components are opened again: members
    outside the bucket's largest component are compared with every member of
-   another component. Pairs inside a component need no test, so no link that
-   could change a component is skipped, and a bucket of near copies costs a
-   linear number of comparisons;
+   another component and of a possible size. Pairs inside a component need no
+   test, so no link that could change a component is skipped, and a bucket of
+   near copies costs a linear number of comparisons. In large buckets the
+   shingles that occur in no other member are counted first: they bound every
+   similarity, and documents that provably link with no member leave;
 4. components of all confirmed links.
 
 Defined cases: words are split at ASCII white space after lower-casing A-Z; a
@@ -44,6 +46,7 @@ from starloom.llm.graph import connected_components
 SHINGLE = 5
 PERCENT = 75
 N_PERMS = 64
+LARGE = 8  # members from which a bucket's documents are first tested for being linkable at all
 BLOCK = 1 << 15  # shingles hashed at a time, sized for the CPU cache
 
 _SEEDS = mix(np.arange(1, 2 * N_PERMS + 1, dtype=np.uint64))
@@ -169,7 +172,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     same_id = usable.select("doc_id", "h1", "h2").join(node_of, ["h1", "h2"]).filter("doc_id <> node").select(
         F.col("doc_id").alias("u"), F.col("node").alias("v")).distinct()
     nodes = usable.join(node_of, ["h1", "h2"]).filter("doc_id = node").dropDuplicates(["h1", "h2"])
-    buckets = staged(nodes.select("node", F.explode("bands").alias("bucket")), "buckets")
+    buckets = staged(nodes.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket")), "buckets")
 
     least = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").select("bucket", "a")
     star = staged(buckets.join(least, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
@@ -178,16 +181,18 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     links = staged(confirmed(star, texts, k, percent), "links")
 
     label = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    labelled = buckets.join(least.select("bucket"), "bucket", "left_semi").join(
-        label.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"))
-    mixed = (labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-             .filter("parts > 1").select("bucket", F.col("top.component").alias("main")))
-    open_rows = labelled.join(mixed, "bucket")
-    minor = open_rows.filter("component <> main").select("bucket", F.col("node").alias("x"), F.col("component").alias("cx"))
-    again = (minor.join(open_rows.select("bucket", F.col("node").alias("y"), F.col("component").alias("cy")), "bucket")
-             .filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    several = buckets.join(least.select("bucket"), "bucket", "left_semi").withColumn("shared", F.col("size"))
+    open_rows = staged(_open_rows(several, label), "open")
+    large = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE).select("bucket")
+    in_large = open_rows.join(large, "bucket", "left_semi").select("bucket", "node", "size")
+    shared = staged(_shared(in_large.select("node", "size").distinct(), texts, k), "shared")
+    open_rows = open_rows.join(large, "bucket", "left_anti").unionByName(
+        _open_rows(_linkable(in_large.join(shared, "node"), percent), label))
+    sides = [open_rows.select("bucket", F.col("node").alias(f"n{i}"), F.col("component").alias(f"c{i}"), F.col("size").alias(f"z{i}"),
+                              F.col("shared").alias(f"s{i}"), "main") for i in "xy"]
+    possible = (F.col("cx") != F.col("cy")) & ((100 + percent) * F.least("sx", "sy", "zx", "zy") >= percent * (F.col("zx") + F.col("zy")))
+    again = (sides[0].filter("cx <> main").drop("main").join(sides[1].drop("main"), "bucket").filter(possible)
+             .select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b")).distinct()
              .join(star, ["a", "b"], "left_anti"))
     more = confirmed(staged(again, "again"), texts, k, percent)
 
@@ -199,6 +204,52 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def _open_rows(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """``bucket, node, size, shared, component, main`` of the buckets that hold several components; main is the largest."""
+    labelled = rows.select("bucket", "node", "size", "shared").join(label.select(F.col("id").alias("node"), "component"), "node", "left").select(
+        "bucket", "node", "size", "shared", F.coalesce("component", "node").alias("component"))
+    mixed = (labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
+             .filter("parts > 1").select("bucket", F.col("top.component").alias("main")))
+    return labelled.join(mixed, "bucket")
+
+
+def _shingles(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch.column("body"))
+            ids = batch.column("node").to_numpy()
+            for lo, hi in slices(offsets):
+                sets = shingle_sets(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo], k)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids[lo:hi], [len(s) for s in sets])), pa.array(np.concatenate(sets).view(np.int64))], names=["node", "shingle"])
+
+    return run
+
+
+def _shared(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``node, shared``: how many shingles of each of ``nodes(node, size)`` occur in another of them."""
+    rows = texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(_shingles(k), "node long, shingle long")
+    alone = (rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+             .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    return nodes.join(alone, "node", "left").select("node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _linkable(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``bucket, node, size, shared`` whose node can reach the similarity with another member at all.
+
+    Two sets have at most min(shared) in common, so a link needs
+    ``(100 + percent) * min(shared) >= percent * (size + size)``. The partner is
+    not smaller than the bucket's smallest set, nor than ``percent`` of this one.
+    This keeps documents apart that only share a very common passage, and near
+    copies that each went their own way too far.
+    """
+    smallest = rows.groupBy("bucket").agg(F.min("size").alias("smallest"))
+    partner = F.greatest(F.col("smallest"), F.ceil(F.col("size") * percent / 100))
+    return rows.join(smallest, "bucket").filter(
+        (100 + percent) * F.col("shared") >= percent * (F.col("size") + partner)).drop("smallest")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, body`` of the documents in ``nodes(node)``; a doc_id that repeats has each of its texts once."""
     bodies = docs.select(F.col("doc_id").cast("long").alias("node"), text_bytes().alias("body"))

@@ -85,3 +85,18 @@ def test_band_keys_catch_pairs_at_the_threshold():
         keys = minhash._bands(minhash._signatures_of([np.sort(v[:700]), np.sort(v[100:])]))
         found += bool((keys[0] == keys[1]).any())
     assert found >= 199
+
+
+def test_large_buckets_of_a_common_passage(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", 8)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    passage = [word() for _ in range(60)]
+    texts = [" ".join([word() for _ in range(rng.randrange(10, 60))] + passage) for _ in range(120)]
+    for i in range(60):  # near copies of one document, some too far from it
+        near = list(passage)
+        for _ in range(rng.randrange(0, 9)):
+            near[rng.randrange(len(near))] = word()
+        texts.append(" ".join(near))
+    df = docs_frame(spark, texts)
+    assert result(df) == brute(list(enumerate(texts)))
