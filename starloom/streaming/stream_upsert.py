@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators import quality
-from starloom.operators.upsert import latest_per_key, upsert
+from starloom.operators.upsert import assert_delta_keys, latest_per_key, upsert
 from starloom.plans.control import TableStore
 
 
@@ -39,8 +39,6 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
     critical columns (the row-count gate needs a source count and is run
     by the batch pipeline).
     """
-    if order_col is None:
-        raise ValueError("a stream needs order_col to pick the latest row of a key")
     checkpoint = checkpoint or os.path.join(store.root, "_streams", layer, table)
     applied: list[dict] = []
 
@@ -48,6 +46,8 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema: T.StructType, st
         stream = _stream_id(spark, checkpoint)
         if batch_id <= store.last_batch(layer, table, stream):
             return  # replay of an already published batch
+        if order_col is None:  # nothing says which of two rows is the latest
+            assert_delta_keys(batch, key)
         delta = latest_per_key(batch, key, order_col)
         current = store.read(layer, table)
         merged = delta if current is None else upsert(current, delta, key, order_col)

@@ -1,7 +1,6 @@
 """Cases in which rows, columns or filters used to be lost without a word."""
 
 import datetime as dt
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,8 +38,9 @@ def test_a_fresh_checkpoint_is_another_stream(spark, tmp_path):
     assert store.read("raw", "t").count() == 20
     assert stream_upsert(spark, str(tmp_path / "in1"), spark.createDataFrame([], schema).schema, store, "raw", "t",
                          order_col="d", checkpoint=str(tmp_path / "ck1")) == []
-    with pytest.raises(ValueError):
-        stream_upsert(spark, str(tmp_path / "in1"), None, store, "raw", "t", checkpoint=os.path.join(str(tmp_path), "x"))
+    spark.createDataFrame([(1, when), (1, when)], schema).coalesce(1).write.parquet(str(tmp_path / "twice"))
+    with pytest.raises(Exception, match="duplicate keys"):
+        stream_upsert(spark, str(tmp_path / "twice"), spark.createDataFrame([], schema).schema, store, "raw", "u", checkpoint=str(tmp_path / "x"))
 
 
 def test_unlisted_leave_types_and_years(spark):
