@@ -9,6 +9,10 @@ itself, by tag (a child of a boilerplate parent never is). Sum-product message
 passing, once upward and once downward, gives exact marginals on the tree; a
 piece of text stays when its owner's marginal reaches one half.
 
+Elements that name themselves as something else are boilerplate for certain,
+so their tags teach nothing; their inside counts for the size, link and
+sentence features only.
+
 The potentials are counts over labelled pages: pages with an ``article`` or
 ``main`` landmark label themselves (text in the landmark, outside elements
 that name themselves as something else, which are boilerplate for certain). Counting is one Spark aggregate over
@@ -290,22 +294,30 @@ class Model:
         weight = dict(counts)
         for key, n in self.PRIOR.items():
             weight[key] = weight.get(key, 0) + n
-        totals = [sum(n for (f, y), n in weight.items() if f[0] == "t" and f[1] == ":" and y == s) + 4 for s in (0, 1)]
+        totals: Counter = Counter()
+        for (f, y), n in weight.items():
+            totals[f[0], y] += n
         names = {f for f, _ in weight if not f.startswith("c:")}
-        self.odds = {f: math.log((weight.get((f, 1), 0) + 0.5) / totals[1]) - math.log((weight.get((f, 0), 0) + 0.5) / totals[0])
-                     for f in names}
+        log_share = lambda f, y: math.log((weight.get((f, y), 0) + 0.5) / (totals[f[0], y] + 4))
+        self.odds = {f: log_share(f, 1) - log_share(f, 0) for f in names}
         self.child = {}
         for f in {f for f, _ in weight if f.startswith("c:")} | {"c:"}:
             one, zero = weight.get((f, 1), 0) + 1, weight.get((f, 0), 0) + 1
             self.child[f] = one / (one + zero)
 
+    def _own(self, page: Page, i: int) -> float:
+        """Evidence odds of one element; names that define the labels decide as in the labels."""
+        if page.hint[i] == BAD:
+            return 0.0
+        if page.tag[i] in GOOD_TAGS:
+            return math.exp(20.0)
+        return math.exp(max(-30.0, min(30.0, sum(self.odds.get(f, 0.0) for f in page.features(i)))))
+
     def marginals(self, page: Page) -> list[float]:
         """P(content) of every variable, exactly, by one upward and one downward pass."""
         n = len(page.tag)
-        odds, child, parent = self.odds, self.child, page.parent
-        # an element that names itself as something else is boilerplate for certain, as in the labels
-        own = [0.0 if page.hint[i] == BAD else math.exp(max(-30.0, min(30.0, sum(odds.get(f, 0.0) for f in page.features(i)))))
-               for i in range(n)]
+        child, parent = self.child, page.parent
+        own = [self._own(page, i) for i in range(n)]
         # a boilerplate parent has boilerplate children only, so its message from a child is (1, q) with
         # q = P(child's evidence | parent content) / P(child's evidence | parent boilerplate)
         q, prior = [1.0] * n, [0.5] * n
@@ -338,8 +350,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             labels = page.labels()
             if labels is None:
                 continue
+            inside = [False] * len(labels)  # in an element that names itself as something else
             for i, y in enumerate(labels):
-                for f in page.features(i):
+                inside[i] = page.hint[i] == BAD or bool(i) and inside[page.parent[i]]
+                if page.hint[i] == BAD:
+                    continue
+                features = page.features(i)
+                for f in features[2:] if inside[i] else features:
                     counts[f, y] += 1
                 if i and labels[page.parent[i]]:
                     tag = page.tag[i]

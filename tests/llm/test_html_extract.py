@@ -30,7 +30,7 @@ def test_marginals_equal_enumeration(spark):
     model = H.train(spark.read.parquet(f"{SMALL}/pages.parquet"))
     page = H.Page("<body><div class='ad'><p>Buy, now.</p></div><div><p>Some words, and more of them here.</p><ul><li><a>x</a></li></ul></div>")
     n = len(page.tag)
-    own = [0.0 if page.hint[i] == H.BAD else math.exp(sum(model.odds.get(f, 0.0) for f in page.features(i))) for i in range(n)]
+    own = [model._own(page, i) for i in range(n)]
     total, on = 0.0, [0.0] * n
     for states in itertools.product((0, 1), repeat=n):
         weight = 1.0
