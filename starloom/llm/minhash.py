@@ -18,9 +18,12 @@ Plan, all as joins and grouped aggregates:
    outside the bucket's largest component are compared with every member of
    another component and of a possible size. Pairs inside a component need no
    test, so no link that could change a component is skipped, and a bucket of
-   near copies costs a linear number of comparisons. In large buckets the
-   shingles that occur in no other member are counted first: they bound every
-   similarity, and documents that provably link with no member leave;
+   near copies costs a linear number of comparisons. In large buckets each
+   document first gets ``PARTS`` counts, by hash range, of its shingles that
+   another member of such a bucket also has. Two sets have at most the sum of
+   the smaller counts in common, which bounds every similarity from above:
+   documents that provably link with no member leave, and only pairs that pass
+   the bound are compared in full;
 4. components of all confirmed links.
 
 Defined cases: words are split at ASCII white space after lower-casing A-Z; a
@@ -36,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import (LOWER, SPACE_WORDS, column_bytes, mix, roll, slices, small_batches, staged,
@@ -46,6 +49,7 @@ from starloom.llm.graph import connected_components
 SHINGLE = 5
 PERCENT = 75
 N_PERMS = 64
+PARTS = 32  # hash ranges of the shared-shingle counts
 LARGE = 8  # members from which a bucket's documents are first tested for being linkable at all
 BLOCK = 1 << 15  # shingles hashed at a time, sized for the CPU cache
 
@@ -181,19 +185,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     links = staged(confirmed(star, texts, k, percent), "links")
 
     label = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    several = buckets.join(least.select("bucket"), "bucket", "left_semi").withColumn("shared", F.col("size"))
+    several = buckets.join(least.select("bucket"), "bucket", "left_semi")
     open_rows = staged(_open_rows(several, label), "open")
     large = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE).select("bucket")
     in_large = open_rows.join(large, "bucket", "left_semi").select("bucket", "node", "size")
-    shared = staged(_shared(in_large.select("node", "size").distinct(), texts, k), "shared")
-    open_rows = open_rows.join(large, "bucket", "left_anti").unionByName(
-        _open_rows(_linkable(in_large.join(shared, "node"), percent), label))
-    sides = [open_rows.select("bucket", F.col("node").alias(f"n{i}"), F.col("component").alias(f"c{i}"), F.col("size").alias(f"z{i}"),
-                              F.col("shared").alias(f"s{i}"), "main") for i in "xy"]
-    possible = (F.col("cx") != F.col("cy")) & ((100 + percent) * F.least("sx", "sy", "zx", "zy") >= percent * (F.col("zx") + F.col("zy")))
-    again = (sides[0].filter("cx <> main").drop("main").join(sides[1].drop("main"), "bucket").filter(possible)
-             .select(F.least("nx", "ny").alias("a"), F.greatest("nx", "ny").alias("b")).distinct()
-             .join(star, ["a", "b"], "left_anti"))
+    shared = staged(_shared(in_large.select("node").distinct(), texts, k), "shared")
+    candidates = staged(_open_rows(_linkable(in_large.join(shared, "node"), percent), label), "linkable")
+    common = sum(F.least(f"x.p{i}", f"y.p{i}") for i in range(PARTS))
+    again = (_pairs(open_rows.join(large, "bucket", "left_anti"), percent, F.least("x.size", "y.size"))
+             .unionByName(_pairs(candidates, percent, common)).distinct().join(star, ["a", "b"], "left_anti"))
     more = confirmed(staged(again, "again"), texts, k, percent)
 
     edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same_id)
@@ -205,15 +205,26 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 
 def _open_rows(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """``bucket, node, size, shared, component, main`` of the buckets that hold several components; main is the largest."""
-    labelled = rows.select("bucket", "node", "size", "shared").join(label.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "bucket", "node", "size", "shared", F.coalesce("component", "node").alias("component"))
+    """``rows(bucket, node, ...)`` of the buckets that hold several components, with ``component`` and ``main``, the largest."""
+    labelled = rows.join(label.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
     mixed = (labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
              .filter("parts > 1").select("bucket", F.col("top.component").alias("main")))
     return labelled.join(mixed, "bucket")
 
 
+def _pairs(rows: DataFrame, percent: int, common: Column) -> DataFrame:
+    """``a, b``: members outside their bucket's main component with members of another component.
+
+    ``common`` bounds from above what ``x`` and ``y`` share; pairs that it keeps
+    under the similarity are left out.
+    """
+    linkable = (100 + percent) * common >= percent * (F.col("x.size") + F.col("y.size"))
+    return (rows.filter("component <> main").alias("x").join(rows.alias("y"), F.expr("x.bucket = y.bucket and x.component <> y.component") & linkable)
+            .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
+
+
 def _shingles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,19 +238,41 @@ def _shingles(k: int):
     return run
 
 
+def _counts(k: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch.column("body"))
+            for lo, hi in slices(offsets):
+                sets = shingle_sets(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo], k)
+                counts = np.array([np.bincount((s >> np.uint64(40)).view(np.int64) % PARTS, minlength=PARTS) for s in sets])
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(lo, hi - lo), *(pa.array(c) for c in counts.T)],
+                                                 names=["node", *(f"p{i}" for i in range(PARTS))])
+
+    return run
+
+
 def _shared(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """``node, shared``: how many shingles of each of ``nodes(node, size)`` occur in another of them."""
-    rows = texts.join(nodes.select("node"), "node", "left_semi").mapInArrow(_shingles(k), "node long, shingle long")
-    alone = (rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
-             .groupBy("node").agg(F.count(F.lit(1)).alias("own")))
-    return nodes.join(alone, "node", "left").select("node", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+    """``node, p0, p1, ...``: by hash range, how many shingles of each of ``nodes(node)`` may occur in another of them.
+
+    The texts of a doc_id that repeats count together, so each of them has at most these counts.
+    """
+    bodies = texts.join(nodes, "node", "left_semi")
+    ranges = range(PARTS)
+    part = F.shiftrightunsigned("shingle", 40) % PARTS
+    own = (bodies.mapInArrow(_shingles(k), "node long, shingle long")
+           .groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("other")).filter("node = other")
+           .groupBy("node").agg(*(F.count_if(part == i).alias(f"o{i}") for i in ranges)))
+    total = bodies.mapInArrow(_counts(k), "node long, " + ", ".join(f"p{i} long" for i in ranges)).groupBy("node").agg(
+        *(F.sum(f"p{i}").alias(f"p{i}") for i in ranges))
+    return total.join(own, "node", "left").select("node", *(
+        F.coalesce(F.col(f"p{i}") - F.col(f"o{i}"), F.col(f"p{i}"), F.lit(0)).cast("int").alias(f"p{i}") for i in ranges))
 
 
 def _linkable(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows of ``bucket, node, size, shared`` whose node can reach the similarity with another member at all.
+    """Rows of ``bucket, node, size, p0, p1, ...`` whose node can reach the similarity with another member at all.
 
-    Two sets have at most min(shared) in common, so a link needs
-    ``(100 + percent) * min(shared) >= percent * (size + size)``. The partner is
+    A set has at most the sum of its counts in common with any other, so a link
+    needs ``(100 + percent) * sum >= percent * (size + size)``. The partner is
     not smaller than the bucket's smallest set, nor than ``percent`` of this one.
     This keeps documents apart that only share a very common passage, and near
     copies that each went their own way too far.
@@ -247,7 +280,7 @@ def _linkable(rows: DataFrame, percent: int) -> DataFrame:
     smallest = rows.groupBy("bucket").agg(F.min("size").alias("smallest"))
     partner = F.greatest(F.col("smallest"), F.ceil(F.col("size") * percent / 100))
     return rows.join(smallest, "bucket").filter(
-        (100 + percent) * F.col("shared") >= percent * (F.col("size") + partner)).drop("smallest")
+        (100 + percent) * sum(F.col(f"p{i}") for i in range(PARTS)) >= percent * (F.col("size") + partner)).drop("smallest")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -69,6 +69,47 @@ def test_null_and_repeated_ids(spark):
     assert rows == [(-1, 1, -1, True), (1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 1, 1, False)]
 
 
+def test_repeated_ids_in_a_large_bucket(spark):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**7)}"
+    base = [word() for _ in range(80)]
+    rows = []
+    for i in range(40):
+        near = list(base)
+        for _ in range(rng.randrange(0, 4)):
+            near[rng.randrange(len(near))] = word()
+        rows.append((i, " ".join(near)))
+    rows += [(i, " ".join(word() for _ in range(90))) for i in range(0, 40, 3)]  # a second text under the same doc_id
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+    for _ in rows:  # smallest label over links and equal ids
+        for i, x in sets:
+            for j, y in sets:
+                if 100 * len(x & y) >= 75 * len(x | y):
+                    root[i] = root[j] = min(root[i], root[j])
+    assert found == root
+
+
+def test_counts_by_hash_range_bound_what_sets_share(spark):
+    rng = random.Random(6)
+    base = [f"b{rng.randrange(10**7)}" for _ in range(150)]
+    texts = []
+    for _ in range(30):
+        near = list(base)
+        for _ in range(rng.randrange(0, 9)):
+            near[rng.randrange(len(near))] = f"m{rng.randrange(10**7)}"
+        texts.append(" ".join(near))
+    rows = spark.createDataFrame(list(enumerate(t.encode() for t in texts)), "node long, body binary")
+    counts = {r.node: r[1:] for r in minhash._shared(rows.select("node"), rows, 5).collect()}
+    sets = [shingle_set(t) for t in texts]
+    for i, x in enumerate(sets):
+        others = frozenset().union(*(y for j, y in enumerate(sets) if j != i))
+        assert sum(counts[i]) == len(x & others)
+        for j, y in enumerate(sets[:i]):
+            assert sum(map(min, counts[i], counts[j])) >= len(x & y)
+
+
 def test_keep_one_keeps_columns(documents):
     kept = minhash.keep_one(documents)
     assert kept.columns == documents.columns
