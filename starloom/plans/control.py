@@ -5,8 +5,8 @@ Control tables are small (one row per source table or run) but are still
 DataFrames: decisions are one vectorised ``CASE`` over all tables, and the
 driver only reads the handful of rows it must act on.
 
-The watermark is derived state: the run log and the published pointer are
-the record, so a crash between publish and watermark write is recoverable.
+The watermark is derived state: the run log is the record, so a crash between
+publish and log only makes the next run read the same rows again.
 """
 
 from __future__ import annotations
@@ -224,8 +224,11 @@ class TableStore:
         return f"{self._dir(layer, table)}/_pointers"
 
     def _has_pointers(self, layer: str, table: str) -> bool:
+        return self._exists(self._pointer_dir(layer, table))
+
+    def _exists(self, folder: str) -> bool:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._pointer_dir(layer, table))
+        path = jvm.org.apache.hadoop.fs.Path(folder)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         return fs.exists(path)
 
@@ -257,6 +260,17 @@ class TableStore:
         out.write.mode("overwrite").option("maxRecordsPerFile", str(max_records_per_file)).parquet(path)
         return path
 
+    def append(self, rows: DataFrame, layer: str, name: str, table: str, run_id: str) -> None:
+        """Add a run's rows about ``table`` to the log ``name``, in a folder that no other run writes."""
+        rows.write.mode("errorifexists").parquet(f"{self._dir(layer, name)}/{table}/{run_id}")
+
+    def read_appended(self, layer: str, name: str, schema, table: str | None = None) -> DataFrame:
+        """All rows of the log ``name``, or those about one table."""
+        folder = f"{self._dir(layer, name)}/{table}" if table else self._dir(layer, name)
+        if not self._exists(folder):
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+
     def last_batch(self, layer: str, table: str, stream: str) -> int:
         """The last batch that ``stream`` published, -1 before its first."""
         if not self._has_pointers(layer, table):

@@ -4,15 +4,21 @@
 ingestion job does:
 
 1. the load plan (full or incremental, with the reason) from the published
-   table and the watermark table;
+   table and the table's watermark;
 2. full: the whole source, cleaned, as a new version (an empty source is
-   skipped, never published); incremental: rows
-   changed after the watermark, deduplicated latest-first, upserted into
-   the current version (nothing is written when nothing changed);
-3. gates on the staged version; a failing gate leaves the published
-   version and the watermark date untouched and counts a failure;
-4. the watermark table and the run log are written as new versions in the
-   ``metadata`` layer.
+   skipped, never published); incremental: rows changed after the watermark
+   are read once and staged, deduplicated latest-first, upserted into the
+   current version (nothing is published when nothing changed);
+3. both paths turn NULL tokens, infinities and NaN into NULL and cast to the
+   given types, incremental batches also to the table's own; rejected values
+   are counted per column and kept with the run;
+4. gates on the staged version; a failing gate leaves the published version
+   and the watermark date untouched and counts a failure;
+5. one row in the run log, in a folder of the run's own.
+
+Loads of different tables share no file, so any number can run at once.
+Watermarks are derived from the run log: a crash between publish and log
+leaves the old watermark, and the next run upserts the same rows again.
 
 All data work is Spark jobs; the driver reads only one-row frames (plan,
 profile, counts, verdicts).
@@ -26,45 +32,60 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.clean import cast_to, sanitize
 from starloom.operators import quality
 from starloom.operators.upsert import DeltaKeyError, check_delta_keys, latest_per_key, upsert, upsert_counts
 from starloom.plans import control
 from starloom.sources import ingest
 
 META = "metadata"
-WATERMARKS = "table_watermarks"
 RUN_LOG = "extraction_log"
-RESULT_SCHEMA = "table_name string, status string, max_date timestamp_ntz, rows_inserted bigint, full boolean"
+REJECTS = "cast_rejects"
+STAGING = "staging"
+REJECT_SCHEMA = "table_name string, run_id string, column string, target_type string, rejected bigint"
 
 
 def _utcnow() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def read_watermarks(store: control.TableStore) -> DataFrame:
-    wm = store.read(META, WATERMARKS)
-    return wm if wm is not None else control.empty(store.spark, control.WATERMARK_SCHEMA)
+def read_log(store: control.TableStore, table: str | None = None) -> DataFrame:
+    """Run log of one table, or of all."""
+    return store.read_appended(META, RUN_LOG, control.LOG_SCHEMA, table)
 
 
-def read_log(store: control.TableStore) -> DataFrame:
-    log = store.read(META, RUN_LOG)
-    return log if log is not None else control.empty(store.spark, control.LOG_SCHEMA)
+def read_rejects(store: control.TableStore, table: str | None = None) -> DataFrame:
+    """Values that no run could cast, counted per run and column (only counts above 0)."""
+    return store.read_appended(META, REJECTS, REJECT_SCHEMA, table)
+
+
+def read_watermarks(store: control.TableStore, table: str | None = None) -> DataFrame:
+    """Watermarks from the run log, each table's runs taken from its last completed full load on.
+
+    Runs that skipped an empty source leave no trace.
+    """
+    log = read_log(store, table).where(F.col("status") != "skipped_empty")
+    full = (F.col("status") == "completed") & (F.col("extraction_type") == "full")
+    since = log.groupBy("table_name").agg(F.max(F.when(full, F.col("start_time"))).alias("_since"))
+    recent = log.join(since, "table_name").where(F.col("_since").isNull() | (F.col("start_time") >= F.col("_since")))
+    return control.watermarks_from_log(recent.drop("_since"))
 
 
 def load_table(store: control.TableStore, table: str, source: DataFrame, date_col: str, key: str = "id",
                critical: list[str] = (), source_name: str = "erp_source", layer: str = "raw",
-               run_ts: dt.datetime | None = None, max_failures: int = control.MAX_FAILURES,
+               types: dict[str, str] | None = None, run_ts: dt.datetime | None = None, max_failures: int = control.MAX_FAILURES,
                max_age_days: int = control.MAX_FULL_LOAD_AGE_DAYS) -> dict:
     """Run one load of ``table`` from ``source``; returns the run summary.
 
-    Raises ``quality.DataQualityError`` (after recording the failure) when a
+    ``types`` names the warehouse types of columns to cast. One load of a
+    table runs at a time; loads of different tables are independent. Raises ``quality.DataQualityError`` (after recording the failure) when a
     gate fails, and ``DeltaKeyError`` when the delta has NULL keys.
     """
     spark = store.spark
     run_ts = run_ts or _utcnow()
     started = _utcnow()
     run_id = uuid.uuid4().hex
-    watermarks = read_watermarks(store)
+    watermarks = read_watermarks(store, table)
     tables = spark.createDataFrame([(table, store.exists(layer, table))], "table_name string, exists boolean")
     plan = control.load_plan(tables, watermarks, run_ts, max_failures, max_age_days).first()
     source_rows = source.agg(F.count(F.lit(1)).alias("source_rows"))
@@ -80,22 +101,29 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
         return summary
     try:
         if full:
-            snap = ingest.full_snapshot(source, table, run_ts, source_name)
+            snap, rejected = cast_to(sanitize(ingest.full_snapshot(source, table, run_ts, source_name)), types or {})
+            _keep_rejects(store, table, run_id, rejected)
             hwm = control.high_water_mark(source, date_col).first()[0]
             published, _ = control.gated_publish(store, snap, layer, table, source_rows, critical, run_id, hwm, key,
                                                  sort_within=[date_col])
             n = published.count()
             summary.update(extracted=n, inserted=n, max_date=hwm)
         else:
-            prof = ingest.delta_profile(source, date_col, plan["watermark"]).first()
+            changed = ingest.clean_batch(ingest.incremental_scan(source, date_col, plan["watermark"]), table, run_ts, source_name)
+            # read once: what is profiled, counted and merged is what was staged
+            staged = spark.read.parquet(store.stage(sanitize(changed), f"{STAGING}/{layer}", table, run_id))
+            prof = ingest.delta_profile(staged, date_col, plan["watermark"]).first()
             summary["extracted"] = prof["modified_rows"]
             if prof["modified_rows"]:
-                changed = ingest.incremental_scan(source, date_col, plan["watermark"])
-                delta = latest_per_key(ingest.clean_batch(changed, table, run_ts, source_name), key, date_col)
+                current = store.read(layer, table)
+                known = {f.name: f.dataType for f in staged.schema.fields}
+                own = {f.name: f.dataType for f in current.schema.fields if known.get(f.name, f.dataType) != f.dataType}
+                cast, rejected = cast_to(staged, {**(types or {}), **own})
+                _keep_rejects(store, table, run_id, rejected)
+                delta = latest_per_key(cast, key, date_col)
                 bad = check_delta_keys(delta, key).first()
                 if bad["null_keys"]:
                     raise DeltaKeyError(f"{table}: {bad['null_keys']} delta rows without {key}")
-                current = store.read(layer, table)
                 counts = upsert_counts(current, delta, key).first()
                 merged = upsert(current, delta, key)
                 control.gated_publish(store, merged, layer, table, source_rows, critical, run_id,
@@ -107,31 +135,29 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
     except Exception as exc:  # noqa: BLE001 - any failed run is counted, then re-raised
         summary["status"] = "failed"
         error = exc
-    finally:
-        _record(store, table, summary, full, run_ts, started, None if error is None else str(error))
+    try:
+        _log(store, table, summary, full, started, None if error is None else str(error))
+    except Exception as log_error:  # noqa: BLE001 - the load's own error comes first
+        if error is None:
+            raise
+        error.add_note(f"the run log was not written: {log_error}")
     if error is not None:
         raise error
     return summary
 
 
-def _record(store: control.TableStore, table: str, summary: dict, full: bool, run_ts: dt.datetime,
-            started: dt.datetime, error: str | None) -> None:
-    """Write the new watermark and log versions (small control tables)."""
-    spark = store.spark
-    ok = summary["status"] == "completed"
-    result = spark.createDataFrame(
-        [(table, summary["status"], summary["max_date"] if ok else None, int(summary["inserted"]) if ok else 0, full)],
-        RESULT_SCHEMA)
-    wm = control.advance_watermark(read_watermarks(store), result, run_ts)
-    store.publish(META, WATERMARKS, store.stage(wm, META, WATERMARKS, summary["run_id"]))
-    _log(store, table, summary, full, started, error)
+def _keep_rejects(store: control.TableStore, table: str, run_id: str, rejected: DataFrame) -> None:
+    rows = rejected.where("rejected > 0").select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"),
+                                                 "column", "target_type", "rejected")
+    store.append(rows, META, REJECTS, table, run_id)
 
 
 def _log(store: control.TableStore, table: str, summary: dict, full: bool, started: dt.datetime,
          error: str | None) -> None:
-    spark = store.spark
-    entry = control.log_entry(spark, table, "full" if full else "incremental", started, _utcnow(),
-                              int(summary["extracted"]), int(summary["inserted"]), int(summary["updated"]),
-                              summary["status"], summary["max_date"], error)
-    log = control.append_log(read_log(store), entry)
-    store.publish(META, RUN_LOG, store.stage(log, META, RUN_LOG, summary["run_id"]))
+    """One row of the run log; its id is taken from the run id."""
+    ok = summary["status"] == "completed"
+    entry = control.log_entry(store.spark, table, "full" if full else "incremental", started, _utcnow(),
+                              int(summary["extracted"]), int(summary["inserted"]) if ok else 0,
+                              int(summary["updated"]) if ok else 0, summary["status"],
+                              summary["max_date"] if ok else None, error, int(summary["run_id"][:15], 16))
+    store.append(entry.coalesce(1), META, RUN_LOG, table, summary["run_id"])

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import tempfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,3 +78,54 @@ def test_empty_source_is_skipped(spark):
     assert out["status"] == "skipped_empty" and not store.exists("raw", "sale_order")
     assert load.read_watermarks(store).count() == 0
     assert [r["status"] for r in load.read_log(store).collect()] == ["skipped_empty"]
+
+
+def test_loads_of_several_tables_at_once(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    src = _source(spark).where("cast(id as bigint) % 50 = 0")
+    names = ["t1", "t2", "t3", "t4"]
+    with ThreadPoolExecutor(4) as pool:
+        out = list(pool.map(lambda t: load.load_table(store, t, src, "write_date", run_ts=T1), names))
+    assert [o["status"] for o in out] == ["completed"] * 4
+    assert sorted(r["table_name"] for r in load.read_watermarks(store).collect()) == names
+    log = load.read_log(store).collect()
+    assert sorted(r["table_name"] for r in log) == names
+    assert len({r["id"] for r in log}) == 4 and None not in {r["id"] for r in log}
+
+
+def test_crash_between_publish_and_log(spark, monkeypatch):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    src = _source(spark).where("cast(id as bigint) % 50 = 0")
+    load.load_table(store, "t", src, "write_date", run_ts=T1)
+    hwm = src.agg(F.max("write_date")).first()[0]
+    late = spark.createDataFrame([("999999", "S1", "draft", None, hwm, hwm + dt.timedelta(days=1))], src.schema)
+
+    def lost(*_):
+        raise OSError("executor lost")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(load, "_log", lost)
+        load.load_table(store, "t", src.unionByName(late), "write_date", run_ts=T2)
+    assert load.read_watermarks(store).first()["last_extracted_date"] == hwm
+    again = load.load_table(store, "t", src.unionByName(late), "write_date", run_ts=T3)
+    assert (again["extracted"], again["inserted"], again["updated"]) == (1, 0, 1)
+    assert store.read("raw", "t").count() == src.count() + 1
+    assert load.read_watermarks(store).first()["last_extracted_date"] == hwm + dt.timedelta(days=1)
+
+
+def test_increments_are_sanitised_cast_and_reported(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    schema = "id string, name string, amount string, rate double, write_date timestamp_ntz"
+    day = dt.datetime(2024, 1, 1)
+    first = [("1", "a", "10", 1.5, day), ("2", "None", "x", float("inf"), day), ("3", "c", "7", 2.0, day)]
+    types = {"amount": "integer"}
+    load.load_table(store, "p", spark.createDataFrame(first, schema), "write_date", run_ts=T1, types=types)
+    later = day + dt.timedelta(days=1)
+    second = first[:1] + [("2", "nan", "y", float("nan"), later), ("3", "<NA>", "8", 3.0, later), ("4", "d", "z", 1.0, later)]
+    out = load.load_table(store, "p", spark.createDataFrame(second, schema), "write_date", run_ts=T2, types=types)
+    assert (out["inserted"], out["updated"]) == (1, 2)
+    rows = store.read("raw", "p").orderBy("id").select("id", "name", "amount", "rate").collect()
+    assert [tuple(r) for r in rows] == [("1", "a", 10, 1.5), ("2", None, None, None), ("3", None, 8, 3.0), ("4", "d", None, 1.0)]
+    rejects = load.read_rejects(store, "p").collect()
+    assert sorted((r["column"], r["rejected"]) for r in rejects) == [("amount", 1), ("amount", 2)]
+    assert out["run_id"] in {r["run_id"] for r in rejects}
