@@ -8,11 +8,14 @@ by a running sum over the sources ordered by cap / weight.
 
 Selection, for each source: whole passes over the source first, then documents
 for the rest of the budget. Documents are counted by exact length; every
-length gives its proportional share (rounded down), the largest remainders
-fill up until at most ``DP_WORDS`` are open, and a bounded-knapsack dynamic
-programme over the lengths still on hand (bit sets of reachable sums) closes
-the rest with the largest sum within the budget. Only (source, length, count) rows
-reach that step; they are bounded by the number of distinct lengths.
+length gives its proportional share (rounded down), the largest remainders,
+then documents in bulk, longest first, fill up until at most ``DP_WORDS`` are
+open, and a bounded-knapsack dynamic programme over the lengths still on hand
+closes the rest with the largest sum within the budget. Where that leaves words
+open, it runs again over the whole rest, up to ``WIDEST_WORDS``; where shares
+leave more than ``KEEP_WORDS`` open because the documents on hand are too long,
+short documents are handed back and chosen anew with them. Only (source, length,
+count) rows reach these steps; they are bounded by the number of distinct lengths.
 
 Which documents of a length are taken is settled by a seeded hash of doc_id
 and text: large length groups are cut into hash ranges of about ``RANGE_ROWS``
@@ -40,6 +43,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 DP_WORDS = 1 << 15
+WIDEST_WORDS = 1 << 24
+KEEP_WORDS = 256
 RANGE_ROWS = 4096
 SEED = 20240601
 
@@ -69,41 +74,102 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most
     return rows.select("source", "source_size", F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: float, limit: int = DP_WORDS) -> np.ndarray:
+def largest_sum(lengths: np.ndarray, left: np.ndarray, goal: int) -> np.ndarray:
+    """How many documents of each length give the largest sum up to ``goal``, exactly."""
+    take = np.zeros(len(lengths), np.int64)
+    reach = np.zeros(goal + 1, bool)
+    by = np.full(goal + 1, -1, np.int32)  # the step that reached a sum first
+    reach[0], top, steps = True, 0, []
+    for i in np.argsort(lengths, kind="stable"):
+        size, rest = int(lengths[i]), int(left[i])
+        part = 1
+        while 0 < size <= goal and rest > 0 and part * size <= goal and not reach[goal]:
+            part = min(part, rest)
+            words = part * size
+            end = min(top, goal - words) + 1
+            new = np.flatnonzero(reach[:end] & ~reach[words: words + end]) + words
+            reach[new], by[new] = True, len(steps)
+            top = max(top, int(new[-1]) if len(new) else 0)
+            steps.append((i, part, words))
+            rest -= part
+            part *= 2
+    at = top
+    while at:
+        i, part, words = steps[by[at]]
+        take[i] += part
+        at -= words
+    return take
+
+
+def _fill(lengths: np.ndarray, left: np.ndarray, order: np.ndarray, goal: int, window: int) -> np.ndarray:
+    """Documents for ``goal`` words: one of each length in ``order``, then in bulk, the last ``window`` words exactly."""
+    take, rest = np.zeros(len(lengths), np.int64), goal
+    for i in order:
+        if rest <= window:
+            break
+        if left[i] > 0 and 0 < lengths[i] <= rest:
+            take[i] += 1
+            rest -= int(lengths[i])
+    for i in np.argsort(-lengths, kind="stable"):
+        if rest <= window:
+            break
+        if lengths[i] > 0:
+            size = int(lengths[i])
+            n = min(int(left[i] - take[i]), rest // size, -((window - rest) // size))
+            take[i] += n
+            rest -= n * size
+    # above the window, no document on hand is as short as the rest
+    return take + largest_sum(lengths, left - take, rest) if rest <= window else take
+
+
+def _handed_back(lengths: np.ndarray, take: np.ndarray, space: int, enough: bool = False) -> np.ndarray:
+    """Documents of ``take``, shortest first, of at most ``space`` words, or of at least so many if ``enough``."""
+    back = np.zeros(len(lengths), np.int64)
+    for i in np.argsort(lengths, kind="stable"):
+        if lengths[i] > 0 and space > 0:
+            size = int(lengths[i])
+            back[i] = min(int(take[i]), -(-space // size) if enough else space // size)
+            space -= int(back[i]) * size
+    return back
+
+
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: float, limit: int = DP_WORDS, widest: int = WIDEST_WORDS) -> np.ndarray:
     """How many documents of each length to take: the largest sum within ``budget``, rounded."""
     total = int((lengths * counts).sum())
     if total == 0 or budget <= 0:
         return np.zeros(len(lengths), np.int64)
     share = np.minimum(counts * min(1.0, budget / total), counts)
     take = np.floor(share).astype(np.int64)
-    rest = budget - float((take * lengths).sum())
-    for i in np.lexsort((lengths, -(share - take))):  # largest remainder first
-        if rest <= limit:
+    goal = int(round(budget - float((take * lengths).sum())))
+    order = np.lexsort((lengths, -(share - take)))  # largest remainder first
+    words = lambda n: int((n * lengths).sum())
+    more = _fill(lengths, counts - take, order, goal, limit)
+    on_hand = np.unique(lengths[(counts > take) & (lengths > 0)])
+    step = int(np.gcd.reduce(on_hand)) if len(on_hand) else 1
+    most = min(goal - goal % step, words(counts - take))  # no choice gives more
+    if words(more) < most and goal > limit:
+        more = max(more, _fill(lengths, counts - take, order, goal, widest), key=words)
+    take, gap = take + more, goal - words(more)
+    # shares that leave more than KEEP_WORDS open give way: short documents are handed back for longer ones
+    while gap > widest:
+        above = [i for i in np.flatnonzero((counts > take) & (lengths > gap)) if lengths[i] <= gap + words(take)]
+        if not above:
             break
-        if take[i] < counts[i] and 0 < lengths[i] <= rest:
-            take[i] += 1
-            rest -= lengths[i]
-    goal = int(round(rest))
-    reach, steps = 1, []  # bit s: sum s can be reached
-    mask = (1 << (min(goal, limit) + 1)) - 1
-    for i in np.argsort(lengths, kind="stable"):
-        left, size = int(counts[i] - take[i]), int(lengths[i])
-        if left <= 0 or size <= 0 or size > goal:
-            continue
-        part = 1
-        while left > 0 and part * size <= goal:
-            part = min(part, left)
-            steps.append((i, part, part * size, reach))
-            reach |= (reach << (part * size)) & mask
-            left -= part
-            part *= 2
-        if goal <= limit and reach >> goal & 1:
+        i = min(above, key=lambda i: lengths[i])
+        back = _handed_back(lengths, take, int(lengths[i]) - gap, enough=True)
+        left = gap + words(back) - int(lengths[i])
+        if left >= gap:
             break
-    at = reach.bit_length() - 1
-    for i, part, words, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += part
-            at -= words
+        take = take - back
+        take[i] += 1
+        more = _fill(lengths, counts - take, order, left, widest)
+        take, gap = take + more, left - words(more)
+    above = lengths[(counts > take) & (lengths > gap)]
+    for window in (min(widest, int(above.min()) + limit), widest) if len(above) else ():
+        if KEEP_WORDS < gap <= window:
+            back = _handed_back(lengths, take, window - gap)
+            again = largest_sum(lengths, counts - take + back, gap + words(back))
+            take, gap = take - back + again, gap + words(back) - words(again)
     return take
 
 

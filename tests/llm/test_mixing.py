@@ -89,3 +89,28 @@ def test_fit_budget_is_largest_within_by_brute_force():
         got = int((take * lengths).sum())
         goal = int(start @ lengths) + round(budget - float(start @ lengths))
         assert got == max(s for s in sums if s <= goal)
+
+
+def test_budgets_above_the_limit_with_one_dominating_document():
+    def words(lengths, counts, budget, **kw):
+        lengths, counts = np.array(lengths), np.array(counts)
+        take = mixing.fit_budget(lengths, counts, float(budget), **kw)
+        assert (take >= 0).all() and (take <= counts).all()
+        return int(take @ lengths)
+
+    assert words([10, 2_000_000], [1_000_000, 1], 6_000_000) == 6_000_000  # short documents in bulk
+    assert words([10, 900_000], [10, 1], 900_050) == 900_050               # shares handed back for the long one
+    assert words([10, 900_000], [10, 1], 890_000) == 100                   # nothing else is within the budget
+    assert words([7, 400_000, 900_000], [3, 2, 1], 1_300_000) == 1_300_000
+    assert words([200_000, 300_000], [2, 1], 450_000) == 400_000           # not 300,000, the longest first
+    assert words([10, 30_000], [10, 1], 30_050, limit=16, widest=64) == 30_050  # longer than the widest window
+    rng = np.random.default_rng(6)
+    for _ in range(40):  # the same as brute force when all is above the limit
+        lengths = np.sort(rng.choice(np.arange(300, 4000), rng.integers(1, 5), replace=False))
+        counts = rng.integers(1, 4, len(lengths))
+        budget = int(rng.integers(1, (lengths * counts).sum()))
+        sums = {0}
+        for n, c in zip(lengths, counts):
+            sums = {s + int(n) * k for s in sums for k in range(c + 1)}
+        best = max(s for s in sums if s <= budget)
+        assert best - words(lengths, counts, budget, limit=16) <= max(0, mixing.KEEP_WORDS - (budget - best))
