@@ -11,12 +11,17 @@ Python on the executors and no shuffle of texts.
 * *Boosted trees* (logistic loss, depth two) are fitted to the counts of
   feature combinations, labelled by agreement with a base span. The leading
   plus sign is no feature, so formats that miss only that can be recognised.
+  A candidate that the base rules cannot judge (a phone number without the
+  plus, an e-mail address with a domain but other characters) is no example of
+  anything else: it counts as one only if its format or context fails
+  (``_verdict``, ``_open``), and is left out of fit and calibration otherwise.
+  Signed phone numbers are examples with and without their country code.
   Counting is one grouped aggregate over all documents; the number of
   combinations is bounded by the bins, and only that table reaches the driver.
 * *Calibration*: on the half of the documents (by hash of the text) that the
   trees did not see, each kind's threshold is the lowest score at which the
-  candidates above it agree with base spans at ``PRECISION`` or more; without
-  ``MIN_AGREE`` agreeing candidates a kind selects nothing.
+  judged candidates above it agree with base spans at ``PRECISION`` or more;
+  without ``MIN_AGREE`` agreeing candidates a kind selects nothing.
 
 A candidate over its threshold that overlaps no base span is added; base spans
 always stay. Offsets count code points from 0, ends exclusive.
@@ -142,32 +147,40 @@ def _beside(c: Column) -> Column:
     return F.when((c == "") | c.rlike(r"^\s$"), 0).when(c.rlike("[A-Za-z]"), 1).when(c.rlike("[0-9]"), 2).otherwise(3)
 
 
-def candidates(text: Column) -> Column:
-    """``array<struct<start, end, kind, digits, ...>>``: wide spans of all kinds with their features."""
+def _shape(m: Column) -> list[Column]:
+    """Format features of one match."""
+    digits, n = _digits(m), F.length(_digits(m))
+    return [
+        _bin(n, [1, 7, 9, 10, 11, 12, 13, 16, 17, 20]).alias("digits"),
+        F.when(n.between(13, 19), F.when(luhn(digits), 1).otherwise(0)).otherwise(0).alias("luhn"),
+        sum((F.when(m.contains(ch), 1 << i).otherwise(0) for i, ch in enumerate("(-. ")), F.lit(0)).alias("separators"),
+        F.least(F.lit(6), F.size(F.filter(F.split(m, "[^0-9]+"), lambda x: x != ""))).alias("groups")]
+
+
+def candidates(text: Column, phones: bool = False) -> Column:
+    """``array<struct<start, end, kind, digits, ...>>``: wide spans of all kinds with their features, and the ``phone`` itself if asked for."""
     views, number = _views(text), text.rlike("[0-9]")
     may = {"email": text.contains("@"), "ip": number, "card": number, "phone": number}
     none = F.array().cast("array<struct<start:int,end:int,text:string>>")
 
     def described(kind: str):
         def one(c: Column) -> Column:
-            m, digits = c["text"], _digits(c["text"])
-            n = F.length(digits)
+            m = c["text"]
             plain = F.translate(m, _ONE + _TWO, " .")
             before = F.lower(F.substring(text, F.greatest(c["start"] - CONTEXT + 1, F.lit(1)), F.least(c["start"], F.lit(CONTEXT))))
             context = F.lit(0)
             for code, found in sorted(CONTEXT_WORDS.items(), reverse=True):
                 context = F.when(before.rlike(rf"(?:^|[^a-z])(?:{found})[^a-z]*$"), code).otherwise(context)
-            separators = sum((F.when(plain.contains(ch), 1 << i).otherwise(0) for i, ch in enumerate("(-. ")), F.lit(0))
             parts = F.size(F.split(m, r"\."))
             return F.struct(
                 c["start"].alias("start"), c["end"].alias("end"), F.lit(KINDS.index(kind)).alias("kind"),
-                _bin(n, [1, 7, 9, 10, 11, 12, 13, 16, 17, 20]).alias("digits"),
-                F.when(n.between(13, 19), F.when(luhn(digits), 1).otherwise(0)).otherwise(0).alias("luhn"),
-                separators.alias("separators"), F.least(F.lit(6), F.size(F.filter(F.split(plain, "[^0-9]+"), lambda x: x != ""))).alias("groups"),
+                (m.startswith("+") if kind == "phone" else F.lit(True)).alias("signed"),
+                *_shape(plain),
                 _beside(F.when(c["start"] > 0, F.substring(text, c["start"], F.lit(1))).otherwise("")).alias("lead"),
                 _beside(F.substring(text, c["end"] + 1, F.lit(1))).alias("tail"), context.alias("context"),
                 (F.when(plain.rlike(r"@[A-Za-z0-9.-]*\.[A-Za-z]{2,24}$"), 1).otherwise(0) if kind == "email" else F.lit(0)).alias("domain"),
-                (F.when(_octets_ok(m) & (parts == 4), 2).when(parts == 4, 1).otherwise(0) if kind == "ip" else F.lit(0)).alias("octets"))
+                (F.when(_octets_ok(m) & (parts == 4), 2).when(parts == 4, 1).otherwise(0) if kind == "ip" else F.lit(0)).alias("octets"),
+                *([(m if kind == "phone" else F.lit("")).alias("phone")] if phones else []))
 
         return one
 
@@ -204,7 +217,7 @@ class Model:
     thresholds: list[float] = field(default_factory=lambda: [float("inf")] * len(KINDS))
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return self.start + sum((t.values(x) for t in self.trees), np.zeros(len(x)))
+        return sum((t.values(x) for t in self.trees), np.full(len(x), self.start))  # added up as in ``column``: thresholds are met exactly
 
     def column(self, c: Column) -> Column:
         return sum((t.column(c) for t in self.trees), F.lit(self.start))
@@ -258,21 +271,50 @@ def threshold(score: np.ndarray, n: np.ndarray, agree: np.ndarray, precision: fl
     return float(s[np.flatnonzero(ok)[-1]]) if ok.any() else float("inf")
 
 
+def _verdict(c: Column, base: Column) -> Column:
+    """1: agrees with a base span; 0: is none; null: the base rules cannot judge it, its format and context pass."""
+    kind = lambda k: c["kind"] == KINDS.index(k)
+    phone = kind("phone") & ~c["signed"] & c["digits"].between(3, 7) & c["context"].isin(0, 1)  # 9 to 15 digits
+    email = kind("email") & (c["domain"] == 1)
+    beside = c["lead"].isin(1, 2) | c["tail"].isin(1, 2)
+    other = F.exists(base, lambda spans: _overlaps(c, spans))
+    return F.when(_overlaps(c, F.element_at(base, c["kind"] + 1)), 1).when((phone | email) & ~beside & ~other, None).otherwise(0)
+
+
+def _layout(r) -> tuple[int, ...]:
+    return r.kind, r.digits, r.separators, r.groups
+
+
+def _open(r, agreed: dict[tuple[int, ...], int]) -> bool:
+    """Whether an unjudged cell stays so: its context announces the kind, or signed numbers are often laid out like it."""
+    return KINDS[r.kind] != "phone" or r.context == 1 or (r.separators > 0 and agreed.get(_layout(r), 0) >= MIN_AGREE)
+
+
 def train(docs: DataFrame) -> Model:
     """Fit trees on one half of the documents and thresholds on the other."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9@]"))
     base = F.array(*[F.transform(s, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))) for s in base_spans(F.col("text")).values()])
-    found = rows.select((F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("fit"), base.alias("base"), candidates(F.col("text")).alias("found"))
-    one = found.select("fit", "base", F.explode("found").alias("c")).select(
-        "fit", "c.*", F.when(_overlaps(F.col("c"), F.element_at("base", F.col("c.kind") + 1)), 1).otherwise(0).alias("agree"))
-    cells = one.groupBy("fit", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.sum("agree").alias("agree")).collect()
-    cells.sort(key=lambda r: tuple(r))
+    found = rows.select((F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("fit"), base.alias("base"), candidates(F.col("text"), phones=True).alias("found"))
+    one = found.select("fit", "base", F.explode("found").alias("c")).select("fit", "c.*", _verdict(F.col("c"), F.col("base")).alias("agree"))
+    # a signed number without its country code is an example too, of how numbers are written in their country
+    short = F.regexp_replace("phone", r"^\+[0-9]{1,3}(?:[ .-]+|(?=\())", "")
+    shape = lambda *columns: F.array(F.struct(*columns))
+    shapes = shape("digits", "luhn", "separators", "groups")
+    twice = F.filter(F.concat(shapes, shape(*_shape(short))), lambda x: x["digits"].between(3, 7))
+    one = one.withColumn("shape", F.explode(F.when((F.col("agree") == 1) & (short != F.col("phone")), twice).otherwise(shapes))).select(
+        "fit", "agree", *[F.col(f"shape.{f}") if f in ("digits", "luhn", "separators", "groups") else F.col(f) for f in FEATURES])
+    cells = one.groupBy("fit", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.count("agree").alias("judged"), F.sum("agree").alias("agree")).collect()
+    cells.sort(key=lambda r: tuple(r[c] for c in ("fit", *FEATURES)))
+    agreed: dict[tuple[int, ...], int] = {}
+    for r in cells:
+        agreed[_layout(r)] = agreed.get(_layout(r), 0) + (r.agree or 0)
 
     def arrays(fit: bool):
-        own = [r for r in cells if r.fit is fit]
-        return (np.array([[r[f] for f in FEATURES] for r in own], np.int64).reshape(-1, len(FEATURES)),
-                np.array([r.n for r in own], float), np.array([r.agree for r in own], float))
+        own = [(r, r.judged if _open(r, agreed) else r.n) for r in cells if r.fit is fit]
+        own = [(r, n) for r, n in own if n]
+        return (np.array([[r[f] for f in FEATURES] for r, _ in own], np.int64).reshape(-1, len(FEATURES)),
+                np.array([n for _, n in own], float), np.array([r.agree or 0 for r, _ in own], float))
 
     x, n, agree = arrays(True)
     if not len(x) or agree.sum() == 0:

@@ -86,3 +86,17 @@ def test_boosting_and_threshold():
     assert ((model.raw(x) > 0) == [False, True, False, True]).all()
     assert pii.threshold(np.array([3.0, 2.0, 1.0]), np.array([30.0, 30, 30]), np.array([30.0, 30, 3])) == 2.0
     assert pii.threshold(np.array([3.0]), np.array([5.0]), np.array([5.0])) == float("inf")
+
+
+def test_scan_adds_common_formats_that_miss_the_plus(spark):
+    rng = random.Random(7)
+    tail = lambda: f"({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)}"
+    texts = [f"call +1 {tail()} now" for _ in range(200)] + [f"we are at +1 {tail()} today" for _ in range(200)]
+    texts += [f"order {rng.randrange(10**8, 10**15)} of {rng.randrange(1900, 2030)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)}" for _ in range(200)]
+    texts += [f"seen 20{rng.randrange(10, 30)}-{rng.randrange(10, 13)}-{rng.randrange(10, 29)} {rng.randrange(10, 24)} and {rng.randrange(10**8, 10**12)}" for _ in range(200)]
+    missed = [f"call 1 {tail()} now" for _ in range(100)] + [f"we are at 1 {tail()} today" for _ in range(100)]  # a third of the phones
+    missed += [f"call {tail()} now" for _ in range(50)]  # a layout that no signed number has
+    rows = sorted(pii.scan(docs_frame(spark, texts + missed)).collect(), key=lambda r: r.doc_id)
+    assert [r.n_added for r in rows[:800]] == [0] * 800
+    assert [r.n_added for r in rows[800:]] == [1] * 250
+    assert "[PHONE]" in pii.redacted(docs_frame(spark, texts + missed)).filter("doc_id = 805").first().text
