@@ -10,8 +10,9 @@
    every shard by a join on the shard number. A query's beam widens until it
    holds a row below the threshold, so large groups are found whole. Then a
    hashed share of the block's queries is compared with the whole shard; while
-   the audited recall is under ``RECALL``, all beams of the block widen and the
-   search runs again, up to a beam as wide as the shard, which is exact.
+   the audited recall, a mean over queries taken apart by their number of links,
+   is under ``RECALL`` for any size, all beams of the block widen and the search
+   runs again, up to a beam as wide as the shard, which is exact.
 4. Candidates are verified by cosine in double precision. A task returns the
    number of links of each query and a star forest of the linked vectors (one
    edge for each vector it linked), so a large group costs one row a vector.
@@ -49,6 +50,7 @@ BEAM = 32
 TOGETHER = 256       # queries searched in step
 EXPANDED = 4         # beam entries expanded in a step
 AUDITS = 64          # at least so many audited queries of a block, and 1 in 64
+FEW = 8              # at least AUDITS of the audited queries have fewer links than that, or are probes
 
 
 class Graph:
@@ -202,17 +204,59 @@ class Graph:
                 yield open_[r], ids[r, c]
                 open_, beam = open_[full], 4 * beam
 
-    def audited_width(self, q: np.ndarray, threshold: float, recall: float = RECALL, width: int = BEAM) -> int:
-        """The beam at which a hashed sample of the queries, compared with the whole shard, has the recall."""
-        rows = np.arange(len(q))
-        sample = q[mix(rows.astype(np.uint64) + np.uint64(77)) % np.uint64(max(1, min(64, len(q) // AUDITS))) == 0]
-        while 4 * width < len(self.x):
-            found = exact = 0
-            for lo in range(0, len(sample), TOGETHER):
-                part = sample[lo: lo + TOGETHER]
-                exact += int((part @ self.x.T >= threshold).sum())
-                found += sum(len(r) for r, _ in self.within(part, threshold, width))
-            if found >= recall * exact:
+    def probes(self, threshold: float, number: int) -> np.ndarray:
+        """Queries with a known link: hashed vectors of the shard, each turned to just above the threshold."""
+        n, dims = self.x.shape
+        if dims < 2 or not 0 < threshold < 1:
+            return self.x[:0]
+        rank = mix(np.arange(n, dtype=np.uint64) + np.uint64(99))
+        x = self.x[np.argsort(rank, kind="stable")[:number]].astype(np.float64)
+        side = np.random.default_rng(n).standard_normal(x.shape)
+        side -= np.einsum("ij,ij->i", side, x)[:, None] * x
+        side /= np.linalg.norm(side, axis=1)[:, None] + 1e-12
+        cosine = min(1.0, threshold + 1e-3)
+        return (cosine * x + np.sqrt(1 - cosine * cosine) * side).astype(np.float32)
+
+    def audited_width(self, q: np.ndarray, threshold: float, recall: float = RECALL, width: int = BEAM, own: np.ndarray | None = None) -> int:
+        """The beam at which a hashed sample of the queries, compared with the whole shard, has the recall.
+
+        Recall is the mean share of a query's links that are found, and has to be
+        met by the queries of every size class (1, 2 to 3, 4 to 7, ... links).
+        ``own`` is each query's place in the shard (-1: none), which is no link.
+        While fewer than ``AUDITS`` sampled queries have under ``FEW`` links,
+        probes with a known link are audited beside them.
+        """
+        if 4 * width >= len(self.x) or not len(q):
+            return width
+        n, rows = len(self.x), np.arange(len(q))
+        picked = mix(rows.astype(np.uint64) + np.uint64(77)) % np.uint64(max(1, min(64, len(q) // AUDITS))) == 0
+        sample, place = q[picked], np.full(int(picked.sum()), -1) if own is None else own[picked]
+
+        def links(part: np.ndarray, at: np.ndarray) -> np.ndarray:
+            pairs = [np.zeros(0, np.int64)]
+            for lo in range(0, len(part), TOGETHER):
+                near = part[lo: lo + TOGETHER] @ self.x.T >= threshold + 1e-6  # rounding decides nothing
+                r, c = np.nonzero(near)
+                r = r + lo
+                pairs.append((r * n + c)[c != at[r]])
+            return np.concatenate(pairs)
+
+        exact = links(sample, place)
+        number = np.bincount(exact // n, minlength=len(sample))
+        missing = AUDITS - int(((number > 0) & (number < FEW)).sum())
+        if missing > 0:
+            more = self.probes(threshold, missing)
+            sample, place = np.concatenate([sample, more]), np.append(place, np.full(len(more), -1))
+            exact = links(sample, place)
+            number = np.bincount(exact // n, minlength=len(sample))
+        linked = np.flatnonzero(number)
+        size = np.frexp(number[linked])[1]
+        while 4 * width < n and len(linked):
+            found = np.zeros(len(sample), np.int64)
+            for r, c in self.within(sample, threshold, width):
+                found += np.bincount(r[np.isin(r * n + c, exact)], minlength=len(sample))
+            share = found[linked] / number[linked]
+            if all(share[size == s].mean() >= recall for s in np.unique(size)):
                 break
             width *= 2
         return width
@@ -276,7 +320,8 @@ def _links(cosine: float, recall: float):
                 x_norm, q_norm = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
                 unit = np.ascontiguousarray(q / q_norm[:, None], np.float32)
                 near = cosine - 1e-4  # single precision finds, double precision decides
-                width = graph.audited_width(unit, near, recall)
+                at = np.minimum(np.searchsorted(nodes, asked), len(nodes) - 1)
+                width = graph.audited_width(unit, near, recall, own=np.where(nodes[at] == asked, at, -1))
                 count = np.zeros(len(asked), np.int64)
                 a = b = np.zeros(0, np.int64)
                 for r, c in graph.within(unit, near, width):

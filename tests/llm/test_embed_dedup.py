@@ -72,3 +72,33 @@ def test_star_forest_joins_chains():
     a, b = np.array([5, 3, 9, 1, 20]), np.array([3, 9, 7, 20, 21])
     node, root = embed_dedup.star_forest(a, b)
     assert dict(zip(node.tolist(), root.tolist())) == {1: 1, 20: 1, 21: 1, 3: 3, 5: 3, 7: 3, 9: 3}
+
+
+def test_small_groups_are_audited_beside_a_third_of_the_rows():
+    rng = np.random.default_rng(8)
+    pairs = np.repeat(rng.standard_normal((2000, 32)), 2, axis=0)
+    x = np.concatenate([pairs, np.tile(rng.standard_normal((1, 32)), (2000, 1))])
+    x += 0.1 * rng.standard_normal(x.shape)
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+
+    class Missing(embed_dedup.Graph):
+        """Narrow beams miss the links of pairs."""
+
+        def within(self, q, threshold, width):
+            for r, c in super().within(q, threshold, width):
+                keep = (c >= 4000) | (width >= 128)
+                yield r[keep], c[keep]
+
+    graph = Missing(x)
+    assert graph.audited_width(x[::3], 0.9, own=np.arange(0, len(x), 3)) >= 128
+    assert graph.audited_width(x[4000:], 0.9, own=np.arange(4000, len(x))) >= 128  # only the probes have few links
+    away = rng.standard_normal((200, 32)).astype(np.float32)
+    assert graph.audited_width(away / np.linalg.norm(away, axis=1)[:, None], 0.9) >= 128  # no link in the sample
+
+    whole = embed_dedup.Graph(x)
+    width = whole.audited_width(x, 0.9, own=np.arange(len(x)))
+    want = np.einsum("ij,ij->i", x[:4000:2], x[1:4000:2]) >= 0.9
+    hit = np.zeros(2000, bool)
+    for r, c in whole.within(x[:4000:2], 0.9, width):
+        hit[r[c == 2 * r + 1]] = True
+    assert hit[want].mean() >= 0.98
