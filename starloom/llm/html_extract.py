@@ -9,8 +9,9 @@ itself, by tag (a child of a boilerplate parent never is). Sum-product message
 passing, once upward and once downward, gives exact marginals on the tree; a
 piece of text stays when its owner's marginal reaches one half.
 
-Elements that name themselves as something else are boilerplate for certain,
-so their tags teach nothing; their inside counts for the size, link and
+Elements that name themselves as something else are boilerplate for certain
+(below a landmark only by tag, role or a whole name such as ``ads``; other bad
+words there are one feature, and such elements teach nothing), so their tags teach nothing; their inside counts for the size, link and
 sentence features only.
 
 The potentials are counts over labelled pages: pages with an ``article`` or
@@ -47,10 +48,11 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 figure footer form h1 h2 h3 h4 h5 h6 header hr html li main menu nav ol p pre section summary table tbody td tfoot th
 thead tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template iframe title svg math object select textarea button head".split())
+SKIPPED = frozenset("script style noscript template iframe title svg object select textarea button head".split())
 RAW = frozenset("script style noscript template iframe title textarea".split())
 BAD_TAGS = frozenset("nav header footer aside form menu dialog".split())
 GOOD_TAGS = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 WHOLE = frozenset("article main body html".split())
 BAD_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments
 consent cookie cookies copyright disclaimer footer form gdpr header login masthead menu modal nav navbar navigation
@@ -71,12 +73,15 @@ _NAME = re.compile(r"[a-z]+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _SENTENCE = re.compile(r"[.!?,;:]")
 _RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
-NONE, BAD, GOOD = 0, 1, 2
+NONE, BAD, GOOD, MAYBE = 0, 1, 2, 3
 
 
-def _hint(tag: str, attrs: str) -> int:
-    """What an element's names say about it: BAD (not main text), GOOD, or NONE."""
-    good = tag in GOOD_TAGS
+def _hint(tag: str, attrs: str, landmark: bool = False) -> int:
+    """What an element's names say about it: BAD (not main text), GOOD, or NONE; MAYBE is a bad word below a ``landmark``.
+
+    There a name is certain only if all its words are among ``OWN_WORDS``: others are as often topics.
+    """
+    good, maybe = tag in GOOD_TAGS, False
     if tag in BAD_TAGS:
         return BAD
     if attrs and ("=" in attrs or "hidden" in attrs):
@@ -91,7 +96,9 @@ def _hint(tag: str, attrs: str) -> int:
                     if not ABSENT.isdisjoint(found):
                         continue
                     if not bad.isdisjoint(found):
-                        return BAD
+                        if not landmark or tag in WHOLE or OWN_WORDS.issuperset(found):
+                            return BAD
+                        maybe = maybe or name != "id" or tag not in HEADINGS  # a heading's id is an anchor named after its words
                     good = good or not GOOD_WORDS.isdisjoint(found)
                 continue
             value = value.lower()
@@ -101,16 +108,16 @@ def _hint(tag: str, attrs: str) -> int:
                 good = good or value in GOOD_ROLES
             elif name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
                 return BAD
-    return GOOD if good else NONE
+    return MAYBE if maybe else GOOD if good else NONE
 
 
 class Page:
     """The variables of one page and the pieces of text they own."""
 
-    __slots__ = ("parent", "tag", "hint", "pieces", "size", "linked", "marks")
+    __slots__ = ("parent", "tag", "hint", "landmark", "pieces", "size", "linked", "marks")
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.hint = [-1], ["body"], [NONE]
+        self.parent, self.tag, self.hint, self.landmark = [-1], ["body"], [NONE], [False]
         self.pieces: list[tuple[int, int, str]] = []  # (block, owner, text)
         self.size, self.linked, self.marks = [0], [0], [0]
         self._parse(source)
@@ -123,13 +130,19 @@ class Page:
     def _parse(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("body", 0)]
         open_tags: Counter = Counter()
-        block = pos = link = skip = 0
+        block = pos = link = 0
+        skip: list[str] = []  # a skipped element and the elements open in it
+        skipped: Counter = Counter()
         end = len(source)
 
         def pop_to(depth: int) -> None:
             while len(stack) > depth:
                 open_tags[stack.pop()[0]] -= 1
 
+        def end_skip() -> None:
+            skip.clear()
+            skipped.clear()
+
         while pos < end:
             lt = source.find("<", pos)
             raw = source[pos: lt if lt >= 0 else end]
@@ -162,10 +175,14 @@ class Page:
                 break
             tag, attrs, pos = m[2].lower(), source[m.end(): close], close + 1
             if m[1]:
-                if tag in SKIPPED:
-                    skip = max(0, skip - 1)
-                elif skip:
-                    pass
+                if skip and not skipped[tag] and open_tags[tag] > 0:
+                    end_skip()  # its parent closes
+                if skip:
+                    while skipped[tag] > 0:
+                        last = skip.pop()
+                        skipped[last] -= 1
+                        if last == tag:
+                            break
                 elif tag == "a":
                     link = 0
                 elif open_tags[tag] > 0:
@@ -181,13 +198,13 @@ class Page:
                 close = _tag_end(source, found.end()) if found else -1
                 pos = close + 1 if close >= 0 else end
                 continue
-            if tag in SKIPPED:
-                skip += not attrs.endswith("/")
-                continue
             if tag == "body" or tag == "html":  # also ends a head that was left open
-                skip = 0
+                end_skip()
                 continue
-            if skip:
+            if skip or tag in SKIPPED:
+                if not attrs.endswith("/") and tag not in VOID:
+                    skip.append(tag)
+                    skipped[tag] += 1
                 continue
             if tag in VOID:
                 if tag == "br":
@@ -214,11 +231,13 @@ class Page:
                         depth -= 1
                     if top:
                         pop_to(top)
-            hint = _hint(tag, attrs)
+            landmark = self.landmark[stack[-1][1]]
+            hint = _hint(tag, attrs, landmark)
             if (is_block or hint) and not attrs.endswith("/"):
                 self.parent.append(stack[-1][1])
                 self.tag.append(tag)
                 self.hint.append(hint)
+                self.landmark.append(landmark or tag in GOOD_TAGS)
                 self.size.append(0)
                 self.linked.append(0)
                 self.marks.append(0)
@@ -289,6 +308,7 @@ class Model:
     """Log-odds of features and log-probabilities of a child's state under a content parent."""
 
     PRIOR = {("h:2", 1): 20.0}  # a landmark's name counts as that many examples
+    DOUBT = -1.0  # log-odds of a bad word below a landmark, whose label is unknown
 
     def __init__(self, counts: dict[tuple[str, int], float]):
         weight = dict(counts)
@@ -299,7 +319,7 @@ class Model:
             totals[f[0], y] += n
         names = {f for f, _ in weight if not f.startswith("c:")}
         log_share = lambda f, y: math.log((weight.get((f, y), 0) + 0.5) / (totals[f[0], y] + 4))
-        self.odds = {f: log_share(f, 1) - log_share(f, 0) for f in names}
+        self.odds = {f: log_share(f, 1) - log_share(f, 0) for f in names} | {f"h:{MAYBE}": self.DOUBT}
         self.child = {}
         for f in {f for f, _ in weight if f.startswith("c:")} | {"c:"}:
             one, zero = weight.get((f, 1), 0) + 1, weight.get((f, 0), 0) + 1
@@ -351,9 +371,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if labels is None:
                 continue
             inside = [False] * len(labels)  # in an element that names itself as something else
+            doubt = list(inside)  # in an element whose label is unknown
             for i, y in enumerate(labels):
                 inside[i] = page.hint[i] == BAD or bool(i) and inside[page.parent[i]]
-                if page.hint[i] == BAD:
+                doubt[i] = page.hint[i] == MAYBE or bool(i) and doubt[page.parent[i]]
+                if page.hint[i] == BAD or doubt[i]:
                     continue
                 features = page.features(i)
                 for f in features[2:] if inside[i] else features:

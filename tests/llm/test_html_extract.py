@@ -59,3 +59,18 @@ def test_parts_without_landmarks_and_broken_pages(spark):
     assert H.extract(df.limit(0)).collect() == []
     deep = "<div>" * 20_000 + "<p>" + text + "</p>"
     assert model.extract("<article>" + deep + "<p>" * 20_000) == text
+
+
+def test_topics_in_an_article_stay(spark):
+    model = H.train(spark.read.parquet(f"{SMALL}/pages.parquet"))
+    text = "This is a long paragraph, with many words. It has sentences, and goes on for a while."
+    named = [f"<h2 id='related-work'>Head</h2><p>{text}</p>", f"<section id='search-algorithms'><h2>Head</h2><p>{text}</p></section>",
+             f"<div id='social-impact'><h2>Head</h2><p>{text}</p></div>", f"<h2>Head</h2><p class='notice'>{text}</p>", f"<h2 id='privacy'>Head</h2><p>{text}</p>"]
+    for body in named:
+        assert model.extract(f"<article><p>{text}</p>{body}</article>") == f"{text}\n\nHead\n\n{text}", body
+    assert model.extract(f"<article><p>{text}</p><div class='ads'><p>{text}</p></div><nav>{text}</nav></article>") == text
+    assert model.extract(f"<div class='notice'><p>{text}</p></div><article><p>{text}</p></article>") == text
+    assert model.extract(f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be so. {text}</p></article>") == f"Let x=2 be so. {text}"
+    for tag in ("button", "select", "svg", "object"):
+        assert model.extract(f"<article><div><p>{text}</p><div><{tag}>no<div>no</div></div><p>{text}</p></div></article>") == f"{text}\n\n{text}", tag
+        assert model.extract(f"<article><p>{text}</p><{tag}><p>no</p></{tag}><p>{text}</p></article>") == f"{text}\n\n{text}", tag
