@@ -159,6 +159,23 @@ def cast_to(df: DataFrame, target: dict[str, str | T.DataType]) -> tuple[DataFra
     return out, cast_report(df, plan)
 
 
+SEEN = "_seen_"
+
+
+def cast_flagged(df: DataFrame, target: dict[str, str | T.DataType]) -> tuple[DataFrame, dict[str, tuple[str, str]]]:
+    """Cast ``df`` and flag what is rejected, for one pass that casts, counts and writes.
+
+    The frame has one boolean column ``_seen_<n>`` per cast column, true where
+    a value was rejected; the second result maps its name to (column, type).
+    """
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    plan = {c: (spark_type(t) if isinstance(t, str) else t) for c, t in target.items() if c in fields}
+    flags = {f"{SEEN}{i}": (c, t.simpleString()) for i, (c, t) in enumerate(plan.items())}
+    rejected = [(F.col(c).isNotNull() & cast_expr(c, plan[c], fields[c]).isNull()).alias(n) for n, (c, _) in flags.items()]
+    cast = [cast_expr(c, plan[c], fields[c]).alias(c) if c in plan else F.col(c) for c in df.columns]
+    return df.select(*cast, *rejected), flags
+
+
 def cast_report(df: DataFrame, plan: dict[str, T.DataType]) -> DataFrame:
     fields = {f.name: f.dataType for f in df.schema.fields}
     if not plan:

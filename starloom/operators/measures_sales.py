@@ -296,5 +296,4 @@ def days_in_status(fact: DataFrame, as_of: dt.date) -> DataFrame:
 def vendor_scope(fact: DataFrame, vendors: DataFrame, email: str) -> DataFrame:
     """Row-level security: only the facts of the vendor whose e-mail is the caller's."""
     me = vendors.where(F.lower(F.col("email")) == email.lower()).select(F.col("id").alias("vendor_id"))
-    me, _ = bounded_broadcast(me)
-    return fact.join(me, "vendor_id", "left_semi")
+    return fact.join(bounded_broadcast(me), "vendor_id", "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.keys import ts_lit
-from starloom.plans.sizing import DEFAULT_BROADCAST_ROWS, bounded_broadcast, bounded_broadcast_many
+from starloom.plans.sizing import bounded_broadcast
 
 # Gate thresholds.
 MAX_ROW_DIFF_PCT = 5.0
@@ -99,13 +99,21 @@ def gate_freshness(watermarks: DataFrame, now: dt.datetime, max_hours: float = F
 def gate_verdicts(df: DataFrame, table: str, source_rows: DataFrame | None, id_col: str = "id",
                   critical: list[str] = (), max_diff_pct: float = MAX_ROW_DIFF_PCT,
                   min_ratio: float = MIN_UNIQUE_ID_RATIO, max_null_pct: float = MAX_NULL_PCT_CRITICAL) -> DataFrame:
-    """All blocking gates for one table from a single metrics pass.
+    """All blocking gates for one table from a single metrics pass."""
+    return verdicts_of(gate_metrics(df, id_col, list(critical)), table, source_rows, list(critical), max_diff_pct, min_ratio,
+                       max_null_pct)
+
+
+def verdicts_of(metrics: DataFrame, table: str, source_rows: DataFrame | None, critical: list[str] = (),
+                max_diff_pct: float = MAX_ROW_DIFF_PCT, min_ratio: float = MIN_UNIQUE_ID_RATIO,
+                max_null_pct: float = MAX_NULL_PCT_CRITICAL) -> DataFrame:
+    """All blocking gates from one row of metrics, wherever it was measured.
 
     The metrics row is turned into verdict rows with ``inline`` over an
-    array of structs, so the table is scanned once whatever the number of
+    array of structs, so a table is scanned once whatever the number of
     gates. Without ``source_rows`` the row-count gate is left out.
     """
-    m = gate_metrics(df, id_col, list(critical))
+    m = metrics
     rows = []
     if source_rows is not None:
         m = m.withColumn("source_rows", source_rows.select("source_rows").scalar())
@@ -125,9 +133,13 @@ def enforce(verdicts: DataFrame) -> list[dict]:
     The verdict frame is a few rows per table; reading it is the only driver
     action of the gate step.
     """
+    return raise_failed([r.asDict() for r in verdicts.collect()])
+
+
+def raise_failed(rows: list[dict]) -> list[dict]:
+    """``rows`` of verdicts, unless one of them is a failure."""
     order = {"row_count": 0, "unique_id": 1, "null_pct": 2}
-    rows = [r.asDict() for r in verdicts.collect()]
-    rows.sort(key=lambda r: (order.get(r["gate"], 9), r["subject"] or ""))
+    rows = sorted(rows, key=lambda r: (order.get(r["gate"], 9), r["subject"] or ""))
     for r in rows:
         if r["status"] == "FAIL":
             raise DataQualityError(
@@ -179,29 +191,33 @@ def extraction_stats(log: DataFrame, now: dt.datetime, days: int = 7) -> DataFra
 
 def fk_orphans(fact: DataFrame, fk: str, dim: DataFrame, key: str = "id") -> DataFrame:
     """Fact rows whose ``fk`` has no dimension row (NULL counts as orphan)."""
-    d, _ = bounded_broadcast(dim.select(F.col(key).alias("_dim_key")).distinct())
+    d = bounded_broadcast(dim.select(F.col(key).alias("_dim_key")).distinct())
     return fact.join(d, fact[fk].eqNullSafe(d["_dim_key"]), "left_anti")
 
 
-def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id",
-                broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Orphan count per foreign key; 100 % coverage means every count is 0.
+def fk_coverage(fact: DataFrame, checks: dict[str, DataFrame], key: str = "id") -> DataFrame:
+    """``fk, orphans``: orphan rows per foreign key; 100 % coverage means every count is 0.
 
-    One pass over the fact: each dimension's distinct keys are left-joined
-    with a marker (broadcast when their counted size is within
-    ``broadcast_rows``, else a shuffle join), then one aggregate counts the
-    misses for every key at once.
+    One pass over the fact: its keys are unpivoted and counted per (foreign
+    key, value), which partial aggregation reduces to distinct values before
+    the shuffle, so a sentinel held by a third of the rows is one row per
+    task. One anti join holds them against the tagged union of all
+    dimensions (a dimension shared by several keys is read once); no job
+    runs beforehand. A NULL key is an orphan.
     """
-    f = fact.select(*[F.col(c) for c in checks])
-    dims = [dim.select(F.col(key).alias(f"_k{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
-            for i, dim in enumerate(checks.values())]
-    sized = bounded_broadcast_many(dims, broadcast_rows)
-    for i, c in enumerate(checks):
-        keys = sized[i][0]
-        f = f.join(keys, F.col(c) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
-    counts = f.agg(*[F.count_if(F.col(f"_hit{i}").isNull()).alias(f"o{i}") for i in range(len(checks))])
-    stack = ", ".join(f"'{c}', o{i}" for i, c in enumerate(checks))
-    return counts.selectExpr(f"stack({len(checks)}, {stack}) as (fk, orphans)")
+    names = list(checks)
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("fk_no"), F.col(c).cast("string").alias("key")) for i, c in enumerate(names)]))
+    used = fact.select(pairs.alias("_p")).groupBy("_p.fk_no", "_p.key").agg(F.count(F.lit(1)).alias("rows"))
+    dims: dict[int, tuple[DataFrame, list[int]]] = {}
+    for i, c in enumerate(names):
+        dims.setdefault(id(checks[c]), (checks[c], []))[1].append(i)
+    known = None
+    for dim, numbers in dims.values():
+        tagged = dim.select(F.explode(F.array(*map(F.lit, numbers))).alias("fk_no"), F.col(key).cast("string").alias("key"))
+        known = tagged if known is None else known.unionByName(tagged)
+    missed = used.join(known, ["fk_no", "key"], "left_anti").groupBy("fk_no").agg(F.sum("rows").alias("orphans"))
+    listed = fact.sparkSession.createDataFrame(list(enumerate(names)), "fk_no int, fk string")  # one row per foreign key
+    return listed.join(F.broadcast(missed), "fk_no", "left").select("fk", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans"))
 
 
 def grain_violations(df: DataFrame, key: str | list[str]) -> DataFrame:

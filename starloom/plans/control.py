@@ -12,9 +12,10 @@ publish and log only makes the next run read the same rows again.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,7 +59,7 @@ MANIFEST_SCHEMA = "table_name string, run_id string, batch_no int, lo_date times
 PROGRESS_SCHEMA = "table_name string, run_id string, batch_no int, status string, updated_at timestamp_ntz"
 
 
-def _ts(v) -> F.Column:
+def _ts(v) -> Column:
     return ts_lit(v)
 
 
@@ -198,8 +199,13 @@ def pending_batches(manifest: DataFrame, progress: DataFrame) -> DataFrame:
 # ---------------------------------------------------------- gated publish
 
 MAX_RECORDS_PER_FILE = 5_000_000
+BUCKET = "_bucket"
 POINTER_SCHEMA = ("seq bigint, path string, high_water_mark string, batch_id bigint, "
-                  "published_at timestamp_ntz, stream string")
+                  "published_at timestamp_ntz, stream string, run_id string, buckets int, schema string, "
+                  "stage string, touched array<int>")
+META, GATE_HISTORY = "metadata", "quality_checks"
+GATE_SCHEMA = ("table_name string, run_id string, checked_at timestamp_ntz, gate string, subject string, value double, "
+               "threshold double, status string")
 
 
 class TableStore:
@@ -210,7 +216,9 @@ class TableStore:
     is its highest ``seq``. Writing a version never touches the published
     one, and publishing is one Spark append (a committed file or none), so
     any file system the cluster uses works. The root defaults to a folder
-    under ``spark.checkpoint.dir`` (shared storage on a cluster).
+    under ``spark.checkpoint.dir`` (shared storage on a cluster). Versions
+    dealt into hash buckets, and changes to single buckets, are written by
+    ``plans.buckets``; ``read`` shows them.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -243,10 +251,22 @@ class TableStore:
         return self.pointer(layer, table) is not None
 
     def read(self, layer: str, table: str) -> DataFrame | None:
+        """The published rows. While staged buckets are being copied into a version, they are read from their stage."""
         ptr = self.pointer(layer, table)
         if ptr is None:
             return None
-        return self.spark.read.parquet(ptr["path"])
+        if ptr["buckets"] is None:
+            return self.spark.read.parquet(ptr["path"])
+        return self.read_buckets(ptr).drop(BUCKET)
+
+    def read_buckets(self, ptr: dict) -> DataFrame:
+        """A bucketed version as ``ptr`` names it, with the bucket number of every row."""
+        schema = T.StructType.fromJson(json.loads(ptr["schema"]))
+        rows = self.spark.read.schema(schema).parquet(ptr["path"])
+        if ptr["stage"] is None:
+            return rows
+        staged = self.spark.read.schema(schema).parquet(ptr["stage"])
+        return rows.where(~F.col(BUCKET).isin(ptr["touched"])).unionByName(staged)
 
     def stage(self, df: DataFrame, layer: str, table: str, run_id: str | None = None,
               sort_within: list[str] | None = None, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> str:
@@ -280,23 +300,61 @@ class TableStore:
         return -1 if last is None else int(last)
 
     def publish(self, layer: str, table: str, path: str, high_water_mark=None, batch_id: int | None = None,
-                stream: str | None = None) -> None:
+                stream: str | None = None, run_id: str | None = None, buckets: int | None = None,
+                schema: T.StructType | None = None, stage: str | None = None, touched: list[int] | None = None) -> None:
         ptr = self.pointer(layer, table)
         seq = 0 if ptr is None else ptr["seq"] + 1
         row = (seq, path, None if high_water_mark is None else str(high_water_mark), batch_id,
-               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), stream)
+               dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), stream, run_id, buckets,
+               None if schema is None else schema.json(), stage, touched)
         self.spark.createDataFrame([row], POINTER_SCHEMA).coalesce(1).write.mode("append") \
             .parquet(self._pointer_dir(layer, table))
 
+    def pointers(self, layer: str, table: str) -> DataFrame:
+        """The pointer log of one table (empty before its first publish)."""
+        if not self._has_pointers(layer, table):
+            return empty(self.spark, POINTER_SCHEMA)
+        return self.spark.read.schema(POINTER_SCHEMA).parquet(self._pointer_dir(layer, table))
+
+
+def keep_verdicts(store: TableStore, table: str, run_id: str, verdicts: list[dict]) -> None:
+    """Gate history: the verdicts of a run, whether it published or not."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = [(table, run_id, now, v["gate"], v["subject"], v["value"], v["threshold"], v["status"]) for v in verdicts]
+    store.append(store.spark.createDataFrame(rows, GATE_SCHEMA).coalesce(1), META, GATE_HISTORY, table, run_id)
+
+
+def read_verdicts(store: TableStore, table: str | None = None) -> DataFrame:
+    """Gate history of one table, or of all."""
+    return store.read_appended(META, GATE_HISTORY, GATE_SCHEMA, table)
+
+
+def enforce(store: TableStore, table: str, run_id: str, verdicts: DataFrame) -> list[dict]:
+    """Record the verdicts of a run, then raise on the first failed gate."""
+    rows = [r.asDict() for r in verdicts.collect()]  # a few rows per table
+    keep_verdicts(store, table, run_id, rows)
+    return quality.raise_failed(rows)
+
+
+def observed_metrics(critical: list[str]) -> list[Column]:
+    """Gate metrics that a write can measure on its way (all but distinct ids)."""
+    return [F.count(F.lit(1)).alias("dw_rows"), *[F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in critical]]
+
 
 def gated_publish(store: TableStore, df: DataFrame, layer: str, table: str, source_rows: DataFrame,
                   critical: list[str] = (), run_id: str | None = None, high_water_mark=None,
                   id_col: str = "id", sort_within: list[str] | None = None) -> tuple[DataFrame, list[dict]]:
-    """Stage → gate → publish. Gates run on what was written; a failing gate
-    raises and the published version stays as it was."""
-    path = store.stage(df, layer, table, run_id, sort_within)
-    staged = store.spark.read.parquet(path)
-    verdicts = quality.gate_verdicts(staged, table, source_rows, id_col=id_col, critical=list(critical))
-    rows = quality.enforce(verdicts)
-    store.publish(layer, table, path, high_water_mark)
+    """Stage → gate → publish. Gates judge what was written; a failing gate
+    raises and the published version stays as it was.
+
+    Rows and NULL counts are observed while the version is written; only the
+    distinct ids need a second scan, of the id column alone.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    seen = Observation(f"staged-{run_id}")
+    path = store.stage(df.observe(seen, *observed_metrics(list(critical))), layer, table, run_id, sort_within)
+    ids = store.spark.read.schema(df.select(id_col).schema).parquet(path).agg(F.count_distinct(F.col(id_col)).alias("unique_ids"))
+    metrics = ids.withColumns({name: F.lit(value).cast("bigint") for name, value in seen.get.items()})
+    rows = enforce(store, table, run_id, quality.verdicts_of(metrics, table, source_rows, list(critical)))
+    store.publish(layer, table, path, high_water_mark, run_id=run_id)
     return store.read(layer, table), rows

@@ -5,15 +5,18 @@ ingestion job does:
 
 1. the load plan (full or incremental, with the reason) from the published
    table and the table's watermark;
-2. full: the whole source, cleaned, as a new version (an empty source is
-   skipped, never published); incremental: rows changed after the watermark
-   are read once and staged, deduplicated latest-first, upserted into the
-   current version (nothing is published when nothing changed);
+2. full: the whole source, cleaned and cast in one pass, as a new version
+   dealt into hash buckets (an empty source is skipped, never published);
+   incremental: rows changed after the watermark are extracted in batches by a
+   stored manifest (``plans.resume``), so a killed run is taken up where it
+   stopped, and merged into the buckets they touch (``plans.buckets``);
+   nothing is published when nothing changed;
 3. both paths turn NULL tokens, infinities and NaN into NULL and cast to the
    given types, incremental batches also to the table's own; rejected values
-   are counted per column and kept with the run;
-4. gates on the staged version; a failing gate leaves the published version
-   and the watermark date untouched and counts a failure;
+   are counted per column while rows are written, and kept with the run;
+4. gates on what was staged; a failing gate leaves the published version
+   and the watermark date untouched and counts a failure; all verdicts are
+   kept;
 5. one row in the run log, in a folder of the run's own.
 
 Loads of different tables share no file, so any number can run at once.
@@ -21,27 +24,27 @@ Watermarks are derived from the run log: a crash between publish and log
 leaves the old watermark, and the next run upserts the same rows again.
 
 All data work is Spark jobs; the driver reads only one-row frames (plan,
-profile, counts, verdicts).
+profile, counts, verdicts) and manifest rows.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.clean import cast_to, sanitize
+from starloom.functions.clean import cast_flagged, sanitize
 from starloom.operators import quality
-from starloom.operators.upsert import DeltaKeyError, check_delta_keys, latest_per_key, upsert, upsert_counts
-from starloom.plans import control
+from starloom.operators.upsert import DeltaKeyError
+from starloom.plans import buckets, control, resume
+from starloom.plans.control import META
 from starloom.sources import ingest
 
-META = "metadata"
 RUN_LOG = "extraction_log"
 REJECTS = "cast_rejects"
-STAGING = "staging"
 REJECT_SCHEMA = "table_name string, run_id string, column string, target_type string, rejected bigint"
 
 
@@ -71,72 +74,75 @@ def read_watermarks(store: control.TableStore, table: str | None = None) -> Data
     return control.watermarks_from_log(recent.drop("_since"))
 
 
-def load_table(store: control.TableStore, table: str, source: DataFrame, date_col: str, key: str = "id",
-               critical: list[str] = (), source_name: str = "erp_source", layer: str = "raw",
+def load_table(store: control.TableStore, table: str, source: DataFrame, date_col: str | None = None, key: str = "id",
+               critical: list[str] | None = None, source_name: str = "erp_source", layer: str = "raw",
                types: dict[str, str] | None = None, run_ts: dt.datetime | None = None, max_failures: int = control.MAX_FAILURES,
-               max_age_days: int = control.MAX_FULL_LOAD_AGE_DAYS) -> dict:
+               max_age_days: int = control.MAX_FULL_LOAD_AGE_DAYS, n_buckets: int | None = None, batch_rows: int = ingest.CHUNK_ROWS,
+               batches_per_job: int = resume.BATCHES_PER_JOB, on_batches: Callable[[list[int]], None] | None = None) -> dict:
     """Run one load of ``table`` from ``source``; returns the run summary.
 
-    ``types`` names the warehouse types of columns to cast. One load of a
-    table runs at a time; loads of different tables are independent. Raises ``quality.DataQualityError`` (after recording the failure) when a
+    ``date_col`` and ``critical`` default to the table's configuration
+    (``ingest.TRACKING_COLUMN``, ``ingest.CRITICAL_COLUMNS``), ``n_buckets`` of a
+    new version to its rows. ``types`` names the warehouse types of columns
+    to cast. ``on_batches`` is told which batches a job is about to read. One
+    load of a table runs at a time; loads of different tables are independent.
+    Raises ``quality.DataQualityError`` (after recording the failure) when a
     gate fails, and ``DeltaKeyError`` when the delta has NULL keys.
     """
+    if date_col is None and table not in ingest.TRACKING_COLUMN:
+        raise ValueError(f"no tracking column is configured for {table}: name one")
+    date_col = date_col or ingest.TRACKING_COLUMN[table]
+    critical = ingest.CRITICAL_COLUMNS.get(table, []) if critical is None else list(critical)
+    run_ts, started, run_id = run_ts or _utcnow(), _utcnow(), uuid.uuid4().hex
     spark = store.spark
-    run_ts = run_ts or _utcnow()
-    started = _utcnow()
-    run_id = uuid.uuid4().hex
-    watermarks = read_watermarks(store, table)
     tables = spark.createDataFrame([(table, store.exists(layer, table))], "table_name string, exists boolean")
-    plan = control.load_plan(tables, watermarks, run_ts, max_failures, max_age_days).first()
-    source_rows = source.agg(F.count(F.lit(1)).alias("source_rows"))
+    plan = control.load_plan(tables, read_watermarks(store, table), run_ts, max_failures, max_age_days).first()
     full = plan["mode"] == "full"
-    summary = {"table": table, "mode": plan["mode"], "reason": plan["reason"], "run_id": run_id,
-               "extracted": 0, "inserted": 0, "updated": 0, "status": "completed", "max_date": None}
-    error = None
-    if full and source_rows.first()["source_rows"] == 0:
-        # an empty source never replaces a table: nothing is published and the
-        # watermark is left as it is; the run is only logged
-        summary["status"] = "skipped_empty"
-        _log(store, table, summary, full, started, None)
-        return summary
+    summary = {"table": table, "mode": plan["mode"], "reason": plan["reason"], "run_id": run_id, "resumed": False, "batches": 0,
+               "touched_buckets": 0, "extracted": 0, "inserted": 0, "updated": 0, "status": "completed", "max_date": None}
+    attempt, error = run_id, None
     try:
-        if full:
-            snap, rejected = cast_to(sanitize(ingest.full_snapshot(source, table, run_ts, source_name)), types or {})
-            _keep_rejects(store, table, run_id, rejected)
-            hwm = control.high_water_mark(source, date_col).first()[0]
-            published, _ = control.gated_publish(store, snap, layer, table, source_rows, critical, run_id, hwm, key,
-                                                 sort_within=[date_col])
-            n = published.count()
-            summary.update(extracted=n, inserted=n, max_date=hwm)
+        n_source = source.count()
+        source_rows = spark.createDataFrame([(n_source,)], "source_rows bigint")
+        before = resume.open_run(store, table)
+        if full and before:
+            resume.close_run(store, table, before[0], "abandoned", _utcnow())
+        if full and n_source == 0:
+            # an empty source never replaces a table: nothing is published and the
+            # watermark is left as it is; the run is only logged
+            summary["status"] = "skipped_empty"
+        elif full:
+            snap, flags = cast_flagged(sanitize(ingest.full_snapshot(source, table, run_ts, source_name)), types or {})
+            change, seen = buckets.publish_version(
+                store, snap, layer, table, key, n_buckets or buckets.buckets_for(n_source), source_rows, critical, run_id, date_col,
+                [date_col], observe={n: F.count_if(F.col(n)) for n in flags})
+            _keep_rejects(store, table, run_id, run_id, flags, seen)
+            summary.update(extracted=change.rows, inserted=change.rows, max_date=change.max_date, touched_buckets=change.touched)
         else:
-            changed = ingest.clean_batch(ingest.incremental_scan(source, date_col, plan["watermark"]), table, run_ts, source_name)
-            # read once: what is profiled, counted and merged is what was staged
-            staged = spark.read.parquet(store.stage(sanitize(changed), f"{STAGING}/{layer}", table, run_id))
-            prof = ingest.delta_profile(staged, date_col, plan["watermark"]).first()
-            summary["extracted"] = prof["modified_rows"]
-            if prof["modified_rows"]:
-                current = store.read(layer, table)
-                known = {f.name: f.dataType for f in staged.schema.fields}
-                own = {f.name: f.dataType for f in current.schema.fields if known.get(f.name, f.dataType) != f.dataType}
-                cast, rejected = cast_to(staged, {**(types or {}), **own})
-                _keep_rejects(store, table, run_id, rejected)
-                delta = latest_per_key(cast, key, date_col)
-                bad = check_delta_keys(delta, key).first()
-                if bad["null_keys"]:
-                    raise DeltaKeyError(f"{table}: {bad['null_keys']} delta rows without {key}")
-                counts = upsert_counts(current, delta, key).first()
-                merged = upsert(current, delta, key)
-                control.gated_publish(store, merged, layer, table, source_rows, critical, run_id,
-                                      prof["max_date"], key, sort_within=[date_col])
-                summary.update(inserted=counts["inserts"], updated=counts["updates"], max_date=prof["max_date"])
-    except quality.DataQualityError as exc:
-        summary["status"] = "quality_failed"
+            changed = ingest.incremental_scan(source, date_col, plan["watermark"])
+            if before:
+                (run_id, run_ts), summary["resumed"] = before, True
+                summary["run_id"] = run_id
+            else:
+                rows = _profile(changed, table, key)
+                if rows:
+                    resume.begin(store, changed, table, run_id, date_col, key, rows, run_ts, batch_rows)
+            if before or rows:
+                _extract(store, changed, layer, table, run_id, date_col, key, source_name, run_ts, types or {}, batches_per_job, on_batches, summary)
+                delta = resume.staged_rows(store, layer, table, run_id)
+                change = _merge(store, delta, layer, table, key, date_col, source_rows, critical, attempt, n_source, n_buckets)
+                summary.update(inserted=change.inserts, updated=change.updates, max_date=change.max_date, touched_buckets=change.touched)
+                resume.close_run(store, table, run_id, "published", _utcnow())
+    except (quality.DataQualityError, DeltaKeyError) as exc:
+        summary["status"] = "quality_failed" if isinstance(exc, quality.DataQualityError) else "failed"
         error = exc
+        if resume.open_run(store, table):  # what was staged is bad: the next run extracts anew
+            resume.close_run(store, table, run_id, "abandoned", _utcnow())
     except Exception as exc:  # noqa: BLE001 - any failed run is counted, then re-raised
         summary["status"] = "failed"
         error = exc
     try:
-        _log(store, table, summary, full, started, None if error is None else str(error))
+        _log(store, table, summary, full, started, None if error is None else str(error), attempt)
     except Exception as log_error:  # noqa: BLE001 - the load's own error comes first
         if error is None:
             raise
@@ -146,18 +152,55 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
     return summary
 
 
-def _keep_rejects(store: control.TableStore, table: str, run_id: str, rejected: DataFrame) -> None:
-    rows = rejected.where("rejected > 0").select(F.lit(table).alias("table_name"), F.lit(run_id).alias("run_id"),
-                                                 "column", "target_type", "rejected")
-    store.append(rows, META, REJECTS, table, run_id)
+def _profile(changed: DataFrame, table: str, key: str) -> int:
+    """Changed rows; raises when one of them has no key (no manifest could hold it)."""
+    found = changed.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys")).first()
+    if found["null_keys"]:
+        raise DeltaKeyError(f"{table}: {found['null_keys']} delta rows without {key}")
+    return found["rows"]
+
+
+def _extract(store: control.TableStore, changed: DataFrame, layer: str, table: str, run_id: str, date_col: str, key: str, source_name: str,
+             run_ts: dt.datetime, types: dict[str, str], batches_per_job: int, on_batches, summary: dict) -> None:
+    """Stage the run's pending batches: cleaned, sanitised, cast to ``types`` and the table's own."""
+    current = store.read(layer, table)
+    table_types = {f.name: f.dataType for f in current.schema.fields}
+    flags: dict[str, tuple[str, str]] = {}
+
+    def clean(rows: DataFrame) -> DataFrame:
+        out = sanitize(ingest.clean_batch(rows, table, run_ts, source_name))
+        own = {f.name: table_types[f.name] for f in out.schema.fields if table_types.get(f.name, f.dataType) != f.dataType}
+        cast, found = cast_flagged(out, {**types, **own})
+        flags.update(found)
+        return cast
+
+    done = resume.extract_pending(store, changed, clean, layer, table, run_id, date_col, key, batches_per_job, on_batches,
+                                  lambda job, seen: _keep_rejects(store, table, run_id, f"{run_id}-{job}-{uuid.uuid4().hex[:8]}", flags, seen))
+    mine = resume.read_manifest(store, table).where(F.col("run_id") == run_id)
+    summary.update(batches=len(done), extracted=mine.agg(F.sum("rows")).first()[0])
+
+
+def _merge(store: control.TableStore, delta: DataFrame, layer: str, table: str, key: str, date_col: str, source_rows: DataFrame,
+           critical: list[str], run_id: str, n_source: int, n_buckets: int | None) -> buckets.Change:
+    if store.pointer(layer, table)["buckets"] is None:  # a version written without buckets is dealt into them first
+        buckets.publish_version(store, store.read(layer, table), layer, table, key, n_buckets or buckets.buckets_for(n_source), None,
+                                critical, f"{run_id}-dealt", date_col, [date_col])
+    return buckets.apply_delta(store, delta, layer, table, key, date_col, source_rows, critical, run_id, date_col, [date_col])
+
+
+def _keep_rejects(store: control.TableStore, table: str, run_id: str, part: str, flags: dict[str, tuple[str, str]], seen: dict) -> None:
+    """Rejected values that a write has counted, one row per column (only counts above 0)."""
+    rows = [(table, run_id, column, kind, int(seen[name])) for name, (column, kind) in flags.items() if seen.get(name)]
+    if rows:
+        store.append(store.spark.createDataFrame(rows, REJECT_SCHEMA).coalesce(1), META, REJECTS, table, part)
 
 
 def _log(store: control.TableStore, table: str, summary: dict, full: bool, started: dt.datetime,
-         error: str | None) -> None:
-    """One row of the run log; its id is taken from the run id."""
+         error: str | None, attempt: str) -> None:
+    """One row of the run log; its id is taken from the attempt's."""
     ok = summary["status"] == "completed"
     entry = control.log_entry(store.spark, table, "full" if full else "incremental", started, _utcnow(),
                               int(summary["extracted"]), int(summary["inserted"]) if ok else 0,
                               int(summary["updated"]) if ok else 0, summary["status"],
-                              summary["max_date"] if ok else None, error, int(summary["run_id"][:15], 16))
-    store.append(entry.coalesce(1), META, RUN_LOG, table, summary["run_id"])
+                              summary["max_date"] if ok else None, error, int(attempt[:15], 16))
+    store.append(entry.coalesce(1), META, RUN_LOG, table, attempt)

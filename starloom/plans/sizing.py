@@ -1,10 +1,11 @@
 """Size checks that decide a physical strategy before the plan is built.
 
-Catalyst only knows the size of a derived frame (a filtered or aggregated
-delta, a dimension built from a mapping) from coarse estimates, so a small
-side can still be planned as a sort-merge join that shuffles the big side.
-When a frame's size is proven by a count, it can be broadcast; above the
-bound the plan stays a shuffle join.
+Catalyst plans a small side as a shuffle join when its own threshold is low
+or the side is derived. ``plan_bytes`` reads the optimizer's statistics of a
+frame: file sizes for a staged or scanned table, carried upward as a bound
+through filters, projections and aggregates. No job runs and the input is not
+evaluated. A frame derived from joins is bounded by a product and counts as
+large; stage it first to have its real size.
 """
 
 from __future__ import annotations
@@ -12,33 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a narrow key frame (a few columns) that are safe to broadcast.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, int]:
-    """Return ``(broadcast(df), n)`` when ``df`` has at most ``max_rows`` rows,
-    else ``(df, n)``. Counting costs one pass over ``df`` only."""
-    n = df.count()
-    return (F.broadcast(df) if n <= max_rows else df), n
-
-
-def bounded_broadcast_many(frames: list[DataFrame], max_rows: int = DEFAULT_BROADCAST_ROWS
-                           ) -> list[tuple[DataFrame, int]]:
-    """``bounded_broadcast`` for several frames with one counting job.
-
-    The frames' row counts come from one union of per-frame markers grouped
-    by frame, so deciding for ``k`` dimensions costs one job, not ``k``.
-    """
-    if not frames:
-        return []
-    marks = [f.select(F.lit(i).alias("_frame")) for i, f in enumerate(frames)]
-    union = marks[0]
-    for m in marks[1:]:
-        union = union.unionByName(m)
-    counts = {r["_frame"]: r["n"] for r in union.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = []
-    for i, f in enumerate(frames):
-        n = counts.get(i, 0)
-        out.append((F.broadcast(f) if n <= max_rows else f, n))
-    return out
+# Estimated bytes of a frame that are safe to broadcast (files are compressed; hashed rows take several times as much).
+BROADCAST_BYTES = 32 << 20
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size bound of ``df`` in bytes."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` when its size bound is at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df

@@ -2,49 +2,46 @@
 
 On files the reads are ``spark.read.parquet`` with the high-water-mark
 predicate on the raw tracking column, so it reaches the Parquet scan as a
-pushed filter. For a live database the same predicates become JDBC
-options (``partitionColumn``/``lowerBound``/``upperBound``) in ``read_jdbc``.
+pushed filter. For a live database ``even_ranges`` gives the predicates that
+split a read evenly (``read_jdbc``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.clean import normalize_names, structs_to_json
 from starloom.functions.keys import ts_lit
 from starloom.plans.ranges import stage_ranges, with_offsets
 
-# Tracking column per source table, batch sizes.
+# Tracking column per source table (others have to be named), batch sizes.
 TRACKING_COLUMN = {
     "crm_lead": "write_date", "sale_order": "write_date", "res_partner": "write_date",
     "res_users": "write_date", "crm_team": "write_date", "crm_stage": "write_date",
     "crm_lost_reason": "write_date", "res_company": "write_date", "hr_employee": "write_date",
     "ir_model_fields": "write_date", "mail_tracking_value": "create_date", "mail_message": "date",
 }
+# Columns whose share of NULLs blocks a load, per source table.
+CRITICAL_COLUMNS = {"crm_lead": ["name"], "sale_order": ["name", "state"], "res_partner": ["name"]}
 JSON_TEXT_TABLES = ("crm_lost_reason", "crm_stage", "crm_team", "res_company")
 CHUNK_ROWS = 10_000
 HEAVY_CHUNKS = 5
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, props: dict[str, str], id_col: str = "id",
-              bounds: tuple[int, int] | None = None, partitions: int = HEAVY_CHUNKS,
+def read_jdbc(spark: SparkSession, url: str, table: str, props: dict[str, str], predicates: list[str] | None = None,
               where: str | None = None) -> DataFrame:
-    """Parallel JDBC read split into ``partitions`` inclusive id ranges.
+    """Parallel JDBC read, one partition per predicate (see ``even_ranges``).
 
-    Each partition issues its own range query, so no single task or
-    cursor carries the whole table. Needs the database's JDBC driver jar.
+    Each partition issues its own query, so no single task or cursor carries
+    the whole table. Needs the database's JDBC driver jar.
     """
     query = f"(select * from {table}{' where ' + where if where else ''}) as src"
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
-    for k, v in props.items():
-        reader = reader.option(k, v)
-    if bounds is not None:
-        reader = (reader.option("partitionColumn", id_col).option("lowerBound", str(bounds[0]))
-                  .option("upperBound", str(bounds[1] + 1)).option("numPartitions", str(partitions)))
-    return reader.load()
+    if predicates is None:
+        return spark.read.jdbc(url, query, properties=props)
+    return spark.read.jdbc(url, query, predicates=predicates, properties=props)
 
 
 def with_lineage(df: DataFrame, run_ts: dt.datetime, source: str) -> DataFrame:
@@ -100,9 +97,9 @@ def id_range_chunks(df: DataFrame, id_col: str = "id", chunks: int = HEAVY_CHUNK
     """
     ids = df.select(F.col(id_col).cast("bigint").alias("_id")).where(F.col("_id").isNotNull())
     b = ids.agg(F.min("_id").alias("min_id"), F.max("_id").alias("max_id"))
-    width = F.ceil((F.col("max_id") - F.col("min_id") + 1) / F.lit(chunks)).cast("bigint")
+    width = F.expr(f"(max_id - min_id + {chunks}) div {chunks}")
     bounds = b.select(F.struct("min_id", "max_id", width.alias("width"))).scalar()
-    chunk = F.floor((F.col("_id") - F.col("min_id")) / F.col("width")).cast("int")
+    chunk = F.expr("cast((_id - min_id) div width as int)")
     return (
         ids.withColumns({"min_id": bounds.getField("min_id"), "max_id": bounds.getField("max_id"),
                          "width": bounds.getField("width")})
@@ -140,3 +137,59 @@ def batch_manifest(batched: DataFrame, date_col: str, id_col: str = "id") -> Dat
     return batched.groupBy("batch_no").agg(first.alias("_lo"), last.alias("_hi"), F.count(F.lit(1)).alias("rows")) \
         .select("batch_no", F.col(f"_lo.{date_col}").alias("lo_date"), F.col(f"_lo.{id_col}").alias("lo_id"),
                 F.col(f"_hi.{date_col}").alias("hi_date"), F.col(f"_hi.{id_col}").alias("hi_id"), "rows")
+
+
+def keyset_manifest(delta: DataFrame, date_col: str, id_col: str = "id", batch_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Batches whose bounds do not overlap: rows equal in (date, id) are never cut apart.
+
+    Only the two key columns are read. A batch holds ``batch_rows`` distinct
+    (date, id) pairs; ``rows`` counts the rows they stand for.
+    """
+    pairs = delta.groupBy(date_col, id_col).agg(F.count(F.lit(1)).alias("_rows"))
+    batched = delta_batches(pairs, date_col, id_col, batch_rows)
+    bounds = batch_manifest(batched, date_col, id_col).drop("rows")
+    return bounds.join(batched.groupBy("batch_no").agg(F.sum("_rows").alias("rows")), "batch_no")
+
+
+def in_batch(df: DataFrame, batch: dict, date_col: str, id_col: str = "id") -> Column:
+    """Whether a row's (date, id) lies in the bounds of a manifest row; ids are compared in their own type."""
+    kind = df.schema[id_col].dataType
+    date, number = F.col(date_col), F.col(id_col)
+    lo_id, hi_id = F.lit(batch["lo_id"]).cast(kind), F.lit(batch["hi_id"]).cast(kind)
+    lo, hi = ts_lit(batch["lo_date"]), ts_lit(batch["hi_date"])
+    return date.between(lo, hi) & ((date > lo) | (number >= lo_id)) & ((date < hi) | (number <= hi_id))
+
+
+def even_ranges(df: DataFrame, id_col: str = "id", chunks: int = HEAVY_CHUNKS, accuracy: int = 10_000) -> list[tuple[int, int]]:
+    """Inclusive id ranges that cover the table and hold about equally many rows.
+
+    One pass builds a quantile summary (``approx_percentile``, error 1 /
+    ``accuracy`` of the rows); all bounds are integers. Gaps between ids give
+    wide ranges, not empty ones, and an id with more rows than a range should
+    hold has its own. At most ``chunks`` pairs reach the driver.
+    """
+    number = F.col(id_col).cast("bigint")
+    cuts = [i / chunks for i in range(1, chunks)]
+    found = df.where(number.isNotNull()).agg(
+        F.min(number).alias("lo"), F.max(number).alias("hi"),
+        (F.percentile_approx(number, cuts, accuracy) if cuts else F.array().cast("array<bigint>")).alias("cuts")).first()
+    if found["lo"] is None:
+        return []
+    ends = sorted({c for c in (found["cuts"] or []) if c < found["hi"]}) + [found["hi"]]
+    return [(start, end) for start, end in zip([found["lo"]] + [e + 1 for e in ends[:-1]], ends)]
+
+
+def range_predicates(ranges: list[tuple[int, int]], id_col: str = "id") -> list[str]:
+    """One SQL predicate per range, and one for rows without an id: the partitions of a parallel read."""
+    return [f"{id_col} between {lo} and {hi}" for lo, hi in ranges] + [f"{id_col} is null"]
+
+
+def range_counts(df: DataFrame, ranges: list[tuple[int, int]], id_col: str = "id") -> DataFrame:
+    """``chunk, start_id, end_id, rows`` of the given ranges, in one pass."""
+    number = F.col(id_col).cast("bigint")
+    place = F.lit(None).cast("int")
+    for i in reversed(range(len(ranges))):
+        place = F.when(number <= ranges[i][1], F.lit(i)).otherwise(place)
+    listed = df.sparkSession.createDataFrame([(i, lo, hi) for i, (lo, hi) in enumerate(ranges)], "chunk int, start_id bigint, end_id bigint")
+    rows = df.where(number.isNotNull()).groupBy(place.alias("chunk")).agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(F.broadcast(rows), "chunk", "left").select("chunk", "start_id", "end_id", F.coalesce("rows", F.lit(0)).alias("rows"))
