@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starloom.functions.keys import ts_lit
 from starloom.operators.quality import DataQualityError
-from starloom.plans import control, load
+from starloom.operators.upsert import DeltaKeyError
+from starloom.plans import control, load, resume
+from starloom.sources import ingest
 from starloom.sources.erp_fixture import ErpSources
 from tests.conftest import SF_SMALL
 
@@ -129,3 +131,92 @@ def test_increments_are_sanitised_cast_and_reported(spark):
     rejects = load.read_rejects(store, "p").collect()
     assert sorted((r["column"], r["rejected"]) for r in rejects) == [("amount", 1), ("amount", 2)]
     assert out["run_id"] in {r["run_id"] for r in rejects}
+
+
+def _changing(spark, n=400, late=0):
+    """Orders changed on distinct days; ``late`` moves the first ids to later dates."""
+    day = F.when(F.col("id") < late, 5000 + F.col("id")).otherwise(F.col("id") % 97)
+    return spark.range(n).select(F.col("id"), F.concat(F.lit("n"), "id").alias("name"), (F.col("id") * 2).alias("v"),
+                                 (F.lit("2020-01-01").cast("timestamp_ntz") + F.make_interval(days=day.cast("int"))).alias("write_date"))
+
+
+def test_killed_run_is_resumed_after_its_last_finished_batch(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    kw = dict(date_col="write_date", critical=["name"], n_buckets=8, batch_rows=10, batches_per_job=1)
+    load.load_table(store, "t", _changing(spark), run_ts=T1, **kw)
+    changed = _changing(spark, 420, 45)
+    read = []
+
+    def dies(batches):
+        if batches[0] == 2:
+            raise OSError("killed")
+        read.extend(batches)
+
+    with pytest.raises(OSError):
+        load.load_table(store, "t", changed, run_ts=T2, on_batches=dies, **kw)
+    assert read == [0, 1]
+    progress = resume.read_progress(store, "t")
+    assert progress.schema.simpleString() == spark.createDataFrame([], control.PROGRESS_SCHEMA).schema.simpleString()
+    assert sorted(r.batch_no for r in progress.where("status = 'completed'").collect()) == [0, 1]
+    manifest = {r.batch_no: r for r in resume.read_manifest(store, "t").collect()}
+    assert sum(r.rows for r in manifest.values()) == 45
+    assert store.read("raw", "t").count() == 400  # nothing of a killed run is published
+
+    # batches 1 and 2 cannot be read again: their rows are gone from the source
+    done = (F.col("write_date") > "2033-09-09") & (F.col("id") < 20)
+    again = []
+    out = load.load_table(store, "t", changed.where(~done), run_ts=T3, on_batches=again.extend, **kw)
+    assert again == list(range(2, len(manifest))) and out["resumed"] and out["batches"] == len(manifest) - 2
+    assert (out["extracted"], out["inserted"], out["updated"]) == (45, 0, 45)
+    rows = {r.id: (r.name, r.v, r.write_date) for r in store.read("raw", "t").collect()}
+    want = {r.id: (r.name, r.v, r.write_date) for r in changed.where("id < 400").collect()}
+    assert rows == want
+    stamps = {r[0] for r in store.read("raw", "t").where("id < 45").select("_extracted_at").distinct().collect()}
+    assert stamps == {T2}  # one extraction instant per run
+    assert resume.open_run(store, "t") is None
+    last = load.load_table(store, "t", changed, run_ts=T4, **kw)
+    assert (last["extracted"], last["resumed"]) == (0, False)
+
+
+def test_bad_batches_are_not_resumed(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    kw = dict(date_col="write_date", critical=["name"], n_buckets=4, batch_rows=20)
+    load.load_table(store, "t", _changing(spark), run_ts=T1, **kw)
+    broken = _changing(spark, 400, 200).withColumn("name", F.when(F.col("id") >= 200, F.col("name")))
+    with pytest.raises(DataQualityError):
+        load.load_table(store, "t", broken, run_ts=T2, **kw)
+    assert resume.open_run(store, "t") is None
+    out = load.load_table(store, "t", _changing(spark, 400, 200), run_ts=T3, **kw)
+    assert (out["resumed"], out["updated"]) == (False, 200)
+    history = control.read_verdicts(store, "t").where("gate = 'null_pct'").orderBy("checked_at").collect()
+    assert [r["status"] for r in history] == ["PASS", "FAIL", "PASS"]
+
+
+def test_batches_never_cut_equal_keys_and_types_survive(spark):
+    source = spark.range(100).select((F.col("id") % 9 - 4).alias("id"), F.lit("x").alias("name"),
+                                     F.make_timestamp_ntz(F.lit(2020), F.lit(1), (1 + F.col("id") % 2).cast("int"), F.lit(0), F.lit(0),
+                                                          F.lit(0.25)).alias("write_date"))
+    manifest = ingest.keyset_manifest(source, "write_date", "id", 4).collect()
+    assert sum(r.rows for r in manifest) == 100
+    parts = [source.where(ingest.in_batch(source, r.asDict(), "write_date")).count() for r in manifest]
+    assert parts == [r.rows for r in manifest] and len(manifest) == 5
+
+
+def test_null_keys_fail_before_anything_is_staged(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    load.load_table(store, "t", _changing(spark), "write_date", run_ts=T1)
+    bad = _changing(spark, 400, 30).withColumn("id", F.when(F.col("id") != 3, F.col("id")))
+    with pytest.raises(DeltaKeyError, match="1 delta rows"):
+        load.load_table(store, "t", bad, "write_date", run_ts=T2)
+    assert resume.read_manifest(store, "t").count() == 0
+
+
+def test_configuration_by_table(spark):
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    message = _changing(spark, 50).withColumnRenamed("write_date", "date")
+    assert load.load_table(store, "mail_message", message, run_ts=T1)["max_date"] == message.agg(F.max("date")).first()[0]
+    partner = _changing(spark, 50).withColumn("name", F.lit(None).cast("string"))
+    with pytest.raises(DataQualityError, match="null_pct on name"):  # res_partner.name is critical
+        load.load_table(store, "res_partner", partner, run_ts=T1)
+    with pytest.raises(ValueError, match="no tracking column"):
+        load.load_table(store, "unknown", partner, run_ts=T1)
