@@ -87,7 +87,7 @@ def average_age(employees: DataFrame, as_of: dt.date) -> DataFrame:
                  (F.sum("age").cast("double") / F.count(F.lit(1)).cast("double")).alias("average_age"))
 
 
-def workforce_split(employees: DataFrame, dims: tuple[str, ...] = ("job", "gender", "department_id")) -> DataFrame:
+def workforce_split(employees: DataFrame, dims: tuple[str, ...] = ("job", "gender", "department_id", "company_id")) -> DataFrame:
     """Headcount split by each of ``dims`` in one grouping-sets pass."""
     g = employees.groupingSets([[d] for d in dims], *dims).agg(
         F.count_distinct("id").alias("employees"), F.grouping_id().alias("_gid"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.keys import date_lit, parse_date_key
 from starloom.operators.star import custom_month_period
-from starloom.plans.ranges import global_rank
+from starloom.plans.ranges import stage_ranges
 from starloom.plans.sizing import bounded_broadcast
 
 # Annual sales target and working days per month.
@@ -135,16 +135,27 @@ def order_period(fact: DataFrame, key: str = "date_create_id", out: str = "perio
     return fact.withColumn(out, custom_month_period(parse_date_key(key), close_day))
 
 
+def by_existing_period(fact: DataFrame, period: Column, by: list[str], value: Column) -> DataFrame:
+    """``value`` summed per (``by``, period), plus ``current_period`` and ``previous_period``.
+
+    The current period is the fact's latest; the previous one is the greatest
+    earlier period that exists in the fact, not the calendar month before.
+    The fact is grouped once: the periods are read from the grouped rows by a
+    scalar subquery over the same exchange (its second field keeps both
+    plans alike).
+    """
+    g = fact.groupBy(*by, period.alias("period")).agg(F.sum(value).alias("value"))
+    found = g.agg(F.struct(F.sort_array(F.collect_set("period"), asc=False).alias("periods"), F.max("value").alias("largest"))).scalar()
+    periods = found.getField("periods")
+    return g.withColumns({"current_period": F.get(periods, F.lit(0)), "previous_period": F.get(periods, F.lit(1))})
+
+
 def mom_matrix(fact: DataFrame, by: list[str], value: str = "amount_untaxed",
                key: str = "date_create_id", close_day: int = 25) -> DataFrame:
-    """Current vs previous custom month per ``by`` (e.g. project type): the
-    current month is the one of the latest fact date over the whole fact."""
-    f = order_period(fact, key, "period", close_day)
-    j = f.withColumn("current_period", f.agg(F.max("period")).scalar())
-    prev_p = F.add_months(F.col("current_period"), -1)
-    g = j.groupBy(*by).agg(
-        F.sum(F.when(F.col("period") == F.col("current_period"), F.col(value))).alias("current_value"),
-        F.sum(F.when(F.col("period") == prev_p, F.col(value))).alias("previous_value"))
+    """Current vs previous existing custom month per ``by`` (e.g. project type)."""
+    g = by_existing_period(fact, custom_month_period(parse_date_key(key), close_day), by, F.col(value)).groupBy(*by).agg(
+        F.sum(F.when(F.col("period") == F.col("current_period"), F.col("value"))).alias("current_value"),
+        F.sum(F.when(F.col("period") == F.col("previous_period"), F.col("value"))).alias("previous_value"))
     return g.select(*by, F.col("previous_value").cast("double").alias("previous_value"),
                     F.col("current_value").cast("double").alias("current_value"),
                     ratio(F.col("current_value") - F.col("previous_value"), F.col("previous_value")).alias("mom_pct"))
@@ -224,31 +235,30 @@ def prev_month_revenue(fact: DataFrame, project_types: DataFrame | None = None,
                        by: list[str] = ("vendor_id", "project_type_id"), close_day: int = 25) -> DataFrame:
     """Previous-month collected revenue: state sale, calendar month before
     the latest last-state-change period over the whole fact; only the
-    project-type and vendor selections are kept (applied as semi joins)."""
-    f = fact.withColumn("_p", custom_month_period(parse_date_key("date_last_state_update_id"), close_day))
-    prev = F.last_day(F.add_months(f.agg(F.max("_p")).scalar(), -1))
-    sel = f
+    project-type and vendor selections are kept (applied as semi joins on
+    the grouped rows)."""
+    sold = F.when(F.col("id_state") == SALE_STATE_ID, F.col("amount_untaxed"))
+    keys = list(dict.fromkeys([*by, "project_type_id", "vendor_id"]))
+    g = by_existing_period(fact.withColumn("_sold", F.when(F.col("id_state") == SALE_STATE_ID, 1)),
+                           custom_month_period(parse_date_key("date_last_state_update_id"), close_day), [*keys, "_sold"], sold)
+    sel = g.where((F.col("_sold") == 1) & (F.col("period") == F.add_months("current_period", -1)))
     if project_types is not None:
-        sel = sel.join(project_types.select(F.col("id").alias("project_type_id")).distinct(), "project_type_id",
-                       "left_semi")
+        sel = sel.join(project_types.select(F.col("id").alias("project_type_id")).distinct(), "project_type_id", "left_semi")
     if vendors is not None:
         sel = sel.join(vendors.select(F.col("id").alias("vendor_id")).distinct(), "vendor_id", "left_semi")
-    j = sel.where(
-        (F.col("id_state") == SALE_STATE_ID) & (F.month("_p") == F.month(prev)) & (F.year("_p") == F.year(prev)))
-    return j.groupBy(*by).agg(F.sum("amount_untaxed").cast("double").alias("prev_month_revenue"))
+    return sel.groupBy(*by).agg(F.sum("value").cast("double").alias("prev_month_revenue"))
 
 
 def kpi_delta(fact: DataFrame, by: list[str] = ("vendor_id",), close_day: int = 25) -> DataFrame:
-    """Signed revenue in the current vs previous custom month (by creation
-    date): Δ and Δ %; the current month is the fact's latest."""
-    f = order_period(fact, "date_create_id", "_p", close_day).where(F.col("id_state") == SALE_STATE_ID)
-    cur = order_period(fact, "date_create_id", "_p", close_day).agg(F.max("_p")).scalar()
-    j = f.withColumn("_cur", cur)
-    g = j.groupBy(*by).agg(
-        F.coalesce(F.sum(F.when(F.col("_p") == F.col("_cur"), F.col("amount_untaxed"))), F.lit(0)).cast("double")
-        .alias("current_value"),
-        F.coalesce(F.sum(F.when(F.col("_p") == F.add_months(F.col("_cur"), -1), F.col("amount_untaxed"))), F.lit(0))
-        .cast("double").alias("previous_value"))
+    """Signed revenue in the current vs the previous existing custom month (by
+    creation date): Δ and Δ %; periods are those of the whole fact, rows those
+    with a signed order."""
+    signed = F.col("id_state") == SALE_STATE_ID
+    flagged = fact.withColumn("_signed", F.when(signed, 1).otherwise(0))
+    g = by_existing_period(flagged, custom_month_period(parse_date_key("date_create_id"), close_day), [*by, "_signed"], F.col("amount_untaxed"))
+    in_period = lambda p: F.coalesce(F.sum(F.when(F.col("period") == F.col(p), F.col("value"))), F.lit(0)).cast("double")
+    g = g.where("_signed = 1").groupBy(*by).agg(in_period("current_period").alias("current_value"),
+                                                in_period("previous_period").alias("previous_value"))
     return g.withColumn("delta", F.col("current_value") - F.col("previous_value")) \
         .withColumn("delta_pct", ratio(F.col("delta"), F.col("previous_value")))
 
@@ -256,14 +266,26 @@ def kpi_delta(fact: DataFrame, by: list[str] = ("vendor_id",), close_day: int =
 def vendor_rank(fact: DataFrame, agency: str = "team_id", vendor: str = "vendor_id") -> DataFrame:
     """Signed revenue per agency and vendor, its rank in the agency, and the
     company-wide rank of the vendor's revenue over all agencies (ties share a
-    rank). The company rank is taken by ranges, not in one task."""
+    rank).
+
+    Both ranks are taken from one grouping of the fact, which is written once
+    by ranges of the vendor's total (``stage_ranges``): a vendor's rows share a
+    range, so ranks need one window per range and the ranges' offsets.
+    """
     g = fact.where(F.col("id_state") == SALE_STATE_ID).groupBy(agency, vendor) \
         .agg(F.sum("amount_untaxed").alias("revenue"))
-    company = global_rank(g.groupBy(F.col(vendor).alias("_vendor")).agg(F.sum("revenue").alias("_all")), F.desc("_all"),
-                          "rank_in_company").drop("_all")
-    in_agency = F.rank().over(Window.partitionBy(agency).orderBy(F.desc("revenue"))).alias("rank_in_agency")
-    return g.select(agency, vendor, "revenue", in_agency).join(company, F.col(vendor).eqNullSafe(F.col("_vendor"))).select(
-        agency, vendor, F.col("revenue").cast("double").alias("revenue"), "rank_in_agency", "rank_in_company")
+    whole = g.withColumn("_all", F.sum("revenue").over(Window.partitionBy(vendor)))
+    first = F.row_number().over(Window.partitionBy(vendor).orderBy(agency)) == 1
+    ranged = stage_ranges(whole.withColumn("_first", first.cast("int")), [F.desc("_all")])
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    counts = ranged.groupBy("_pid").agg(F.sum("_first").alias("_n")).select("_pid", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    above = Window.partitionBy("_pid").orderBy(F.desc("_all")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    tied = Window.partitionBy("_pid", "_all")
+    vendors_above = F.sum("_first").over(above) - F.sum("_first").over(tied)
+    in_agency = F.rank().over(Window.partitionBy(agency).orderBy(F.desc("revenue")))
+    return ranged.join(F.broadcast(counts), "_pid").select(
+        agency, vendor, F.col("revenue").cast("double").alias("revenue"), in_agency.alias("rank_in_agency"),
+        (F.col("_off") + vendors_above + 1).cast("int").alias("rank_in_company"))
 
 
 def sales_mix(fact: DataFrame, dims: tuple[str, str] = ("payment_method_id", "project_type_id")) -> DataFrame:

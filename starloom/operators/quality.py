@@ -85,6 +85,38 @@ def gate_null_pct(metrics: DataFrame, table: str, critical: list[str],
     return metrics.select(F.inline(F.array(*_null_structs(table, list(critical), max_null_pct))))
 
 
+SKETCH_LG_K = 16
+SKETCH_SIGMAS = 4
+
+
+def id_sketches(df: DataFrame, part: Column, id_col: str = "id", lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """``part, rows, ids``: an HLL sketch of the ids of every part (a bucket, a day, a batch), kept with the table.
+
+    Sketches of parts merge, so a load sketches only the parts it writes,
+    however the ids are spread over them.
+    """
+    return df.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(id_col, lg_k).alias("ids"))
+
+
+def gate_unique_id_merged(sketches: DataFrame, exact: DataFrame, table: str, min_ratio: float = MIN_UNIQUE_ID_RATIO,
+                          lg_k: int = SKETCH_LG_K, sigmas: float = SKETCH_SIGMAS) -> DataFrame:
+    """The unique-id gate from merged sketches; ids are counted exactly only when the sketches cannot decide.
+
+    The merged estimate has a relative standard error of 1.04 / sqrt(2^lg_k).
+    When the limit lies more than ``sigmas`` of it away, the verdict is the
+    exact gate's; else ``exact`` (rows with column ``id``, read only then) is
+    counted. ``counted`` tells which.
+    """
+    merged = sketches.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("dw_rows"),
+                          F.coalesce(F.hll_sketch_estimate(F.hll_union_agg("ids")), F.lit(0)).alias("unique_ids"))
+    found = merged.first()  # one row
+    error = sigmas * 1.04 / (1 << lg_k) ** 0.5
+    limit = min_ratio * found["dw_rows"]
+    counted = found["dw_rows"] > 0 and found["unique_ids"] * (1 - error) <= limit <= found["unique_ids"] * (1 + error)
+    metrics = gate_metrics(exact, "id") if counted else sketches.sparkSession.createDataFrame([found], merged.schema)
+    return gate_unique_id(metrics, table, min_ratio).withColumn("counted", F.lit(bool(counted)))
+
+
 def gate_freshness(watermarks: DataFrame, now: dt.datetime, max_hours: float = FRESHNESS_HOURS) -> DataFrame:
     """Warn (non-blocking) when the last successful extraction is older than ``max_hours``."""
     hours = (F.unix_micros(ts_lit(now).cast("timestamp"))

@@ -11,7 +11,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starloom.functions.keys import (
     SENTINEL_KEY,
@@ -21,6 +20,7 @@ from starloom.functions.keys import (
     json_label,
     normalized_label,
 )
+from starloom.plans.sizing import bounded_broadcast
 
 # Status dimensions used by the sale-order fact.
 SALE_STATUS_ROWS = [("1", "draft", "Quotation"), ("2", "sale", "Sales Order")]
@@ -64,9 +64,10 @@ def dimension(df: DataFrame, key: str, attrs: dict[str, Column | str] | None = N
 def static_dimension(spark: SparkSession, rows: list[tuple], columns: list[str],
                      sentinel: tuple | None = None) -> DataFrame:
     """A fixed lookup dimension (``VALUES`` list) with its sentinel row first."""
-    sent = sentinel or (SENTINEL_KEY,) + (SENTINEL_LABEL,) * (len(columns) - 1)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.createDataFrame([sent] + list(rows), schema)
+    rows = [sentinel or (SENTINEL_KEY,) + (SENTINEL_LABEL,) * (len(columns) - 1), *rows]
+    marks = ", ".join("(" + ", ".join(f":r{i}c{j}" for j in range(len(columns))) + ")" for i in range(len(rows)))
+    args = {f"r{i}c{j}": v for i, row in enumerate(rows) for j, v in enumerate(row)}
+    return spark.sql(f"select * from values {marks} as t({', '.join(columns)})", args=args)
 
 
 def dim_sale_status(spark: SparkSession) -> DataFrame:
@@ -87,15 +88,32 @@ def custom_month_period(col: Column | str, close_day: int = 25) -> Column:
     return F.when(F.dayofmonth(d) > close_day, F.add_months(start, 1)).otherwise(start)
 
 
-def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date,
+def date_bounds(*frames: DataFrame) -> tuple[Column, Column]:
+    """First and last day over all columns of frames of dates, rounded to whole years, as scalar subqueries.
+
+    A calendar built from them covers whatever the facts hold: nothing is
+    read on the driver and later facts do not become orphans. Without any
+    date both are NULL and the calendar has the sentinel only.
+    """
+    days = None
+    for df in frames:
+        each = [F.col(f"`{c}`").cast("date") for c in df.columns]
+        part = df.agg(F.least(*map(F.min, each), F.lit(None).cast("date")).alias("lo"),
+                      F.greatest(*map(F.max, each), F.lit(None).cast("date")).alias("hi"))
+        days = part if days is None else days.unionByName(part)
+    lo, hi = F.min("lo"), F.max("hi")
+    year = days.agg(F.struct(F.trunc(lo, "year").alias("lo"), F.date_sub(F.add_months(F.trunc(hi, "year"), 12), 1).alias("hi"))).scalar()
+    return year.getField("lo"), year.getField("hi")
+
+
+def date_dimension(spark: SparkSession, start: str | dt.date | Column, end: str | dt.date | Column,
                    close_day: int = 25) -> DataFrame:
     """Calendar from ``start`` to ``end`` inclusive plus the sentinel key.
 
     Generated by ``sequence`` + ``explode`` from one row; its size is bounded
     by the date range (a century is about 36,500 rows).
     """
-    s = F.to_date(F.lit(str(start)))
-    e = F.to_date(F.lit(str(end)))
+    s, e = (v if isinstance(v, Column) else F.to_date(F.lit(str(v))) for v in (start, end))
     days = spark.range(1).select(F.explode(F.sequence(s, e, F.expr("interval 1 day"))).alias("date"))
     cal = days.select(
         F.date_format("date", "yyyyMMdd").alias("id"),
@@ -112,34 +130,26 @@ def date_dimension(spark: SparkSession, start: str | dt.date, end: str | dt.date
 
 # ----------------------------------------------------------------- staging
 
+ORDER_AMOUNTS = {
+    "amount_untaxed": "decimal(18,2)", "amount_tax": "decimal(18,2)", "amount_total": "decimal(18,2)", "amount_to_invoice": "decimal(18,2)",
+    "acompte_1_pourcent": "decimal(5,2)", "acompte_1": "decimal(18,2)", "acompte_1_bis": "decimal(18,2)",
+    "acompte_2_pourcent": "decimal(5,2)", "acompte_2": "decimal(18,2)", "acompte_3_pourcent": "decimal(5,2)", "acompte_3": "decimal(18,2)",
+}
+
+
 def stg_sale_order(src: DataFrame) -> DataFrame:
     """Sale-order staging: text keys with the sentinel default, exact money, date keys.
 
-    ``amount_total``, ``amount_to_invoice`` and the instalment split are not in
-    the source mapping; they are derived here in decimal arithmetic (ours):
-    total = untaxed + tax; to invoice = total for confirmed sales, else 0;
-    instalments 30 % / 40 % / remainder.
+    Values are the source's own, cast and defaulted; nothing is computed.
     """
-    total = (F.col("amount_untaxed") + F.coalesce(F.col("amount_tax"), F.lit(0))).cast("decimal(18,2)")
-    a1 = (total * F.lit(0.30).cast("decimal(3,2)")).cast("decimal(18,2)")
-    a2 = (total * F.lit(0.40).cast("decimal(3,2)")).cast("decimal(18,2)")
     return src.select(
         "id", "name", *[fk(c).alias(c) for c in ("company_id", "partner_id", "user_id", "team_id", "lost_reason_id")],
-        "state", "opportunity_id", "rbe_status", "amount_untaxed", "amount_tax",
-        total.alias("amount_total"),
-        F.when(F.lower("state") == "sale", total).otherwise(F.lit(0).cast("decimal(18,2)")).alias("amount_to_invoice"),
-        F.lit(30).cast("decimal(5,2)").alias("acompte_1_pourcent"),
-        a1.alias("acompte_1"),
-        F.lit(0).cast("decimal(18,2)").alias("acompte_1_bis"),
-        F.lit(40).cast("decimal(5,2)").alias("acompte_2_pourcent"),
-        a2.alias("acompte_2"),
-        F.lit(30).cast("decimal(5,2)").alias("acompte_3_pourcent"),
-        (total - a1 - a2).cast("decimal(18,2)").alias("acompte_3"),
+        "state", "opportunity_id", "rbe_status", *[F.col(c).cast(kind).alias(c) for c, kind in ORDER_AMOUNTS.items()],
         date_key("create_date").alias("date_create_id"),
-        date_key("signed_date").alias("date_order_id"),
+        date_key("order_date").alias("date_order_id"),
         date_key("signed_date").alias("date_signed_id"),
         date_key("validity_date").alias("date_validity_id"),
-        date_key("signed_date").alias("date_statut_signe_id"),
+        date_key("status_signed_date").alias("date_statut_signe_id"),
     )
 
 
@@ -204,29 +214,33 @@ def assert_unique_key(dim: DataFrame, key: Column, name: str) -> None:
         raise DimensionKeyError(f"{name}: key {dup[0]['_k']!r} occurs {dup[0]['_n']} times")
 
 
-def orders_resolved(orders: DataFrame, audit: DataFrame, status_dim: DataFrame,
-                    rbe_dim: DataFrame) -> DataFrame:
-    """Attach last-state-change key and resolve status / RBE keys (sentinel on miss).
+def with_state_change(orders: DataFrame, audit: DataFrame) -> DataFrame:
+    """Attach the last-state-change key (sentinel on miss)."""
+    a = audit.select(F.col("sale_order_id").alias("_oid"), "date_last_state_change_key")
+    return orders.withColumn("_oid", F.col("id").cast("bigint")).join(a, "_oid", "left").select(
+        *orders.columns, fk("date_last_state_change_key").alias("date_last_state_update_id"))
+
+
+def with_status(orders: DataFrame, status_dim: DataFrame, rbe_dim: DataFrame) -> DataFrame:
+    """Resolve status and RBE keys (sentinel on miss).
 
     Status matches ``lower(state)`` to the dimension's state; RBE matches
-    ``lower(trim(.))`` on both sides. The dimensions are static lookups and
-    are broadcast; a normalised RBE label must be unique, else the fact
-    would fan out.
+    ``lower(trim(.))`` on both sides. A normalised label must be unique, else
+    the fact would fan out.
     """
     assert_unique_key(status_dim, F.col("state"), "sale status dimension")
     assert_unique_key(rbe_dim, normalized_label("label"), "RBE status dimension")
-    status = F.broadcast(status_dim.select(F.col("state").alias("_st_key"), F.col("id").alias("_st_id")))
-    rbe = F.broadcast(rbe_dim.select(normalized_label("label").alias("_rbe_key"), F.col("id").alias("_rbe_id")))
-    a = audit.select(F.col("sale_order_id").alias("_oid"), "date_last_state_change_key")
-    keyed = orders.withColumns({"_oid": F.col("id").cast("bigint"), "_st_key": F.lower("state"),
-                                "_rbe_key": normalized_label("rbe_status")})
-    return (
-        keyed.join(a, "_oid", "left").join(status, "_st_key", "left").join(rbe, "_rbe_key", "left")
-        .select(*orders.columns,
-                fk("date_last_state_change_key").alias("date_last_state_update_id"),
-                fk("_st_id").alias("id_state"),
-                fk("_rbe_id").alias("rbe_status_id"))
-    )
+    status = bounded_broadcast(status_dim.select(F.col("state").alias("_st_key"), F.col("id").alias("_st_id")))
+    rbe = bounded_broadcast(rbe_dim.select(normalized_label("label").alias("_rbe_key"), F.col("id").alias("_rbe_id")))
+    keyed = orders.withColumns({"_st_key": F.lower("state"), "_rbe_key": normalized_label("rbe_status")})
+    return (keyed.join(status, "_st_key", "left").join(rbe, "_rbe_key", "left")
+            .select(*orders.columns, fk("_st_id").alias("id_state"), fk("_rbe_id").alias("rbe_status_id")))
+
+
+def orders_resolved(orders: DataFrame, audit: DataFrame, status_dim: DataFrame,
+                    rbe_dim: DataFrame) -> DataFrame:
+    """Last-state-change key, status and RBE keys of every order."""
+    return with_status(with_state_change(orders, audit), status_dim, rbe_dim)
 
 
 def reporting_period(df: DataFrame, period_start: str, key: str = "date_create_id",
@@ -261,25 +275,31 @@ def fact_sale_order(orders: DataFrame, leads: DataFrame, audit: DataFrame, statu
     """One row per sale order in the reporting period (the commercial fact).
 
     ``orders`` is staged (``stg_sale_order``), ``audit`` is
-    ``last_state_change(...)``.
+    ``last_state_change(...)``. The period needs the audit key only, so it
+    is cut before the leads and the status dimensions are joined.
     """
-    enriched = orders_resolved(orders_with_crm(orders, leads), audit, status_dim, rbe_dim)
-    kept = reporting_period(enriched, period_start)
-    return kept.select(*[F.col(s).alias(d) for s, d in FACT_SALE_ORDER_COLUMNS])
+    kept = reporting_period(with_state_change(orders, audit), period_start)
+    return with_status(orders_with_crm(kept, leads), status_dim, rbe_dim).select(*[F.col(s).alias(d) for s, d in FACT_SALE_ORDER_COLUMNS])
 
 
 # ------------------------------------------------------------ other facts
 
-def fact_crm(leads: DataFrame) -> DataFrame:
-    """CRM fact: one row per lead with sentinel keys and the expected revenue."""
-    return leads.select(
+def fact_crm(leads: DataFrame, vendors: DataFrame) -> DataFrame:
+    """CRM fact: one row per lead with sentinel keys, its vendor's team and the expected revenue.
+
+    Vendors are unique by id (a dimension); leads without a vendor take a
+    key of their own, so that they do not meet in one task.
+    """
+    v = bounded_broadcast(vendors.select(F.col("id").alias("_vendor"), F.col("team_id").alias("_team")))
+    keyed = leads.withColumn("_vendor", spread_key(F.col("user_id"), F.col("user_id").isNotNull(), F.col("id")))
+    return keyed.join(v, "_vendor", "left").select(
         F.col("id"),
         F.col("type"),
         fk("user_id").alias("vendor_id"),
         fk("partner_id").alias("client_id"),
         fk("stage_id").alias("stage_id"),
         fk("won_status").alias("won_status_id"),
-        fk(F.lit(None)).alias("team_id"),
+        fk("_team").alias("team_id"),
         date_key("create_date").alias("date_create_id"),
         F.col("create_date"),
         F.col("expected_revenue"),
@@ -295,7 +315,7 @@ def fact_employee_activity(employees: DataFrame, contracts: DataFrame) -> DataFr
     employee ids, so one employee with a third of all contracts costs no
     single task. Keys default to the sentinel; the wage stays exact.
     """
-    e = employees.select(F.col("id").alias("employee_id"), "department_id", F.col("job").alias("job_id"))
+    e = employees.select(F.col("id").alias("employee_id"), "department_id", F.col("job").alias("job_id"), "company_id")
     c = contracts.select(
         F.col("id").alias("contract_id"), "employee_id", "contract_type_id",
         F.col("create_date").alias("contract_create_date"), "wage", "departure_date",
@@ -303,7 +323,7 @@ def fact_employee_activity(employees: DataFrame, contracts: DataFrame) -> DataFr
     with_contract = c.join(e, "employee_id")
     holders = contracts.select("employee_id").distinct()
     without = e.join(holders, "employee_id", "left_anti").select(
-        "employee_id", "department_id", "job_id", *[F.lit(None).cast(f.dataType).alias(f.name)
+        "employee_id", "department_id", "job_id", "company_id", *[F.lit(None).cast(f.dataType).alias(f.name)
                                                     for f in c.schema.fields if f.name != "employee_id"])
     rows = with_contract.unionByName(without)
     return rows.select(
@@ -311,6 +331,7 @@ def fact_employee_activity(employees: DataFrame, contracts: DataFrame) -> DataFr
         F.col("employee_id"),
         fk("department_id").alias("department_id"),
         fk("job_id").alias("job_id"),
+        fk("company_id").alias("company_id"),
         fk("contract_id").alias("contract_id"),
         fk("contract_type_id").alias("contract_type_id"),
         date_key("contract_create_date").alias("contract_start_date_key"),
@@ -322,8 +343,9 @@ def fact_employee_activity(employees: DataFrame, contracts: DataFrame) -> DataFr
 
 def fact_leave(leaves: DataFrame, employees: DataFrame) -> DataFrame:
     """Leave fact: leave ⟕ employee for the department; hours = days × 8 (ours)."""
-    e = employees.select(F.col("id").alias("employee_id"), F.col("department_id").alias("_dept"))
-    return leaves.join(e, "employee_id", "left").select(
+    e = employees.select(F.col("id").alias("_employee"), F.col("department_id").alias("_dept"))
+    keyed = leaves.withColumn("_employee", spread_key(F.col("employee_id"), F.col("employee_id").isNotNull(), F.col("id")))
+    return keyed.join(e, "_employee", "left").select(
         F.col("id").alias("leave_id"),
         fk("employee_id").alias("employee_id"),
         fk("leave_type_id").alias("leave_type_id"),

@@ -53,21 +53,14 @@ STG_SALE_ORDER_SQL = """
 select id, name, coalesce(company_id, '0') as company_id, coalesce(partner_id, '0') as partner_id,
  coalesce(user_id, '0') as user_id, coalesce(team_id, '0') as team_id, state,
  coalesce(lost_reason_id, '0') as lost_reason_id, opportunity_id, rbe_status,
- amount_untaxed, amount_tax,
- cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) as amount_total,
- case when lower(state) = 'sale' then cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) else cast(0 as decimal(18,2)) end as amount_to_invoice,
- cast(30 as decimal(5,2)) as acompte_1_pourcent,
- cast(cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) * cast(0.30 as decimal(3,2)) as decimal(18,2)) as acompte_1,
- cast(0 as decimal(18,2)) as acompte_1_bis,
- cast(40 as decimal(5,2)) as acompte_2_pourcent,
- cast(cast(amount_untaxed + coalesce(amount_tax, 0) as decimal(18,2)) * cast(0.40 as decimal(3,2)) as decimal(18,2)) as acompte_2,
- cast(30 as decimal(5,2)) as acompte_3_pourcent,
+ amount_untaxed, amount_tax, amount_total, amount_to_invoice, acompte_1_pourcent, acompte_1, acompte_1_bis,
+ acompte_2_pourcent, acompte_2, acompte_3_pourcent, acompte_3,
  coalesce(strftime(create_date, '%Y%m%d'), '0') as date_create_id,
- coalesce(strftime(signed_date, '%Y%m%d'), '0') as date_order_id,
+ coalesce(strftime(order_date, '%Y%m%d'), '0') as date_order_id,
  coalesce(strftime(signed_date, '%Y%m%d'), '0') as date_signed_id,
  coalesce(strftime(validity_date, '%Y%m%d'), '0') as date_validity_id,
- coalesce(strftime(signed_date, '%Y%m%d'), '0') as date_statut_signe_id
-from src_sale_order"""
+ coalesce(strftime(status_signed_date, '%Y%m%d'), '0') as date_statut_signe_id
+from src_sale_order_amounts"""
 
 LAST_STATE_CHANGE_SQL = """
 select cast(m.res_id as bigint) as sale_order_id, strftime(max(t.create_date), '%Y%m%d') as date_last_state_change_key
@@ -105,7 +98,7 @@ select id, name as order_name, user_id as vendor_id, partner_id as client_id, co
  cast(acompte_1_pourcent as double) as acompte_1_pourcent, cast(acompte_1 as double) as acompte_1,
  cast(acompte_1_bis as double) as acompte_1_bis, cast(acompte_2_pourcent as double) as acompte_2_pourcent,
  cast(acompte_2 as double) as acompte_2, cast(acompte_3_pourcent as double) as acompte_3_pourcent,
- cast(amount_total - acompte_1 - acompte_2 as double) as acompte_3
+ cast(acompte_3 as double) as acompte_3
 from orders_resolved
 where left(date_create_id, 4) >= '{PERIOD_START[:4]}'
  or (left(date_create_id, 4) < '{PERIOD_START[:4]}' and date_last_state_update_id >= '{PERIOD_START}')"""),
@@ -117,7 +110,7 @@ select id, name as order_name, user_id as vendor_id, partner_id as client_id, co
 from orders_resolved
 where left(date_create_id, 4) >= '{PERIOD_START[:4]}'
  or (left(date_create_id, 4) < '{PERIOD_START[:4]}' and date_last_state_update_id >= '{PERIOD_START}')"""))
-FACT_SALE_ORDER_VIEWS = ["src_sale_order", "src_crm_lead", "src_message", "src_tracking", "src_field"]
+FACT_SALE_ORDER_VIEWS = ["src_sale_order_amounts", "src_crm_lead", "src_message", "src_tracking", "src_field"]
 
 
 def fact_sale_order_oracle(final: str = "select * from fact_sale_order", extra=()) -> str:
@@ -127,7 +120,7 @@ def fact_sale_order_oracle(final: str = "select * from fact_sale_order", extra=(
 def build_fact_sale_order(spark: SparkSession, src: ErpSources, period_start: str = PERIOD_START) -> DataFrame:
     audit = star.last_state_change(src.src_tracking, src.src_message, src.src_field)
     return star.fact_sale_order(
-        star.stg_sale_order(src.src_sale_order), src.src_crm_lead, audit,
+        star.stg_sale_order(src.src_sale_order_amounts), src.src_crm_lead, audit,
         star.dim_sale_status(spark), star.dim_rbe_status(spark), period_start,
     )
 

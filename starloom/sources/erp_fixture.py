@@ -84,8 +84,8 @@ from {nation}""",
     "src_employee": """
 select cast(c_custkey + 1 as string) as id, c_name as name, case when c_custkey % 2 = 0 then 'female' else 'male' end as gender,
  case when c_custkey % 7 = 0 then null else cast(c_nationkey + 1 as string) end as department_id, c_mktsegment as job,
- date '1955-01-01' + cast(c_custkey * 131 % 16000 as int) as birth_date
-from {customer}""",
+ date '1955-01-01' + cast(c_custkey * 131 % 16000 as int) as birth_date, cast(n_regionkey + 1 as string) as company_id
+from {customer} left join {nation} on c_nationkey = n_nationkey""",
     "src_contract": """
 select cast(o_orderkey + 1 as string) as id, cast(o_custkey + 1 as string) as employee_id,
  case when o_orderpriority = '4-NOT SPECIFIED' then null else substr(o_orderpriority, 1, 1) end as contract_type_id,
@@ -99,10 +99,39 @@ select cast(event_id as string) as id, cast(user_id + 1 as string) as employee_i
 from {events}""",
 }
 
-# Our own mapping views (not from the fixture specification): raw extracts
+# Our own mapping views (not from the fixture specification): the amounts an
+# ERP order carries (its total is not always untaxed + tax, so a model that
+# recomputes it differs), the lookup tables behind the keys, raw extracts
 # that carry the dirty values the cleaning operators must handle, and a run
 # history for the ingestion control plane, both derived from the tables.
 MAPPING_SQL.update({
+    "src_sale_order_amounts": """
+select s.*, cast(s.total_due as decimal(18,2)) as amount_total,
+ case when lower(s.state) = 'sale' then cast(s.total_due as decimal(18,2)) else cast(0 as decimal(18,2)) end as amount_to_invoice,
+ cast(30 as decimal(5,2)) as acompte_1_pourcent, cast(s.total_due * cast(0.30 as decimal(3,2)) as decimal(18,2)) as acompte_1,
+ case when cast(s.id as bigint) % 13 = 0 then cast(25 as decimal(18,2)) end as acompte_1_bis,
+ cast(40 as decimal(5,2)) as acompte_2_pourcent, cast(s.total_due * cast(0.40 as decimal(3,2)) as decimal(18,2)) as acompte_2,
+ cast(30 as decimal(5,2)) as acompte_3_pourcent, cast(s.total_due * cast(0.30 as decimal(3,2)) as decimal(18,2)) as acompte_3,
+ s.signed_date as order_date, case when s.signed_date is not null then s.signed_date + interval '1' day end as status_signed_date
+from (select *, cast(amount_untaxed + coalesce(amount_tax, 0)
+  - case when cast(id as bigint) % 11 = 0 then cast(1 as decimal(18,2)) else cast(0 as decimal(18,2)) end as decimal(18,2)) as total_due
+ from {src_sale_order}) s""",
+    "src_company": """
+select cast(r_regionkey + 1 as string) as id, concat('{{"fr_FR": "', r_name, '-fr"}}') as name from {region}""",
+    "src_lost_reason": """
+select distinct cast(o_orderkey % 4 + 1 as string) as id, concat('{{"en_US": "Reason ', cast(o_orderkey % 4 + 1 as string), '"}}') as name
+from {orders} where o_orderstatus = 'P'""",
+    "src_stage": """
+select distinct case event_type when 'view' then '1' when 'click' then '2' when 'signup' then '3' when 'purchase' then '4' else '5' end as id,
+ concat('{{"en_US": "', event_type, '"}}') as name from {events}""",
+    "src_project_type": """
+select distinct project_type_id as id, concat('Project type ', project_type_id) as name from {src_crm_lead} where project_type_id is not null""",
+    "src_payment_method": """
+select distinct payment_mode as id, concat('Payment ', payment_mode) as name from {src_crm_lead} where payment_mode is not null""",
+    "src_contract_type": """
+select distinct substr(o_orderpriority, 1, 1) as id, substr(o_orderpriority, 3) as name from {orders} where o_orderpriority <> '4-NOT SPECIFIED'""",
+    "src_leave_type": """
+select distinct leave_type_id as id, concat('Leave type ', leave_type_id) as name from {src_leave} where leave_type_id is not null""",
     "src_raw_partner": """
 select cast(c_custkey + 1 as string) as id,
  case c_custkey % 13 when 0 then 'nan' when 1 then 'None' when 2 then '<NA>' when 3 then 'NaN' when 4 then '' else c_name end as name,

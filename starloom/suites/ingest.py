@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators import upsert as up
-from starloom.plans import control
+from starloom.plans import control, load
 from starloom.functions.keys import ts_lit
 from starloom.registry import money, register
 from starloom.sources import ingest
@@ -64,9 +66,27 @@ def q_delta_profile(spark, sf_dir):
     return ingest.delta_profile(_so(spark, sf_dir), "create_date", WATERMARK)
 
 
+GAP = 1_000_000_000  # between the ids of two generations of orders
+EVEN_CHUNKS = 16
+
+
+@register("id_range_even", f"""
+with o as (select case when o_orderkey % 3 = 0 then o_orderkey + {GAP} else o_orderkey end as id from orders)
+select count(*) as rows, min(id) as lo, max(id) as hi, true as covers, true as even from o""")
+def q_id_range_even(spark, sf_dir):
+    """Ranges by quantile over ids with a gap of 1e9: they join up and none holds over twice the mean."""
+    number = F.col("o_orderkey")
+    ids = ErpSources(spark, sf_dir).orders.select(F.when(number % 3 == 0, number + GAP).otherwise(number).alias("id"))
+    counted = ingest.range_counts(ids, ingest.even_ranges(ids, "id", EVEN_CHUNKS), "id")
+    before = F.lag("end_id").over(Window.orderBy("chunk"))  # one row per range
+    joined = counted.withColumn("joins", F.coalesce(F.col("start_id") == before + 1, F.lit(True)))
+    return joined.agg(F.sum("rows").alias("rows"), F.min("start_id").alias("lo"), F.max("end_id").alias("hi"),
+                      F.every("joins").alias("covers"), (F.max("rows") * F.count(F.lit(1)) <= 2 * F.sum("rows")).alias("even"))
+
+
 @register("id_range_chunks", """
 with b as (select min(o_orderkey) as mn, max(o_orderkey) as mx,
-  cast(ceil((max(o_orderkey) - min(o_orderkey) + 1) / 5) as bigint) as w from orders)
+  (max(o_orderkey) - min(o_orderkey) + 5) // 5 as w from orders)
 select cast(floor((o_orderkey - mn) / w) as integer) as chunk, mn + cast(floor((o_orderkey - mn) / w) as bigint) * w as start_id,
  least(mn + (cast(floor((o_orderkey - mn) / w) as bigint) + 1) * w - 1, mx) as end_id, count(*) as rows
 from orders, b group by all""")
@@ -361,3 +381,64 @@ def q_upsert_new_column(spark, sf_dir):
     delta = orders.where(F.col("o_orderkey") % 7 == 0).select(
         F.col("o_orderkey").alias("id"), F.upper("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority"))
     return up.upsert(target, delta, "id")
+
+
+# ------------------------------------------------------------------ loads
+
+LOAD_2 = dt.datetime(2024, 2, 2, 2, 0, 0)
+LOAD_3 = dt.datetime(2024, 2, 3, 2, 0, 0)
+LOADED = ["id", "name", "state", "amount_untaxed", "write_date", "_extracted_at", "_source_connection"]
+
+
+def _first_and_changed(spark, sf_dir):
+    """The orders as a first load finds them, and later: every tenth has a new state, and the newest orders are new."""
+    so = _so(spark, sf_dir).select("id", "name", "state", "amount_untaxed", F.col("create_date").alias("write_date"))
+    bump = F.col("id").cast("bigint") % 10 == 0
+    first = so.where(F.col("write_date") < ts_lit(TARGET_CUT))
+    later = so.where((F.col("write_date") < ts_lit(TARGET_CUT)) & bump).withColumns(
+        {"state": F.upper("state"), "write_date": F.col("write_date") + F.expr("interval 3000 day")})
+    kept = so.where(~(bump & (F.col("write_date") < ts_lit(TARGET_CUT))))
+    return first, kept.unionByName(later)
+
+
+_LOAD_SQL = f"""
+select id, name, case when bumped then upper(state) else state end as state, cast(amount_untaxed as double) as amount_untaxed,
+ case when bumped then create_date + interval 3000 day else create_date end as write_date,
+ case when bumped or create_date >= timestamp '{TARGET_CUT}' then timestamp '{LOAD_2}' else timestamp '{RUN_TS}' end as _extracted_at,
+ '{SOURCE}' as _source_connection
+from (select *, cast(id as bigint) % 10 = 0 and create_date < timestamp '{TARGET_CUT}' as bumped from src_sale_order)"""
+
+
+@register("load_incremental", oracle_with(["src_sale_order"]) + _LOAD_SQL)
+def q_load_incremental(spark, sf_dir):
+    """A full load, then an incremental one that changes and adds orders; the published table is returned."""
+    store = control.TableStore(spark, f"{control.TableStore(spark).root}/loads/{uuid.uuid4().hex}")
+    first, changed = _first_and_changed(spark, sf_dir)
+    load.load_table(store, "sale_order", first, run_ts=RUN_TS)
+    load.load_table(store, "sale_order", changed, run_ts=LOAD_2)
+    return money(store.read("raw", "sale_order").select(*LOADED), ["amount_untaxed"])
+
+
+class Killed(RuntimeError):
+    """The run was ended from outside."""
+
+
+@register("load_resumed", oracle_with(["src_sale_order"]) + _LOAD_SQL)
+def q_load_resumed(spark, sf_dir):
+    """The incremental load is killed after two batches; the next run reads the others only and publishes them all."""
+    store = control.TableStore(spark, f"{control.TableStore(spark).root}/loads/{uuid.uuid4().hex}")
+    first, changed = _first_and_changed(spark, sf_dir)
+    load.load_table(store, "sale_order", first, run_ts=RUN_TS)
+    delta = ingest.incremental_scan(changed, "write_date", first.agg(F.max("write_date")).first()[0])
+    batch_rows = max(1, -(-delta.count() // 6))
+
+    def killed(batches):
+        if batches[0] >= 2:
+            raise Killed(f"before batch {batches[0]}")
+
+    try:
+        load.load_table(store, "sale_order", changed, run_ts=LOAD_2, batch_rows=batch_rows, batches_per_job=1, on_batches=killed)
+    except Killed:
+        pass
+    load.load_table(store, "sale_order", changed, run_ts=LOAD_3, batch_rows=batch_rows, batches_per_job=4)
+    return money(store.read("raw", "sale_order").select(*LOADED), ["amount_untaxed"])

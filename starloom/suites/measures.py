@@ -13,6 +13,7 @@ from starloom.plans import control
 from starloom.registry import FACT_SALE_ORDER_CTES, FACT_SALE_ORDER_VIEWS, build_fact_sale_order, register
 from starloom.sources.erp_fixture import ErpSources, oracle_with
 from starloom.suites.star_models import (
+    CRM_VIEWS,
     FACT_CRM_SQL,
     HR_CTES,
     HR_VIEWS,
@@ -25,7 +26,6 @@ from starloom.suites.star_models import (
 
 AS_OF = dt.date(2001, 8, 1)          # latest order date of the fixture ("today")
 TARGET_YEAR = 2001
-CAL_START, CAL_END = "2023-01-01", "2024-12-31"   # CRM calendar
 SCOPE_EMAIL = "v7@example.com"
 SLICER_TEAMS = ("1", "2", "3", "4", "5", "6", "7", "8", "9", "10")
 SLICER_PROJECT_TYPES = ("0", "1", "2")
@@ -48,7 +48,7 @@ def RATIO(num: str, den: str) -> str:
     return f"cast({num} as double) / cast(nullif(cast({den} as double), 0.0) as double)"
 
 
-CRM = oracle_with(["src_crm_lead"], [("fact_crm", FACT_CRM_SQL)])
+CRM = oracle_with(CRM_VIEWS, [("fact_crm", FACT_CRM_SQL)])
 OPP = "(select * from fact_crm where type = 'opportunity')"
 FACT = oracle_with(FACT_SALE_ORDER_VIEWS, FACT_SALE_ORDER_CTES)
 HR = oracle_with(HR_VIEWS, HR_CTES)
@@ -97,14 +97,15 @@ def q_custom_month_period(spark, sf_dir):
 
 
 _PERIODS = f"""
-cal as (select distinct {P("d")} as p from range(timestamp '{CAL_START}', timestamp '{CAL_END}' + interval 1 day, interval 1 day) t(d)),
+cal as (select distinct {P("d")} as p from (select unnest(range(cast(date_trunc('year', min(create_date)) as timestamp),
+  cast(date_trunc('year', max(create_date)) + interval 1 year as timestamp), interval 1 day)) as d from fact_crm)),
 cur as (select max(create_date) as latest_date, {P("max(create_date)")} as current_period from fact_crm),
 periods as (select latest_date, current_period, (select max(p) from cal where p < current_period) as previous_period from cur)
 """
 
 
 def _periods(spark, crm):
-    return ms.resolve_periods(crm, "create_date", star.date_dimension(spark, CAL_START, CAL_END))
+    return ms.resolve_periods(crm, "create_date", star.date_dimension(spark, *star.date_bounds(crm.select("create_date"))))
 
 
 @register("resolve_periods", CRM.rstrip() + ",\n" + _PERIODS + "select * from periods")
@@ -155,9 +156,9 @@ def q_stage_trend(spark, sf_dir):
 
 @register("mom_matrix", FACT + f"""
 , f as (select *, {P(KD("date_create_id"))} as period from fact_dec),
- c as (select max(period) as cp from f),
+ c as (select max(period) as cp, (select max(period) from f where period < (select max(period) from f)) as pp from f),
  g as (select project_type_id, sum(amount_untaxed) filter (where period = cp) as cur,
-   sum(amount_untaxed) filter (where period = cp - interval 1 month) as prev from f, c group by project_type_id)
+   sum(amount_untaxed) filter (where period = pp) as prev from f, c group by project_type_id)
 select project_type_id, cast(prev as double) as previous_value, cast(cur as double) as current_value,
  {RATIO("cur - prev", "prev")} as mom_pct from g""")
 def q_mom_matrix(spark, sf_dir):
@@ -168,9 +169,9 @@ def q_mom_matrix(spark, sf_dir):
 
 @register("mom_matrix_agency", FACT + f"""
 , f as (select *, {P(KD("date_create_id"))} as period from fact_dec),
- c as (select max(period) as cp from f),
+ c as (select max(period) as cp, (select max(period) from f where period < (select max(period) from f)) as pp from f),
  g as (select team_id, sum(amount_untaxed) filter (where period = cp) as cur,
-   sum(amount_untaxed) filter (where period = cp - interval 1 month) as prev from f, c group by team_id)
+   sum(amount_untaxed) filter (where period = pp) as prev from f, c group by team_id)
 select team_id, cast(prev as double) as previous_value, cast(cur as double) as current_value,
  {RATIO("cur - prev", "prev")} as mom_pct from g""")
 def q_mom_matrix_agency(spark, sf_dir):
@@ -388,7 +389,8 @@ def q_age_bands(spark, sf_dir):
 @register("workforce_split", oracle_with(["src_employee"]) + """
 select 'job' as dimension, job as value, count(distinct id) as employees from src_employee group by job
 union all select 'gender', gender, count(distinct id) from src_employee group by gender
-union all select 'department_id', department_id, count(distinct id) from src_employee group by department_id""")
+union all select 'department_id', department_id, count(distinct id) from src_employee group by department_id
+union all select 'company_id', company_id, count(distinct id) from src_employee group by company_id""")
 def q_workforce_split(spark, sf_dir):
     return hr.workforce_split(ErpSources(spark, sf_dir).src_employee)
 
@@ -486,6 +488,17 @@ def q_employee_roster(spark, sf_dir):
     return hr.employee_roster(build_activity(src), src.src_employee, year=2000, job="BUILDING")
 
 
+@register("employee_roster_company", HR + """
+select a.employee_id, e.name, e.gender, a.department_id, a.job_id, a.contract_id, a.contract_create_date as entry_date,
+ cast(a.monthly_wage as double) as monthly_wage
+from fact_employee_activity a left join src_employee e on a.employee_id = e.id
+where month(a.contract_create_date) = 3 and a.company_id = '2'""")
+def q_employee_roster_company(spark, sf_dir):
+    """Roster filtered by company and month of entry."""
+    src = ErpSources(spark, sf_dir)
+    return hr.employee_roster(build_activity(src), src.src_employee, month=3, company="2")
+
+
 # Views of the HR pages that complete F24, F27 and F30.
 
 _AGE_SQL = f"""cast({AS_OF.year} - year(birth_date) - case when month(birth_date) > {AS_OF.month}

@@ -11,6 +11,7 @@ from starloom.plans import control
 from starloom.functions.keys import ts_lit
 from starloom.registry import FACT_SALE_ORDER_CTES, FACT_SALE_ORDER_VIEWS, build_fact_sale_order, register
 from starloom.sources.erp_fixture import ErpSources, oracle_with
+from starloom.suites.star_models import CALENDAR_CTES, CALENDAR_VIEWS, calendar, dim_client, dim_vendor, lookup, lookup_sql
 
 STALE_CUT = dt.datetime(2001, 1, 1)          # the warehouse copy checked by the row-count gate
 STATS_NOW = dt.datetime(2024, 1, 31)          # "now" of the 7-day statistics
@@ -187,31 +188,93 @@ def q_extraction_stats(spark, sf_dir):
     return quality.extraction_stats(log, STATS_NOW)
 
 
-def _dims(spark, src: ErpSources):
-    return {
-        "vendor_id": star.dimension(src.src_vendor, "id", {"name": "name"}),
-        "client_id": star.dimension(src.customer.select((F.col("c_custkey") + 1).cast("string").alias("id"),
-                                                        "c_name"), "id", {"name": "c_name"}),
-        "team_id": star.label_dimension(src.src_team, "id", "name"),
-        "id_state": star.dim_sale_status(spark),
-        "rbe_status_id": star.dim_rbe_status(spark),
-        "date_create_id": star.date_dimension(spark, "1995-01-01", "2002-12-31"),
+_GRAINS = {"clean": 0, "borderline_pass": 50, "borderline_fail": 48, "bad": 5}  # one id in so many occurs twice
+
+
+def _repeated_sql(every: int) -> str:
+    twice = f" union all select o_orderkey from orders where o_orderkey % {every} = 0" if every else ""
+    return f"select o_orderkey as id from orders{twice}"
+
+
+def _distinct_share(every: int) -> str:
+    return f"(select cast(count(distinct id) as double) / count(*) from ({_repeated_sql(every)}))"
+
+
+@register("gate_unique_id_merged", " union all ".join(
+    f"select '{name}' as table_name, 'unique_id' as gate, 'id' as subject, cast(0.98 as double) as threshold, "
+    f"case when {_distinct_share(every)} < 0.98 then 'FAIL' else 'PASS' end as status, {str(name.startswith('border')).lower()} as counted"
+    for name, every in _GRAINS.items()))
+def q_gate_unique_id_merged(spark, sf_dir):
+    """The unique-id gate from one sketch per month, on clean, borderline and bad ids; only the borderline ones are counted."""
+    orders = ErpSources(spark, sf_dir).orders.select(F.col("o_orderkey").alias("id"), F.trunc("o_orderdate", "month").alias("month"))
+    out = None
+    for name, every in _GRAINS.items():
+        again = orders.where(F.col("id") % every == 0).withColumn("month", F.add_months("month", 1)) if every else None
+        rows = orders if again is None else orders.unionByName(again)
+        one = quality.gate_unique_id_merged(quality.id_sketches(rows, F.col("month")), rows, name).drop("value")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# Dimension of every foreign key of the sale-order fact: a query name, or a function of the sources.
+FACT_KEYS = {
+    "vendor_id": "dim_vendor", "client_id": "dim_client", "company_id": "dim_company", "team_id": "dim_team",
+    "id_state": "dim_sale_status", "project_type_id": "dim_project_type", "payment_method_id": "dim_payment_method",
+    "rbe_status_id": "dim_rbe_status", "lost_reason_id": "dim_lost_reason",
+}
+FACT_DATE_KEYS = ["date_create_id", "date_order_id", "date_signed_id", "date_validity_id", "date_statut_signe_id", "date_rbe_id",
+                  "date_last_state_update_id"]
+
+
+def fact_dimensions(spark, src: ErpSources):
+    """The dimension behind each of the fact's nine entity keys and seven date keys."""
+    named = {
+        "dim_vendor": dim_vendor(src), "dim_client": dim_client(src), "dim_team": star.label_dimension(src.src_team, "id", "name"),
+        "dim_sale_status": star.dim_sale_status(spark), "dim_rbe_status": star.dim_rbe_status(spark),
+        **{n: lookup(src, n) for n in ("dim_company", "dim_project_type", "dim_payment_method", "dim_lost_reason")},
     }
+    days = calendar(spark, src)
+    return {**{k: named[d] for k, d in FACT_KEYS.items()}, **{k: days for k in FACT_DATE_KEYS}}
 
 
-@register("fk_coverage", oracle_with(FACT_SALE_ORDER_VIEWS + ["src_vendor", "src_team"], FACT_SALE_ORDER_CTES) + """
-select 'vendor_id' as fk, count(*) filter (where vendor_id not in (select id from src_vendor union all select '0')) as orphans from fact_sale_order
-union all select 'client_id', count(*) filter (where client_id not in (select cast(c_custkey + 1 as varchar) from customer union all select '0')) from fact_sale_order
-union all select 'team_id', count(*) filter (where team_id not in (select id from src_team union all select '0')) from fact_sale_order
-union all select 'id_state', count(*) filter (where id_state not in (select id from dim_sale_status)) from fact_sale_order
-union all select 'rbe_status_id', count(*) filter (where rbe_status_id not in (select id from dim_rbe_status)) from fact_sale_order
-union all select 'date_create_id', count(*) filter (where date_create_id not in
- (select strftime(d, '%Y%m%d') from range(date '1995-01-01', date '2003-01-01', interval 1 day) t(d) union all select '0')) from fact_sale_order""")
+_KEY_SQL = {
+    "dim_vendor": "select id from src_vendor union all select '0'",
+    "dim_client": "select cast(c_custkey + 1 as varchar) as id from customer union all select '0'",
+    "dim_team": "select id from src_team union all select '0'",
+    "dim_sale_status": "select id from dim_sale_status", "dim_rbe_status": "select id from dim_rbe_status",
+    **{n: f"select id from ({lookup_sql(n)})" for n in ("dim_company", "dim_project_type", "dim_payment_method", "dim_lost_reason")},
+}
+FACT_DIM_VIEWS = FACT_SALE_ORDER_VIEWS + ["src_vendor", "src_team", "src_company", "src_project_type", "src_payment_method",
+                                          "src_lost_reason"] + CALENDAR_VIEWS
+
+
+def coverage_sql(fact: str) -> str:
+    parts = [f"select '{k}' as fk, count(*) filter (where {k} is null or {k} not in ({_KEY_SQL[d]})) as orphans from {fact}"
+             for k, d in FACT_KEYS.items()]
+    parts += [f"select '{k}', count(*) filter (where {k} is null or {k} not in (select id from dim_date)) from {fact}" for k in FACT_DATE_KEYS]
+    return " union all ".join(parts)
+
+
+@register("fk_coverage", oracle_with(FACT_DIM_VIEWS, FACT_SALE_ORDER_CTES + CALENDAR_CTES) + coverage_sql("fact_sale_order"))
 def q_fk_coverage(spark, sf_dir):
-    """Orphan count per fact foreign key (100 % coverage: all 0)."""
+    """Orphans per fact foreign key, nine entity and seven date keys (100 % coverage: all 0)."""
     src = ErpSources(spark, sf_dir)
-    fact = build_fact_sale_order(spark, src)
-    return quality.fk_coverage(fact, _dims(spark, src))
+    return quality.fk_coverage(build_fact_sale_order(spark, src), fact_dimensions(spark, src))
+
+
+_LOST_SQL = "(select * replace (case when cast(id as bigint) % 9 = 0 then 'no such vendor' else vendor_id end as vendor_id, " \
+    "case when cast(id as bigint) % 8 = 0 then null else date_rbe_id end as date_rbe_id) from fact_sale_order)"
+
+
+@register("fk_coverage_broken", oracle_with(FACT_DIM_VIEWS, FACT_SALE_ORDER_CTES + CALENDAR_CTES) + coverage_sql(_LOST_SQL))
+def q_fk_coverage_broken(spark, sf_dir):
+    """The same over a fact with unknown vendors and NULL date keys: every lost row is counted."""
+    src = ErpSources(spark, sf_dir)
+    number = F.col("id").cast("bigint")
+    fact = build_fact_sale_order(spark, src).withColumns({
+        "vendor_id": F.when(number % 9 == 0, F.lit("no such vendor")).otherwise(F.col("vendor_id")),
+        "date_rbe_id": F.when(number % 8 != 0, F.col("date_rbe_id"))})
+    return quality.fk_coverage(fact, fact_dimensions(spark, src))
 
 
 @register("fact_grain", oracle_with(FACT_SALE_ORDER_VIEWS, FACT_SALE_ORDER_CTES) + """

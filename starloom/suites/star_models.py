@@ -18,14 +18,15 @@ JSON_LABEL_SQL = ("case when left({c}, 1) = '{{' then coalesce(json_extract_stri
                   "json_extract_string({c}, '$.en_US'), 'Unknown') else {c} end")
 
 FACT_CRM_SQL = """
-select id, type, coalesce(user_id, '0') as vendor_id, coalesce(partner_id, '0') as client_id,
- coalesce(stage_id, '0') as stage_id, coalesce(won_status, '0') as won_status_id, '0' as team_id,
+select l.id, type, coalesce(user_id, '0') as vendor_id, coalesce(partner_id, '0') as client_id,
+ coalesce(stage_id, '0') as stage_id, coalesce(won_status, '0') as won_status_id, coalesce(v.team_id, '0') as team_id,
  coalesce(strftime(create_date, '%Y%m%d'), '0') as date_create_id, create_date, expected_revenue
-from src_crm_lead"""
+from src_crm_lead l left join src_vendor v on l.user_id = v.id"""
+CRM_VIEWS = ["src_crm_lead", "src_vendor"]
 
 FACT_ACTIVITY_SQL = """
 select concat_ws('-', e.id, coalesce(c.id, '0')) as activity_id, e.id as employee_id,
- coalesce(e.department_id, '0') as department_id, coalesce(e.job, '0') as job_id, coalesce(c.id, '0') as contract_id,
+ coalesce(e.department_id, '0') as department_id, coalesce(e.job, '0') as job_id, coalesce(e.company_id, '0') as company_id, coalesce(c.id, '0') as contract_id,
  coalesce(c.contract_type_id, '0') as contract_type_id, coalesce(strftime(c.create_date, '%Y%m%d'), '0') as contract_start_date_key,
  c.create_date as contract_create_date, c.wage as monthly_wage, coalesce(strftime(c.departure_date, '%Y%m%d'), '0') as departure_date
 from src_employee e left join src_contract c on e.id = c.employee_id"""
@@ -41,7 +42,7 @@ HR_CTES = [("fact_employee_activity", FACT_ACTIVITY_SQL), ("fact_leave", FACT_LE
 
 
 def build_fact_crm(src: ErpSources):
-    return star.fact_crm(src.src_crm_lead)
+    return star.fact_crm(src.src_crm_lead, src.src_vendor)
 
 
 def build_activity(src: ErpSources):
@@ -110,7 +111,7 @@ def q_dim_sale_status(spark, sf_dir):
     src = ErpSources(spark, sf_dir)
     status, rbe = star.dim_sale_status(spark), star.dim_rbe_status(spark)
     audit = star.last_state_change(src.src_tracking, src.src_message, src.src_field)
-    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order), audit, status, rbe)
+    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order_amounts), audit, status, rbe)
     per_state = o.groupBy(F.col("id_state").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
     per_rbe = o.groupBy(F.col("rbe_status_id").alias("id")).agg(F.count(F.lit(1)).alias("orders"))
     sale = status.join(per_state, "id", "left")
@@ -119,23 +120,73 @@ def q_dim_sale_status(spark, sf_dir):
     return out.withColumn("orders", F.coalesce("orders", F.lit(0)).cast("bigint"))
 
 
-@register("dim_date", """
+def calendar(spark, src: ErpSources):
+    """The date dimension over every date the facts carry."""
+    dates = [src.src_sale_order_amounts.select("create_date", "validity_date", "status_signed_date"),
+             src.src_crm_lead.select("create_date", "x_studio_date_rbe"), src.src_tracking.select("create_date"),
+             src.src_contract.select("create_date", "departure_date"), src.src_leave.select("request_date_from")]
+    return star.date_dimension(spark, *star.date_bounds(*dates))
+
+
+CALENDAR_VIEWS = ["src_sale_order_amounts", "src_crm_lead", "src_tracking", "src_contract", "src_leave"]
+CALENDAR_CTES = [
+    ("days", " union all ".join(f"select {c} as d from {t}" for t, c in (
+        ("src_sale_order_amounts", "create_date"), ("src_sale_order_amounts", "validity_date"), ("src_sale_order_amounts", "status_signed_date"),
+        ("src_crm_lead", "create_date"), ("src_crm_lead", "x_studio_date_rbe"), ("src_tracking", "create_date"),
+        ("src_contract", "create_date"), ("src_contract", "departure_date"), ("src_leave", "request_date_from")))),
+    ("dim_date", """
 select strftime(d, '%Y%m%d') as id, cast(d as date) as date, cast(year(d) as integer) as year,
  cast(month(d) as integer) as month, cast(day(d) as integer) as day,
  cast(case when day(d) > 25 then date_trunc('month', d) + interval 1 month else date_trunc('month', d) end as date)
   as custom_month_period
-from range(timestamp '1995-01-01', timestamp '2003-01-01', interval 1 day) t(d)
-union all select '0', null, null, null, null, null""")
+from (select unnest(range(cast(date_trunc('year', min(d)) as timestamp), cast(date_trunc('year', max(d)) + interval 1 year as timestamp),
+ interval 1 day)) as d from days)
+union all select '0', null, null, null, null, null"""),
+]
+
+
+@register("dim_date", oracle_with(CALENDAR_VIEWS, CALENDAR_CTES) + "select * from dim_date")
 def q_dim_date(spark, sf_dir):
-    """Calendar 1995-2002 (2,922 days) with the custom month and the sentinel.
+    """Calendar of whole years over all dates of the facts, with the custom month and the sentinel."""
+    return calendar(spark, ErpSources(spark, sf_dir))
+
+
+# Lookup dimensions by name: (source view, key, label column, whether the label is translatable).
+LOOKUPS = {
+    "dim_company": ("src_company", "id", "name", True),
+    "dim_lost_reason": ("src_lost_reason", "id", "name", True),
+    "dim_crm_stage": ("src_stage", "id", "name", True),
+    "dim_crm_type": ("src_crm_lead", "type", "type", False),
+    "dim_project_type": ("src_project_type", "id", "name", False),
+    "dim_payment_method": ("src_payment_method", "id", "name", False),
+    "dim_job": ("src_employee", "job", "job", False),
+    "dim_contract_type": ("src_contract_type", "id", "name", False),
+    "dim_leave_type": ("src_leave_type", "id", "name", False),
+}
+
+
+def lookup(src: ErpSources, name: str):
+    view, key, label, translated = LOOKUPS[name]
+    df = src.table(view).select(F.col(key).alias("id"), F.col(label).alias("label"))
+    return star.label_dimension(df, "id", "label") if translated else star.dimension(df, "id", {"label": "label"})
+
+
+def lookup_sql(name: str) -> str:
+    view, key, label, translated = LOOKUPS[name]
+    shown = JSON_LABEL_SQL.format(c=label) if translated else label
+    return f"select distinct {key} as id, {shown} as label from {view} where {key} is not null union all select '0', 'Unknown'"
+
+
+def _register_lookup(name: str) -> None:
+    @register(name, oracle_with([LOOKUPS[name][0]]) + lookup_sql(name))
+    def query(spark, sf_dir):
+        return lookup(ErpSources(spark, sf_dir), name)
+
+    query.__doc__ = f"Lookup dimension {name[4:]} with the sentinel."
+
 
-    The range is the order-date span of the given tables, rounded to years.
-    """
-    o = ErpSources(spark, sf_dir).orders
-    bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
-    start = f"{bounds['lo'].year}-01-01"
-    end = f"{bounds['hi'].year + 1}-12-31"
-    return star.date_dimension(spark, start, end)
+for _name in LOOKUPS:
+    _register_lookup(_name)
 
 
 # ---------------------------------------------------------- model steps
@@ -152,7 +203,7 @@ select id, opportunity_id, project_type_id, payment_method_id, date_rbe_id from
 def q_orders_with_crm(spark, sf_dir):
     """Orders ⟕ lead on opportunity id guarded by id <> '0' (one row per order)."""
     src = ErpSources(spark, sf_dir)
-    o = star.orders_with_crm(star.stg_sale_order(src.src_sale_order), src.src_crm_lead)
+    o = star.orders_with_crm(star.stg_sale_order(src.src_sale_order_amounts), src.src_crm_lead)
     return o.select("id", "opportunity_id", "project_type_id", "payment_method_id", "date_rbe_id")
 
 
@@ -161,7 +212,7 @@ select id, state, rbe_status, date_last_state_update_id, id_state, rbe_status_id
 def q_orders_resolved(spark, sf_dir):
     src = ErpSources(spark, sf_dir)
     audit = star.last_state_change(src.src_tracking, src.src_message, src.src_field)
-    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order), audit, star.dim_sale_status(spark),
+    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order_amounts), audit, star.dim_sale_status(spark),
                              star.dim_rbe_status(spark))
     return o.select("id", "state", "rbe_status", "date_last_state_update_id", "id_state", "rbe_status_id")
 
@@ -174,14 +225,14 @@ def q_reporting_period(spark, sf_dir):
     """Orders of the period: created from the start year, or older with a state change since the start."""
     src = ErpSources(spark, sf_dir)
     audit = star.last_state_change(src.src_tracking, src.src_message, src.src_field)
-    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order), audit, star.dim_sale_status(spark),
+    o = star.orders_resolved(star.stg_sale_order(src.src_sale_order_amounts), audit, star.dim_sale_status(spark),
                              star.dim_rbe_status(spark))
     return star.reporting_period(o, PERIOD_START).select("id", "date_create_id", "date_last_state_update_id")
 
 
 # ------------------------------------------------------------ other facts
 
-@register("fact_crm", oracle_with(["src_crm_lead"], [("fact_crm", FACT_CRM_SQL)])
+@register("fact_crm", oracle_with(CRM_VIEWS, [("fact_crm", FACT_CRM_SQL)])
           + "select * exclude (expected_revenue), cast(expected_revenue as double) as expected_revenue from fact_crm")
 def q_fact_crm(spark, sf_dir):
     return money(build_fact_crm(ErpSources(spark, sf_dir)), ["expected_revenue"])
