@@ -53,8 +53,8 @@ def _utcnow() -> dt.datetime:
 
 
 def read_log(store: control.TableStore, table: str | None = None) -> DataFrame:
-    """Run log of one table, or of all."""
-    return store.read_appended(META, RUN_LOG, control.LOG_SCHEMA, table)
+    """Run log of one table, or of all (rows that a compaction has left twice are read once)."""
+    return store.read_appended(META, RUN_LOG, control.LOG_SCHEMA, table).dropDuplicates()
 
 
 def read_rejects(store: control.TableStore, table: str | None = None) -> DataFrame:

@@ -9,12 +9,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from starloom.operators import upsert as up
-from starloom.plans import control, load
+from starloom.plans import control, load, post_ingestion, star_job
 from starloom.functions.keys import ts_lit
-from starloom.registry import money, register
+from starloom.operators import star
+from starloom.registry import build_fact_sale_order, fact_sale_order_oracle, money, register
 from starloom.sources import ingest
 from starloom.sources.erp_fixture import ErpSources, oracle_with
-from starloom.suites.quality import watermarks_sql
+from starloom.suites.quality import FACT_DATE_KEYS, FACT_KEYS, fact_dimensions, watermarks_sql
 
 RUN_TS = dt.datetime(2024, 2, 1, 2, 0, 0)       # the nightly run instant
 SOURCE = "erp_source"
@@ -442,3 +443,48 @@ def q_load_resumed(spark, sf_dir):
         pass
     load.load_table(store, "sale_order", changed, run_ts=LOAD_3, batch_rows=batch_rows, batches_per_job=4)
     return money(store.read("raw", "sale_order").select(*LOADED), ["amount_untaxed"])
+
+
+# ------------------------------------------------------- jobs around the loads
+
+def _own_store(spark, kind: str) -> control.TableStore:
+    return control.TableStore(spark, f"{control.TableStore(spark).root}/{kind}/{uuid.uuid4().hex}")
+
+
+def star_tables(spark, src: ErpSources):
+    """The dimensions behind the sale-order fact by name, and the fact with its foreign keys."""
+    behind = fact_dimensions(spark, src)
+    names = {**FACT_KEYS, **{k: "dim_date" for k in FACT_DATE_KEYS}}
+    dims = {name: behind[fk] for fk, name in names.items()}
+    return dims, star_job.Fact("fact_sale_order", build_fact_sale_order(spark, src), "id", names)
+
+
+@register("published_fact", fact_sale_order_oracle())
+def q_published_fact(spark, sf_dir):
+    """Dimensions and the sale-order fact written into their layers; all sixteen keys and the grain gate the fact."""
+    dims, fact = star_tables(spark, ErpSources(spark, sf_dir))
+    published = star_job.publish_star(_own_store(spark, "star"), dims, [fact])
+    return money(published["fact_sale_order"], star.MONEY_COLUMNS)
+
+
+AFTER = dt.datetime(2024, 2, 3, 6, 0, 0)
+
+
+@register("post_ingestion_report", oracle_with(["src_sale_order", "src_crm_lead"]) + """
+select 'sale_order' as table_name, count(*) as rows, count(distinct id) as unique_ids, 'OK' as status, 2 as runs, 2 as successes from src_sale_order
+union all select 'crm_lead', count(*), count(distinct id), 'OK', 1, 1 from src_crm_lead
+union all select 'hr_employee', null, null, 'ERROR', null, null""")
+def q_post_ingestion_report(spark, sf_dir):
+    """Two tables are loaded, a third is configured but never was; the job after the loads reports on all three."""
+    src, store = ErpSources(spark, sf_dir), _own_store(spark, "loads")
+    first, changed = _first_and_changed(spark, sf_dir)
+    load.load_table(store, "sale_order", first, run_ts=RUN_TS)
+    load.load_table(store, "sale_order", changed, run_ts=LOAD_2)
+    leads = src.src_crm_lead.withColumns({"name": F.concat(F.lit("L"), "id"), "write_date": F.col("create_date")})
+    load.load_table(store, "crm_lead", leads, run_ts=RUN_TS)
+    found = post_ingestion.after_ingestion(store, [("raw", t) for t in ("sale_order", "crm_lead", "hr_employee")], AFTER)
+    if found.failures:
+        raise RuntimeError(str(found.failures))
+    runs = load.read_log(store).groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("runs"),
+                                                          F.count_if(F.col("status") == "completed").cast("int").alias("successes"))
+    return found.report.join(runs, "table_name", "left")

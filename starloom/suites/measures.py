@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from starloom.operators import measures_hr as hr
 from starloom.operators import measures_sales as ms
-from starloom.operators import star
+from starloom.operators import context as ctx
+from starloom.operators import scope, star
 from starloom.plans import control
 from starloom.registry import FACT_SALE_ORDER_CTES, FACT_SALE_ORDER_VIEWS, build_fact_sale_order, register
 from starloom.sources.erp_fixture import ErpSources, oracle_with
@@ -533,3 +534,94 @@ def q_wage_by_job(spark, sf_dir):
 @register("wage_by_department", _wage_sql("department_id"))
 def q_wage_by_department(spark, sf_dir):
     return hr.wage_by(build_activity(ErpSources(spark, sf_dir)), "department_id")
+
+
+# ------------------------------------------------ filter context and row-level security
+
+CONTEXT_TEAMS = [str(i) for i in range(1, 16)]
+CONTEXT_STAGES, CONTEXT_PROJECTS, CONTEXT_LEAVES = ["1", "4"], ["0", "1"], ["1", "2", "3"]
+
+
+def _sql_list(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+_V, _T = "vendor_id in (select id from src_vendor where cast(id as bigint) % 3 = 1)", f"team_id in {_sql_list(CONTEXT_TEAMS)}"
+_SALES_PERIOD = P(KD("date_last_state_update_id"))
+
+
+@register("measures_in_context", oracle_with(FACT_SALE_ORDER_VIEWS + CRM_VIEWS + HR_VIEWS,
+                                             FACT_SALE_ORDER_CTES + [("fact_crm", FACT_CRM_SQL)] + HR_CTES + [
+    ("crm", f"select * from fact_crm where type = 'opportunity' and {_V} and {_T}"),
+    ("sales", f"select *, {_SALES_PERIOD} as period from fact_dec"),
+]) + f"""
+select 'stage_share' as measure, stage_id as grp, cast(count(*) as double) as numerator, cast((select count(*) from crm) as double) as denominator,
+ cast(count(*) as double) / (select count(*) from crm) as value from crm where stage_id in {_sql_list(CONTEXT_STAGES)} group by stage_id
+union all
+select 'previous_month_revenue', project_type_id, cast(sum(amount_untaxed) filter (where id_state = '2' and {_V}
+  and period = (select max(period) from sales) - interval 1 month) as double), null, null
+from sales where project_type_id in {_sql_list(CONTEXT_PROJECTS)} group by project_type_id having count(*) filter (where {_V} and {_T}) > 0
+union all
+select 'absenteeism', leave_type_id, cast(sum(number_of_days) as double), cast((select count(distinct id) * 22 from src_employee) as double),
+ cast(sum(number_of_days) as double) / cast((select count(distinct id) * 22 from src_employee) as double) * 100.0
+from fact_leave where leave_type_id in {_sql_list(CONTEXT_LEAVES)} group by leave_type_id""")
+def q_measures_in_context(spark, sf_dir):
+    """Five slicers; the stage share drops the stage's, previous-month revenue all but vendor and project type,
+    absenteeism divides by all employees."""
+    src = ErpSources(spark, sf_dir)
+    chosen = ctx.Context({
+        "vendor_id": src.src_vendor.where("cast(id as bigint) % 3 = 1").select("id"), "team_id": CONTEXT_TEAMS, "stage_id": CONTEXT_STAGES,
+        "project_type_id": CONTEXT_PROJECTS, "leave_type_id": CONTEXT_LEAVES})
+    leads = build_fact_crm(src).where(F.col("type") == ms.OPPORTUNITY)
+    share = ctx.evaluate(leads, chosen, [ctx.Measure("numerator", F.lit(1)),
+                                         ctx.Measure("denominator", F.lit(1), ctx.removing("stage_id"))], ["stage_id"])
+    sales = ms.order_period(build_fact_sale_order(spark, src), "date_last_state_update_id")
+    previous = F.col("period") == F.add_months(sales.agg(F.max("period")).scalar(), -1)
+    collected = ctx.evaluate(sales, chosen, [ctx.Measure("numerator", F.col("amount_untaxed"), ctx.only("project_type_id", "vendor_id"),
+                                                         (F.col("id_state") == ms.SALE_STATE_ID) & previous)], ["project_type_id"])
+    leaves = ctx.evaluate(build_leave(src), chosen, [ctx.Measure("numerator", F.col("number_of_days"))], ["leave_type_id"])
+    everyone = src.src_employee.agg(F.count_distinct("id") * hr.WORKING_DAYS_PER_MONTH).scalar()  # no selection reaches it
+    number = lambda c: c.cast("double")
+
+    def rows(df, name, group, denominator, scale):
+        over = number(denominator)
+        return df.select(F.lit(name).alias("measure"), F.col(group).alias("grp"), number(F.col("numerator")).alias("numerator"),
+                         over.alias("denominator"), (scale * ms.ratio(F.col("numerator"), over)).alias("value"))
+
+    return rows(share, "stage_share", "stage_id", F.col("denominator"), F.lit(1.0)).unionByName(
+        rows(collected, "previous_month_revenue", "project_type_id", F.lit(None), F.lit(1.0))).unionByName(
+        rows(leaves, "absenteeism", "leave_type_id", everyone, F.lit(100.0)))
+
+
+_MINE = f"(select id from src_vendor where lower(email) = '{SCOPE_EMAIL}')"
+
+
+@register("vendor_scope_all", oracle_with(FACT_SALE_ORDER_VIEWS + CRM_VIEWS, FACT_SALE_ORDER_CTES + [("fact_crm", FACT_CRM_SQL)] + [
+    ("my_sales", f"select * from fact_dec where vendor_id in {_MINE}"), ("my_crm", f"select * from fact_crm where vendor_id in {_MINE}")]) + """
+select 'sales' as measure, id_state as grp, count(*) as rows, cast(sum(amount_untaxed) as double) as amount from my_sales group by id_state
+union all select 'signed_revenue', 'all', count(*) filter (where id_state = '2'), cast(sum(amount_untaxed) filter (where id_state = '2') as double) from my_sales
+union all select 'crm', won_status_id, count(*), cast(sum(expected_revenue) as double) from my_crm group by won_status_id
+union all select 'opportunities', stage_id, count(*) filter (where type = 'opportunity'), null from my_crm group by stage_id
+union all select 'vendors', 'all', (select count(*) from src_vendor where id in """ + _MINE + """), null""")
+def q_vendor_scope_all(spark, sf_dir):
+    """The caller's e-mail filters the vendor dimension; sales, CRM and the measures on them follow."""
+    src = ErpSources(spark, sf_dir)
+    seen = scope.vendor_scope_all({"dim_vendor": dim_vendor(src), "fact_sale_order": build_fact_sale_order(spark, src),
+                                   "fact_crm": build_fact_crm(src), "dim_client": dim_client(src)}, SCOPE_EMAIL)
+    sales, crm = seen["fact_sale_order"], seen["fact_crm"]
+    row = lambda df, name, group, n, amount: df.select(
+        F.lit(name).alias("measure"), group.alias("grp"), n.cast("bigint").alias("rows"), amount.cast("double").alias("amount"))
+    counted = lambda df, by, money_col: df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sum(money_col).alias("a"))
+    signed = ms.signed_revenue(sales)
+    opportunities = ms.total_opportunities(crm, ["stage_id"])
+    parts = [
+        row(counted(sales, "id_state", "amount_untaxed"), "sales", F.col("id_state"), F.col("n"), F.col("a")),
+        row(signed, "signed_revenue", F.lit("all"), F.col("signed_orders"), F.col("signed_revenue")),
+        row(counted(crm, "won_status_id", "expected_revenue"), "crm", F.col("won_status_id"), F.col("n"), F.col("a")),
+        row(opportunities, "opportunities", F.col("stage_id"), F.col("total_opportunities"), F.lit(None)),
+        row(seen["dim_vendor"].agg(F.count(F.lit(1)).alias("n")), "vendors", F.lit("all"), F.col("n"), F.lit(None)),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
