@@ -8,6 +8,7 @@ the join strategies. Only static or explicitly bounded frames carry a
 from __future__ import annotations
 
 import datetime as dt
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from starloom.plans.sizing import bounded_broadcast
 # Status dimensions used by the sale-order fact.
 SALE_STATUS_ROWS = [("1", "draft", "Quotation"), ("2", "sale", "Sales Order")]
 RBE_STATUS_ROWS = [("1", "Paid"), ("2", " PENDING")]
+LOOKUP_ROWS = 10_000
 
 
 def spread_key(key: Column, keep: Column, row_id: Column) -> Column:
@@ -98,7 +100,8 @@ def date_bounds(*frames: DataFrame) -> tuple[Column, Column]:
     days = None
     for df in frames:
         each = [F.col(f"`{c}`").cast("date") for c in df.columns]
-        part = df.agg(F.least(*map(F.min, each), F.lit(None).cast("date")).alias("lo"),
+        # distinct days first: a plan that only groups drops the joins behind columns nobody reads
+        part = df.distinct().agg(F.least(*map(F.min, each), F.lit(None).cast("date")).alias("lo"),
                       F.greatest(*map(F.max, each), F.lit(None).cast("date")).alias("hi"))
         days = part if days is None else days.unionByName(part)
     lo, hi = F.min("lo"), F.max("hi")
@@ -207,8 +210,17 @@ class DimensionKeyError(ValueError):
 
 
 def assert_unique_key(dim: DataFrame, key: Column, name: str) -> None:
-    """Raise when ``key`` repeats in a lookup dimension. Only for bounded
-    (static) dimensions: it reads at most one offending row."""
+    """Raise when ``key`` repeats in a lookup dimension.
+
+    Lookup dimensions are small: their keys are read (without a job when the
+    dimension is a static list). A dimension beyond ``LOOKUP_ROWS`` is grouped
+    and one offending row is read."""
+    keys = [r[0] for r in dim.select(key.alias("_k")).limit(LOOKUP_ROWS + 1).collect()]
+    if len(keys) <= LOOKUP_ROWS:
+        counts = Counter(keys)
+        if counts and counts.most_common(1)[0][1] > 1:
+            raise DimensionKeyError(f"{name}: key {counts.most_common(1)[0][0]!r} occurs {counts.most_common(1)[0][1]} times")
+        return
     dup = dim.groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).limit(1).collect()
     if dup:
         raise DimensionKeyError(f"{name}: key {dup[0]['_k']!r} occurs {dup[0]['_n']} times")

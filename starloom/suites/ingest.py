@@ -113,7 +113,8 @@ _BATCH_CTES = [
 @register("delta_batches", oracle_with(["src_sale_order"], _BATCH_CTES) + "select * from manifest")
 def q_delta_batches(spark, sf_dir):
     """Delta cut into 10,000-row batches in (date, id) order: keyset manifest."""
-    batched = ingest.delta_batches(_delta(spark, sf_dir), "create_date", "id", ingest.CHUNK_ROWS)
+    keys = _delta(spark, sf_dir).select("id", "create_date")  # bounds need no other column
+    batched = ingest.delta_batches(keys, "create_date", "id", ingest.CHUNK_ROWS)
     return ingest.batch_manifest(batched, "create_date", "id")
 
 
@@ -343,7 +344,7 @@ def q_high_water_mark(spark, sf_dir):
 select 'sale_order' as table_name, 'r1' as run_id, * from manifest where hi_date >= timestamp '{RESUME_CUT}'""")
 def q_batch_resume(spark, sf_dir):
     """Batches still pending after a run that stopped once early batches completed."""
-    batched = ingest.delta_batches(_delta(spark, sf_dir), "create_date", "id", ingest.CHUNK_ROWS)
+    batched = ingest.delta_batches(_delta(spark, sf_dir).select("id", "create_date"), "create_date", "id", ingest.CHUNK_ROWS)
     manifest = ingest.batch_manifest(batched, "create_date", "id").select(
         F.lit("sale_order").alias("table_name"), F.lit("r1").alias("run_id"), "*")
     progress = manifest.where(F.col("hi_date") < ts_lit(RESUME_CUT)).select(
