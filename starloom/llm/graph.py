@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import staged
+from starloom.llm.common import discard, staged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -40,7 +40,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # a star forest: every vertex points at one root and no root points on
         open_ends = (contracted.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("u")
                      .unionByName(contracted.select("u").join(contracted.select(F.col("v").alias("u")).distinct(), "u", "left_semi")))
-        if open_ends.isEmpty():
+        done = open_ends.isEmpty()
+        discard(edges)  # superseded by what was just written
+        if done:
             break
         edges = contracted
     roots = contracted.select(F.col("v").alias("id")).distinct()

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import (LOWER, SPACE_WORDS, column_bytes, mix, roll, slices, small_batches, staged,
+from starloom.llm.common import (LOWER, SPACE_WORDS, column_bytes, discard, mix, roll, slices, small_batches, staged,
                                  text_bytes, word_hashes, words)
 from starloom.llm.graph import connected_components
 
@@ -50,6 +50,7 @@ SHINGLE = 5
 PERCENT = 75
 N_PERMS = 64
 PARTS = 32  # hash ranges of the shared-shingle counts
+MANY = (1 << 16) - 1  # the largest packed count, which bounds nothing
 LARGE = 8  # members from which a bucket's documents are first tested for being linkable at all
 BLOCK = 1 << 15  # shingles hashed at a time, sized for the CPU cache
 
@@ -189,15 +190,19 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     open_rows = staged(_open_rows(several, label), "open")
     large = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE).select("bucket")
     in_large = open_rows.join(large, "bucket", "left_semi").select("bucket", "node", "size")
-    shared = staged(_shared(in_large.select("node").distinct(), texts, k), "shared")
-    candidates = staged(_open_rows(_linkable(in_large.join(shared, "node"), percent), label), "linkable")
-    common = sum(F.least(f"x.p{i}", f"y.p{i}") for i in range(PARTS))
+    counts = _shared(in_large.select("node").distinct(), texts, k)
+    shared = staged(counts.select("node", sum(F.col(f"p{i}") for i in range(PARTS)).alias("total"), *_packed()), "shared")
+    # what a node shares decides first; its counts join only the rows that are left
+    able = in_large.join(shared.select("node", "total"), "node").filter(
+        (100 + percent) * F.col("total") >= percent * (F.col("size") + F.ceil(F.col("size") * percent / 100)))
+    candidates = staged(_open_rows(_linkable(able, percent), label), "linkable").join(shared.drop("total"), "node")
     again = (_pairs(open_rows.join(large, "bucket", "left_anti"), percent, F.least("x.size", "y.size"))
-             .unionByName(_pairs(candidates, percent, common)).distinct().join(star, ["a", "b"], "left_anti"))
+             .unionByName(_pairs(candidates, percent, _common())).distinct().join(star, ["a", "b"], "left_anti"))
     more = confirmed(staged(again, "again"), texts, k, percent)
 
     edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same_id)
     final = connected_components(edges)
+    discard(buckets, star, texts, links, open_rows, shared)  # the components are written: nothing reads these again
     return (sketch.select("doc_id", "n_shingles", "h1")
             .join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -268,8 +273,24 @@ def _shared(nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
         F.coalesce(F.col(f"p{i}") - F.col(f"o{i}"), F.col(f"p{i}"), F.lit(0)).cast("int").alias(f"p{i}") for i in ranges))
 
 
+def _packed() -> list[Column]:
+    """The counts ``p0, p1, ...`` in four 16-bit fields a number; the largest field means any count from there on."""
+    field = lambda i: F.shiftleft(F.least(F.col(f"p{i}"), F.lit(MANY)).cast("long"), 16 * (i % 4))
+    fields = [[field(i) for i in range(q, q + 4)] for q in range(0, PARTS, 4)]
+    return [a.bitwiseOR(b).bitwiseOR(c).bitwiseOR(d).alias(f"q{n}") for n, (a, b, c, d) in enumerate(fields)]
+
+
+def _common() -> Column:
+    """An upper bound on what ``x`` and ``y`` share, from their packed counts."""
+    def count(side: str, i: int) -> Column:
+        field = F.shiftrightunsigned(f"{side}.q{i // 4}", 16 * (i % 4)).bitwiseAND(F.lit(MANY))
+        return F.when(field == MANY, F.lit(1 << 40)).otherwise(field)
+
+    return sum(F.least(count("x", i), count("y", i)) for i in range(PARTS))
+
+
 def _linkable(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows of ``bucket, node, size, p0, p1, ...`` whose node can reach the similarity with another member at all.
+    """Rows of ``bucket, node, size, total`` whose node can reach the similarity with another member at all.
 
     A set has at most the sum of its counts in common with any other, so a link
     needs ``(100 + percent) * sum >= percent * (size + size)``. The partner is
@@ -280,7 +301,7 @@ def _linkable(rows: DataFrame, percent: int) -> DataFrame:
     smallest = rows.groupBy("bucket").agg(F.min("size").alias("smallest"))
     partner = F.greatest(F.col("smallest"), F.ceil(F.col("size") * percent / 100))
     return rows.join(smallest, "bucket").filter(
-        (100 + percent) * sum(F.col(f"p{i}") for i in range(PARTS)) >= percent * (F.col("size") + partner)).drop("smallest")
+        (100 + percent) * F.col("total") >= percent * (F.col("size") + partner)).drop("smallest")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -293,8 +314,9 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: the row of its smallest doc_id.
 
-    Rows that repeat the kept doc_id go too, but for one; rows with a null doc_id stay.
+    Of rows equal in doc_id and text one stays. Rows that share a kept doc_id
+    but not its text all stay, as do rows with a null doc_id.
     """
     found = near_duplicates(docs, k, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.filter("doc_id is not null").join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return known.unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    known = docs.filter("doc_id is not null").join(found, "doc_id", "left_semi")
+    return known.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter("doc_id is null")).select(docs.columns)

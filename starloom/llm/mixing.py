@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starloom.llm.common import staged
+from starloom.plans.sizing import bounded_broadcast
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -184,21 +185,32 @@ def _fit(limit: int):
     return run
 
 
-def mix(docs: DataFrame, seed: int = SEED, limit: int = DP_WORDS) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies, taken`` for every row."""
-    sizes = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words().alias("size"),
-                               F.xxhash64("doc_id", "text", F.lit(seed)).alias("draw")), "sizes")
-    targets = staged(source_targets(sizes).withColumn("source_id", F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull())), "targets")
-    sized = sizes.withColumn("source_id", F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()))
+def _source_id() -> Column:
+    return F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull())
+
+
+def _draw(seed: int) -> Column:
+    return F.xxhash64("doc_id", "text", F.lit(seed))
+
+
+def _range() -> Column:
+    """The hash range of a row of a length group of ``n`` documents."""
+    span = 1 << 20
+    ranges = F.greatest(F.lit(1), F.ceil(F.col("n") / RANGE_ROWS))
+    return F.floor(F.pmod(F.col("draw"), F.lit(span)) * ranges / span)
+
+
+def _decided(docs: DataFrame, seed: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(rows, targets, lengths)``: what is taken of every document, of its source, and of every length of a source."""
+    sizes = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words().alias("size"), _draw(seed).alias("draw")), "sizes")
+    targets = staged(source_targets(sizes).withColumn("source_id", _source_id()), "targets")
+    sized = sizes.withColumn("source_id", _source_id())
     histogram = sized.groupBy("source_id", "size").agg(F.count(F.lit(1)).alias("n"))
     fitted = staged(histogram.join(targets.select("source_id", "source_size", "target"), "source_id").groupBy("source_id").applyInPandas(
         _fit(limit), "source_id long, size long, n long, passes long, extra long"), "fitted")
 
     # hash ranges of a length group and the quota of each
-    span = 1 << 20
-    place = F.pmod(F.col("draw"), F.lit(span))
-    ranges = F.greatest(F.lit(1), F.ceil(F.col("n") / RANGE_ROWS))
-    dealt = sized.join(fitted, ["source_id", "size"]).withColumn("range", F.floor(place * ranges / span))
+    dealt = sized.join(fitted, ["source_id", "size"]).withColumn("range", _range())
     partial = dealt.filter((F.col("extra") > 0) & (F.col("extra") < F.col("n")))
     counted = partial.groupBy("source_id", "size", "range").agg(F.count(F.lit(1)).alias("rows"), F.first("extra").alias("quota_all"))
     before = F.coalesce(F.sum("rows").over(Window.partitionBy("source_id", "size").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -206,18 +218,54 @@ def mix(docs: DataFrame, seed: int = SEED, limit: int = DP_WORDS) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("source_id", "size", "range").orderBy("draw", "doc_id"))
     some = partial.join(quotas, ["source_id", "size", "range"]).withColumn("more", (rank <= F.col("quota")).cast("long"))
     rest = dealt.filter((F.col("extra") == 0) | (F.col("extra") == F.col("n"))).withColumn("more", (F.col("extra") > 0).cast("long"))
-    columns = ["doc_id", "source", "source_id", "size", "draw", (F.col("passes") + F.col("more")).alias("copies")]
-    taken = some.select(*columns).unionByName(rest.select(*columns))
-    return taken.join(targets.select("source_id", "source_size", "target"), "source_id").select(
+    columns = ["doc_id", "source", "source_id", "size", "draw", "range", "extra", "n", "more", (F.col("passes") + F.col("more")).alias("copies")]
+    return some.select(*columns).unionByName(rest.select(*columns)), targets, fitted
+
+
+def mix(docs: DataFrame, seed: int = SEED, limit: int = DP_WORDS) -> DataFrame:
+    """``doc_id, source, size, source_size, target, copies, taken`` for every row."""
+    rows, targets, _ = _decided(docs, seed, limit)
+    return rows.join(targets.select("source_id", "source_size", "target"), "source_id").select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), "draw")
 
 
-def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with every row as many times (0, 1 or 2) as the mix takes its document."""
-    # rows of one draw are equal in doc_id and text, so they may share their copies in any order
-    copies = mix(docs, seed).filter("size > 0 and copies > 0").groupBy("draw").agg(F.array_sort(F.collect_list("copies")).alias("copies"))
-    named = {c: F.col(c) for c in docs.columns}
-    rows = docs.select(F.struct(*named.values()).alias("row"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("draw"))
-    order = F.row_number().over(Window.partitionBy("draw").orderBy(F.col("row.doc_id")))
-    rows = rows.join(copies, "draw").withColumn("nth", order).filter(F.col("nth") <= F.size("copies"))
-    return rows.select("row", F.explode(F.sequence(F.lit(1), F.element_at("copies", F.col("nth").cast("int")).cast("int"))).alias("copy")).select("row.*")
+def _cuts(rows: DataFrame, lengths: DataFrame) -> DataFrame:
+    """``source_id, size, n, passes, extra, cut, tied, tied_taken``: one row per length of a source.
+
+    Of a length taken in part, ``cut`` is the last place (range, draw) that is
+    taken, ``tied`` the rows at that place and ``tied_taken`` how many of them are.
+    """
+    partial = rows.filter((F.col("extra") > 0) & (F.col("extra") < F.col("n"))).select(
+        "source_id", "size", "more", F.struct("range", "draw").alias("place"))
+    cuts = partial.filter("more = 1").groupBy("source_id", "size").agg(F.max("place").alias("cut"))
+    ties = partial.join(cuts, ["source_id", "size"]).filter("place = cut").groupBy("source_id", "size").agg(
+        F.max("cut").alias("cut"), F.count(F.lit(1)).alias("tied"), F.sum("more").alias("tied_taken"))
+    return lengths.join(ties, ["source_id", "size"], "left")
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED, limit: int = DP_WORDS) -> DataFrame:
+    """``docs`` with every row as many times (0, 1 or 2) as the mix takes its document.
+
+    What is taken of a length ends at one place in the order of draws, so a
+    small table of cut-offs decides every row where it is read and no text
+    moves. Only rows at a cut-off that takes some of them are told apart:
+    they are equal in doc_id and text, so equal rows are counted, and the
+    counts share what is taken in the order of the other columns.
+    """
+    rows, _, lengths = _decided(docs, seed, limit)
+    columns = ["source_id", "size", "range", "draw", "extra", "n", "more"]
+    cuts = staged(_cuts(staged(rows.select(*columns), "taken"), lengths), "cuts")
+    read = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), _source_id().alias("source_id"), n_words().alias("size"),
+                       _draw(seed).alias("draw")).filter("size > 0")
+    placed = read.join(bounded_broadcast(cuts), ["source_id", "size"]).withColumn("place", F.struct(_range().alias("range"), "draw"))
+    more = (F.when(F.col("extra") == F.col("n"), 1).when(F.col("extra") == 0, 0).when(F.col("place") < F.col("cut"), 1)
+            .when(F.col("place") > F.col("cut"), 0).when(F.col("tied") == F.col("tied_taken"), 1))  # else NULL: some of the tied rows
+    known = placed.withColumn("copies", F.col("passes") + more)
+    sure = known.filter("copies > 0").select("row", "copies")
+    equal = known.filter("copies is null").groupBy("source_id", "size", "row").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("passes").alias("passes"), F.max("tied_taken").alias("open"))
+    earlier = Window.partitionBy("source_id", "size").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("open") - F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    shared = equal.select("row", (F.col("rows") * F.col("passes") + F.greatest(F.lit(0), F.least(F.col("rows"), left))).alias("copies"))
+    return (sure.unionByName(shared.filter("copies > 0"))
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*"))

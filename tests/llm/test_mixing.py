@@ -114,3 +114,30 @@ def test_budgets_above_the_limit_with_one_dominating_document():
             sums = {s + int(n) * k for s in sums for k in range(c + 1)}
         best = max(s for s in sums if s <= budget)
         assert best - words(lengths, counts, budget, limit=16) <= max(0, mixing.KEEP_WORDS - (budget - best))
+
+
+def test_tied_rows_share_what_is_taken(spark):
+    """A third of the rows is one document, of a length that is taken in part; its rows differ in lang only."""
+    rows = [(i, f"t{i} x y", f"l{i % 2}", "a") for i in range(400)] + [(999, "same same same", f"l{i % 3}", "a") for i in range(200)]
+    rows += [(1000 + i, "w " * 50, "l", "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    copies = defaultdict(int)
+    for r in mixing.mix(df).collect():
+        copies[r.doc_id] += r.copies * (r.size > 0)
+    got = defaultdict(int)
+    per_row = defaultdict(int)
+    for r in mixing.mixed_documents(df).collect():
+        got[r.doc_id] += 1
+        per_row[r] += 1
+    assert got == {k: v for k, v in copies.items() if v}
+    held = defaultdict(int)
+    for r in df.collect():
+        held[r] += 1
+    assert all(n <= 2 * held[r] for r, n in per_row.items())
+
+
+def test_no_text_is_shuffled(spark, documents):
+    plan = mixing.mixed_documents(documents)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "row#" in line]
+    assert len(moved) <= 2  # partial counts of tied rows, and their window
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
