@@ -180,14 +180,15 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     buckets = staged(nodes.select("node", F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket")), "buckets")
 
     least = buckets.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z").select("bucket", "a")
-    star = staged(buckets.join(least, "bucket").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
+    several = staged(buckets.join(least, "bucket"), "several")  # most buckets have one member and leave here
+    discard(buckets)
+    star = staged(several.filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
     shared = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
     texts = staged(_texts(docs, shared), "texts")
     links = staged(confirmed(star, texts, k, percent), "links")
 
     label = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    several = buckets.join(least.select("bucket"), "bucket", "left_semi")
-    open_rows = staged(_open_rows(several, label), "open")
+    open_rows = staged(_open_rows(several.drop("a"), label), "open")
     large = open_rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE).select("bucket")
     in_large = open_rows.join(large, "bucket", "left_semi").select("bucket", "node", "size")
     counts = _shared(in_large.select("node").distinct(), texts, k)
@@ -202,7 +203,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
     edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same_id)
     final = connected_components(edges)
-    discard(buckets, star, texts, links, open_rows, shared)  # the components are written: nothing reads these again
+    discard(several, star, texts, links, open_rows, shared)  # the components are written: nothing reads these again
     return (sketch.select("doc_id", "n_shingles", "h1")
             .join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -30,7 +30,8 @@ def register(fn: QueryFn) -> QueryFn:
 @register
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes under repeated 400-byte strings removed from every document."""
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
 
 
 @register

@@ -2,6 +2,7 @@ import random
 import re
 
 from conftest import docs_frame
+from pyspark.sql import functions as F
 
 from starloom.llm import minhash
 
@@ -141,3 +142,14 @@ def test_large_buckets_of_a_common_passage(spark, monkeypatch):
         texts.append(" ".join(near))
     df = docs_frame(spark, texts)
     assert result(df) == brute(list(enumerate(texts)))
+
+
+def test_packed_counts_bound_like_the_counts(spark):
+    rng = random.Random(8)
+    rows = [(i, *[rng.choice([0, 1, 7, 300, 65_534, 65_535, 10**6]) for _ in range(minhash.PARTS)]) for i in range(20)]
+    counts = spark.createDataFrame(rows, "node long, " + ", ".join(f"p{i} int" for i in range(minhash.PARTS)))
+    packed = counts.select("node", *minhash._packed())
+    got = packed.alias("x").join(packed.alias("y"), F.expr("x.node < y.node")).select("x.node", "y.node", minhash._common()).collect()
+    for a, b, common in got:
+        exact = sum(map(min, rows[a][1:], rows[b][1:]))
+        assert common >= exact and (common == exact or max(map(min, rows[a][1:], rows[b][1:])) >= minhash.MANY)
