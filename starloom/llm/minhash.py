@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import (LOWER, SPACE_WORDS, column_bytes, discard, mix, roll, slices, small_batches, staged,
                                  text_bytes, word_hashes, words)
 from starloom.llm.graph import connected_components
+from starloom.plans.sizing import bounded_broadcast
 
 SHINGLE = 5
 PERCENT = 75
@@ -183,7 +184,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     several = staged(buckets.join(least, "bucket"), "several")  # most buckets have one member and leave here
     discard(buckets)
     star = staged(several.filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
-    shared = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
+    shared = staged(star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct(), "nodes")
     texts = staged(_texts(docs, shared), "texts")
     links = staged(confirmed(star, texts, k, percent), "links")
 
@@ -194,8 +195,8 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
     counts = _shared(in_large.select("node").distinct(), texts, k)
     shared = staged(counts.select("node", sum(F.col(f"p{i}") for i in range(PARTS)).alias("total"), *_packed()), "shared")
     # what a node shares decides first; its counts join only the rows that are left
-    able = in_large.join(shared.select("node", "total"), "node").filter(
-        (100 + percent) * F.col("total") >= percent * (F.col("size") + F.ceil(F.col("size") * percent / 100)))
+    able = staged(in_large.join(bounded_broadcast(shared.select("node", "total")), "node").filter(
+        (100 + percent) * F.col("total") >= percent * (F.col("size") + F.ceil(F.col("size") * percent / 100))), "able")
     candidates = staged(_open_rows(_linkable(able, percent), label), "linkable").join(shared.drop("total"), "node")
     again = (_pairs(open_rows.join(large, "bucket", "left_anti"), percent, F.least("x.size", "y.size"))
              .unionByName(_pairs(candidates, percent, _common())).distinct().join(star, ["a", "b"], "left_anti"))
@@ -203,7 +204,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
     edges = links.unionByName(more).select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(same_id)
     final = connected_components(edges)
-    discard(several, star, texts, links, open_rows, shared)  # the components are written: nothing reads these again
+    discard(several, star, texts, links, open_rows, shared, able)  # the components are written: nothing reads these again
     return (sketch.select("doc_id", "n_shingles", "h1")
             .join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -212,7 +213,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 def _open_rows(rows: DataFrame, label: DataFrame) -> DataFrame:
     """``rows(bucket, node, ...)`` of the buckets that hold several components, with ``component`` and ``main``, the largest."""
-    labelled = rows.join(label.select(F.col("id").alias("node"), "component"), "node", "left").withColumn(
+    labelled = rows.join(bounded_broadcast(label.select(F.col("id").alias("node"), "component")), "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     mixed = (labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
@@ -308,7 +309,7 @@ def _linkable(rows: DataFrame, percent: int) -> DataFrame:
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, body`` of the documents in ``nodes(node)``; a doc_id that repeats has each of its texts once."""
     bodies = docs.select(F.col("doc_id").cast("long").alias("node"), text_bytes().alias("body"))
-    return bodies.join(nodes, "node", "left_semi").withColumn("digest", F.xxhash64("body")).dropDuplicates(
+    return bodies.join(bounded_broadcast(nodes), "node", "left_semi").withColumn("digest", F.xxhash64("body")).dropDuplicates(
         ["node", "digest"]).select("node", "body")
 
 

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import LOWER, SPACE_WORDS, column_bytes, slices, small_batches, staged, text_bytes, word_hashes, words
+from starloom.plans.sizing import bounded_broadcast
 
 N_FOURIER = 256
 RIDGE = 1e-3
@@ -222,7 +223,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``score`` and ``predicted``; the model learns from the labelled rows of ``docs``."""
-    known = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    known = docs.join(bounded_broadcast(labels.select("doc_id").distinct()), "doc_id", "left_semi")  # ids move, texts do not
     model = train(staged(statistics_rows(known), "statistics"), labels)
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     plain = docs.select(F.struct(*kept).alias("row"), text_bytes().alias("body"))
