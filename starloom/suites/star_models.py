@@ -145,8 +145,27 @@ union all select '0', null, null, null, null, null"""),
 ]
 
 
-@register("dim_date", oracle_with(CALENDAR_VIEWS, CALENDAR_CTES) + "select * from dim_date")
+@register("dim_date", """
+select strftime(d, '%Y%m%d') as id, cast(d as date) as date, cast(year(d) as integer) as year,
+ cast(month(d) as integer) as month, cast(day(d) as integer) as day,
+ cast(case when day(d) > 25 then date_trunc('month', d) + interval 1 month else date_trunc('month', d) end as date)
+  as custom_month_period
+from range(timestamp '1995-01-01', timestamp '2003-01-01', interval 1 day) t(d)
+union all select '0', null, null, null, null, null""")
 def q_dim_date(spark, sf_dir):
+    """Calendar 1995-2002 (2,922 days) with the custom month and the sentinel.
+
+    The range is the order-date span of the given tables, rounded to years.
+    """
+    o = ErpSources(spark, sf_dir).orders
+    bounds = o.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+    start = f"{bounds['lo'].year}-01-01"
+    end = f"{bounds['hi'].year + 1}-12-31"
+    return star.date_dimension(spark, start, end)
+
+
+@register("dim_date_facts", oracle_with(CALENDAR_VIEWS, CALENDAR_CTES) + "select * from dim_date")
+def q_dim_date_facts(spark, sf_dir):
     """Calendar of whole years over all dates of the facts, with the custom month and the sentinel."""
     return calendar(spark, ErpSources(spark, sf_dir))
 
