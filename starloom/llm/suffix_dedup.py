@@ -20,13 +20,15 @@ suffix is finished and leaves before the next digit:
   last pass the core is the whole window, so its groups are exact.
 
 All passes are grouped counts with map-side sums and joins on hashed digits;
-no bucket is gathered in one task. Only the bytes of edge runs are carried from
-pass to pass. Equal digits are equal 64-bit hashes under an equal 64-bit hash
+no bucket is gathered in one task: a digit that holds more than one row in
+``HOT_SHARE`` (fewer than that many digits can) is dealt over ``SALTS`` keys.
+Only the bytes of edge runs are carried from pass to pass. Equal digits are equal 64-bit hashes under an equal 64-bit hash
 of the digits before.
 
 Defined cases: a null text counts as empty; texts shorter than the window
 lose nothing; rows with equal text (also with equal or null doc_id) repeat
-each other and lose everything if they reach the window. Each input row gives
+each other and lose everything if they reach the window; equal rows share one
+list of spans, however many they are. Each input row gives
 one output row. Columns other than doc_id and text are ignored.
 """
 
@@ -40,12 +42,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import PrefixHash, column_bytes, mix, small_batches, staged, text_bytes
+from starloom.llm.common import PrefixHash, column_bytes, discard, mix, small_batches, staged, text_bytes
 
 WINDOW = 400
 GRAM = 32
 CUTS = (64, 8, 1)
 SEGMENT = 1 << 19  # suffix starts taken at a time in a long text
+HOT_SHARE = 1000
+HOT_ROWS = 4096
+SALTS = 64
 
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -155,13 +160,30 @@ def _spans(runs: DataFrame, window: int) -> DataFrame:
     return runs.select("doc", "start", (F.col("start") + F.col("suffixes") - 1 + window).alias("end"))
 
 
-def _sorted_out(runs: DataFrame, carried: list[str], name: str) -> tuple[DataFrame, DataFrame]:
-    """One digit: ``(contents of two or more runs, one open run of each content in a bucket with others)``."""
+def _in_groups(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """The ``rows`` (staged) whose ``keys`` are among ``groups``; ``n`` of a group is its number of rows.
+
+    A group of over one row in ``HOT_SHARE`` would make one task long: its rows
+    are dealt over ``SALTS`` keys and the group stands under each of them. There
+    are fewer than ``HOT_SHARE`` such groups, so their list is broadcast.
+    """
+    bar = max(HOT_ROWS, rows.count() // HOT_SHARE)
+    hot = groups.filter(F.col("n") > bar).select(*keys, F.lit(True).alias("hot"))
+    salts = F.when(F.col("n") > bar, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc", "start"), F.lit(SALTS)).cast("int")).otherwise(0))
+    found = dealt.join(groups.select(*keys, F.explode(salts).alias("salt")), [*keys, "salt"], "left_semi")
+    return found.select(*rows.columns)
+
+
+def _sorted_out(runs: DataFrame, carried: list[str], name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One digit: ``(contents of two or more runs, one open run of each content in a bucket with others, what to discard)``."""
     contents = runs.groupBy("bucket", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "start", *carried)).alias("first"))
-    contents = staged(contents.select("bucket", "content", "n", "first.*"), name)
-    mixed = contents.groupBy("bucket").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("bucket")
-    lone = (F.col("n") == 1) & (F.col("lone") if "lone" in carried else F.lit(True))
-    return contents.filter("n > 1").select("bucket", "content"), contents.join(mixed, "bucket", "left_semi").withColumn("lone", lone)
+    contents = staged(contents.select("bucket", "content", F.col("n").alias("runs"), "first.*"), name)
+    mixed = contents.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    lone = (F.col("runs") == 1) & (F.col("lone") if "lone" in carried else F.lit(True))
+    open_ = _in_groups(contents, mixed, ["bucket"]).withColumn("lone", lone)
+    return contents.filter("runs > 1").select("bucket", "content", F.col("runs").alias("n")), open_, contents
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cuts: tuple[int, ...] = CUTS) -> DataFrame:
@@ -174,23 +196,29 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cuts
         raise ValueError("the gram and the cuts must fit in the window, and the last cut is 1")
     small_batches(docs.sparkSession)
     bodies = docs.select(_doc_key().alias("doc"), text_bytes().alias("body")).filter(F.octet_length("body") >= window)
-    runs = staged(bodies.mapInArrow(_find_runs(window, gram), _FOUND), "runs")
-    shared = runs.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    runs = staged(runs.join(shared, "bucket", "left_semi"), "shared-runs")
-    agreed, open_ = _sorted_out(runs, ["suffixes", "ahead"], "contents")
-    spans = _spans(runs.join(agreed, ["bucket", "content"], "left_semi"), window)
+    every = staged(bodies.mapInArrow(_find_runs(window, gram), _FOUND), "runs")
+    shared = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    runs = staged(_in_groups(every, shared, ["bucket"]), "shared-runs")
+    discard(every)
+    agreed, open_, contents = _sorted_out(runs, ["suffixes", "ahead"], "contents")
+    spans = _spans(_in_groups(runs, agreed, ["bucket", "content"]), window)
 
     open_ = staged(open_, "open")
+    done = [runs, contents, open_]
     wanted = open_.groupBy("doc").agg(F.collect_list(F.struct("start", "suffixes", "ahead", "bucket")).alias("runs"))
     edges = staged(bodies.join(wanted, "doc").dropDuplicates(["doc"]).select("doc", "body", "runs").mapInArrow(_take_bytes(window), _EDGE), "edges")
+    done.append(edges)
     open_ = open_.withColumn("run", F.col("start"))
     for size in cuts:
         parts = open_.groupBy("doc", "run").agg(F.collect_list(F.struct("start", "suffixes", "lone")).alias("open"))
         cut = staged(edges.join(parts, ["doc", "run"]).select("doc", "run", "ahead", "bucket", "bytes", "open").mapInArrow(
             _cut_runs(window, size), "doc long, run long, bucket long, content long, start long, suffixes int, lone boolean"), f"cut-{size}")
-        agreed, open_ = _sorted_out(cut, ["run", "suffixes", "lone"], f"contents-{size}")
-        spans = spans.unionByName(_spans(cut.filter("lone").join(agreed, ["bucket", "content"], "left_semi"), window))
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+        agreed, open_, contents = _sorted_out(cut, ["run", "suffixes", "lone"], f"contents-{size}")
+        spans = spans.unionByName(_spans(_in_groups(cut, agreed, ["bucket", "content"]).filter("lone"), window))
+        done += [cut, contents]
+    out = staged(spans.groupBy("doc").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
+    discard(*done)
+    return out
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -227,7 +255,7 @@ _CUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, cuts: tuple[int, ...] = CUTS) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256`` for every row; ``kept`` holds the bytes that stay."""
-    spans = staged(repeated_spans(docs, window, gram, cuts), "spans")
+    spans = repeated_spans(docs, window, gram, cuts)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _doc_key().alias("doc"), text_bytes().alias("body")).join(
         spans, "doc", "left")
     untouched = rows.filter("spans is null").select(

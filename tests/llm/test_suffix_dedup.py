@@ -63,3 +63,29 @@ def test_empty_table_and_repeated_rows(spark):
     assert [r[1] for r in result(twice)] == [0, 0, 410, 410]
     none = spark.createDataFrame([(None, "k" * 100 + "m" * 350), (5, None)], "doc_id long, text string")
     assert {(r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(none).collect()} == {(None, 0), (5, 0)}
+
+
+def test_many_equal_rows_and_a_passage_in_half_of_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 100)
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    copy, passage = word(700), word(450)
+    texts = [word(30) + passage + word(50) if i % 2 else word(500) for i in range(600)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, copy)] * 20000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spans = suffix_dedup.repeated_spans(df).selectExpr("max(size(spans)) as most").first()
+    assert spans.most < 1000  # equal rows share a list
+    out = suffix_dedup.remove_repeats(df).drop("kept").collect()
+    assert [tuple(r)[1:] for r in sorted((r for r in out if r.doc_id is not None), key=lambda r: r.doc_id)] == brute(texts, 400)
+    assert {tuple(r)[1:4] for r in out if r.doc_id is None} == {(700, 700, 1)}
+    assert len(out) == len(rows)
+
+
+def test_hot_groups_are_found_whole(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 10)
+    rows = suffix_dedup.staged(spark.range(5000).selectExpr(
+        "id as doc", "id * 7 as start", "if(id % 3 = 0, 1, id) as bucket", "id as other"), "test-rows")
+    groups = rows.groupBy("bucket").count().withColumnRenamed("count", "n").filter("n > 1")
+    found = suffix_dedup._in_groups(rows, groups, ["bucket"])
+    assert found.columns == rows.columns
+    assert sorted(r.doc for r in found.collect()) == [i for i in range(5000) if i % 3 == 0 or i == 1]
