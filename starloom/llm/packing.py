@@ -105,7 +105,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
                               n_words().alias("size"), F.when(F.col("text").isNotNull(), cluster).alias("cluster"),
                               F.xxhash64("doc_id", "text").alias("draw")), "packing")
     shards = max(1, -(-rows.filter("size > 0").count() // shard_rows))
-    packed = (rows.filter("size > 0").withColumn("shard", F.pmod(F.col("draw"), F.lit(shards)))
+    # rows equal in all columns share a draw: they are counted (map-side), and each copy is dealt on its own
+    copies = rows.filter("size > 0").groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+    dealt = copies.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    place = F.when(F.col("copy") == 1, F.col("draw")).otherwise(F.xxhash64("draw", "copy"))
+    packed = (dealt.withColumn("shard", F.pmod(place, F.lit(shards))).drop("n", "copy")
               .groupBy("shard").applyInPandas(_pack_shard(capacity), _SCHEMA))
     empty = rows.filter("size = 0").select(
         "doc_id", "source", F.lit(None).cast("long").alias("piece"), F.lit(None).cast("long").alias("first_word"),

@@ -63,3 +63,18 @@ def test_copies_conflict_and_edges(spark):
     assert len({r.bin_id for r in packing.pack(nulls).collect()}) == 2
     with pytest.raises(ValueError):
         packing.pack(df, capacity=0)
+
+
+def test_many_equal_rows_are_dealt_over_all_shards(spark):
+    rows = spark.range(20000).selectExpr("cast(null as long) doc_id", "'a b c' text", "'s' source").unionByName(
+        spark.range(2000).selectExpr("id doc_id", "concat('w ', id) text", "concat('s', id % 7) source"))
+    out = packing.pack(rows, shard_rows=4096).collect()
+    assert len(out) == 22000
+    held = {}
+    for r in out:
+        held[r.bin_id >> 32] = held.get(r.bin_id >> 32, 0) + 1
+    assert len(held) == 6 and max(held.values()) < 2 * 22000 / 6
+    copies = [r.bin_id for r in out if r.doc_id is None]
+    assert len(set(copies)) == 20000
+    again = packing.pack(rows.repartition(5), shard_rows=4096).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
