@@ -10,14 +10,18 @@ passing, once upward and once downward, gives exact marginals on the tree; a
 piece of text stays when its owner's marginal reaches one half.
 
 Elements that name themselves as something else are boilerplate for certain
-(below a landmark only by tag, role or a whole name such as ``ads``; other bad
-words there are one feature, and such elements teach nothing), so their tags teach nothing; their inside counts for the size, link and
-sentence features only.
+by tag, role or name, so their tags teach nothing; their inside counts for the
+size, link and sentence features only. Outside landmarks a name with a bad word
+says so, unless that word may be a topic and stands beside another word
+(``social-science``). Below a landmark a name must say nothing else: ``ads``,
+or bad words and layout words only (``cookie-consent``, ``share-buttons``).
+A name that is not certain is one feature, and such elements teach nothing.
+The header of an article (``entry-header``) is a part of it.
 
 The potentials are counts over labelled pages: pages with an ``article`` or
 ``main`` landmark label themselves (text in the landmark, outside elements
 that name themselves as something else, which are boilerplate for certain). Counting is one Spark aggregate over
-a hashed share of about ``TRAIN_PAGES`` pages (all pages when there are fewer);
+a hashed share of about ``TRAIN_PAGES`` landmark pages (all of them when there are fewer);
 the collected table is bounded by the fixed lists of tags and bins. Extraction
 is one pass over all pages, page by page, without a shuffle.
 
@@ -63,6 +67,12 @@ BAD_ROLES = frozenset("navigation banner contentinfo complementary search form d
 GOOD_ROLES = frozenset("main article".split())
 ABSENT = frozenset("with has no without".split())  # "with-sidebar" names the layout, not the part
 OWN_WORDS = frozenset("ad ads advert advertisement comment comments related reply replies sponsored promo promoted".split())
+TOPIC_WORDS = frozenset("""advertising banner consent cookie cookies copyright disclaimer form menu notice overlay privacy promotion
+related reply respond search share sharing social widget""".split())
+PART_WORDS = frozenset("""area bar block bottom box button buttons container content fixed global icon icons inner item items left link
+links list main mobile outer page panel primary region right row secondary section site sticky text title top unit user
+wrap wrapper""".split())
+ARTICLE_WORDS = frozenset("article entry post story".split())
 CLOSES_P = BLOCKS - {"html", "body", "dt", "dd", "li", "td", "th", "tr", "tbody", "thead", "tfoot"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
@@ -79,7 +89,8 @@ NONE, BAD, GOOD, MAYBE = 0, 1, 2, 3
 def _hint(tag: str, attrs: str, landmark: bool = False) -> int:
     """What an element's names say about it: BAD (not main text), GOOD, or NONE; MAYBE is a bad word below a ``landmark``.
 
-    There a name is certain only if all its words are among ``OWN_WORDS``: others are as often topics.
+    There a name is certain only if all its words are among ``OWN_WORDS``, or if it has several and all
+    are bad or layout words: others are as often topics. Elsewhere topics need a word beside them.
     """
     good, maybe = tag in GOOD_TAGS, False
     if tag in BAD_TAGS:
@@ -95,10 +106,17 @@ def _hint(tag: str, attrs: str, landmark: bool = False) -> int:
                     found = _NAME.findall(_HUMP.sub("-", token).lower())
                     if not ABSENT.isdisjoint(found):
                         continue
-                    if not bad.isdisjoint(found):
-                        if not landmark or tag in WHOLE or OWN_WORDS.issuperset(found):
+                    named = bad.intersection(found)
+                    if named and not (named == {"header"} and not ARTICLE_WORDS.isdisjoint(found)):
+                        anchor = name == "id" and (tag in HEADINGS or tag == "section")  # named after a heading's words
+                        parts = bad | PART_WORDS
+                        if landmark and tag not in WHOLE:
+                            sure = OWN_WORDS.issuperset(found) or len(found) > 1 and not anchor and parts.issuperset(found)
+                        else:
+                            sure = tag in WHOLE or not TOPIC_WORDS.issuperset(named) or parts.issuperset(found)
+                        if sure:
                             return BAD
-                        maybe = maybe or name != "id" or tag not in HEADINGS  # a heading's id is an anchor named after its words
+                        maybe = maybe or name != "id" or tag not in HEADINGS
                     good = good or not GOOD_WORDS.isdisjoint(found)
                 continue
             value = value.lower()
@@ -391,10 +409,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(pages: DataFrame, max_pages: int = TRAIN_PAGES) -> Model:
     """Count potentials over a hashed share of about ``max_pages`` landmark pages."""
     small_batches(pages.sparkSession)
-    total = pages.count()
-    sample = pages
-    if total > max_pages:
-        sample = pages.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(1_000_000)) < int(1_000_000 * max_pages / total))
+    marked = pages.filter(F.col("html").cast("string").rlike(r"(?i)<(?:article|main)[\s/>]"))
+    total = marked.count()
+    share = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    sample = marked.filter(share < max_pages / total) if total > max_pages else marked
     counts = sample.select(F.col("html").cast("string").alias("html")).mapInArrow(
         _count, "feature string, label int, n double").groupBy("feature", "label").agg(F.sum("n").alias("n"))
     return Model({(r.feature, r.label): r.n for r in counts.collect()})

@@ -74,3 +74,30 @@ def test_topics_in_an_article_stay(spark):
     for tag in ("button", "select", "svg", "object"):
         assert model.extract(f"<article><div><p>{text}</p><div><{tag}>no<div>no</div></div><p>{text}</p></div></article>") == f"{text}\n\n{text}", tag
         assert model.extract(f"<article><p>{text}</p><{tag}><p>no</p></{tag}><p>{text}</p></article>") == f"{text}\n\n{text}", tag
+
+
+def test_names_that_say_nothing_else_go_and_topics_stay(spark):
+    model = H.train(spark.read.parquet(f"{SMALL}/pages.parquet"))
+    text = "This is a long paragraph, with many words. It has sentences, and goes on for a while."
+    for name in ("cookie-consent", "newsletter-signup", "share-buttons", "promoBox", "comment_list"):
+        assert model.extract(f"<main><p>{text}</p><div class='{name}'><p>{text}</p></div></main>") == text, name
+    assert model.extract(f"<body><div class='social-science'><p>{text}</p><p>{text}</p></div></body>") == f"{text}\n\n{text}"
+    for name in ("social", "social-links", "site-search", "main-nav", "acme-sidebar"):
+        assert model.extract(f"<body><div id='content'><p>{text}</p></div><div class='{name}'><p>{text}</p></div></body>") == text, name
+    title = f"<div class='entry-header'><h1>Head</h1></div><p>{text}</p>"
+    assert model.extract(f"<article>{title}</article>") == f"Head\n\n{text}"
+
+
+def test_pages_without_the_landmark_element_extract_alike(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    model, rows = H.train(pages), pages.collect()
+    assert all(model.extract(re.sub(r"<(/?)article>", r"<\1div>", r.html or "")) == article(r.html) for r in rows)
+
+
+def test_training_depends_on_landmark_pages_only(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url", "html")
+    plain = spark.range(3000).selectExpr("cast(null as long) page_id", "cast(null as string) url", "concat('<p>text ', id, '</p>') html")
+    a, b = H.train(pages), H.train(pages.unionByName(plain))
+    assert a.odds == b.odds and a.child == b.child
+    nulls = plain.selectExpr("page_id", "url", "concat('<article>', html, '</article>') html")
+    assert 0 < H.train(nulls, max_pages=300).child["c:p"] < 1
