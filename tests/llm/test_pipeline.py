@@ -49,3 +49,42 @@ def mixing_size(df, doc_id, cache={}):  # noqa: B006
 
 def test_run_equals_the_stages(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 0
+
+
+def through(spark, docs, sf_dir):
+    """What every stage returns, staged."""
+    out = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = out[name] = staged(stage(spark, docs, sf_dir), name)
+    return out
+
+
+def test_empty_table_through_all_stages(spark, documents):
+    out = through(spark, documents.limit(0), SMALL)
+    assert all(df.count() == 0 for df in out.values())
+    assert all(out[n].columns == documents.columns for n in list(out)[:-1])
+
+
+def test_nulls_repeats_and_further_columns(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")  # one class: nothing is rejected
+    long = "many different words " + " ".join(f"w{i}" for i in range(5000))
+    rows = [(1, "write to me@site.org about the first of these texts", "en", "a"), (2, None, None, None), (3, "", "en", "a"),
+            (4, "short", None, "b"), (4, "short", None, "b"), (5, long, "en", None), (6, long + " end", "en", "a"), (None, "a row without an id here", "en", "a")]
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), 1.0, "x") for r in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars int, score double, bucket string")
+    out = through(spark, docs, str(tmp_path))
+    assert all(out[n].columns == docs.columns for n in list(out)[:-1])
+    assert out["quality"].count() == len(rows)
+    kept = Counter(r.doc_id for r in out["near_dedup"].collect())
+    assert kept == Counter([1, 2, 3, 4, 5, None])  # 6 is a near copy of 5, and one of the rows 4 stays
+    texts = {r.doc_id: r.text for r in out["pii"].collect()}
+    assert texts[1] == "write to [EMAIL] about the first of these texts" and texts[2] is None and texts[5] == long
+    mixed = {r.doc_id for r in out["mixing"].collect()}
+    assert mixed <= set(texts) - {2, 3}
+    packed = out["packing"].collect()
+    assert {r.doc_id for r in packed} == mixed and all(r.bin_id is not None for r in packed)
+
+
+def test_run_returns_what_the_stages_return(spark, documents):
+    stages = through(spark, documents, SMALL)["packing"].collect()
+    assert sorted(map(str, corpus_pipeline.run(spark, SMALL).collect())) == sorted(map(str, stages))
