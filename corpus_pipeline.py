@@ -3,6 +3,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written and read again as the next stage's documents. All but the last return
 the columns of ``documents``.
+
+Defined cases, by stage: ``quality`` scores a null text as an empty one, and
+keeps every row while the labels know one class only. ``near_dedup`` keeps
+texts without words; of rows with one doc_id one stays. ``pii`` leaves null
+texts null. ``mixing`` takes no document without words. ``packing`` makes no
+row for what is not there: an empty table stays empty through all stages.
+Rows with a null doc_id, source or lang pass like others; further columns of
+``documents`` travel to the last stage.
 """
 
 from __future__ import annotations
