@@ -30,6 +30,7 @@ def test_matches_brute_force_on_embeddings(spark):
     want = brute(rows, 100)
     assert result(df, 100) == want
     assert result(df, 100, shard_rows=60, query_rows=2) == want
+    assert result(df, 100, min_shards=2, index_rows=16) == want
 
 
 def test_bounds_stop_early_and_stay_exact():
@@ -60,3 +61,31 @@ def test_ties_nulls_lengths_repeats(spark):
     few = spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")
     assert result(few, 2) == brute(rows[:4], 2)
     assert result(df.limit(0), 2) == []
+
+
+def test_floors_cut_rows_but_not_answers():
+    rng = np.random.default_rng(2)
+    rows = rng.integers(-1000, 1000, (2000, 16))
+    rows[500:520] = rows[3]  # ties at the bar
+    queries, ids = rows[:30], np.arange(2000)
+    number, vec_id, score = topk.best_of(rows, ids, queries, np.arange(30), np.full(30, topk.LOWEST), 10, index_rows=128)
+    bar = np.array([np.sort(score[number == j])[-10] for j in range(30)])
+    for j in range(30):
+        exact = rows @ queries[j]
+        exact[j] = -(1 << 62)
+        assert vec_id[number == j].tolist() == np.lexsort((ids, -exact))[:10].tolist()
+    number2, vec_id2, _ = topk.best_of(rows, ids, queries, np.arange(30), bar, 10, index_rows=128)
+    assert number2.tolist() == number.tolist() and vec_id2.tolist() == vec_id.tolist()
+    assert not len(topk.best_of(rows, ids, queries, np.arange(30), bar + (1 << 40), 10)[0])
+
+
+def test_bounds_hold_for_scores_beyond_double_precision():
+    rng = np.random.default_rng(3)
+    rows = rng.integers(1 << 29, (1 << 29) + 50, (400, 4))  # scores near 2**60, apart by less than their rounding
+    for j, top in enumerate(topk.best_of(rows, np.arange(400), rows[:5], np.arange(5), np.full(5, topk.LOWEST), 10)[1].reshape(5, 10)):
+        exact = rows @ rows[j]
+        exact[j] = 0
+        assert top.tolist() == np.lexsort((np.arange(400), -exact))[:10].tolist()
+    wide = rng.integers(1 << 31, 1 << 32, (60, 2))  # no bound is provable, nothing is cut
+    index = topk.ImpactIndex(wide)
+    assert index.possible(wide[:2], np.zeros((60, 2), bool), 10, np.full(2, topk.LOWEST)).all()
