@@ -7,7 +7,8 @@
    batches: a batch is searched in the graph so far, then linked to diverse
    near neighbours. The finished graph is stored as one row.
 3. All classes are queries, in blocks of ``QUERY_ROWS``; every block meets
-   every shard by a join on the shard number. A query's beam widens until it
+   every shard: a graph is cogrouped with ``BLOCKS_TOGETHER`` blocks at a time,
+   so it travels once for that many. A query's beam widens until it
    holds a row below the threshold, so large groups are found whole. Then a
    hashed share of the block's queries is compared with the whole shard; while
    the audited recall, a mean over queries taken apart by their number of links,
@@ -44,6 +45,8 @@ RECALL = 0.99
 MIN_SHARDS = 8
 SHARD_ROWS = 1 << 15
 QUERY_ROWS = 1 << 13
+BLOCKS_TOGETHER = 16  # query blocks that one copy of a graph serves
+TASKS = 2048         # at most so many partitions of graphs and blocks
 DEGREE = 12          # links of a vector in the upper layers; twice as many in the lowest
 BUILD_BEAM = 48
 BEAM = 32
@@ -262,15 +265,17 @@ class Graph:
         return width
 
     def to_bytes(self) -> bytes:
+        """The links; the vectors are stored beside them."""
         out = io.BytesIO()
-        np.savez(out, x=self.x, top=self.top, **{f"layer{i}": links for i, links in enumerate(self.layers)})
+        np.savez(out, top=self.top, **{f"layer{i}": links for i, links in enumerate(self.layers)})
         return out.getvalue()
 
     @classmethod
-    def from_bytes(cls, blob: bytes) -> Graph:
+    def from_bytes(cls, blob: bytes, x: np.ndarray) -> Graph:
+        """The graph of the unit vectors ``x``."""
         graph, parts = cls.__new__(cls), np.load(io.BytesIO(blob), allow_pickle=False)
-        graph.x, graph.top = parts["x"], parts["top"]
-        graph.layers = [parts[f"layer{i}"] for i in range(len(parts.files) - 2)]
+        graph.x, graph.top = np.ascontiguousarray(x, np.float32), parts["top"]
+        graph.layers = [parts[f"layer{i}"] for i in range(len(parts.files) - 1)]
         return graph
 
 
@@ -291,55 +296,67 @@ def star_forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
 
 
-def _build(shard: pa.Table) -> pa.Table:
-    x = matrix(shard["values"], np.float64)
-    order = np.argsort(shard["node"].to_numpy(), kind="stable")
-    x = x[order]
-    graph = Graph(x / np.linalg.norm(x, axis=1)[:, None])
-    return pa.table({"shard": shard["shard"][:1], "graph": pa.array([graph.to_bytes()], pa.binary()),
-                     "nodes": pa.array([shard["node"].to_numpy()[order]], pa.list_(pa.int64())),
-                     "copies": pa.array([shard["copies"].to_numpy()[order]], pa.list_(pa.int64())),
-                     "exact": pa.array([x.tobytes()], pa.binary())})
-
-
-def _block(rows: pa.Table) -> pa.Table:
-    return pa.table({"dims": rows["dims"][:1], "block": rows["block"][:1],
-                     "asked": pa.array([rows["node"].to_numpy()], pa.list_(pa.int64())),
-                     "vectors": pa.array([matrix(rows["values"], np.float64).tobytes()], pa.binary())})
-
-
-def _links(cosine: float, recall: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i] for c in batch.schema.names}
-                graph = Graph.from_bytes(row["graph"].as_buffer())
-                nodes, copies, asked = (row[c].values.to_numpy() for c in ("nodes", "copies", "asked"))
-                x = np.frombuffer(row["exact"].as_buffer(), np.float64).reshape(len(nodes), -1)
-                q = np.frombuffer(row["vectors"].as_buffer(), np.float64).reshape(len(asked), -1)
-                x_norm, q_norm = np.linalg.norm(x, axis=1), np.linalg.norm(q, axis=1)
-                unit = np.ascontiguousarray(q / q_norm[:, None], np.float32)
-                near = cosine - 1e-4  # single precision finds, double precision decides
-                at = np.minimum(np.searchsorted(nodes, asked), len(nodes) - 1)
-                width = graph.audited_width(unit, near, recall, own=np.where(nodes[at] == asked, at, -1))
-                count = np.zeros(len(asked), np.int64)
-                a = b = np.zeros(0, np.int64)
-                for r, c in graph.within(unit, near, width):
-                    ok = np.einsum("ij,ij->i", q[r], x[c]) / (q_norm[r] * x_norm[c]) >= cosine
-                    ok &= asked[r] != nodes[c]
-                    r, c = r[ok], c[ok]
-                    count += np.bincount(r, copies[c], len(asked)).astype(np.int64)
-                    a, b = star_forest(np.concatenate([a, asked[r]]), np.concatenate([b, nodes[c]]))
-                linked = np.flatnonzero(count)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([asked[linked], a])), pa.array(np.concatenate([count[linked], np.zeros(len(a), np.int64)])),
-                     pa.array(np.concatenate([asked[linked], b]))], names=["node", "links", "root"])
+def _build(kind: type):
+    def run(shard: pa.Table) -> pa.Table:
+        x = matrix(shard["values"], np.float64)
+        order = np.argsort(shard["node"].to_numpy(), kind="stable")
+        x = x[order]
+        graph = Graph(x / np.linalg.norm(x, axis=1)[:, None])
+        return pa.table({"shard": shard["shard"][:1], "graph": pa.array([graph.to_bytes()], pa.binary()),
+                         "nodes": pa.array([shard["node"].to_numpy()[order]], pa.list_(pa.int64())),
+                         "copies": pa.array([shard["copies"].to_numpy()[order]], pa.list_(pa.int64())),
+                         "exact": pa.array([x.astype(kind).tobytes()], pa.binary())})
+
+    return run
+
+
+def _block(kind: type):
+    def run(rows: pa.Table) -> pa.Table:
+        return pa.table({"dims": rows["dims"][:1], "block": rows["block"][:1],
+                         "asked": pa.array([rows["node"].to_numpy()], pa.list_(pa.int64())),
+                         "vectors": pa.array([matrix(rows["values"], np.float64).astype(kind).tobytes()], pa.binary())})
+
+    return run
+
+
+def _links(cosine: float, recall: float, kind: type):
+    def doubles(cell: pa.Scalar, rows: int) -> np.ndarray:
+        return np.frombuffer(cell.as_buffer(), kind).reshape(rows, -1).astype(np.float64)
+
+    def run(graphs: pa.Table, blocks: pa.Table) -> pa.Table:
+        out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(3)]
+        if graphs.num_rows and blocks.num_rows:
+            nodes, copies = (graphs[c][0].values.to_numpy() for c in ("nodes", "copies"))
+            x = doubles(graphs["exact"][0], len(nodes))
+            x_norm = np.linalg.norm(x, axis=1)
+            graph = Graph.from_bytes(graphs["graph"][0].as_buffer(), x / x_norm[:, None])
+        for i in range(blocks.num_rows if graphs.num_rows else 0):
+            asked = blocks["asked"][i].values.to_numpy()
+            q = doubles(blocks["vectors"][i], len(asked))
+            q_norm = np.linalg.norm(q, axis=1)
+            unit = np.ascontiguousarray(q / q_norm[:, None], np.float32)
+            near = cosine - 1e-4  # single precision finds, double precision decides
+            at = np.minimum(np.searchsorted(nodes, asked), len(nodes) - 1)
+            width = graph.audited_width(unit, near, recall, own=np.where(nodes[at] == asked, at, -1))
+            count = np.zeros(len(asked), np.int64)
+            a = b = np.zeros(0, np.int64)
+            for r, c in graph.within(unit, near, width):
+                ok = np.einsum("ij,ij->i", q[r], x[c]) / (q_norm[r] * x_norm[c]) >= cosine
+                ok &= asked[r] != nodes[c]
+                r, c = r[ok], c[ok]
+                count += np.bincount(r, copies[c], len(asked)).astype(np.int64)
+                a, b = star_forest(np.concatenate([a, asked[r]]), np.concatenate([b, nodes[c]]))
+            linked = np.flatnonzero(count)
+            for column, parts in zip(out, ((asked[linked], a), (count[linked], np.zeros(len(a), np.int64)), (asked[linked], b))):
+                column.extend(parts)
+        return pa.table({name: pa.array(np.concatenate(column)) for name, column in zip(("node", "links", "root"), out)})
 
     return run
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding",
-                    min_shards: int = MIN_SHARDS, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+                    min_shards: int = MIN_SHARDS, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS,
+                    blocks_together: int = BLOCKS_TOGETHER) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors``."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("values"))
@@ -353,15 +370,23 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
         "node", "copies", "values", "dims", "shards", F.pmod(F.xxhash64("node"), "shards").alias("number"),
         F.pmod(F.xxhash64("node", F.lit(1)), "blocks").alias("block"))
     shard = F.col("dims").cast("long") * (1 << 32) + F.col("number")
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind = np.float32 if single else np.float64  # as stored; all cosines are taken in double precision
     graphs = staged(dealt.select(shard.alias("shard"), "node", "copies", "values").groupBy("shard").applyInArrow(
-        _build, "shard long, graph binary, nodes array<long>, copies array<long>, exact binary"), "graphs")
+        _build(kind), "shard long, graph binary, nodes array<long>, copies array<long>, exact binary"), "graphs")
     blocks = staged(dealt.select("dims", "block", "node", "values").groupBy("dims", "block").applyInArrow(
-        _block, "dims int, block long, asked array<long>, vectors binary"), "blocks")
-    spread = blocks.join(F.broadcast(plan.select("dims", "shards")), "dims").withColumn(
-        "number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).withColumn("shard", shard)
-    found = staged(spread.join(graphs, "shard").repartition(max(1, sum(max(min_shards, -(-n // shard_rows)) * max(1, -(-n // query_rows)) for n in sizes.values())), "shard", "block")
-                   .select("graph", "nodes", "copies", "exact", "asked", "vectors").mapInArrow(
-                       _links(cosine, recall), "node long, links long, root long"), "links")
+        _block(kind), "dims int, block long, asked array<long>, vectors binary"), "blocks")
+    # every (shard, part) has one copy of the graph and up to BLOCKS_TOGETHER blocks
+    parts = plan.select("dims", F.ceil(F.col("blocks") / blocks_together).cast("long").alias("parts"))
+    copied = graphs.withColumn("dims", F.shiftright("shard", 32).cast("int")).join(F.broadcast(parts), "dims").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select("shard", "part", "graph", "nodes", "copies", "exact")
+    spread = blocks.join(F.broadcast(plan.select("dims", "shards").join(parts, "dims")), "dims").withColumn(
+        "number", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1))).select(
+            shard.alias("shard"), F.pmod("block", "parts").alias("part"), "asked", "vectors")
+    tasks = min(TASKS, max(1, 2 * sum(max(min_shards, -(-n // shard_rows)) * -(-n // (query_rows * blocks_together)) for n in sizes.values())))
+    found = staged(copied.repartition(tasks, "shard", "part").groupBy("shard", "part").cogroup(
+        spread.repartition(tasks, "shard", "part").groupBy("shard", "part")).applyInArrow(
+            _links(cosine, recall, kind), "node long, links long, root long"), "links")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     same_id = rows.filter(valid).join(classes.select("values", "node"), "values").filter("vec_id <> node").select(
         F.col("vec_id").alias("u"), F.col("node").alias("v"))

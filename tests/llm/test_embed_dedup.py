@@ -48,7 +48,7 @@ def test_graph_recall_without_scans():
     for r, c in graph.within(q, 0.9, width):
         found.update(zip(r.tolist(), c.tolist()))
     assert found <= exact and len(found) >= 0.98 * len(exact)
-    again = embed_dedup.Graph.from_bytes(graph.to_bytes())
+    again = embed_dedup.Graph.from_bytes(graph.to_bytes(), x)
     assert (again.search(q[:50], 20)[0] == graph.search(q[:50], 20)[0]).all()
 
 
@@ -61,6 +61,7 @@ def test_edges(spark):
              (205, [float("inf")] * 6), (206, [1.0, 1.0]), (207, [2.0, 2.0]), (208, [-1.0, -1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "1 as shard", "'x' as node", "2 as values")
     assert result(df, min_shards=3, query_rows=20) == brute(rows)
+    assert result(df, min_shards=3, query_rows=4, blocks_together=2) == brute(rows)
     assert result(df.limit(0)) == []
     null = spark.createDataFrame([(None, [1.0]), (1, [1.0]), (2, [3.0])], "vec_id long, embedding array<double>")
     assert sorted(map(str, embed_dedup.near_duplicates(null).collect())) == sorted(map(str, [
