@@ -79,20 +79,62 @@ def _marked(text: Column, mark: str, inside: str, chars: str) -> Column:
     return F.regexp_replace(F.translate(text, mark, "\u0003"), f"(?<=[{inside}])[{chars}](?=[{inside}])", mark)
 
 
-def _found(text: Column, pattern: str, ok=None) -> Column:
-    """``array<struct<start, end, text>>`` of the matches that pass ``ok``."""
-    parts = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-                       lambda gap, m: F.struct(F.length(gap).alias("gap"), m.alias("m")))
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, also where lambdas in ``use`` mention it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _chunked(items: Column, each) -> Column:
+    """``each(first, chunk)`` for consecutive chunks of about sqrt(n) items; ``first`` counts from 0. No item, no chunk."""
+    def run(p: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(p))).cast("int"), F.lit(1))
+        starts = F.when(F.size(p) > 0, F.sequence(F.lit(0), F.greatest(F.size(p) - 1, F.lit(0)), width)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: each(i, F.slice(p, i + 1, width), p))
+
+    return _bound(items, run)
+
 
-    def step(acc: Column, part: Column) -> Column:
-        start = acc["at"] + part["gap"]
-        end = start + F.coalesce(F.length(part["m"]), F.lit(0))
-        valid = part["m"].isNotNull() if ok is None else part["m"].isNotNull() & ok(part["m"])
-        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), part["m"].alias("text"))))
-        return F.struct(end.alias("at"), F.when(valid, more).otherwise(acc["out"]).alias("out"))
+_SPANS = "array<struct<start:int,end:int,text:string,before:string,after:string>>"
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+def _found(text: Column, pattern: str, ok=None) -> Column:
+    """``array<struct<start, end, text, before, after>>`` of the matches that pass ``ok``: ``CONTEXT`` characters before, one after.
+
+    Places are added up in chunks, then over chunks, and neighbours are carried
+    along, so the cost is n * sqrt(n) small steps for n matches, and each
+    character of the text is touched a fixed number of times.
+    """
+    gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.zip_with(gaps, matches, lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
+    first = lambda x: F.substring(F.concat(F.substring(x["gap"], 1, 1), F.substring(F.coalesce(x["m"], F.lit("")), 1, 1)), 1, 1)
+    parts = _bound(parts, lambda p: F.zip_with(p, F.slice(p, 2, F.greatest(F.size(p), F.lit(1))), lambda x, after: F.struct(
+        x["gap"].alias("gap"), x["m"].alias("m"), F.coalesce(first(after), F.lit("")).alias("after"))))
+    tail = lambda x: F.right(x, F.lit(CONTEXT))
+
+    def step(acc: Column, x: Column) -> Column:
+        m = F.coalesce(x["m"], F.lit(""))
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(m)
+        before = tail(F.concat(acc["tail"], tail(x["gap"])))
+        valid = x["m"].isNotNull() if ok is None else x["m"].isNotNull() & ok(x["m"])
+        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("text"), before.alias("before"),
+                                                     x["after"].alias("after"))))
+        return F.struct(end.alias("at"), tail(F.concat(before, m)).alias("tail"), F.when(valid, more).otherwise(acc["out"]).alias("out"))
+
+    def chunk(i: Column, own: Column, every: Column) -> Column:
+        # a match has a character at least, so that many earlier ones reach back far enough
+        earlier = F.slice(every, F.greatest(i - CONTEXT, F.lit(0)) + 1, F.least(i, F.lit(CONTEXT)))
+        known = tail(F.array_join(F.transform(earlier, lambda x: F.concat(tail(x["gap"]), F.coalesce(x["m"], F.lit("")))), ""))
+        return F.aggregate(own, F.struct(F.lit(0).alias("at"), known.alias("tail"), F.array().cast(_SPANS).alias("out")), step,
+                           lambda acc: F.struct(acc["at"].alias("at"), acc["out"].alias("out")))
+
+    def moved(acc: Column, c: Column) -> Column:
+        out = F.transform(c["out"], lambda s: F.struct((s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"),
+                                                       s["text"].alias("text"), s["before"].alias("before"), s["after"].alias("after")))
+        return F.struct((acc["at"] + c["at"]).alias("at"), F.concat(acc["out"], F.array(out)).alias("out"))
+
+    return F.aggregate(_chunked(parts, chunk), F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("out")), moved,
+                       lambda acc: F.flatten(acc["out"]))
 
 
 def _digits(m: Column) -> Column:
@@ -124,7 +166,7 @@ def _may_hold(text: Column) -> dict[str, Column]:
 def base_spans(text: Column) -> dict[str, Column]:
     """Spans of each kind by the fixed rules."""
     views, may = _views(text), _may_hold(text)
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    none = F.array().cast(_SPANS)
     count = lambda m: F.length(_digits(m))
     rules = {
         "email": (_EMAIL, None),
@@ -161,13 +203,13 @@ def candidates(text: Column, phones: bool = False) -> Column:
     """``array<struct<start, end, kind, digits, ...>>``: wide spans of all kinds with their features, and the ``phone`` itself if asked for."""
     views, number = _views(text), text.rlike("[0-9]")
     may = {"email": text.contains("@"), "ip": number, "card": number, "phone": number}
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    none = F.array().cast(_SPANS)
 
     def described(kind: str):
         def one(c: Column) -> Column:
             m = c["text"]
             plain = F.translate(m, _ONE + _TWO, " .")
-            before = F.lower(F.substring(text, F.greatest(c["start"] - CONTEXT + 1, F.lit(1)), F.least(c["start"], F.lit(CONTEXT))))
+            before = F.lower(c["before"])
             context = F.lit(0)
             for code, found in sorted(CONTEXT_WORDS.items(), reverse=True):
                 context = F.when(before.rlike(rf"(?:^|[^a-z])(?:{found})[^a-z]*$"), code).otherwise(context)
@@ -176,8 +218,7 @@ def candidates(text: Column, phones: bool = False) -> Column:
                 c["start"].alias("start"), c["end"].alias("end"), F.lit(KINDS.index(kind)).alias("kind"),
                 (m.startswith("+") if kind == "phone" else F.lit(True)).alias("signed"),
                 *_shape(plain),
-                _beside(F.when(c["start"] > 0, F.substring(text, c["start"], F.lit(1))).otherwise("")).alias("lead"),
-                _beside(F.substring(text, c["end"] + 1, F.lit(1))).alias("tail"), context.alias("context"),
+                _beside(F.right(c["before"], F.lit(1))).alias("lead"), _beside(c["after"]).alias("tail"), context.alias("context"),
                 (F.when(plain.rlike(r"@[A-Za-z0-9.-]*\.[A-Za-z]{2,24}$"), 1).otherwise(0) if kind == "email" else F.lit(0)).alias("domain"),
                 (F.when(_octets_ok(m) & (parts == 4), 2).when(parts == 4, 1).otherwise(0) if kind == "ip" else F.lit(0)).alias("octets"),
                 *([(m if kind == "phone" else F.lit("")).alias("phone")] if phones else []))
@@ -187,8 +228,15 @@ def candidates(text: Column, phones: bool = False) -> Column:
     return F.concat(*[F.transform(F.when(may[k], _found(views[k], _WIDE[k])).otherwise(none), described(k)) for k in KINDS])
 
 
-def _overlaps(c: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+def _ranges(spans: Column) -> Column:
+    """Spans of one kind, which ascend and lie apart, in chunks with the range of each."""
+    return _chunked(spans, lambda i, own, every: F.struct(own[0]["start"].alias("start"), F.element_at(own, -1)["end"].alias("end"), own.alias("spans")))
+
+
+def _overlaps(c: Column, ranges: Column) -> Column:
+    """Whether ``c`` overlaps a span of ``_ranges``; only chunks that it meets are opened."""
+    meets = lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])
+    return F.exists(ranges, lambda r: meets(r) & F.exists(r["spans"], meets))
 
 
 # ------------------------------------------------------------------ boosting
@@ -294,7 +342,7 @@ def train(docs: DataFrame) -> Model:
     """Fit trees on one half of the documents and thresholds on the other."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    base = F.array(*[F.transform(s, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))) for s in base_spans(F.col("text")).values()])
+    base = F.array(*[_ranges(F.transform(s, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))) for s in base_spans(F.col("text")).values()])
     found = rows.select((F.pmod(F.xxhash64("text"), F.lit(2)) == 0).alias("fit"), base.alias("base"), candidates(F.col("text"), phones=True).alias("found"))
     one = found.select("fit", "base", F.explode("found").alias("c")).select("fit", "c.*", _verdict(F.col("c"), F.col("base")).alias("agree"))
     # a signed number without its country code is an example too, of how numbers are written in their country
@@ -328,8 +376,7 @@ def train(docs: DataFrame) -> Model:
 
 # ----------------------------------------------------------------- applying
 
-def _added(base: dict[str, Column], found: Column, model: Model, kind: str) -> Column:
-    taken = F.concat(*base.values())
+def _added(taken: Column, found: Column, model: Model, kind: str) -> Column:
     k = KINDS.index(kind)
     picked = F.filter(found, lambda c: (c["kind"] == k) & model.selects(c) & ~_overlaps(c, taken))
     return F.transform(picked, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end")))
@@ -343,9 +390,9 @@ def with_spans(docs: DataFrame, model: Model) -> DataFrame:
     rows = plain.select("row", "text", *[short(s).alias(f"base_{k}") for k, s in base_spans(text).items()])
     base = {k: F.col(f"base_{k}") for k in KINDS}
     if any(np.isfinite(t) for t in model.thresholds):
-        rows = rows.withColumn("found", F.when(text.rlike("[0-9@]"), candidates(text)))
+        rows = rows.select("*", F.when(text.rlike("[0-9@]"), candidates(text)).alias("found"), F.concat(*[_ranges(b) for b in base.values()]).alias("taken"))
         found = F.coalesce(F.col("found"), F.array().cast(rows.schema["found"].dataType))
-        every = {k: F.array_sort(F.array_distinct(F.concat(base[k], _added(base, found, model, k)))) for k in KINDS}
+        every = {k: F.array_sort(F.concat(base[k], _added(F.col("taken"), found, model, k))) for k in KINDS}
     else:
         every = base
     return rows.select("row", "text", *base.values(), *[every[k].alias(f"all_{k}") for k in KINDS])
@@ -377,14 +424,29 @@ def redacted(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     spans = F.array_sort(F.concat(*[labelled(k) for k in KINDS]))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
-        more = F.concat(acc["out"], F.array(gap, s["label"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] < acc["at"], acc["out"]).otherwise(more).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    clean = F.aggregate("spans", start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(
-        F.col("text"), acc["at"] + 1, F.length("text"))))
+    # chunks of spans, each with the piece of text from the end of all earlier ones to its own
+    def reach(i: Column, own: Column, every: Column) -> Column:
+        return F.struct(own.alias("spans"), F.array_max(F.transform(own, lambda x: x["end"])).alias("end"))
+
+    def placed(acc: Column, c: Column) -> Column:
+        end = F.greatest(acc["at"], c["end"])
+        piece = F.substring(F.col("text"), acc["at"] + 1, end - acc["at"])
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
+            acc["at"].alias("at"), piece.alias("piece"), c["spans"].alias("spans")))).alias("out"))
+
+    def replaced(c: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            gap = F.substring(c["piece"], acc["at"] - c["at"] + 1, F.greatest(x["start"] - acc["at"], F.lit(0)))
+            more = F.concat(acc["out"], F.array(gap, x["label"]))
+            return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] < acc["at"], acc["out"]).otherwise(more).alias("out"))
+
+        start = F.struct(c["at"].alias("at"), F.array().cast("array<string>").alias("out"))
+        return F.aggregate(c["spans"], start, step, lambda acc: F.array_join(acc["out"], ""))
+
+    pieces = "array<struct<at:int,piece:string,spans:array<struct<start:int,end:int,label:string>>>>"
+    clean = F.aggregate(_chunked(F.col("spans"), reach), F.struct(F.lit(0).alias("at"), F.array().cast(pieces).alias("out")), placed,
+                        lambda acc: F.concat(F.array_join(F.transform(acc["out"], replaced), ""),
+                                             F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
     rows = rows.select("row", "text", spans.alias("spans"))
     rows = rows.select("row", F.when(F.size("spans") > 0, clean).otherwise(F.col("row.text")).alias("clean"))
     new = {"text": F.col("clean")}
