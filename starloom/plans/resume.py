@@ -1,12 +1,14 @@
 """Extraction in batches that survives a killed run.
 
 Before anything is extracted, the run stores a manifest: keyset bounds
-(first and last (date, id)) of every batch of the delta. Batches are then
-extracted a few per job into the run's staging folder, and one progress row
-per finished batch is appended. A later run that finds an open manifest reads
-only the batches without a progress row (an anti join) and goes on with the
-first run's extraction instant. The watermark moves only when the whole delta
-is published.
+(first and last (date, id)) of every batch of the delta. The source is then
+read once: rows of the pending batches are dealt by the job that will extract
+them. Batches are extracted from there a few per job into the run's staging
+folder, and one progress row per finished batch is appended. A later run that
+finds an open manifest deals and reads only the batches without a progress
+row (an anti join) and goes on with the first run's extraction instant. The
+watermark moves only when the whole delta is published. Dealt rows lie under
+the run's staging folder, hidden from its readers, and are swept with it.
 
 A run is open until a progress row with batch number -1 says ``published`` or
 ``abandoned``. A job that dies half-way leaves a folder its batches will
@@ -20,8 +22,9 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.functions.clean import SEEN
 from starloom.functions.keys import ts_lit
@@ -33,7 +36,7 @@ MANIFEST, PROGRESS = "batch_manifest", "chunk_progress"
 WHOLE_RUN = -1
 BATCHES_PER_JOB = 5
 MAX_BATCHES = 1000
-BATCH = "_batch"
+BATCH, JOB = "_batch", "_job"
 
 
 def read_manifest(store: TableStore, table: str) -> DataFrame:
@@ -81,31 +84,57 @@ def staging(store: TableStore, layer: str, table: str, run_id: str) -> str:
     return f"{store.root}/staging/{layer}/{table}/v={run_id}"
 
 
+def _job_of(source: DataFrame, waves: list[list[dict]], date_col: str, key: str) -> Column:
+    """The wave a row can belong to, from 0: the last one whose lower bound is not above the row's (date, id)."""
+    kind = source.schema[key].dataType
+    lows = F.array(*[F.struct(ts_lit(w[0]["lo_date"]).alias("date"), F.lit(w[0]["lo_id"]).cast(kind).alias("id")) for w in waves])
+    row = F.struct(F.col(date_col).cast("timestamp_ntz").alias("date"), F.col(key).alias("id"))
+    return F.greatest(F.size(F.filter(lows, lambda low: low <= row)), F.lit(1)) - 1
+
+
+def deal(source: DataFrame, waves: list[list[dict]], date_col: str, key: str, path: str) -> DataFrame:
+    """One read of ``source``: its rows in the dates of ``waves``, written to ``path`` by wave and read back with ``JOB``.
+
+    A wave's rows are spread over as many tasks as it has batches. Rows
+    between the bounds of batches come along; each wave leaves them out.
+    """
+    span = F.col(date_col).between(ts_lit(min(b["lo_date"] for w in waves for b in w)), ts_lit(max(b["hi_date"] for w in waves for b in w)))
+    untyped = {f.name: F.col(f.name).cast("string") for f in source.schema.fields if isinstance(f.dataType, T.NullType)}  # files hold no void
+    rows = source.where(span).withColumns(untyped)  # the span reaches the scan
+    spread = F.pmod(F.xxhash64(key), F.lit(max(len(w) for w in waves)))
+    rows.withColumn(JOB, _job_of(rows, waves, date_col, key)).repartition(JOB, spread).write.partitionBy(JOB).parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField(JOB, T.IntegerType())])
+    return source.sparkSession.read.schema(schema).parquet(path)
+
+
 def extract_pending(store: TableStore, source: DataFrame, clean: Callable[[DataFrame], DataFrame], layer: str, table: str, run_id: str,
                     date_col: str, key: str, per_job: int = BATCHES_PER_JOB,
                     on_batches: Callable[[list[int]], None] | None = None,
                     on_seen: Callable[[int, dict], None] | None = None) -> list[int]:
     """Extract the run's batches that have no progress row yet; returns their numbers.
 
+    The source is read once, however many batches there are (see ``deal``).
     ``clean`` maps source rows to what is staged; boolean columns it names
     ``_seen_...`` are counted during the write (given to ``on_seen``), not
     staged. ``on_batches`` is told the batches a job is about to read.
     """
-    mine = read_manifest(store, table).where(F.col("run_id") == run_id)
-    todo = control.pending_batches(mine, read_progress(store, table)).orderBy("batch_no").collect()  # at most MAX_BATCHES rows
-    for at in range(0, len(todo), per_job):
-        wave = [r.asDict() for r in todo[at: at + per_job]]
+    manifest = read_manifest(store, table).where(F.col("run_id") == run_id)
+    todo = control.pending_batches(manifest, read_progress(store, table)).orderBy("batch_no").collect()  # at most MAX_BATCHES rows
+    waves = [[r.asDict() for r in todo[at: at + per_job]] for at in range(0, len(todo), per_job)]
+    folder = staging(store, layer, table, run_id)
+    dealt = deal(source, waves, date_col, key, f"{folder}/_dealt/{uuid.uuid4().hex}") if waves else source
+    for job, wave in enumerate(waves):
         if on_batches:
             on_batches([b["batch_no"] for b in wave])
         number = F.lit(None).cast("int")
         for b in wave:
-            number = F.when(ingest.in_batch(source, b, date_col, key), F.lit(b["batch_no"])).otherwise(number)
-        span = F.col(date_col).between(ts_lit(min(b["lo_date"] for b in wave)), ts_lit(max(b["hi_date"] for b in wave)))  # reaches the scan
-        out = clean(source.where(span).withColumn(BATCH, number).where(F.col(BATCH).isNotNull()))
+            number = F.when(ingest.in_batch(dealt, b, date_col, key), F.lit(b["batch_no"])).otherwise(number)
+        mine = dealt.where(F.col(JOB) == job).drop(JOB)
+        out = clean(mine.withColumn(BATCH, number).where(F.col(BATCH).isNotNull()))
         flags = [c for c in out.columns if c.startswith(SEEN)]
         seen = Observation(f"extract-{uuid.uuid4().hex}")
         kept = out.observe(seen, *[F.count_if(F.col(c)).alias(c) for c in flags]).drop(*flags) if flags else out
-        kept.write.mode("overwrite").partitionBy(BATCH).parquet(f"{staging(store, layer, table, run_id)}/job={wave[0]['batch_no']}")
+        kept.write.mode("overwrite").partitionBy(BATCH).parquet(f"{folder}/job={wave[0]['batch_no']}")
         if flags and on_seen:
             on_seen(wave[0]["batch_no"], seen.get)
         record(store, table, run_id, [b["batch_no"] for b in wave], "completed", _now())

@@ -178,6 +178,32 @@ def test_killed_run_is_resumed_after_its_last_finished_batch(spark):
     assert (last["extracted"], last["resumed"]) == (0, False)
 
 
+def test_source_reads_do_not_grow_with_the_batches(spark):
+    def reads(per_job):
+        read = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                read.add(batch.num_rows)
+                yield batch
+
+        store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+        kw = dict(date_col="write_date", critical=["name"], n_buckets=4, batch_rows=10)
+        load.load_table(store, "t", _changing(spark), run_ts=T1, **kw)
+        changed = _changing(spark, 420, 45)
+        source = changed.mapInArrow(counted, changed.schema).withColumn("v", F.lit(None))
+        waves = []
+        out = load.load_table(store, "t", source, run_ts=T2, batches_per_job=per_job, on_batches=waves.append, **kw)
+        assert [b for w in waves for b in w] == list(range(out["batches"]))
+        assert (out["extracted"], out["inserted"], out["updated"]) == (45, 0, 45)
+        rows = {r.id: (r.name, r.v, r.write_date) for r in store.read("raw", "t").collect()}
+        assert rows == {r.id: (r.name, r.v if r.id >= 45 else None, r.write_date) for r in changed.where("id < 400").collect()}
+        return read.value, len(waves)
+
+    (few, one), (many, five) = reads(10), reads(1)
+    assert (one, five) == (1, 5) and many == few
+
+
 def test_bad_batches_are_not_resumed(spark):
     store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
     kw = dict(date_col="write_date", critical=["name"], n_buckets=4, batch_rows=20)
