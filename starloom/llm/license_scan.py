@@ -1,8 +1,9 @@
 """Licence scans by diagonal voting.
 
 Each text's words are rolled into k-gram hashes (k = 2 for short phrases, 4 for
-licence passages) and every position is joined with the template positions
-that hold the same k-gram. A hit at text position p and template position t
+licence passages) and every position whose k-gram some template holds is joined
+with the template positions of that k-gram. Other positions have no partner and
+never leave the task that rolls them. A hit at text position p and template position t
 lies on diagonal p - t; text that follows a template keeps to one diagonal.
 
 * A short phrase stands where all its k-grams hit one diagonal. These *base*
@@ -86,21 +87,33 @@ def template_grams(phrases: dict[str, str], passages: dict[str, str]) -> list[tu
     return rows
 
 
-def _rolled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All rolling k-gram hashes; a row at position -1 carries the text's number of words."""
-    for batch in batches:
-        data, offsets = column_bytes(batch.column("body"))
-        ids = batch.column("doc").to_numpy()
-        for lo, hi in slices(offsets):
-            part = LOWER[data[offsets[lo]: offsets[hi]]]
-            starts, ends, at = words(part, offsets[lo: hi + 1] - offsets[lo], ALNUM_WORDS)
-            hashes = word_hashes(part, starts, ends)
-            row = np.repeat(np.arange(hi - lo), np.diff(at))
-            yield _grams(ids[lo:hi], np.full(hi - lo, -1), np.diff(at))
-            for k in (SHORT, LONG):
-                rolled = roll(hashes, k).view(np.int64)
-                inside = np.flatnonzero(row[: len(rolled)] == row[k - 1:]) if len(rolled) else np.zeros(0, np.int64)
-                yield _grams(ids[lo:hi][row[inside]], inside - at[row[inside]], rolled[inside])
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is in ``known`` (sorted)."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
+def _rolled(known: np.ndarray):
+    """Rolling k-gram hashes that are among ``known``; a row at position -1 carries the text's number of words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = column_bytes(batch.column("body"))
+            ids = batch.column("doc").to_numpy()
+            for lo, hi in slices(offsets):
+                part = LOWER[data[offsets[lo]: offsets[hi]]]
+                starts, ends, at = words(part, offsets[lo: hi + 1] - offsets[lo], ALNUM_WORDS)
+                hashes = word_hashes(part, starts, ends)
+                yield _grams(ids[lo:hi], np.full(hi - lo, -1), np.diff(at))
+                for k in (SHORT, LONG):
+                    rolled = roll(hashes, k).view(np.int64)
+                    found = np.flatnonzero(_among(rolled, known))
+                    row = np.searchsorted(at, found, side="right") - 1
+                    inside = found + k <= at[row + 1]  # k-grams never cross documents
+                    found, row = found[inside], row[inside]
+                    yield _grams(ids[lo:hi][row], found - at[row], rolled[found])
+
+    return run
 
 
 def _grams(doc: np.ndarray, pos: np.ndarray, gram: np.ndarray) -> pa.RecordBatch:
@@ -113,9 +126,10 @@ def scan(docs: DataFrame, phrases: dict[str, str] = PHRASES, passages: dict[str,
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(F.coalesce("text", F.lit("")), "doc_id").alias("doc"), text_bytes().alias("body"))
-    templates = spark.createDataFrame(template_grams(phrases, passages),
-                                      "gram long, template int, at int, label string, size int, phrase boolean")
-    joined = rows.select("doc", "body").mapInArrow(_rolled, "doc long, pos int, gram long").join(
+    positions = template_grams(phrases, passages)
+    templates = spark.createDataFrame(positions, "gram long, template int, at int, label string, size int, phrase boolean")
+    known = np.unique(np.array([p[0] for p in positions], np.int64))
+    joined = rows.select("doc", "body").mapInArrow(_rolled(known), "doc long, pos int, gram long").join(
         F.broadcast(templates), "gram", "left")
     hits = staged(joined.filter("pos < 0 or template is not null"), "hits")
 
