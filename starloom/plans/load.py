@@ -7,10 +7,11 @@ ingestion job does:
    table and the table's watermark;
 2. full: the whole source, cleaned and cast in one pass, as a new version
    dealt into hash buckets (an empty source is skipped, never published);
-   incremental: rows changed after the watermark are extracted in batches by a
-   stored manifest (``plans.resume``), so a killed run is taken up where it
-   stopped, and merged into the buckets they touch (``plans.buckets``);
-   nothing is published when nothing changed;
+   incremental: rows changed after the watermark are counted with the source,
+   landed in one read of it and extracted in batches by a stored manifest
+   (``plans.resume``), so a killed run is taken up where it stopped, and
+   merged into the buckets they touch (``plans.buckets``); nothing is
+   published when nothing changed;
 3. both paths turn NULL tokens, infinities and NaN into NULL and cast to the
    given types, incremental batches also to the table's own; rejected values
    are counted per column while rows are written, and kept with the run;
@@ -102,7 +103,7 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
                "touched_buckets": 0, "extracted": 0, "inserted": 0, "updated": 0, "status": "completed", "max_date": None}
     attempt, error = run_id, None
     try:
-        n_source = source.count()
+        n_source, n_changed = (source.count(), 0) if full else _counts(source, date_col, plan["watermark"])
         source_rows = spark.createDataFrame([(n_source,)], "source_rows bigint")
         before = resume.open_run(store, table)
         if full and before:
@@ -123,11 +124,12 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
             if before:
                 (run_id, run_ts), summary["resumed"] = before, True
                 summary["run_id"] = run_id
-            else:
-                rows = _profile(changed, table, key)
-                if rows:
-                    resume.begin(store, changed, table, run_id, date_col, key, rows, run_ts, batch_rows)
-            if before or rows:
+            elif n_changed:
+                changed = resume.land(store, changed, layer, table, run_id)
+                n_changed = _profile(changed, table, key)
+                if n_changed:
+                    resume.begin(store, changed, table, run_id, date_col, key, n_changed, run_ts, batch_rows)
+            if before or n_changed:
                 _extract(store, changed, layer, table, run_id, date_col, key, source_name, run_ts, types or {}, batches_per_job, on_batches, summary)
                 delta = resume.staged_rows(store, layer, table, run_id)
                 change = _merge(store, delta, layer, table, key, date_col, source_rows, critical, attempt, n_source, n_buckets)
@@ -152,6 +154,12 @@ def load_table(store: control.TableStore, table: str, source: DataFrame, date_co
     return summary
 
 
+def _counts(source: DataFrame, date_col: str, watermark) -> tuple[int, int]:
+    """Rows of the source and those changed after the watermark, in one read."""
+    found = ingest.delta_profile(source, date_col, watermark).first()
+    return found["total_rows"], found["modified_rows"]
+
+
 def _profile(changed: DataFrame, table: str, key: str) -> int:
     """Changed rows; raises when one of them has no key (no manifest could hold it)."""
     found = changed.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(key).isNull()).alias("null_keys")).first()

@@ -1,14 +1,15 @@
 """Extraction in batches that survives a killed run.
 
-Before anything is extracted, the run stores a manifest: keyset bounds
-(first and last (date, id)) of every batch of the delta. The source is then
-read once: rows of the pending batches are dealt by the job that will extract
-them. Batches are extracted from there a few per job into the run's staging
-folder, and one progress row per finished batch is appended. A later run that
-finds an open manifest deals and reads only the batches without a progress
-row (an anti join) and goes on with the first run's extraction instant. The
-watermark moves only when the whole delta is published. Dealt rows lie under
-the run's staging folder, hidden from its readers, and are swept with it.
+The delta is landed first: one read of the source, which may be a costly
+join. From the landed rows the run stores a manifest: keyset bounds (first
+and last (date, id)) of every batch of the delta. Rows of the pending batches
+are then dealt by the job that will extract them. Batches are extracted from
+there a few per job into the run's staging folder, and one progress row per
+finished batch is appended. A later run that finds an open manifest deals the
+batches without a progress row (an anti join) from one read of the source and
+goes on with the first run's extraction instant. The watermark moves only
+when the whole delta is published. Landed and dealt rows lie under the run's
+staging folder, hidden from its readers, and are swept with it.
 
 A run is open until a progress row with batch number -1 says ``published`` or
 ``abandoned``. A job that dies half-way leaves a folder its batches will
@@ -84,6 +85,18 @@ def staging(store: TableStore, layer: str, table: str, run_id: str) -> str:
     return f"{store.root}/staging/{layer}/{table}/v={run_id}"
 
 
+def _storable(rows: DataFrame) -> DataFrame:
+    """Columns without a type as text: files hold no void."""
+    return rows.withColumns({f.name: F.col(f.name).cast("string") for f in rows.schema.fields if isinstance(f.dataType, T.NullType)})
+
+
+def land(store: TableStore, delta: DataFrame, layer: str, table: str, run_id: str) -> DataFrame:
+    """One read of ``delta``: its rows as they were written under the run's staging folder."""
+    path, rows = f"{staging(store, layer, table, run_id)}/_landed/{uuid.uuid4().hex}", _storable(delta)
+    rows.write.parquet(path)
+    return store.spark.read.schema(rows.schema).parquet(path)
+
+
 def _job_of(source: DataFrame, waves: list[list[dict]], date_col: str, key: str) -> Column:
     """The wave a row can belong to, from 0: the last one whose lower bound is not above the row's (date, id)."""
     kind = source.schema[key].dataType
@@ -99,8 +112,7 @@ def deal(source: DataFrame, waves: list[list[dict]], date_col: str, key: str, pa
     between the bounds of batches come along; each wave leaves them out.
     """
     span = F.col(date_col).between(ts_lit(min(b["lo_date"] for w in waves for b in w)), ts_lit(max(b["hi_date"] for w in waves for b in w)))
-    untyped = {f.name: F.col(f.name).cast("string") for f in source.schema.fields if isinstance(f.dataType, T.NullType)}  # files hold no void
-    rows = source.where(span).withColumns(untyped)  # the span reaches the scan
+    rows = _storable(source.where(span))  # the span reaches the scan
     spread = F.pmod(F.xxhash64(key), F.lit(max(len(w) for w in waves)))
     rows.withColumn(JOB, _job_of(rows, waves, date_col, key)).repartition(JOB, spread).write.partitionBy(JOB).parquet(path)
     schema = T.StructType([*rows.schema.fields, T.StructField(JOB, T.IntegerType())])
@@ -113,7 +125,8 @@ def extract_pending(store: TableStore, source: DataFrame, clean: Callable[[DataF
                     on_seen: Callable[[int, dict], None] | None = None) -> list[int]:
     """Extract the run's batches that have no progress row yet; returns their numbers.
 
-    The source is read once, however many batches there are (see ``deal``).
+    ``source`` (landed rows, or the source itself when a run is taken up) is
+    read once, however many batches there are (see ``deal``).
     ``clean`` maps source rows to what is staged; boolean columns it names
     ``_seen_...`` are counted during the write (given to ``on_seen``), not
     staged. ``on_batches`` is told the batches a job is about to read.

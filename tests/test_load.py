@@ -204,6 +204,26 @@ def test_source_reads_do_not_grow_with_the_batches(spark):
     assert (one, five) == (1, 5) and many == few
 
 
+def test_an_increment_reads_its_source_once_to_count_and_once_to_land(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
+    kw = dict(date_col="write_date", critical=["name"], n_buckets=4, batch_rows=10)
+    load.load_table(store, "t", _changing(spark), run_ts=T1, **kw)
+    changed = _changing(spark, 420, 45)
+    out = load.load_table(store, "t", changed.mapInArrow(counted, changed.schema), run_ts=T2, batches_per_job=2, **kw)
+    assert (out["mode"], out["batches"], out["updated"]) == ("incremental", 5, 45)
+    assert read.value == 2 * changed.count()
+    read.value = 0
+    again = load.load_table(store, "t", changed.mapInArrow(counted, changed.schema), run_ts=T3, **kw)
+    assert (again["extracted"], read.value) == (0, changed.count())  # nothing changed: counted, nothing landed
+
+
 def test_bad_batches_are_not_resumed(spark):
     store = control.TableStore(spark, tempfile.mkdtemp(prefix="starloom-load-"))
     kw = dict(date_col="write_date", critical=["name"], n_buckets=4, batch_rows=20)
