@@ -4,6 +4,7 @@ import random
 from conftest import docs_frame
 
 from starloom.llm import suffix_dedup
+from starloom.llm.queries import QUERIES
 
 
 def brute(texts, window):
@@ -89,3 +90,28 @@ def test_hot_groups_are_found_whole(spark, monkeypatch):
     found = suffix_dedup._in_groups(rows, groups, ["bucket"])
     assert found.columns == rows.columns
     assert sorted(r.doc for r in found.collect()) == [i for i in range(5000) if i % 3 == 0 or i == 1]
+
+
+def test_planted_passages_of_over_fifty_words(spark, tmp_path):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghé") for _ in range(5)) for _ in range(n))
+    passages = {}
+    for size in (399, 400, 401, 900):  # bytes; all have over 50 words
+        text = words(51)
+        while len(text.encode()) < size - 12:
+            text += " " + words(1)
+        passages[size] = text + " " + "z" * (size - len(text.encode()) - 1)
+        assert len(passages[size].encode()) == size and len(passages[size].split()) > 50
+    texts = [words(rng.randrange(1, 200)) for _ in range(20)]
+    kept, removed = list(texts), [0] * len(texts)
+    for size, passage in passages.items():  # at the start, inside, at the end; other neighbours in each
+        for before, after in (("", "A" + words(60)), (words(70) + "B", "C" + words(60)), (words(70) + "D", "")):
+            texts.append(before + passage + after)
+            kept.append(before + after if size >= 400 else texts[-1])
+            removed.append(size if size >= 400 else 0)
+    docs_frame(spark, texts).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = sorted(QUERIES["op1_suffix_dedup"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id)
+    assert [r.n_bytes for r in rows] == [len(t.encode()) for t in texts]  # before cutting
+    assert [r.n_removed for r in rows] == removed
+    assert [bytes(r.kept).decode() for r in rows] == kept
+    assert [tuple(r)[1:5] for r in rows] == brute(texts, 400)
